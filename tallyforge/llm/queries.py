@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyforge.llm.common import materialize, read, word_count
+from tallyforge.llm.line_dedup import dedup_lines
 from tallyforge.llm.mixing import cycle_weights, mix_sources
 
 
@@ -19,5 +20,29 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
-QUERIES = {"op3_source_mix": op3_source_mix}
-ORACLES: dict[str, str] = {}
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return dedup_lines(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+OP2_SQL = r"""
+with lines as (
+  select doc_id, rowid as r, unnest(string_split(coalesce(text, ''), chr(10))) as line,
+         unnest(generate_series(1, len(string_split(coalesce(text, ''), chr(10))))) as pos
+  from (select row_number() over () as rowid, doc_id, text from documents)),
+keyed as (
+  select *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as k from lines),
+shared as (
+  select k, min(doc_id) as first_doc from keyed where length(k) >= 10
+  group by k having count(distinct doc_id) >= 2),
+marked as (
+  select doc_id, r, line, pos, coalesce(doc_id <> first_doc, false) as gone
+  from keyed left join shared using (k))
+select doc_id, count(*) as n_lines, count(*) filter (where gone) as n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) order by pos) filter (where not gone), '')) as kept_sha256
+from marked group by doc_id, r
+"""
+
+QUERIES = {"op2_line_dedup": op2_line_dedup, "op3_source_mix": op3_source_mix}
+ORACLES: dict[str, str] = {"op2_line_dedup": OP2_SQL}
