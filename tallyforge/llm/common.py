@@ -33,13 +33,13 @@ def scratch_root(spark: SparkSession) -> str:
     return root
 
 
-def materialize(df: DataFrame, tag: str) -> DataFrame:
+def materialize(df: DataFrame, tag: str, codec: str = "snappy") -> DataFrame:
     """Write df as Parquet in the shared folder and read it again.
 
     Cuts the lineage at a place that survives the loss of executors, and keeps columns prunable.
     """
     path = f"{scratch_root(df.sparkSession)}/scratch/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", codec).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from tallyforge.llm.common import materialize, read, word_count
 from tallyforge.llm.line_dedup import dedup_lines
 from tallyforge.llm.mixing import cycle_weights, mix_sources
+from tallyforge.llm.ogg import encode_texts, probe_media
+from tallyforge.llm.warc import read_warc, write_warc
 
 
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,5 +46,35 @@ select doc_id, count(*) as n_lines, count(*) filter (where gone) as n_dropped,
 from marked group by doc_id, r
 """
 
-QUERIES = {"op2_line_dedup": op2_line_dedup, "op3_source_mix": op3_source_mix}
-ORACLES: dict[str, str] = {"op2_line_dedup": OP2_SQL}
+def op7_ogg_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    n_bytes = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    media = encode_texts(docs.withColumn("n_bytes", n_bytes)).drop("text")
+    stored = materialize(media, "ogg-media", "zstd")
+    rows = stored.select("doc_id", "n_bytes", F.octet_length("media").cast("long").alias("media_bytes"), probe_media(F.col("media")).alias("m"))
+    return rows.select(
+        "doc_id", "n_bytes", "m.payload_bytes", "m.payload_sha256", "m.tail_crc32", "media_bytes", "m.media_sha256",
+        "m.feature", "m.seconds", "m.n_streams", "m.n_pages", "m.n_packets",
+    )
+
+
+def op9_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored = materialize(write_warc(read(spark, sf_dir, "pages")), "warc-bundles")
+    return read_warc(stored).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP9_SQL = """
+with p as (
+  select page_id, octet_length(encode(coalesce(html, ''))) as payload_bytes, sha256(coalesce(html, '')) as payload_digest
+  from pages),
+f as (
+  select payload_digest, min(page_id) as first_page from p
+  where payload_bytes >= 100 and page_id is not null group by payload_digest)
+select page_id, payload_bytes, payload_digest,
+       case when page_id <> first_page then 'revisit' else 'response' end as record_type,
+       case when page_id <> first_page then first_page end as refers_to
+from p left join f using (payload_digest)
+"""
+
+QUERIES = {"op2_line_dedup": op2_line_dedup, "op3_source_mix": op3_source_mix, "op7_ogg_media": op7_ogg_media, "op9_warc_bundles": op9_warc_bundles}
+ORACLES: dict[str, str] = {"op2_line_dedup": OP2_SQL, "op9_warc_bundles": OP9_SQL}
