@@ -9,6 +9,7 @@ from tallyforge.llm.common import materialize, read, word_count
 from tallyforge.llm.line_dedup import dedup_lines
 from tallyforge.llm.mixing import cycle_weights, mix_sources
 from tallyforge.llm.ogg import encode_texts, probe_media
+from tallyforge.llm.pii import find_pii
 from tallyforge.llm.warc import read_warc, write_warc
 
 
@@ -76,5 +77,13 @@ select page_id, payload_bytes, payload_digest,
 from p left join f using (payload_digest)
 """
 
-QUERIES = {"op2_line_dedup": op2_line_dedup, "op3_source_mix": op3_source_mix, "op7_ogg_media": op7_ogg_media, "op9_warc_bundles": op9_warc_bundles}
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_pii(read(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    return found.select(
+        "doc_id", "pii.n_email", "pii.n_ip", "pii.n_card", "pii.n_phone",
+        F.sha2("pii.base", 256).alias("base_sha256"), "pii.spans", "pii.n_added",
+    )
+
+
+QUERIES = {"op2_line_dedup": op2_line_dedup, "op3_source_mix": op3_source_mix, "op7_ogg_media": op7_ogg_media, "op9_warc_bundles": op9_warc_bundles, "op10_pii": op10_pii}
 ORACLES: dict[str, str] = {"op2_line_dedup": OP2_SQL, "op9_warc_bundles": OP9_SQL}
