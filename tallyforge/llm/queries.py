@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyforge.llm.common import materialize, read, word_count
+from tallyforge.llm.language_id import fold, identify_languages
 from tallyforge.llm.line_dedup import dedup_lines
 from tallyforge.llm.mixing import cycle_weights, mix_sources
 from tallyforge.llm.ogg import encode_texts, probe_media
@@ -47,6 +48,14 @@ select doc_id, count(*) as n_lines, count(*) filter (where gone) as n_dropped,
 from marked group by doc_id, r
 """
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    training = docs.filter(fold("doc_id", 4) != 2)
+    found = identify_languages(docs.select("doc_id", "text"), training)
+    held_out = F.coalesce(fold("doc_id", 4) == 2, F.lit(False)).alias("held_out")
+    return found.select("doc_id", held_out, F.col("language.lang").alias("lang_pred"), "language.score")
+
+
 def op7_ogg_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     n_bytes = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
@@ -85,5 +94,5 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op2_line_dedup": op2_line_dedup, "op3_source_mix": op3_source_mix, "op7_ogg_media": op7_ogg_media, "op9_warc_bundles": op9_warc_bundles, "op10_pii": op10_pii}
+QUERIES = {"op2_line_dedup": op2_line_dedup, "op3_source_mix": op3_source_mix, "op5_language_id": op5_language_id, "op7_ogg_media": op7_ogg_media, "op9_warc_bundles": op9_warc_bundles, "op10_pii": op10_pii}
 ORACLES: dict[str, str] = {"op2_line_dedup": OP2_SQL, "op9_warc_bundles": OP9_SQL}
