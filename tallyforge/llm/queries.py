@@ -11,6 +11,8 @@ from tallyforge.llm.line_dedup import dedup_lines
 from tallyforge.llm.mixing import cycle_weights, mix_sources
 from tallyforge.llm.ogg import encode_texts, probe_media
 from tallyforge.llm.pii import find_pii
+from tallyforge.llm.toxicity import fit as fit_toxicity
+from tallyforge.llm.toxicity import score_toxicity
 from tallyforge.llm.warc import read_warc, write_warc
 
 
@@ -56,6 +58,15 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out, F.col("language.lang").alias("lang_pred"), "language.score")
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read(spark, sf_dir, "labels").select("doc_id", "toxic").filter(fold("doc_id", 3) != 1)
+    model = fit_toxicity(docs.join(labels, "doc_id"))
+    score = F.col("toxicity.score")
+    held_out = F.coalesce(fold("doc_id", 3) == 1, F.lit(False)).alias("held_out")
+    return score_toxicity(docs, model).select("doc_id", held_out, score, (score >= 0.7).cast("int").alias("predicted"))
+
+
 def op7_ogg_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     n_bytes = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
@@ -94,5 +105,5 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op2_line_dedup": op2_line_dedup, "op3_source_mix": op3_source_mix, "op5_language_id": op5_language_id, "op7_ogg_media": op7_ogg_media, "op9_warc_bundles": op9_warc_bundles, "op10_pii": op10_pii}
+QUERIES = {"op2_line_dedup": op2_line_dedup, "op3_source_mix": op3_source_mix, "op5_language_id": op5_language_id, "op6_toxicity": op6_toxicity, "op7_ogg_media": op7_ogg_media, "op9_warc_bundles": op9_warc_bundles, "op10_pii": op10_pii}
 ORACLES: dict[str, str] = {"op2_line_dedup": OP2_SQL, "op9_warc_bundles": OP9_SQL}
