@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyforge.llm.common import materialize, read, word_count
+from tallyforge.llm.html_extract import extract_main_text
 from tallyforge.llm.language_id import fold, identify_languages
 from tallyforge.llm.line_dedup import dedup_lines
 from tallyforge.llm.mixing import cycle_weights, mix_sources
@@ -79,6 +80,10 @@ def op7_ogg_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(read(spark, sf_dir, "pages"))
+
+
 def op9_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = materialize(write_warc(read(spark, sf_dir, "pages")), "warc-bundles")
     return read_warc(stored).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -105,5 +110,5 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op2_line_dedup": op2_line_dedup, "op3_source_mix": op3_source_mix, "op5_language_id": op5_language_id, "op6_toxicity": op6_toxicity, "op7_ogg_media": op7_ogg_media, "op9_warc_bundles": op9_warc_bundles, "op10_pii": op10_pii}
+QUERIES = {"op2_line_dedup": op2_line_dedup, "op3_source_mix": op3_source_mix, "op5_language_id": op5_language_id, "op6_toxicity": op6_toxicity, "op7_ogg_media": op7_ogg_media, "op8_html_text": op8_html_text, "op9_warc_bundles": op9_warc_bundles, "op10_pii": op10_pii}
 ORACLES: dict[str, str] = {"op2_line_dedup": OP2_SQL, "op9_warc_bundles": OP9_SQL}
