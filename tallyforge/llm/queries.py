@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyforge.llm.common import materialize, read, word_count
+from tallyforge.llm.decontaminate import find_leaks
 from tallyforge.llm.html_extract import extract_main_text
 from tallyforge.llm.language_id import fold, identify_languages
 from tallyforge.llm.line_dedup import dedup_lines
@@ -17,6 +18,10 @@ from tallyforge.llm.toxicity import score_toxicity
 from tallyforge.llm.warc import read_warc, write_warc
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     sized = materialize(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")), "mix-sizes")
@@ -110,5 +115,5 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op2_line_dedup": op2_line_dedup, "op3_source_mix": op3_source_mix, "op5_language_id": op5_language_id, "op6_toxicity": op6_toxicity, "op7_ogg_media": op7_ogg_media, "op8_html_text": op8_html_text, "op9_warc_bundles": op9_warc_bundles, "op10_pii": op10_pii}
+QUERIES = {"op1_decontamination": op1_decontamination, "op2_line_dedup": op2_line_dedup, "op3_source_mix": op3_source_mix, "op5_language_id": op5_language_id, "op6_toxicity": op6_toxicity, "op7_ogg_media": op7_ogg_media, "op8_html_text": op8_html_text, "op9_warc_bundles": op9_warc_bundles, "op10_pii": op10_pii}
 ORACLES: dict[str, str] = {"op2_line_dedup": OP2_SQL, "op9_warc_bundles": OP9_SQL}
