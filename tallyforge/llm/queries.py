@@ -11,6 +11,7 @@ from tallyforge.llm.html_extract import extract_main_text
 from tallyforge.llm.language_id import fold, identify_languages
 from tallyforge.llm.line_dedup import dedup_lines
 from tallyforge.llm.mixing import cycle_weights, mix_sources
+from tallyforge.llm.ngram_join import similar_groups
 from tallyforge.llm.ogg import encode_texts, probe_media
 from tallyforge.llm.pii import find_pii
 from tallyforge.llm.toxicity import fit as fit_toxicity
@@ -56,6 +57,35 @@ select doc_id, count(*) as n_lines, count(*) filter (where gone) as n_dropped,
 from marked group by doc_id, r
 """
 
+def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_groups(read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+OP4_SQL = r"""
+with recursive words as (
+  select doc_id, row_number() over () as r,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x20\x09-\x0D]+') as w
+  from documents),
+grams as materialized (
+  select distinct r, doc_id, case when len(w) < 5 then array_to_string(w, ' ') else array_to_string(w[i : i + 4], ' ') end as g
+  from words, unnest(generate_series(1, greatest(len(w) - 4, 1))) as t(i) where len(w) > 0),
+sizes as materialized (select r, doc_id, count(*) as n from grams group by r, doc_id),
+pairs as materialized (
+  select x.r as a, y.r as b, count(*) as common
+  from grams x join grams y on x.g = y.g and x.r < y.r group by x.r, y.r),
+links as materialized (
+  select a, b from pairs join sizes sa on sa.r = a join sizes sb on sb.r = b
+  where 100 * common >= 80 * (sa.n + sb.n - common)),
+edges as materialized (select a, b from links union all select b, a from links),
+reach(r, o) as (
+  select r, r from words union select reach.r, edges.b from reach join edges on edges.a = reach.o)
+select w.doc_id, coalesce(s.n, 0) as n_shingles, l.component_id
+from words w left join sizes s on s.r = w.r
+join (select reach.r, min(o.doc_id) as component_id from reach join words o on o.r = reach.o group by reach.r) l on l.r = w.r
+"""
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     training = docs.filter(fold("doc_id", 4) != 2)
@@ -115,5 +145,5 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_decontamination": op1_decontamination, "op2_line_dedup": op2_line_dedup, "op3_source_mix": op3_source_mix, "op5_language_id": op5_language_id, "op6_toxicity": op6_toxicity, "op7_ogg_media": op7_ogg_media, "op8_html_text": op8_html_text, "op9_warc_bundles": op9_warc_bundles, "op10_pii": op10_pii}
-ORACLES: dict[str, str] = {"op2_line_dedup": OP2_SQL, "op9_warc_bundles": OP9_SQL}
+QUERIES = {"op1_decontamination": op1_decontamination, "op2_line_dedup": op2_line_dedup, "op3_source_mix": op3_source_mix, "op4_ngram_jaccard": op4_ngram_jaccard, "op5_language_id": op5_language_id, "op6_toxicity": op6_toxicity, "op7_ogg_media": op7_ogg_media, "op8_html_text": op8_html_text, "op9_warc_bundles": op9_warc_bundles, "op10_pii": op10_pii}
+ORACLES: dict[str, str] = {"op2_line_dedup": OP2_SQL, "op4_ngram_jaccard": OP4_SQL, "op9_warc_bundles": OP9_SQL}
