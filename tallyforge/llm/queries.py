@@ -97,7 +97,7 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     labels = read(spark, sf_dir, "labels").select("doc_id", "toxic").filter(fold("doc_id", 3) != 1)
-    model = fit_toxicity(docs.join(labels, "doc_id"))
+    model = fit_toxicity(docs, labels)
     score = F.col("toxicity.score")
     held_out = F.coalesce(fold("doc_id", 3) == 1, F.lit(False)).alias("held_out")
     return score_toxicity(docs, model).select("doc_id", held_out, score, (score >= 0.7).cast("int").alias("predicted"))

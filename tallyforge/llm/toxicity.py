@@ -27,6 +27,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyforge.llm.common import materialize
+
 #: Fixed values of the grammar.
 INSULTS = ("idiot", "idiots", "moron", "morons", "loser", "losers", "scum", "trash", "clown", "stupid", "worthless", "pathetic", "disgusting")
 THREATS = ("kill", "hurt", "destroy", "beat", "smash", "punch", "stab", "shoot", "burn")
@@ -261,17 +263,19 @@ def choose_stems(table: list, rows: tuple[int, int], most: int = 400) -> dict[st
     return chosen
 
 
-def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "toxic", key: str = "doc_id", sample: int = 20_000) -> Model:
-    """Learn the lexicon's stems and the logistic model from labelled rows.
+def fit(docs: DataFrame, labels: DataFrame, text_col: str = "text", label_col: str = "toxic", key: str = "doc_id", sample: int = 20_000) -> Model:
+    """Learn the lexicon's stems and the logistic model from the documents that labels names.
 
-    About `sample` rows are used, by a seeded hash of their key; all if there are fewer.  Rows with a null key,
-    text or label are passed over.  With no toxic or no clean row the fixed words alone decide.
+    About `sample` labels are used, by a seeded hash of their key; all if there are fewer.  That bounds the table
+    of sampled labels, which is broadcast, so texts are not shuffled.  Null keys, texts and labels are passed over;
+    repeated labels of a key count once, as the greater.  With no toxic or no clean row the fixed words decide.
     """
-    rows = labelled.select(F.col(text_col).alias("text"), F.col(label_col).cast("int").alias("toxic"), F.col(key).alias("k"))
-    rows = rows.filter("text is not null and toxic in (0, 1) and k is not null")
-    n = rows.count()
-    rows = rows.filter(F.pmod(F.xxhash64(F.lit(5), "k"), F.lit(1_000_000)) < int(1e6 * min(1.0, sample / max(n, 1))))
-    rows = rows.select("text", "toxic")
+    labels = labels.select(F.col(key).alias("k"), F.col(label_col).cast("int").alias("toxic")).filter("toxic in (0, 1) and k is not null")
+    n = labels.count()
+    labels = labels.filter(F.pmod(F.xxhash64(F.lit(5), "k"), F.lit(1_000_000)) < int(1e6 * min(1.0, sample / max(n, 1))))
+    labels = labels.groupBy("k").agg(F.max("toxic").alias("toxic"))
+    rows = docs.select(F.col(key).alias("k"), F.col(text_col).alias("text")).filter("text is not null")
+    rows = materialize(rows.join(F.broadcast(labels), "k").select("text", "toxic"), "toxicity-sample")
     fields = "stem string, clean long, toxic long, clean_rows long, toxic_rows long"
     sums = rows.mapInPandas(stem_counts, fields).groupBy("stem")
     sums = sums.agg(*(F.sum(c).alias(c) for c in ("clean", "toxic", "clean_rows", "toxic_rows")))
