@@ -313,7 +313,7 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
     total = pages.count()
     # Hosts above a thousandth of all pages: at most a thousand, whatever the input.
     hot = counts.filter(F.col("count") > max(total / 1000, 2 * GROUP_PAGES))
-    hot = hot.select("host", F.ceil(F.col("count") / (8 * GROUP_PAGES)).alias("parts"))
+    hot = hot.select("host", F.ceil(F.col("count") / (2 * GROUP_PAGES)).alias("parts"))
     rows = rows.join(F.broadcast(hot), "host", "left")
     spot = F.xxhash64("page_id", "url")
     rows = rows.withColumn("salt", F.coalesce(F.pmod(spot, "parts"), F.lit(0)))
