@@ -154,16 +154,20 @@ def classify(net: Network, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", key: str = "doc_id", sample: int = 3000, each: int = 3) -> Network | None:
-    """Train on at most `sample` labelled rows, those with the smallest hashes of their key, `each` windows of every one.
+    """Train on about `sample` labelled rows (2 * sample at most), `each` windows of every one.
 
-    Rows with a null label, text or key, or without text, are passed over; with none left there is no network.
+    Rows are taken by a seeded hash of their key, at the rate that gives `sample` of them, so that what comes to the
+    driver doesn't grow with the table.  Rows with a null label, text or key, or without text, are passed over; with
+    none left there is no network.
     """
-    text = F.col(text_col).cast("binary")
-    rows = labelled.filter(F.col(lang_col).isNotNull() & F.col(key).isNotNull() & (F.octet_length(text_col) > 0))
+    text, key_hash = F.col(text_col).cast("binary"), F.xxhash64(F.lit(5), key)
+    known = F.col(lang_col).isNotNull() & F.col(key).isNotNull()
+    n = labelled.filter(known).count()
+    rows = labelled.filter(known & (F.octet_length(text_col) > 0) & (F.pmod(key_hash, F.lit(1_000_000)) < int(1e6 * min(1.0, sample / max(n, 1))) + 1))
     spread = F.greatest(F.octet_length(text_col) - WINDOW, F.lit(1))
     cuts = [F.substring(text, F.lit(1) + F.pmod(F.xxhash64(key, F.lit(k)), spread).cast("int"), WINDOW) for k in range(each)]
-    rows = rows.select(F.col(lang_col).alias("lang"), F.array(*cuts).alias("cuts"), F.xxhash64(key).alias("h"))
-    rows = rows.orderBy("h", "lang", "cuts").limit(sample).collect()
+    rows = rows.select(F.col(lang_col).alias("lang"), F.array(*cuts).alias("cuts"), key_hash.alias("h")).limit(2 * sample).collect()
+    rows.sort(key=lambda r: (r["h"], r["lang"], r["cuts"]))
     if not rows:
         return None
     labels = sorted({r["lang"] for r in rows})
