@@ -45,8 +45,8 @@ def flattened(rows: DataFrame, key: str, json: str, depth: int = 4) -> DataFrame
     """(key, path, value) of the leaves of a JSON object column, nested objects down to `depth`."""
     out, level = None, rows.select(key, F.lit("").alias("path"), F.col(json).alias("value"))
     for _ in range(depth):
-        level = level.select(key, "path", F.explode(F.from_json("value", "map<string,string>")).alias("k", "value"))
-        level = level.select(key, F.when(F.col("path") == "", F.col("k")).otherwise(F.concat("path", F.lit("."), "k")).alias("path"), "value")
+        level = level.select(key, "path", F.explode(F.from_json("value", "map<string,string>")).alias("_k", "value"))
+        level = level.select(key, F.when(F.col("path") == "", F.col("_k")).otherwise(F.concat("path", F.lit("."), "_k")).alias("path"), "value")
         nested = F.coalesce(F.col("value").rlike(r"^\s*\{"), F.lit(False))
         leaves = level.filter(~nested)
         out = leaves if out is None else out.unionByName(leaves)
