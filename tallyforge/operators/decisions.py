@@ -105,6 +105,43 @@ def delivery_result(status: Column, ok: Column, action: Column) -> Column:
     return F.struct(result.alias("result"), result.isin("transport_failed", "retryable_failed").alias("retryable"))
 
 
+def http_failure(status: Column, body: Column) -> Column:
+    """struct<domain, type> of a failed request."""
+    text = F.lower(F.coalesce(body, F.lit("")))
+    transport = status.isNull() | status.isin(408, 429) | (status >= 500) | (status < 400)
+    malformed = (status == 422) | text.rlike("malformed|invalid json")
+    kind = (
+        F.when(status.isin(408, 504), "timeout").when(transport, "http_error").when(malformed, "malformed_response")
+        .when(text.rlike("reject|validation"), "rejected_item").otherwise("http_error")
+    )
+    domain = F.when(status.isNull() | status.isin(408, 429) | (status >= 500), "transport").when(malformed | (status >= 400), "crm_apply").otherwise("transport")
+    return F.struct(domain.alias("domain"), F.coalesce(kind, F.lit("http_error")).alias("type"))
+
+
+def applied_status(action: Column, ok: Column) -> Column:
+    """What an answered row says was done."""
+    a = F.lower(F.coalesce(action, F.lit("")))
+    return F.when(~ok, "rejected").when(a.isin("created", "updated", "ignored"), a).when(a.isin("matched", "needs_review"), "matched").otherwise("applied")
+
+
+def row_succeeded(success: Column, status: Column) -> Column:
+    words = F.lower(status.cast("string")).isin("ok", "success", "synced", "created", "updated", "matched", "applied", "true")
+    return F.coalesce(success, F.lit(False)) | F.coalesce(words | status.try_cast("int").between(200, 299), F.lit(False))
+
+
+def replay_mode(event_type: Column, mode: Column, has_ids: Column) -> Column:
+    """struct<mode, reason>: deltas fall back to a snapshot where the ids they need are unknown."""
+    blocked = (event_type != "product_found") & (mode == "delta_if_possible") & ~has_ids
+    return F.struct(F.when(blocked, "snapshot_upsert").otherwise(mode).alias("mode"), F.when(blocked, "delta_requires_runtime_ids").alias("reason"))
+
+
+def resolved_id(response: Column, runtime: Column, catalog: Column) -> Column:
+    """struct<id, source>: the first id known, from the response, the run's state, or the catalogue; else a resend."""
+    found = F.coalesce(response, runtime, catalog)
+    source = F.when(response.isNotNull(), "response").when(runtime.isNotNull(), "runtime").when(catalog.isNotNull(), "catalog").otherwise("resend")
+    return F.struct(found.alias("id"), source.alias("source"))
+
+
 def is_slow(stage: Column, ms: Column) -> Column:
     limit = F.lit(None).cast("int")
     for name, value in SLOW_MS.items():

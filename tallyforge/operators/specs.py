@@ -58,6 +58,19 @@ PHONE_LABELS = {
     "color": ("цвет корпуса", "цвет товара", "расцветка"),
 }
 DEPRECATED_LABELS = {"ram_gb": ("оперативка",)}
+#: (label, field, priority, category, store) of the other scoped rules.
+SCOPED_LABELS = (
+    ("оперативная память", "ram_gb", 5, "tablet", None), ("встроенная память", "storage_gb", 5, "tablet", None),
+    ("масса", "weight_kg", 20, "laptop", None), ("вес", "weight_kg", 20, "laptop", None), ("аккумулятор ноутбука", "battery_wh", 10, "laptop", None),
+    ("подсветка", "display_tech", 10, "tv", None), ("разъемы", "hdmi", 10, "tv", None), ("hdmi порты", "hdmi_count", 10, "tv", None),
+    ("объем камеры", "volume_l", 10, "appliance", None), ("полезный объем", "volume_l", 10, "appliance", None),
+    ("класс энергопотребления", "energy_class", 10, "appliance", None), ("тип sim-карты", "sim_count", 80, None, "mediapark"),
+    ("объем оперативной памяти", "ram_gb", 80, None, "mediapark"), ("объем жесткого диска", "storage_gb", 80, None, "mediapark"),
+    ("memory", "storage_gb", 70, None, "uzum"), ("ram", "ram_gb", 75, None, "uzum"), ("display", "display_size_inch", 60, None, "uzum"),
+    ("screen", "display_size_inch", 55, None, "uzum"),
+)
+#: Fields that a store's own labels make unreliable.
+STORE_DISABLED = {"uzum": ("hdmi",)}
 FIELDS = tuple(COMMON_LABELS)
 #: Fixed values of the confidence score.
 BASE, DIRECT, BY_RULE = 0.58, 0.26, 0.17
@@ -76,6 +89,7 @@ def alias_rules(spark) -> DataFrame:
     rows = [(label, f, 0, None, None, False) for f, labels in COMMON_LABELS.items() for label in labels]
     rows += [(label, f, 0, "phone", None, False) for f, labels in PHONE_LABELS.items() for label in labels]
     rows += [(label, f, -5, None, None, True) for f, labels in DEPRECATED_LABELS.items() for label in labels]
+    rows += [(*r, False) for r in SCOPED_LABELS]
     table = spark.createDataFrame(rows, "label string, field string, priority int, category string, store string, deprecated boolean")
     return table.withColumn("label", spec_label(F.col("label")))
 
@@ -170,6 +184,8 @@ def typed_specs(items: DataFrame, rules: DataFrame) -> DataFrame:
     fields = items.sparkSession.createDataFrame([(f,) for f in FIELDS], "field string")
     targets = ranked_rules(raw.select("item", "label", "category", "store").distinct(), rules, fields)
     joined = raw.join(targets, ["item", "label"])
+    for store, disabled in STORE_DISABLED.items():
+        joined = joined.filter(~F.coalesce((F.col("store") == store) & F.col("field").isin(*disabled), F.lit(False)))
     value = F.coalesce(*[F.when(F.col("field") == f, units.parse_field(F.col("raw"), f).cast("string")) for f in FIELDS])
     ok = F.coalesce(*[F.when(F.col("field") == f, units.is_plausible(f, F.col("value"))) for f in FIELDS])
     short = ~F.col("direct") & (F.length("label") < 4)
