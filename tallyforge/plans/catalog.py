@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyforge.functions import category, identity, price, text, units, urls
-from tallyforge.operators import decisions, filters, graphs, lookups, outbox, rollups, specs, windows
+from tallyforge.operators import decisions, filters, graphs, lookups, outbox, rollups, runs, specs, variants, windows
+from tallyforge.sources import logs
 from tallyforge.sources import pages as page_fields
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -257,13 +258,13 @@ def conflict_resolve(spark, sf_dir):
 @query("""
 select l_orderkey, l_linenumber, case when not (l_quantity::int > l_linenumber * 8) then l_quantity::int end as ram_gb, l_linenumber * 8 as storage_gb,
   case when l_linenumber between 3.0 and 8.5 then l_linenumber::double end as display_size_inch,
-  list_filter([case when l_quantity::int > l_linenumber * 8 then 'ram_storage_swap_suspected' end, case when not (l_linenumber between 3.0 and 8.5) then 'category_mismatch' end], lambda x: x is not null) as warnings from lineitem""")
+  array_to_string(list_filter([case when l_quantity::int > l_linenumber * 8 then 'ram_storage_swap_suspected' end, case when not (l_linenumber between 3.0 and 8.5) then 'category_mismatch' end], lambda x: x is not null), ',') as warnings from lineitem""")
 def cross_field_sanity(spark, sf_dir):
     rows = read(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", F.lit("phone").alias("category"), F.col("l_quantity").cast("int").alias("ram_gb"), (F.col("l_linenumber") * 8).alias("storage_gb"),
         F.col("l_linenumber").cast("double").alias("display_size_inch"),
     )
-    return specs.cross_checks(rows).drop("category")
+    return specs.cross_checks(rows).drop("category").withColumn("warnings", F.array_join("warnings", ","))
 
 
 @query()
@@ -290,7 +291,7 @@ with p as (select p_partkey, case when p_partkey % 7 = 0 then null else p_name e
   case when p_partkey % 11 = 0 then '' else 'src' end as source, case when p_partkey % 3 = 0 then null else p_partkey end as sid from part),
 m as (select p_partkey, list_filter([case when coalesce(trim(title), '') = '' then 'title' end, case when trim(url) = '' then 'url' end, case when source = '' then 'source' end,
   case when sid is null and trim(url) = '' then 'identity' end], lambda x: x is not null) as missing, p_partkey % 2 = 0 as priced from p)
-select p_partkey, missing, case when len(missing) > 0 then 'drop' when not priced then 'partial' else 'ok' end as admission from m
+select p_partkey, array_to_string(missing, ',') as missing, case when len(missing) > 0 then 'drop' when not priced then 'partial' else 'ok' end as admission from m
 left join (select 1) on false""")
 def required_fields_missing(spark, sf_dir):
     k = F.col("p_partkey")
@@ -301,7 +302,7 @@ def required_fields_missing(spark, sf_dir):
     one = F.array(F.lit("x"))
     missing = filters.missing_required(F.col("title"), F.col("url"), F.col("source"), F.col("sid"))
     less = filters.missing_recommended(F.col("price"), F.lit("b"), one, one, F.lit("c"))
-    return p.select("p_partkey", missing.alias("missing"), filters.admission(missing, less).alias("admission"))
+    return p.select("p_partkey", F.array_join(missing, ",").alias("missing"), filters.admission(missing, less).alias("admission"))
 
 
 # --- Outbox and changes ---------------------------------------------------------------------------------------------
@@ -458,12 +459,12 @@ s as (select *, case when products_parsed > 0 and cost > 0 then products_parsed
   2.0 * proxy_requests / greatest(cost, 1e-9) as px, http_requests + proxy_requests + browser_pages as rq from u),
 g as (select *, list_filter([case when ppc < 0.5 then 'low_products_per_cost_unit' end, case when br > 0.3 then 'browser_overuse' end, case when rt > 0.2 then 'retry_overuse' end,
   case when px > 0.4 then 'proxy_overuse' end, case when rq > 0 and products_parsed > 0 and products_parsed / rq < 0.05 and cost > 10 then 'expensive_low_yield_store' end], lambda x: x is not null) as codes from s)
-select store, cast(cost as double) as cost_units, round(ppc, 9) as products_per_unit, codes as signal_codes,
+select store, cast(cost as double) as cost_units, round(ppc, 9) as products_per_unit, array_to_string(codes, ',') as signal_codes,
   case when rt > 0.2 * 1.5 then 'critical' when ppc < 0.5 or rt > 0.2 or br > 0.3 * 1.3 or px >= 0.4 * 1.2 or list_contains(codes, 'expensive_low_yield_store') then 'expensive'
     when len(codes) > 0 then 'acceptable' when cost > 0 and ppc >= 1 then 'efficient' else 'acceptable' end as status from g""")
 def cost_rollup(spark, sf_dir):
     out = rollups.cost_snapshot(store_counters(spark, sf_dir), ["store"]).drop("applied_per_unit")
-    return out.withColumn("products_per_unit", F.round("products_per_unit", 9))
+    return out.withColumns({"products_per_unit": F.round("products_per_unit", 9), "signal_codes": F.array_join("signal_codes", ",")})
 
 
 SLO_COUNTERS = {"product_items_yielded_total": "view", "product_parse_failed_total": "error", "delivery_items_total": "click", "crm_applied_total": "purchase", "listing_pages_seen_total": "view", "block_pages_total": "signup"}
@@ -680,3 +681,116 @@ def slow_stage(spark, sf_dir):
 def microbatch_dedupe(spark, sf_dir):
     e = read(spark, sf_dir, "events").withColumn("k", F.get_json_object("props", "$.k"))
     return e.dropDuplicates(["user_id", "event_type", "k"]).select("user_id", "event_type", "k")
+
+
+# --- Runs, logs and merges ------------------------------------------------------------------------------------------
+
+
+@query("""
+with i as (select d.source, coalesce(l.toxic = 1, false) as failed, n_chars > 1000 as specs, lang = 'en' as images from documents d left join labels l using (doc_id)),
+t as (select source, count(*) as items_scraped, count(*) filter (where not failed) as items_persisted, count(*) filter (where failed) as items_failed,
+  count(*) filter (where not failed and specs) as with_specs, count(*) filter (where not failed and images) as with_images from i group by 1)
+select *, round(case when items_persisted > 0 then with_specs / items_persisted else 0 end, 9) as spec_coverage, round(case when items_persisted > 0 then with_images / items_persisted else 0 end, 9) as image_coverage,
+  case when items_failed > 0 then 'partial_failure' else 'completed' end as status from t""")
+def run_totals(spark, sf_dir):
+    d = read(spark, sf_dir, "documents").join(read(spark, sf_dir, "labels").select("doc_id", "toxic"), "doc_id", "left")
+    out = runs.run_totals(d, ["source"], F.col("toxic") == 1, F.col("n_chars") > 1000, F.col("lang") == "en")
+    return out.withColumns({c: F.round(c, 9) for c in ("spec_coverage", "image_coverage")})
+
+
+@query("select user_id % 5 as run, event_type as counter, sum(cast(floor(value) as bigint)) as n from events group by 1, 2")
+def merged_counters(spark, sf_dir):
+    e = read(spark, sf_dir, "events").select((F.col("user_id") % 5).alias("run"), F.col("event_type").alias("counter"), F.col("value").cast("long").alias("n"))
+    return runs.merged_counters(e, "run", "counter", "n")
+
+
+@query()
+def global_stress(spark, sf_dir):
+    return runs.stressed(rollups.alerts(slo_levels(spark, sf_dir)).withColumn("run", F.lit("r")), "run", "store")
+
+
+@query()
+def worst_alerts(spark, sf_dir):
+    return runs.worst_alerts(rollups.alerts(slo_levels(spark, sf_dir)), ["store"], 2, "metric").select("store", "metric", "severity", "rank")
+
+
+@query("""
+with s as (select event_type as stage, 'u' || user_id as name from events where value > 300), g as (select stage, list_sort(list_distinct(list(name))) as names from s group by 1),
+e(pos, stage) as (values (0, 'view'), (1, 'click'), (2, 'nothing'))
+select pos, e.stage, array_to_string(coalesce(names, []), ',') as names from e left join g using (stage)""")
+def rollout_summary(spark, sf_dir):
+    s = read(spark, sf_dir, "events").filter("value > 300").select(F.col("event_type").alias("stage"), F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("name"))
+    return runs.by_stage(s, ["view", "click", "nothing"]).withColumn("names", F.array_join("names", ","))
+
+
+@query("""
+select user_id, count(distinct event_id) as products, 0 as listing_pages, count(*) filter (where event_type = 'click') as warnings, count(*) filter (where event_type = 'error') as errors from events group by 1""")
+def log_progress(spark, sf_dir):
+    e = read(spark, sf_dir, "events")
+    tag = F.when(F.col("event_type") == "error", "ERROR:").when(F.col("event_type") == "click", "WARNING:").otherwise("INFO:")
+    line = F.concat(F.lit("2024-01-01 10:00:00 app "), tag, F.lit(" scraper_db_saved raw_product_id="), F.col("event_id").cast("string"))
+    return logs.progress(e.select("user_id", line.alias("value")), ["user_id"])
+
+
+@query("""
+select event_id, '10:00:00' as time, case event_type when 'error' then 'ERROR' when 'click' then 'WARN' else 'INFO' end as level,
+  'SAVED store=' || event_type || ' page=' || user_id || ' url=http://a/' || event_id as message, false as noise from events""")
+def log_lines(spark, sf_dir):
+    e = read(spark, sf_dir, "events")
+    tag = F.when(F.col("event_type") == "error", "ERROR:").when(F.col("event_type") == "click", "WARNING:").otherwise("INFO:")
+    body = F.to_json(F.struct(F.lit("SAVED").alias("event"), F.col("event_type").alias("store"), F.struct(F.col("user_id").alias("page")).alias("metrics"), F.concat(F.lit("http://a/"), F.col("event_id").cast("string")).alias("source_url")))
+    line = F.concat(F.lit("2024-01-01 10:00:00 app "), tag, F.lit(" sync_event "), body)
+    return logs.parsed(e.select("event_id", line.alias("value"))).drop("value")
+
+
+@query("""
+with s as (select l_orderkey as item, case when l_linenumber % 2 = 0 then 1 else 2 end as rank, l_linenumber as pos, l_returnflag as label, l_linestatus || l_linenumber as value from lineitem),
+k as (select *, row_number() over (partition by item, label order by rank, pos, value) as n from s) select item, rank, pos, label, value from k where n = 1""")
+def first_source_wins(spark, sf_dir):
+    s = read(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("item"), F.when(F.col("l_linenumber") % 2 == 0, 1).otherwise(2).alias("rank"), F.col("l_linenumber").alias("pos"),
+        F.col("l_returnflag").alias("label"), F.concat("l_linestatus", F.col("l_linenumber").cast("string")).alias("value"),
+    )
+    return variants.first_source_wins(s, ["item"], "rank", "pos", "label", "value")
+
+
+@query("""
+select p_partkey, 'Brand=' || p_brand || ';Size=' || p_size || ';Type=' || p_type as pairs from part""")
+def text_pairs(spark, sf_dir):
+    p = read(spark, sf_dir, "part")
+    t = F.concat(F.lit("Brand:\n"), F.col("p_brand"), F.lit("\n  Size : "), F.col("p_size").cast("string"), F.lit("\r\n\nType ..... "), F.col("p_type"), F.lit("\nlone"))
+    shown = F.transform(variants.text_pairs(t), lambda x: F.concat(x["label"], F.lit("="), x["value"]))
+    return p.select("p_partkey", F.array_join(shown, ";").alias("pairs"))
+
+
+@query("""
+select n_nationkey as item, case when n_nationkey % 4 = 0 then 0 when n_nationkey % 4 = 1 then 1 when n_nationkey % 4 = 2 then 2 else 4 end as tier,
+  case when n_nationkey % 4 = 0 then 'http://x/' || n_nationkey when n_nationkey % 4 = 1 then 'http://tv/lg' when n_nationkey % 4 = 2 then 'http://tv' else 'http://home' end as url from nation""")
+def crawl_seeds(spark, sf_dir):
+    k = F.col("n_nationkey")
+    none = F.array().cast("array<string>")
+    table = spark.createDataFrame([("tv", "lg", "http://tv/lg"), ("tv", None, "http://tv"), (None, "hp", "http://hp")], "category string, brand string, url string")
+    t = read(spark, sf_dir, "nation").select(
+        k.alias("item"), F.when(k % 4 == 0, F.array(F.concat(F.lit("http://x/"), k.cast("string")))).otherwise(none).alias("explicit"),
+        F.when(k % 4 != 3, F.array(F.lit("tv"))).otherwise(none).alias("categories"), F.when(k % 4 == 1, F.array(F.lit("lg"))).otherwise(none).alias("brands"),
+        F.array(F.lit("http://home")).alias("defaults"),
+    )
+    return runs.seeds(t, table)
+
+
+@query("""
+select o_orderkey, case o_orderstatus when 'F' then 'transport' when 'O' then 'crm_apply' else 'crm_apply' end as domain,
+  case o_orderstatus when 'F' then 'timeout' when 'O' then 'malformed_response' else 'rejected_item' end as type from orders""")
+def failure_class(spark, sf_dir):
+    s = F.col("o_orderstatus")
+    f = decisions.http_failure(F.when(s == "F", 504).when(s == "O", 422).otherwise(400), F.when(s == "P", "Validation failed"))
+    return read(spark, sf_dir, "orders").select("o_orderkey", f.alias("f")).select("o_orderkey", "f.*")
+
+
+@query("""
+select o_orderkey, case when o_orderkey % 3 = 0 then 'r' || o_orderkey when o_orderkey % 5 = 0 then 'm' || o_orderkey when o_orderkey % 7 = 0 then 'c' || o_orderkey end as id,
+  case when o_orderkey % 3 = 0 then 'response' when o_orderkey % 5 = 0 then 'runtime' when o_orderkey % 7 = 0 then 'catalog' else 'resend' end as source from orders""")
+def resolved_ids(spark, sf_dir):
+    k = F.col("o_orderkey")
+    named = lambda n, p: F.when(k % n == 0, F.concat(F.lit(p), k.cast("string")))
+    return read(spark, sf_dir, "orders").select("o_orderkey", decisions.resolved_id(named(3, "r"), named(5, "m"), named(7, "c")).alias("x")).select("o_orderkey", "x.*")
