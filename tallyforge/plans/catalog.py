@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.functions import category, identity, price, text, units, urls
-from tallyforge.operators import decisions, filters, graphs, lookups, outbox, rollups, runs, specs, variants, windows
+from tallyforge.functions import category, identity, price, records, text, units, urls
+from tallyforge.operators import decisions, delivery, filters, graphs, lookups, outbox, policy, rollups, runs, specs, variants, windows
 from tallyforge.sources import logs
 from tallyforge.sources import pages as page_fields
 
@@ -794,3 +794,102 @@ def resolved_ids(spark, sf_dir):
     k = F.col("o_orderkey")
     named = lambda n, p: F.when(k % n == 0, F.concat(F.lit(p), k.cast("string")))
     return read(spark, sf_dir, "orders").select("o_orderkey", decisions.resolved_id(named(3, "r"), named(5, "m"), named(7, "c")).alias("x")).select("o_orderkey", "x.*")
+
+
+# --- Policies, records, delivery ------------------------------------------------------------------------------------
+
+
+@query("""
+with s as (select user_id as store, sum(value) as mem, count(*) filter (where event_type = 'error') * 8 as q, count(*) filter (where event_type = 'signup') % 5 as b from events group by 1)
+select store, case when mem >= 15000 then 'memory_critical' when q >= least(200, 150) then 'retryable_queue_critical' when q >= 100 then 'retryable_queue_elevated' when b >= 4 then 'batch_inflight_critical'
+  when b >= 3 then 'batch_inflight_elevated' when mem >= 11250 then 'memory_warning' else 'nominal' end as reason from s""")
+def backpressure(spark, sf_dir):
+    s = store_counters(spark, sf_dir).join(read(spark, sf_dir, "events").groupBy(F.col("user_id").alias("store")).agg(F.sum("value").alias("mem")), "store")
+    d = policy.backpressure(F.col("mem") * 512 / 15000, F.col("retry_attempts") * 8, F.col("browser_pages") % 5, F.lit(150))
+    return s.select("store", d["reason"].alias("reason"))
+
+
+@query("""
+select c_custkey, case when c_nationkey % 5 = 0 then 'disabled' when c_acctbal < 0 then 'canary' when c_nationkey % 2 = 0 then 'partial' else 'full' end as stage,
+  case when c_nationkey % 5 = 0 then false when c_acctbal >= 0 and c_nationkey % 2 = 1 then true else ('0x' || substr(sha256('s|' || c_custkey || '|f'), 1, 8))::bigint % 100 < 30 end as enabled from customer""")
+def feature_rollout(spark, sf_dir):
+    n = F.col("c_nationkey")
+    d = policy.rollout(F.lit("f"), F.lit("S "), F.col("c_custkey").cast("string"), F.when(n % 5 == 0, "disabled").otherwise("full"), F.when(n % 2 == 0, "partial").otherwise("full"), F.col("c_acctbal") < 0, F.lit(30))
+    return read(spark, sf_dir, "customer").select("c_custkey", d["stage"].alias("stage"), d["enabled"].alias("enabled"))
+
+
+@query("""
+select o_orderpriority, count(*) as total, count(*) filter (where o_orderstatus = 'F') as succeeded, count(*) filter (where o_orderstatus <> 'F') as failed,
+  count(*) filter (where o_orderstatus <> 'F' and o_custkey % 2 = 0) as retryable_failed, count(*) filter (where o_orderstatus = 'P') as rejected, 0 as ignored from orders group by 1""")
+def batch_summary(spark, sf_dir):
+    s = F.col("o_orderstatus")
+    rows = read(spark, sf_dir, "orders").select("o_orderpriority", (s == "F").alias("success"), (F.col("o_custkey") % 2 == 0).alias("retryable"), F.when(s == "P", "rejected").otherwise("x").alias("status"))
+    return policy.batch_summary(rows, ["o_orderpriority"])
+
+
+@query("""
+with a as (select user_id, avg(value) as avg_request_ms, avg(case when event_type = 'error' then value end) as avg_normalize_ms from events group by 1)
+select 'avg_request_ms' as metric, round(avg(avg_request_ms), 6) as value from a union all select 'avg_normalize_ms', round(avg(avg_normalize_ms), 6) from a""")
+def efficiency_baseline(spark, sf_dir):
+    e = read(spark, sf_dir, "events")
+    a = e.groupBy("user_id").agg(F.avg("value").alias("avg_request_ms"), F.avg(F.when(F.col("event_type") == "error", F.col("value"))).alias("avg_normalize_ms"))
+    return policy.baseline(a, ["avg_request_ms", "avg_normalize_ms", ]).withColumn("value", F.round("value", 6))
+
+
+@query("""
+with g(gate, flag, severity) as (values ('unit', 'ok_a', 'critical'), ('docs', 'ok_b', 'high'), ('perf', 'ok_c', 'critical'))
+select gate, coalesce(flag = 'ok_a', false) as passed, case when flag = 'ok_a' then 'info' else severity end as severity from g""")
+def release_gates(spark, sf_dir):
+    g = spark.createDataFrame([("unit", "ok_a", "critical"), ("docs", "ok_b", "high"), ("perf", "ok_c", "critical")], "gate string, flag string, severity string")
+    return policy.gates(g, spark.createDataFrame([("ok_a", True), ("ok_b", False)], "flag string, ok boolean"))
+
+
+@query()
+def bottlenecks(spark, sf_dir):
+    e = read(spark, sf_dir, "events").withColumn("ms", F.col("value") * 40)
+    a = e.groupBy("user_id").agg(F.avg("ms").alias("avg_request_ms"), F.avg(F.when(F.col("event_type") == "click", F.col("ms"))).alias("avg_normalize_ms"), F.count("*").alias("products_total"), F.lit(1.5).alias("products_per_minute"))
+    return policy.bottlenecks(a, ["user_id"])
+
+
+@query("select user_id, greatest(sum(case when event_type in ('view', 'signup') then 1 else -1 end), 0) as in_flight from events group by 1")
+def in_flight(spark, sf_dir):
+    return policy.in_flight(read(spark, sf_dir, "events"), ["user_id"], F.col("event_type").isin("view", "signup"))
+
+
+@query("select event_type, 'k' as field, count(*) as n from events where json_extract(props, '$.k') is not null group by 1")
+def field_inventory(spark, sf_dir):
+    return records.key_inventory(read(spark, sf_dir, "events"), "props", ["event_type"])
+
+
+@query("""
+select event_id, '{"a":{"access_token":"[REDACTED]","k":' || json_extract(props, '$.k') || '},"password":"[REDACTED]"}' as masked, coalesce(try_cast(json_extract_string(props, '$.k') as int), 1) as version from events""")
+def redact_payload(spark, sf_dir):
+    k = F.get_json_object("props", "$.k")
+    doc = F.concat(F.lit('{"a":{"access_token":"x\\"y","k":'), k, F.lit('},"password":12}'))
+    return read(spark, sf_dir, "events").select("event_id", records.redacted_json(doc).alias("masked"), records.schema_version(F.col("props"), ("$.none", "$.k")).alias("version"))
+
+
+@query()
+def delivery_events(spark, sf_dir):
+    p = read(spark, sf_dir, "part")
+    items = p.select(
+        F.lit("S").alias("store"), F.col("p_partkey").cast("string").alias("source_id"), F.concat(F.lit("https://m.a.example/p/"), F.col("p_partkey").cast("string"), F.lit("/?utm_x=1")).alias("url"),
+        F.col("p_name").alias("title"), F.col("p_brand").alias("brand"), F.concat(F.col("p_size").cast("string"), F.lit("000 сум")).alias("price_str"), F.lit("да").alias("in_stock"), F.lit("").alias("category_hint"),
+    )
+    return delivery.events(delivery.normalized(items), "r1")
+
+
+@query("""
+with e as (select *, json_extract_string(props, '$.k') as h from events), l as (select *, last_value(case when event_type <> 'error' then h end ignore nulls) over (partition by user_id order by ts, event_id rows between unbounded preceding and 1 preceding) as p from e),
+f as (select * from l where not coalesce(p = h, false) and not exists (select 1 from e x where x.event_type = 'signup' and x.user_id = l.user_id and x.h = l.h)),
+r as (select *, row_number() over (partition by user_id, h order by ts, event_id) as n from f) select event_id from r where n = 1""")
+def events_to_send(spark, sf_dir):
+    e = read(spark, sf_dir, "events").withColumn("payload_hash", F.get_json_object("props", "$.k"))
+    return delivery.to_send(e, e.filter("event_type = 'signup'"), ["user_id"], ["ts", "event_id"], F.col("event_type") != "error").select("event_id")
+
+
+@query("""
+with r as (select *, row_number() over (partition by user_id order by ts, event_id) as n from events where event_type = 'error') select event_id, n as turn from r where n <= 2""")
+def resend_once(spark, sf_dir):
+    e = read(spark, sf_dir, "events").withColumn("resolved", F.col("event_type") != "error")
+    return delivery.resends(e, ["user_id"], ["ts", "event_id"], 2).select("event_id", "turn")
