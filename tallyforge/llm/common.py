@@ -33,14 +33,42 @@ def scratch_root(spark: SparkSession) -> str:
     return root
 
 
+def bounded_batches(spark: SparkSession, rows: int = 1000, size: str = "4m") -> None:
+    """Keep the Arrow batches that Python workers get small, so long texts don't add up in their memory."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+
+
+#: Spark setting: shuffle files go once the execution that made them has ended.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialize(df: DataFrame, tag: str, codec: str = "snappy") -> DataFrame:
     """Write df as Parquet in the shared folder and read it again.
 
-    Cuts the lineage at a place that survives the loss of executors, and keeps columns prunable.
+    Cuts the lineage at a place that survives the loss of executors, keeps columns prunable, and frees the shuffle
+    files below it, since nothing can need them any more.
     """
-    path = f"{scratch_root(df.sparkSession)}/scratch/{tag}-{uuid.uuid4().hex}"
-    df.write.option("compression", codec).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = f"{scratch_root(spark)}/scratch/{tag}-{uuid.uuid4().hex}"
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", codec).parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete scratch tables that materialize made and nothing reads any more."""
+    for df in tables:
+        jvm, path = df.sparkSession._jvm, df.scratch_path
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def ascii_lower(text: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.llm.common import materialize
+from tallyforge.llm.common import discard, materialize
 
 
 def stars(links: DataFrame) -> DataFrame:
@@ -24,7 +24,8 @@ def stars(links: DataFrame) -> DataFrame:
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         # Every smaller neighbour, and the node itself, hangs on the smallest.
         small = large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(low.select("a", F.col("m").alias("b")))
-        links = materialize(small.filter("a <> b").distinct(), "stars")
+        before, links = links, materialize(small.filter("a <> b").distinct(), "stars")
+        discard(before)
         now = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if tuple(now) == state:
             return links.select(F.col("a").alias("node"), F.col("b").alias("root"))

@@ -22,6 +22,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyforge.llm.common import bounded_batches
+
 GROUP_PAGES, GROUP_CHARS = 64, 8 << 20
 #: A text node is part of the template if each of at least so many different pages has it as often.
 CONSTANT_PAGES = 8
@@ -220,31 +222,36 @@ def template(pages: list[Page]) -> list[dict]:
 
 
 def constant_texts(pages: list[Page], classes: list[dict]) -> set[str]:
+    """Text nodes that belong to the template: outside any article, and the same on enough different pages.
+
+    What stands in an article is a slot even where pages share it: near copies share most of their paragraphs.
+    """
     distinct = {tuple(t.role for t in p.tokens if t.text is not None) for p in pages}
     if len(distinct) < CONSTANT_PAGES:
         return set()
-    return {r for c in classes for r in c["roles"] if "#" in r}
+    inside = {t.role for p in pages for t in p.tokens if t.text is not None and t.region != "out"}
+    return {r for c in classes for r in c["roles"] if "#" in r} - inside
 
 
-def main_slot(pages: list[Page], classes: list[dict]) -> tuple[int, int] | None:
-    """The gap of the outermost class that holds most text of the slots, as the class's place numbers around it."""
-    from bisect import bisect_right
+def container(t: Token) -> str:
+    """Path of the element around the block that a text node stands in."""
+    return t.role.partition("#")[0].rpartition("/")[0]
 
-    if not classes or len(pages) < 2:
-        return None
-    outer = classes[0]
-    size, held = len(outer["roles"]), defaultdict(int)
-    for k, page in enumerate(pages):
-        for i, t in enumerate(page.tokens):
-            if t.text is not None and not t.dropped:
-                held[bisect_right(outer["places"][k], i) % (size + 1)] += len(t.text)
-    return max(held, key=lambda g: (held[g], -g)) if held else None
+
+def main_slots(pages: list[Page], constant: set[str]) -> str | None:
+    """The element whose slots hold most text over all pages of the group."""
+    held: dict[str, int] = defaultdict(int)
+    for page in pages:
+        for t in page.tokens:
+            if t.text is not None and not t.dropped and t.role not in constant:
+                held[container(t)] += len(t.text)
+    return max(held, key=lambda c: (held[c], c)) if held and len(pages) > 1 else None
 
 
 def blocks_of(page: Page, keep) -> str:
     parts: dict[int, list[str]] = {}
-    for i, t in enumerate(page.tokens):
-        if t.text is not None and keep(i, t):
+    for t in page.tokens:
+        if t.text is not None and keep(t):
             parts.setdefault(t.block, []).append(t.text)
     lines = (SPACE.sub(" ", "".join(x)).strip() for x in parts.values())
     return "\n".join(x for x in lines if x)
@@ -252,22 +259,20 @@ def blocks_of(page: Page, keep) -> str:
 
 def extract_group(htmls: list[str]) -> list[str]:
     """Main texts of pages of one host."""
-    from bisect import bisect_right
-
     pages = [parse(h) for h in htmls]
     classes = template(pages) if len(pages) > 1 else []
     constant = constant_texts(pages, classes)
     loose = [p for p in pages if not (p.has_article or p.has_main or p.has_content)]
-    slot = main_slot(pages, classes) if loose else None
+    slot = main_slots(loose, constant) if loose else None
     out = []
-    for k, page in enumerate(pages):
+    for page in pages:
         region = next((r for r in ("article", "main", "content") if getattr(page, f"has_{r}")), None)
 
-        def slots(i, t, region=region, k=k):
+        def slots(t, region=region):
             if t.dropped or t.role in constant:
                 return False
             if region is None:
-                return slot is None or bisect_right(classes[0]["places"][k], i) % (len(classes[0]["roles"]) + 1) == slot
+                return slot is None or t.role.startswith(slot)
             return t.region == region
 
         out.append(blocks_of(page, slots))
@@ -308,6 +313,7 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
     Nulls: null html gives the empty text, null urls are one host, null ids stay null.  Repeated rows are repeated.
     Texts do not depend on other columns.  No rows give no rows.
     """
+    bounded_batches(pages.sparkSession)
     rows = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
     counts = rows.groupBy("host").count()
     total = pages.count()

@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyforge.llm.common import bounded_batches
+
 WINDOW, REACH, DIM = 256, 4, 8
 WIDTHS = (2, 3, 4)
 BLOCK = 1024  # windows in hand at once
@@ -200,6 +202,7 @@ def identify_languages(docs: DataFrame, training: DataFrame, text_col: str = "te
     Null texts and texts without a letter are `und` with score 0.  Equal texts get equal results; repeated rows,
     ties and further columns don't matter, whatever they are called.  Without any labelled row all is `und`.
     """
+    bounded_batches(docs.sparkSession)
     return docs.withColumn(out_col, predict(fit(training), F.col(text_col)))
 
 

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.llm.common import lookup_join, materialize, merged_arrays
+from tallyforge.llm.common import bounded_batches, discard, lookup_join, materialize, merged_arrays
 
 LEAST_CHARS = 10
 #: Filter words (of 64 bits) in one chunk of a merged filter.
@@ -140,15 +140,18 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     input: no rows.  Other columns pass through untouched.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text")).filter("id is not null")
     breaks = F.length(text := F.coalesce(F.col(text_col), F.lit(""))) - F.length(F.replace(text, F.lit("\n"), F.lit("")))
     lines = docs.agg(F.sum(breaks + 1)).first()[0] or 0
     words = min(filter_mb << 17, max(CHUNK, 1 << math.ceil(math.log2(lines / 4 + 1))))
     parts = texts.mapInArrow(partition_filters(words), "chunk int, part int, at binary, once binary, twice binary")
-    merged = merged_arrays(materialize(parts, "line-filters"), merge_filters, "at binary, once binary, twice binary")
+    parts = materialize(parts, "line-filters")
+    merged = merged_arrays(parts, merge_filters, "at binary, once binary, twice binary")
     twice = np.zeros(words, np.uint64)
     for r in merged.select("chunk", "at", "twice").toLocalIterator():
         twice[np.frombuffer(r["at"], np.int32) + np.int64(r["chunk"]) * CHUNK] = np.frombuffer(r["twice"], np.uint64)
+    discard(parts)
     held = spark.sparkContext.broadcast(twice.tobytes())
     kind = docs.schema[id_col].dataType.simpleString()
     suspects = materialize(texts.mapInArrow(suspects_of(held, words), f"key binary, id {kind}"), "line-suspects")
@@ -160,7 +163,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
     confirmed = materialize(confirmed, "line-repeats")
     drops = lookup_join(suspects, confirmed, "key", "n").filter("id <> first")
-    drops = drops.groupBy("id").agg(F.collect_set("key").alias("_drop")).withColumnRenamed("id", "_drop_id")
+    drops = materialize(drops.groupBy("id").agg(F.collect_set("key").alias("_drop")).withColumnRenamed("id", "_drop_id"), "line-drops")
+    discard(suspects, confirmed)
     strip = F.pandas_udf(strip_lines, "kept binary, n_lines long, n_dropped long")
     out = docs.join(drops, F.col(id_col) == F.col("_drop_id"), "left")
     out = out.withColumn("_left", strip(F.col(text_col).cast("binary"), F.col("_drop")))

@@ -29,14 +29,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from tallyforge.llm.common import lookup_join, materialize, merged_arrays
+from tallyforge.llm.common import bounded_batches, discard, lookup_join, materialize, merged_arrays
 from tallyforge.llm.components import stars
 from tallyforge.llm.line_dedup import CHUNK, merge_filters, or_at, spots
-from tallyforge.llm.shingles import batches_of_sets, set_key
+from tallyforge.llm.shingles import batches_of_sets, mixed, set_key
 
 COUNTERS = 1 << 20
 RANGES = 16
-#: A group may compare this many times its size in pairs before another pivot is taken; and at most so many pivots.
+#: Groups may compare this many times their size in pairs before other pivots are taken; and at most so many pivots.
 PAIRS_EACH, PIVOTS = 64, 8
 
 
@@ -101,7 +101,7 @@ def key_filters(words: int):
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        found = [np.asarray(b.column("c")).astype(np.int64).view(np.uint64) for b in batches]
+        found = [row_keys(b) for b in batches]
         index, once = or_at(*spots(np.unique(np.concatenate([np.zeros(0, np.uint64), *found])), words))
         part = TaskContext.get().partitionId()
         for chunk in np.unique(index // CHUNK):
@@ -114,34 +114,43 @@ def key_filters(words: int):
     return build
 
 
+def row_keys(batch: pa.RecordBatch) -> np.ndarray:
+    """One number for class and hash of the id."""
+    c, h = (np.asarray(batch.column(x)).astype(np.int64).view(np.uint64) for x in ("c", "h"))
+    return mixed(c ^ mixed(h))
+
+
 def whole_sets(texts: DataFrame, wanted: DataFrame, filter_mb: int = 16) -> DataFrame:
-    """(c, hs) of the classes in wanted, and of few others, from one more pass over the texts.
+    """(c, hs) from one more pass over the texts: of the rows in wanted (c, h, h being the id's hash), and few others.
 
-    wanted comes as a Bloom filter of bounded size, so neither texts nor unneeded sets are shuffled.
+    wanted comes as a Bloom filter of bounded size, so neither texts nor unneeded sets are shuffled.  Where rows
+    share an id a class may come twice.
     """
     spark = texts.sparkSession
     n = wanted.count()
     words = min(filter_mb << 17, max(CHUNK, 1 << int(np.ceil(np.log2(n / 4 + 1)))))
-    parts = wanted.mapInArrow(key_filters(words), "chunk int, part int, at binary, once binary, twice binary")
+    parts = materialize(wanted.mapInArrow(key_filters(words), "chunk int, part int, at binary, once binary, twice binary"), "join-filter")
     bits = np.zeros(words, np.uint64)
-    for r in merged_arrays(materialize(parts, "join-filter"), merge_filters, "at binary, once binary, twice binary").toLocalIterator():
+    for r in merged_arrays(parts, merge_filters, "at binary, once binary, twice binary").toLocalIterator():
         bits[np.frombuffer(r["at"], np.int32) + np.int64(r["chunk"]) * CHUNK] = np.frombuffer(r["once"], np.uint64)
+    discard(parts)
     held = spark.sparkContext.broadcast(bits.tobytes())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, seen = np.frombuffer(held.value, np.uint64), set()
-        for _, sets in batches_of_sets(batches):
+        table = np.frombuffer(held.value, np.uint64)
+        for batch, sets in batches_of_sets(batches):
             keys = [set_key(s) for s in sets]
-            index, mask = spots(np.array([k or 0 for k in keys], np.int64).view(np.uint64), words)
+            c = pa.array([k or 0 for k in keys], pa.int64())
+            index, mask = spots(row_keys(pa.RecordBatch.from_arrays([c, batch.column("h")], names=["c", "h"])), words)
             hit = (table[index] & mask) == mask
-            pick = [i for i, k in enumerate(keys) if hit[i] and k is not None and not (k in seen or seen.add(k))]
+            pick = [i for i, k in enumerate(keys) if hit[i] and k is not None]
             own = [sets[i].view(np.int64) for i in pick]
             at = np.r_[0, np.cumsum([len(x) for x in own], dtype=np.int64)].astype(np.int32)
             flat = np.concatenate([np.zeros(0, np.int64), *own])
             hs = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(flat, pa.int64()))
             yield pa.RecordBatch.from_arrays([pa.array([keys[i] for i in pick], pa.int64()), hs], names=["c", "hs"])
 
-    return texts.select("text").mapInArrow(run, "c long, hs array<bigint>")
+    return texts.select(F.xxhash64("id").alias("h"), "text").mapInArrow(run, "c long, hs array<bigint>")
 
 
 def lengths_fit(a: Column, b: Column) -> Column:
@@ -161,11 +170,11 @@ def ranges_fit(a: Column, b: Column, n: Column, m: Column) -> Column:
 class Join:
     """State of one join: classes with ranges, the prefix groups, whole sets, and links found so far."""
 
-    def __init__(self, texts: DataFrame, sketch: bytes):
+    def __init__(self, texts: DataFrame, classes: DataFrame, sketch: bytes):
         held = texts.sparkSession.sparkContext.broadcast(sketch)
         found = texts.select("text").mapInArrow(prefix_pass(held), "c long, n long, prefix array<bigint>, ranges array<int>")
         found = found.groupBy("c").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("ranges").alias("ranges"))
-        found = materialize(found, "join-prefixes", "zstd")
+        found = materialize(found, "join-prefixes")
         self.ranges = found.select("c", "n", "ranges")
         rows = found.select("c", "n", F.posexplode("prefix").alias("pos", "gram"))
         group = W.partitionBy("gram")
@@ -174,7 +183,9 @@ class Join:
         })
         rows = rows.filter("size > 1").filter(9 * (F.col("n") - F.col("pos")) >= 4 * (F.col("n") + F.col("least")))
         self.rows = materialize(rows.drop("size", "least"), "join-groups")
-        self.sets = materialize(whole_sets(texts, self.rows.select("c").distinct()).dropDuplicates(["c"]), "join-sets", "zstd")
+        wanted = classes.select("c", F.xxhash64("low").alias("h")).join(self.rows.select("c").distinct(), "c", "left_semi")
+        self.sets = materialize(whole_sets(texts, wanted), "join-sets")
+        self.held = [found, self.rows, self.sets]
         self.links: list[DataFrame] = []
         self.tried: list[DataFrame] = []
 
@@ -189,12 +200,17 @@ class Join:
         n, m = F.col("n_a"), F.col("n_b")
         pairs = pairs.filter(lengths_fit(n, m) & ranges_fit(F.col("ranges_a"), F.col("ranges_b"), n, m)).select("a", "b", "n_a", "n_b")
         pairs = materialize(pairs, "join-pairs")
+        self.held.append(pairs)
         self.tried.append(pairs.select("a", "b"))
         full = pairs
         for end in ("a", "b"):
             full = full.join(self.sets.select(F.col("c").alias(end), F.col("hs").alias(f"hs_{end}")), end)
         full = full.withColumn("both", F.size(F.array_intersect("hs_a", "hs_b")).cast("long"))
-        self.links.append(materialize(full.filter(9 * F.col("both") >= 4 * (n + m)).select("a", "b", "both", "n_a", "n_b"), "join-links"))
+        full = full.filter(9 * F.col("both") >= 4 * (n + m)).select("a", "b", "both", "n_a", "n_b").distinct()
+        self.links.append(materialize(full, "join-links"))
+
+    def close(self) -> None:
+        discard(*self.held)
 
     def all_links(self) -> DataFrame:
         out = self.links[0]
@@ -216,14 +232,18 @@ class Join:
         rows = self.rows.select("gram", "c", "n", "pos")
         for turn in range(PIVOTS + 1):
             own = materialize(self.labelled(rows, stars(self.all_links().select("a", "b"))), "join-rows")
+            self.held.append(own)
             by = own.groupBy("gram", "root").agg(F.count("*").alias("k"))
             groups = by.groupBy("gram").agg(F.sum("k").alias("size"), F.sum(F.col("k") * F.col("k")).alias("square"), F.count("*").alias("roots"), F.max_by("root", "k").alias("major"))
             groups = materialize(groups.filter("roots > 1"), "join-open")
+            self.held.append(groups)
             rows = own.join(groups.select("gram"), "gram")
             heavy = groups.filter((F.col("size") * F.col("size") - F.col("square")) / 2 > PAIRS_EACH * F.col("size")).select("gram", "major")
             if turn == PIVOTS or heavy.isEmpty():
                 break
             hard = rows.join(heavy, "gram")
+            if self.passing(hard) <= PAIRS_EACH * hard.count():
+                break
             chosen = hard.filter("root <> major").groupBy("gram").agg(F.min(F.struct("pos", "n", "c", "root")).alias("p"))
             pairs = hard.join(chosen, "gram").filter("root <> p.root")
             pairs = pairs.filter(lengths_fit(F.col("n"), F.col("p.n")) & places_fit(F.col("n"), F.col("pos"), F.col("p.n"), F.col("p.pos")))
@@ -232,6 +252,17 @@ class Join:
             rows = rows.join(done, ["gram", "c"], "left_anti").select("gram", "c", "n", "pos")
         return self.paired(rows, cross=True)
 
+    def passing(self, rows: DataFrame) -> int:
+        """How many pairs from different components pass the filters, counted without making them.
+
+        Rows of a component with one length and place stand together, so this takes much less than comparing all.
+        """
+        by = rows.groupBy("gram", "root", "n", "pos").agg(F.count("*").alias("k"))
+        a, b = (by.select("gram", *(F.col(x).alias(f"{x}_{end}") for x in ("root", "n", "pos", "k"))) for end in "ab")
+        fits = (F.col("root_a") < F.col("root_b")) & lengths_fit(F.col("n_a"), F.col("n_b")) & places_fit(F.col("n_a"), F.col("pos_a"), F.col("n_b"), F.col("pos_b"))
+        joined = a.alias("l").join(b.alias("r"), (F.col("l.gram") == F.col("r.gram")) & fits)
+        return joined.agg(F.sum(F.col("k_a") * F.col("k_b"))).first()[0] or 0
+
     def paired(self, rows: DataFrame, cross: bool = False) -> DataFrame:
         left = rows.select("gram", *(F.col(x).alias(f"{x}_a") for x in rows.columns if x != "gram"))
         right = rows.select("gram", *(F.col(x).alias(f"{x}_b") for x in rows.columns if x != "gram"))
@@ -241,8 +272,14 @@ class Join:
         return left.alias("l").join(right.alias("r"), (F.col("l.gram") == F.col("r.gram")) & fits).select(F.col("c_a").alias("a"), F.col("c_b").alias("b"))
 
 
+def classes_of(rows: DataFrame) -> DataFrame:
+    """(c, low, n_copies): the smallest id and the rows of each class."""
+    return rows.filter("c is not null").groupBy("c").agg(F.min("id").alias("low"), F.count("*").alias("n_copies"))
+
+
 def prepared(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, bytes]:
     """The texts, (id, n, c) of each row, and the sketch of all shingles."""
+    bounded_batches(docs.sparkSession)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
     kind = docs.schema[id_col].dataType.simpleString()
     found = materialize(texts.mapInArrow(count_pass, f"id {kind}, n long, c long, chunk int, part int, counts binary"), "join-counts", "zstd")
@@ -265,12 +302,13 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows are copies of each other.  No rows give no rows; other columns are ignored.
     """
     texts, rows, sketch = prepared(docs, id_col, text_col)
-    join = Join(texts, sketch)
+    classes = materialize(classes_of(rows), "join-classes")
+    join = Join(texts, classes, sketch)
     join.pivots()
     join.verify(join.cross_pairs())
     roots = stars(join.all_links().select("a", "b"))
-    classes = rows.filter("c is not null").groupBy("c").agg(F.min("id").alias("low"), F.count("*").alias("n_copies"))
-    classes = join.labelled(materialize(classes, "join-classes"), roots)
+    join.close()
+    classes = join.labelled(classes, roots)
     low = classes.groupBy("root").agg(F.min("low").alias("component_id"))
     classes = lookup_join(classes, low.withColumn("weight", F.lit(1)), "root", "weight").withColumn("weight", F.col("n_copies"))
     classes = materialize(classes.select("c", "component_id", "n_copies", "weight"), "join-components")
@@ -285,7 +323,7 @@ def similar_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     Its output may grow with the square of a group of near copies; similar_groups doesn't.
     """
     texts, rows, sketch = prepared(docs, id_col, text_col)
-    join = Join(texts, sketch)
+    join = Join(texts, materialize(classes_of(rows), "join-classes"), sketch)
     join.verify(join.paired(join.rows.select("gram", "c", "n", "pos")))
     both = F.col("both")
     links = join.all_links().select("a", "b", (both / (F.col("n_a") + F.col("n_b") - both)).alias("similarity"))

@@ -19,6 +19,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyforge.llm.common import bounded_batches
+
 #: Fixed values of the container format.
 CAPTURE = b"OggS"
 HEAD = struct.Struct("<4sBBqIIIB")
@@ -207,6 +209,8 @@ def encode_texts(docs: DataFrame, text_col: str = "text", media_col: str = "medi
     A null text counts as empty; the empty payload is 64 zero bytes.  Equal texts give equal containers.
     """
 
+    bounded_batches(docs.sparkSession)
+
     @F.pandas_udf("binary")
     def encode(texts: pd.Series) -> pd.Series:
         return pd.Series([write_ogg(pad(t or b""), b"BYTES=%d" % len(t or b"")) for t in texts])

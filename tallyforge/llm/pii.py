@@ -21,6 +21,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyforge.llm.common import bounded_batches
+
 KINDS = ("email", "ip", "card", "phone", "secret", "number")
 BASE = KINDS[:4]
 
@@ -210,6 +212,7 @@ def find_pii(docs: DataFrame, text_col: str = "text", out_col: str = "pii", weig
     `base` lists the base spans, `spans` all of them.  Null texts count as empty; repeated rows give equal results;
     other columns pass through.  weights: from fit(); fitted on docs if not given.
     """
+    bounded_batches(docs.sparkSession)
     weights = fit(docs, text_col) if weights is None else weights
 
     @F.pandas_udf(FOUND)

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.llm.common import materialize
+from tallyforge.llm.common import bounded_batches, materialize
 
 #: Fixed values of the grammar.
 INSULTS = ("idiot", "idiots", "moron", "morons", "loser", "losers", "scum", "trash", "clown", "stupid", "worthless", "pathetic", "disgusting")
@@ -270,6 +270,7 @@ def fit(docs: DataFrame, labels: DataFrame, text_col: str = "text", label_col: s
     of sampled labels, which is broadcast, so texts are not shuffled.  Null keys, texts and labels are passed over;
     repeated labels of a key count once, as the greater.  With no toxic or no clean row the fixed words decide.
     """
+    bounded_batches(docs.sparkSession)
     labels = labels.select(F.col(key).alias("k"), F.col(label_col).cast("int").alias("toxic")).filter("toxic in (0, 1) and k is not null")
     n = labels.count()
     labels = labels.filter(F.pmod(F.xxhash64(F.lit(5), "k"), F.lit(1_000_000)) < int(1e6 * min(1.0, sample / max(n, 1))))
@@ -304,6 +305,7 @@ def score_toxicity(docs: DataFrame, model: Model, text_col: str = "text", out_co
     Null and empty texts get the score of a text without any match.  Equal texts get equal results; repeated rows
     and further columns don't matter, whatever they are called.
     """
+    bounded_batches(docs.sparkSession)
     machine = grammar()
 
     @F.pandas_udf("score double, hits double, attack double, soft double")

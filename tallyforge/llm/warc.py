@@ -17,7 +17,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.llm.common import lookup_join, materialize, text_batches
+from tallyforge.llm.common import bounded_batches, lookup_join, materialize, text_batches
 
 #: Fixed values of the seekable format.
 SKIPPABLE_MAGIC = 0x184D2A5E
@@ -161,6 +161,7 @@ def write_warc(pages: DataFrame, date: str = "2024-01-01T00:00:00Z", frame_bytes
     revisits of it.  Null html is the empty payload; a null page_id makes a response and is never referred to;
     repeated rows make repeated records; other columns are ignored; no rows make no bundles.
     """
+    bounded_batches(pages.sparkSession)
     html = F.coalesce(F.col("html").cast("string"), F.lit(""))
     pages = pages.select("page_id", F.col("url").cast("string").alias("url"), html.alias("html"), F.sha2(html, 256).alias("digest"))
     slim = pages.filter((F.octet_length("html") >= LEAST_BYTES) & F.col("page_id").isNotNull()).select("page_id", "digest")
