@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm.common import materialize, read, word_count
+from tallyforge.llm.common import bounded_batches, materialize, read, word_count
 from tallyforge.llm.decontaminate import drop_leaks
 from tallyforge.llm.language_id import UNKNOWN, fit, predict
 from tallyforge.llm.line_dedup import dedup_lines
@@ -23,6 +23,7 @@ ORACLE_SQL = None
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language: those without any letter, or without text, go."""
+    bounded_batches(spark)
     found = docs.withColumn("_language", predict(fit(docs), F.col("text")))
     return found.filter(F.col("_language.lang") != UNKNOWN).select(*COLUMNS)
 
