@@ -149,5 +149,5 @@ def is_slow(stage: Column, ms: Column) -> Column:
     return F.coalesce(ms > limit, F.lit(False))
 
 
-def replay_guard(n_types: Column, safe: Column, items: Column, batches: Column, most_items: int = 100, most_batches: int = 10) -> Column:
+def replay_guard(n_types: Column, safe: Column, items: Column, batches: Column, most_items: int = 20, most_batches: int = 3) -> Column:
     return F.when(n_types != 1, "mixed_event_types").when(~safe, "unsafe_event_type").when(items > most_items, "too_many_items").when(batches > most_batches, "too_many_batches").otherwise("allowed")

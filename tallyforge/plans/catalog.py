@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.functions import category, identity, price, records, text, units, urls
-from tallyforge.operators import decisions, delivery, filters, graphs, lookups, outbox, policy, rollups, runs, specs, variants, windows
+from tallyforge.functions import category, identity, listings, price, records, text, units, urls
+from tallyforge.operators import decisions, delivery, filters, graphs, lookups, outbox, policy, reports, rollups, runs, specs, variants, windows
 from tallyforge.sources import logs
 from tallyforge.sources import pages as page_fields
 
@@ -893,3 +893,45 @@ with r as (select *, row_number() over (partition by user_id order by ts, event_
 def resend_once(spark, sf_dir):
     e = read(spark, sf_dir, "events").withColumn("resolved", F.col("event_type") != "error")
     return delivery.resends(e, ["user_id"], ["ts", "event_id"], 2).select("event_id", "turn")
+
+
+# --- Reports --------------------------------------------------------------------------------------------------------
+
+
+@query("""
+select p_partkey as code, row_number() over (order by p_size % 7 <> 0, p_size % 4, p_size % 3, p_brand, p_partkey) as rank from part""")
+def ranked_work(spark, sf_dir):
+    s = F.col("p_size")
+    items = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("code"), (s % 7 == 0).alias("blocking"), (s % 4).alias("priority"), (s % 3).alias("phase_order"), F.col("p_brand").alias("workstream"))
+    return reports.ranked_work(items).select("code", "rank")
+
+
+@query("""
+with t as (select *, row_number() over (partition by user_id order by event_id desc) as k from events), a as (select user_id, 0 as kind, event_id, row_number() over (partition by user_id order by event_id) as n from t where k <= 80 and event_type = 'error'),
+b as (select user_id, 1 as kind, event_id from t where k <= 15 and value < 50), u as (select user_id, kind, event_id from a where n <= 4 union all select * from b)
+select * from (select *, row_number() over (partition by user_id order by kind, event_id) as turn from u) where turn <= 8""")
+def support_evidence(spark, sf_dir):
+    e = read(spark, sf_dir, "events")
+    return reports.evidence(e.withColumn("failed", F.col("event_type") == "error"), e.withColumn("failed", F.col("value") < 50), ["user_id"], "event_id")
+
+
+@query("""
+with t as (select user_id, 'crm_apply' as domain, event_type, row_number() over (partition by user_id order by event_id desc) as k from events)
+select user_id, domain, case when count(*) filter (where event_type = 'error') >= 3 then 'rejected item surge' when count(*) filter (where event_type = 'click' and k <= 20) > 0 then 'retryable items' else 'crm_apply degraded' end as cause
+from t where k <= 40 group by 1, 2""")
+def root_cause(spark, sf_dir):
+    code = F.when(F.col("event_type") == "error", "CRM_APPLY_REJECTED").when(F.col("event_type") == "click", "CRM_APPLY_RETRYABLE").otherwise("X")
+    return reports.root_cause(read(spark, sf_dir, "events").select("user_id", "event_id", code.alias("code"), F.lit("crm_apply").alias("domain")), ["user_id"], "event_id")
+
+
+@query("select user_id, case event_type when 'view' then 'seen' else 'failed' end as counter, count(*) as n from events where event_type in ('view', 'error') group by 1, 2")
+def message_counts(spark, sf_dir):
+    return reports.message_counts(read(spark, sf_dir, "events"), ["user_id"], "event_type", {"view": "seen", "error": "failed"})
+
+
+@query()
+def listing_fields(spark, sf_dir):
+    p = read(spark, sf_dir, "part")
+    title = F.concat(F.when(F.col("p_size") % 3 == 0, "Samsung ").when(F.col("p_size") % 3 == 1, "Чехол для iPhone ").otherwise("Духовой шкаф Haier "), F.col("p_name"))
+    none = F.lit(None).cast("string")
+    return p.select("p_partkey", listings.known_brand(title, none).alias("brand"), listings.classified(none, title, none).alias("category"), listings.model_name(title, listings.known_brand(title, none), none).alias("model"))
