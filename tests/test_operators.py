@@ -133,3 +133,19 @@ def test_streams(spark, tmp_path):
     assert [(r.k, r.n) for r in fired] == [("a", 5), ("a", 5)]
     state.into_versions(stream(), ["k"], f"file://{tmp_path}/out", "t", str(tmp_path / "ck")).awaitTermination()
     assert spark.read.parquet(f"file://{tmp_path}/out/t/v0").count() == 2
+
+
+def test_products(spark):
+    from tallyforge.sources import products
+
+    ld = '<script type="application/ld+json">{"@type": "Product", "name": "Samsung S24", "sku": "7", "offers": [{"price": "90 000", "availability": "OutOfStock"}], "additionalProperty": [{"name": "RAM", "value": "8"}]}</script>'
+    faq = '<script type="application/ld+json">{"@type": "FAQPage", "mainEntity": [{"acceptedAnswer": {"text": " yes "}}]}</script>'
+    state = '<script id="__NEXT_DATA__" type="application/json">{"a": [{"name": "Color", "value": "red"}, {"name": "Size", "choices": ["S", {"name": "M"}]}]}</script>'
+    rows = [(1, "http://h/1", f"{ld}{faq}{state}<h1>Other</h1><p>12 000 сум в месяц</p><p>1 250 000 сум</p><p>9 000 000 сум</p>"), (2, "http://h/2", "<h1>Acer X</h1> Нет в наличии"), (3, None, None)]
+    df = spark.createDataFrame(rows, "page_id int, url string, html string")
+    got = {r.page_id: r for r in products.full_products(df, products.Profile(least_price=100_000, largest_price=True)).collect()}
+    assert (got[1].source_id, got[1].title, got[1].price_str, got[1].in_stock, got[1].brand) == ("sku:7", "Samsung S24", "9000000", False, "Samsung")
+    assert [tuple(s) for s in got[1].specs] == [("RAM", "8")] and got[2].title == "Acer X" and got[2].in_stock is False and got[3].title is None
+    assert products.faq_answers(df).first().answer == "yes"
+    named = products.named_values(df.withColumn("doc", products.next_data(F.col("html"))), "doc", "page_id").orderBy("pos").collect()
+    assert [(r.label, r.value) for r in named] == [("Color", "red"), ("Size", "S, M")]
