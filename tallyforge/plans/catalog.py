@@ -129,7 +129,7 @@ def normalize_text(spark, sf_dir):
 @query(r"""
 with s as (select page_id, regexp_replace(regexp_replace(regexp_replace(html, '<script\b[^>]*>.*?</script\s*>', ' ', 'gis'), '<style\b[^>]*>.*?</style\s*>', ' ', 'gis'), '<[^>]+>', ' ', 'gs') as t from pages),
 d as (select page_id, replace(replace(replace(replace(replace(replace(replace(replace(t, '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&copy;', '©'), '&middot;', '·'), '&amp;', '&') as t from s)
-select page_id, length(substr(trim(regexp_replace(t, '[\s\x{00A0}]+', ' ', 'g')), 1, 12000)) as visible_chars from d""")
+select page_id, length(substr(trim(regexp_replace(t, '[\s\x{00A0}]+', ' ', 'g')), 1, 12000))::int as visible_chars from d""")
 def visible_text_len(spark, sf_dir):
     return read(spark, sf_dir, "pages").select("page_id", F.length(text.visible_text(F.col("html"))).alias("visible_chars"))
 
@@ -169,11 +169,12 @@ def price_parse(spark, sf_dir):
 
 
 @query("""
-select p_partkey, p_size as storage_gb, p_size * 1024 as storage_tb, null::bigint as storage_pair,
+select * replace (storage_gb::bigint as storage_gb, storage_tb::bigint as storage_tb, battery_mah::bigint as battery_mah, weight_g::bigint as weight_g, camera_mp::bigint as camera_mp, refresh_hz::bigint as refresh_hz,
+  power_w::bigint as power_w, warranty_months::bigint as warranty_months, ports::bigint as ports) from (select p_partkey, p_size as storage_gb, p_size * 1024 as storage_tb, null::bigint as storage_pair,
   case when p_size * 100 between 500 and 20000 then p_size * 100 end as battery_mah, case when p_size * 10 between 50 and 50000 then p_size * 10 end as weight_g,
   case when round(p_size / 10.0, 2) between 0.1 and 50 then round(p_size / 10.0, 2)::double end as weight_kg, case when p_size between 1 and 200 then p_size end as camera_mp,
   p_size as refresh_hz, case when p_size > 0 then p_size * 10 end as power_w, round(p_size / 1000.0, 3)::double as volume_l, p_size * 12 as warranty_months,
-  case when p_size > 0 then p_size end as ports, case when p_size between 1 and 100 then p_size::double end as display_inch from part""")
+  case when p_size > 0 then p_size end as ports, case when p_size between 1 and 100 then p_size::double end as display_inch from part)""")
 def unit_parse(spark, sf_dir):
     n = F.col("p_size").cast("string")
     t = lambda *parts: F.concat(*[F.lit(x) if isinstance(x, str) else x for x in parts])
@@ -367,7 +368,7 @@ def upsert_latest_wins(spark, sf_dir):
 
 @query("""
 select o_orderpriority, count(*) filter (where o_orderstatus = 'P') as "P", count(*) filter (where o_orderstatus = 'O') as "O", count(*) filter (where o_orderstatus = 'F') as "F",
-  0 as other, count(*) as total, count(*) > 0 and count(*) filter (where o_orderstatus = 'F') = count(*) as complete from orders group by 1""")
+  0::bigint as other, count(*) as total, count(*) > 0 and count(*) filter (where o_orderstatus = 'F') = count(*) as complete from orders group by 1""")
 def status_counts_pivot(spark, sf_dir):
     return rollups.status_counts(read(spark, sf_dir, "orders"), ["o_orderpriority"], "o_orderstatus", ["P", "O", "F"])
 
@@ -573,14 +574,14 @@ def retention_trim(spark, sf_dir):
     return windows.retained(read(spark, sf_dir, "events"), ["user_id"], "ts", "event_id", now, 864000, 5).select("event_id")
 
 
-@query("select event_id, row_number() over (partition by user_id, event_type order by ts, event_id) as attempt_number from events")
+@query("select event_id, row_number() over (partition by user_id, event_type order by ts, event_id)::int as attempt_number from events")
 def attempt_number(spark, sf_dir):
     return windows.numbered(read(spark, sf_dir, "events"), ["user_id", "event_type"], ["ts", "event_id"]).select("event_id", "attempt_number")
 
 
 @query("""
 with h as (select *, value < 50 as hit from events), i as (select *, sum(case when hit then 0 else 1 end) over (partition by user_id order by ts, event_id) as g from h)
-select event_id, sum(hit::int) over (partition by user_id, g order by ts, event_id) as streak from i""")
+select event_id, sum(hit::int) over (partition by user_id, g order by ts, event_id)::bigint as streak from i""")
 def duplicate_streak(spark, sf_dir):
     return windows.streak(read(spark, sf_dir, "events"), ["user_id"], ["ts", "event_id"], F.col("value") < 50).select("event_id", "streak")
 
@@ -698,7 +699,7 @@ def run_totals(spark, sf_dir):
     return out.withColumns({c: F.round(c, 9) for c in ("spec_coverage", "image_coverage")})
 
 
-@query("select user_id % 5 as run, event_type as counter, sum(cast(floor(value) as bigint)) as n from events group by 1, 2")
+@query("select user_id % 5 as run, event_type as counter, sum(cast(floor(value) as bigint))::bigint as n from events group by 1, 2")
 def merged_counters(spark, sf_dir):
     e = read(spark, sf_dir, "events").select((F.col("user_id") % 5).alias("run"), F.col("event_type").alias("counter"), F.col("value").cast("long").alias("n"))
     return runs.merged_counters(e, "run", "counter", "n")
@@ -724,7 +725,7 @@ def rollout_summary(spark, sf_dir):
 
 
 @query("""
-select user_id, count(distinct event_id) as products, 0 as listing_pages, count(*) filter (where event_type = 'click') as warnings, count(*) filter (where event_type = 'error') as errors from events group by 1""")
+select user_id, count(distinct event_id) as products, 0::bigint as listing_pages, count(*) filter (where event_type = 'click') as warnings, count(*) filter (where event_type = 'error') as errors from events group by 1""")
 def log_progress(spark, sf_dir):
     e = read(spark, sf_dir, "events")
     tag = F.when(F.col("event_type") == "error", "ERROR:").when(F.col("event_type") == "click", "WARNING:").otherwise("INFO:")
@@ -820,7 +821,7 @@ def feature_rollout(spark, sf_dir):
 
 @query("""
 select o_orderpriority, count(*) as total, count(*) filter (where o_orderstatus = 'F') as succeeded, count(*) filter (where o_orderstatus <> 'F') as failed,
-  count(*) filter (where o_orderstatus <> 'F' and o_custkey % 2 = 0) as retryable_failed, count(*) filter (where o_orderstatus = 'P') as rejected, 0 as ignored from orders group by 1""")
+  count(*) filter (where o_orderstatus <> 'F' and o_custkey % 2 = 0) as retryable_failed, count(*) filter (where o_orderstatus = 'P') as rejected, 0::bigint as ignored from orders group by 1""")
 def batch_summary(spark, sf_dir):
     s = F.col("o_orderstatus")
     rows = read(spark, sf_dir, "orders").select("o_orderpriority", (s == "F").alias("success"), (F.col("o_custkey") % 2 == 0).alias("retryable"), F.when(s == "P", "rejected").otherwise("x").alias("status"))
@@ -851,7 +852,7 @@ def bottlenecks(spark, sf_dir):
     return policy.bottlenecks(a, ["user_id"])
 
 
-@query("select user_id, greatest(sum(case when event_type in ('view', 'signup') then 1 else -1 end), 0) as in_flight from events group by 1")
+@query("select user_id, greatest(sum(case when event_type in ('view', 'signup') then 1 else -1 end), 0)::bigint as in_flight from events group by 1")
 def in_flight(spark, sf_dir):
     return policy.in_flight(read(spark, sf_dir, "events"), ["user_id"], F.col("event_type").isin("view", "signup"))
 
@@ -889,7 +890,7 @@ def events_to_send(spark, sf_dir):
 
 
 @query("""
-with r as (select *, row_number() over (partition by user_id order by ts, event_id) as n from events where event_type = 'error') select event_id, n as turn from r where n <= 2""")
+with r as (select *, row_number() over (partition by user_id order by ts, event_id) as n from events where event_type = 'error') select event_id, n::int as turn from r where n <= 2""")
 def resend_once(spark, sf_dir):
     e = read(spark, sf_dir, "events").withColumn("resolved", F.col("event_type") != "error")
     return delivery.resends(e, ["user_id"], ["ts", "event_id"], 2).select("event_id", "turn")
@@ -899,7 +900,7 @@ def resend_once(spark, sf_dir):
 
 
 @query("""
-select p_partkey as code, row_number() over (order by p_size % 7 <> 0, p_size % 4, p_size % 3, p_brand, p_partkey) as rank from part""")
+select p_partkey as code, row_number() over (order by p_size % 7 <> 0, p_size % 4, p_size % 3, p_brand, p_partkey)::int as rank from part""")
 def ranked_work(spark, sf_dir):
     s = F.col("p_size")
     items = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("code"), (s % 7 == 0).alias("blocking"), (s % 4).alias("priority"), (s % 3).alias("phase_order"), F.col("p_brand").alias("workstream"))
@@ -909,7 +910,7 @@ def ranked_work(spark, sf_dir):
 @query("""
 with t as (select *, row_number() over (partition by user_id order by event_id desc) as k from events), a as (select user_id, 0 as kind, event_id, row_number() over (partition by user_id order by event_id) as n from t where k <= 80 and event_type = 'error'),
 b as (select user_id, 1 as kind, event_id from t where k <= 15 and value < 50), u as (select user_id, kind, event_id from a where n <= 4 union all select * from b)
-select * from (select *, row_number() over (partition by user_id order by kind, event_id) as turn from u) where turn <= 8""")
+select user_id, kind, event_id, turn::int as turn from (select *, row_number() over (partition by user_id order by kind, event_id) as turn from u) where turn <= 8""")
 def support_evidence(spark, sf_dir):
     e = read(spark, sf_dir, "events")
     return reports.evidence(e.withColumn("failed", F.col("event_type") == "error"), e.withColumn("failed", F.col("value") < 50), ["user_id"], "event_id")
