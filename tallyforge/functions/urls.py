@@ -105,3 +105,10 @@ def is_private_host(url: Column) -> Column:
     """Loopback, link-local and private IPv4 ranges, localhost and local names."""
     host = F.lower(F.regexp_replace(piece(url, "authority"), r"^[^@]*@|:[0-9]*$", ""))
     return F.coalesce(host.rlike(r"^(?:localhost|.*\.local|.*\.internal|0\.0\.0\.0|127\..*|10\..*|192\.168\..*|169\.254\..*|172\.(?:1[6-9]|2[0-9]|3[01])\..*|\[?::1\]?)$"), F.lit(False))
+
+
+def product_url(url: Column, keep_query: bool = True, closing_slash: bool = False) -> Column:
+    """Forms in which sites name product pages: with or without query, with or without a slash at the end."""
+    full = crawl_url(url)
+    bare = full if keep_query else F.regexp_replace(full, r"[?#].*$", "")
+    return F.regexp_replace(bare, r"^([^?#]*[^/?#])(?=[?#]|$)", "$1/") if closing_slash else bare

@@ -68,3 +68,56 @@ def to_send(rows: DataFrame, sent: DataFrame, keys: list[str], order: list[str],
     fresh = fresh.join(sent.select(*keys, "payload_hash").distinct(), [*keys, "payload_hash"], "left_anti")
     w = W.partitionBy(*keys, "payload_hash").orderBy(*order)
     return fresh.withColumn("_turn", F.row_number().over(w)).filter("_turn = 1").drop("_turn")
+
+
+def stamped(event: Column, attempt: Column, publisher: str, exchange: str, routing_key: str, at: Column) -> Column:
+    """A delivery event (struct with a struct `publication`) with what its publication adds."""
+    add = (("outbox_status", F.lit("published")), ("attempt_number", attempt + 1), ("publisher_service", F.lit(publisher)), ("exchange_name", F.lit(exchange)), ("routing_key", F.lit(routing_key)), ("published_at", at))
+    for name, value in add:
+        event = event.withField(f"publication.{name}", value)
+    return event
+
+
+def batch_id(run_id: Column, number: Column) -> Column:
+    return F.concat(run_id, F.lit(":batch:"), number.cast("string"))
+
+
+def label_map(specs: Column) -> Column:
+    """Each raw label with its key; labels without one are left out."""
+    from tallyforge.functions.text import spec_label
+
+    pairs = F.transform(F.map_keys(specs), lambda k: F.struct(F.trim(k).alias("key"), spec_label(k).alias("value")))
+    return F.map_from_entries(F.filter(pairs, lambda p: (p["key"] != "") & (p["value"] != "")))
+
+
+def summary(price_value: Column, brand: Column, barcode: Column, typed: Column, raw: Column, warnings: Column, source_id: Column) -> Column:
+    """What of a record is there, without its contents."""
+    size = lambda c: F.greatest(F.coalesce(F.size(c), F.lit(0)), F.lit(0))
+    return F.struct(
+        price_value.isNotNull().alias("has_price"), present(brand).alias("has_brand"), present(barcode).alias("has_barcode"), size(typed).alias("typed_specs_count"),
+        size(raw).alias("raw_specs_count"), size(warnings).alias("normalization_warning_count"), present(source_id).alias("has_source_id"),
+    )
+
+
+def status_document(levels: DataFrame, keys: list[str], version: int = 3) -> DataFrame:
+    """(keys, document): JSON of a source's service levels, breached ones counted."""
+    from tallyforge.operators.rollups import service_status
+
+    lists = levels.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("metric", "observed", "limit_value", "breached"))).alias("levels"))
+    rows = lists.join(service_status(levels, keys), keys)
+    document = F.to_json(F.struct(F.lit(version).alias("schema"), "status", "n_breached", "levels"))
+    return rows.select(*keys, document.alias("document"))
+
+
+def next_attempts(results: DataFrame, most: int = 2) -> DataFrame:
+    """Results (attempt, retryable) that are to be sent again, with their next attempt; others are final."""
+    return results.filter(F.col("retryable") & (F.col("attempt") < most)).withColumn("attempt", F.col("attempt") + 1)
+
+
+def newest(rows: DataFrame, order: str, most: int = 50) -> DataFrame:
+    return rows.orderBy(F.col(order).desc()).limit(most)
+
+
+def requeued(ids: DataFrame, column: str) -> DataFrame:
+    """How many rows were sent back, and their ids in order."""
+    return ids.agg(F.count("*").alias("n"), F.array_sort(F.collect_list(column)).alias("ids"))

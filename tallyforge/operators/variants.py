@@ -70,3 +70,15 @@ def streamed_text(html: Column) -> Column:
     chunks = F.regexp_extract_all(html, F.lit(r'self\.__next_f\.push\(\[1,"([\s\S]*?)"\]\)'), F.lit(1))
     plain = F.transform(chunks, lambda c: F.replace(F.replace(F.replace(c, F.lit("\\n"), F.lit("\n")), F.lit('\\"'), F.lit('"')), F.lit("\\\\"), F.lit("\\")))
     return F.array_join(plain, "\n")
+
+
+def alternating_pairs(text: Column, heading: str, stop: tuple[str, ...] = ()) -> Column:
+    """array<struct<label, value>> of lines after a heading that hold a label and its value in turn."""
+    after = F.regexp_extract(text, rf"(?iuUs){heading}[^\n]*\n(.*)$", 1)
+    lines = F.filter(F.transform(F.split(after, r"\r?\n"), squeeze), lambda x: x != "")
+    if stop:
+        end = F.array_position(F.transform(lines, lambda x: F.lower(x).isin(*stop)), True)
+        lines = F.when(end > 0, F.slice(lines, 1, F.greatest((end - 1).cast("int"), F.lit(0)))).otherwise(lines)
+    n = F.floor(F.size(lines) / 2).cast("int")
+    places = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+    return F.transform(places, lambda i: F.struct(F.get(lines, i * 2).alias("label"), F.get(lines, i * 2 + 1).alias("value")))

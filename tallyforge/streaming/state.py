@@ -48,6 +48,51 @@ def spike_latch(events: DataFrame, keys: list[str], ts: str, seconds: int = 120,
     )
 
 
+def entity_state(events: DataFrame, key: str, ts: str, horizon: str = "1 day") -> DataFrame:
+    """(key, listing_id, product_id, payload_hash, action) after each batch in which a key's state changed.
+
+    events: key, ts, ok, action, listing_id, product_id, payload_hash.  Known ids are kept until others come; the hash
+    is that of the last success.  A key's state goes when the watermark has passed it.
+    """
+    kind = events.schema[key].dataType.simpleString()
+    names = ["listing_id", "product_id", "payload_hash", "action"]
+
+    def step(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        now = list(state.get) if state.exists else [None] * 4
+        before = list(now)
+        rows = pd.concat(list(batches)).sort_values(ts)
+        for r in rows.itertuples():
+            for i, name in enumerate(names[:2]):
+                value = getattr(r, name)
+                now[i] = value if r.ok and isinstance(value, str) and value else now[i]
+            now[2] = r.payload_hash if r.ok else now[2]
+            now[3] = r.action
+        state.update(tuple(now))
+        state.setTimeoutTimestamp(max(int(rows[ts].max().timestamp() * 1000), state.getCurrentWatermarkMs()) + 1)
+        if now != before:
+            yield pd.DataFrame([(*k, *now)], columns=[key, *names])
+
+    stream = events.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, horizon)
+    fields = "listing_id string, product_id string, payload_hash string, action string"
+    return stream.groupBy(key).applyInPandasWithState(step, f"{key} {kind}, {fields}", fields, "update", GroupStateTimeout.EventTimeTimeout)
+
+
+def publish_due(outbox: DataFrame, send, checkpoint: str, once: bool = True):
+    """Start a query that hands each batch of due outbox rows to send(batch), which returns its results to be stored.
+
+    outbox: a stream of rows; rows that aren't pending or retryable are passed over.
+    """
+
+    def run(batch: DataFrame, _: int) -> None:
+        send(batch.filter(F.col("status").isin("pending", "retryable")).dropDuplicates(["event_id"]))
+
+    writer = outbox.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="2 seconds")).start()
+
+
 def into_versions(events: DataFrame, keys: list[str], folder: str, name: str, checkpoint: str, once: bool = True):
     """Start a query that merges each micro-batch into a versioned table, the last event of a key winning."""
     from tallyforge.sources.tables import write_snapshot

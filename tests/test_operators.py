@@ -149,3 +149,45 @@ def test_products(spark):
     assert products.faq_answers(df).first().answer == "yes"
     named = products.named_values(df.withColumn("doc", products.next_data(F.col("html"))), "doc", "page_id").orderBy("pos").collect()
     assert [(r.label, r.value) for r in named] == [("Color", "red"), ("Size", "S, M")]
+
+
+def made_pages(part, parts):
+    yield f"http://h/{part}", 200, "text/html", f"<h1>{part} of {parts}</h1>"
+
+
+def test_folders_and_small_rules(spark, tmp_path):
+    from tallyforge.functions import urls
+    from tallyforge.operators import access, delivery, variants
+    from tallyforge.sources import folders
+
+    spark.dataSource.register(folders.StoredPages)
+    got = spark.read.format("stored_pages").option("module", "tests.test_operators").option("function", "made_pages").option("parts", 3).load()
+    assert sorted(r.url for r in got.collect()) == ["http://h/0", "http://h/1", "http://h/2"]
+    (tmp_path / "a.html").write_text("<p>x</p>\n<p>y</p>")
+    (tmp_path / "r.json").write_text('{"runs": [{"id": "1"}]}')
+    assert folders.read_pages(spark, str(tmp_path / "a.html")).first().html.endswith("y</p>")
+    assert folders.read_documents(spark, str(tmp_path / "r.json"), "runs array<struct<id:string>>").first().runs[0].id == "1"
+    get = lambda c: spark.range(1).select(c.alias("v")).first().v
+    lit, none = F.lit, F.lit(None).cast("string")
+    assert get(access.use_browser(lit("http"), lit(True), lit(True), lit("cloudflare_challenge"), lit(1), F.array(lit("captcha")))) is True
+    assert get(access.use_browser(lit("http_only"), lit(True), lit(True), lit("js_shell"), lit(9), F.array(lit("captcha")))) is False
+    assert get(access.use_proxy(lit("http_with_proxy"), lit(True), lit(False), lit(True), lit(1))) is True
+    assert get(access.turn_to_proxy(lit("http"), lit(True), lit(False), lit(True), lit("captcha"), lit(1))) is True
+    assert get(urls.product_url(lit("http://m.a.b/p?x=1&utm_y=2"), closing_slash=True)) == "http://a.b/p/?x=1" and get(urls.product_url(lit("http://a/p/?x=1"), keep_query=False)) == "http://a/p"
+    pairs = get(variants.alternating_pairs(lit("intro\nХарактеристики товара\nRAM\n8\n\nColor\nred\nОтзывы\nx"), "характеристики", ("отзывы",)))
+    assert [tuple(p) for p in pairs] == [("RAM", "8"), ("Color", "red")]
+    assert get(delivery.label_map(F.create_map(lit("Объём, ГБ"), lit("8"), lit(" "), lit("x")))) == {"Объём, ГБ": "объем"}
+    assert tuple(get(delivery.summary(lit(1), lit(""), none, F.array(lit(1)), F.array(lit(1), lit(2)), F.array().cast("array<int>"), lit("s")))) == (True, False, False, 1, 2, 0, True)
+    event = F.struct(lit("e").alias("event_id"), F.struct(lit("pending").alias("outbox_status")).alias("publication"))
+    done = get(delivery.stamped(event, lit(1), "w", "x", "r", lit("t")))
+    assert (done.event_id, done.publication.outbox_status, done.publication.attempt_number) == ("e", "published", 2)
+
+
+def test_entity_state_stream(spark, tmp_path):
+    fields = "k string, ts timestamp, ok boolean, action string, listing_id string, product_id string, payload_hash string"
+    rows = [("a", T0, True, "created", "L1", None, "h1"), ("a", T0 + dt.timedelta(seconds=5), False, "rejected", "L2", None, "h2"), ("b", T0, False, "rejected", None, None, "h3")]
+    spark.createDataFrame(rows, fields).coalesce(1).write.parquet(str(tmp_path / "in"))
+    out = state.entity_state(spark.readStream.schema(fields).parquet(str(tmp_path / "in")), "k", "ts")
+    q = out.writeStream.format("memory").queryName("entities").outputMode("update").option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert {r.k: (r.listing_id, r.payload_hash, r.action) for r in spark.table("entities").collect()} == {"a": ("L1", "h1", "rejected"), "b": (None, None, "rejected")}
