@@ -19,10 +19,9 @@ def stars(links: DataFrame) -> DataFrame:
     while True:
         both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.join(low, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
-        large = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+        # Greater neighbours hang on the smallest one; then every smaller neighbour, and the node itself, does.
+        large = both.join(low, "a").filter("b > a and b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         low = large.groupBy("a").agg(F.min("b").alias("m"))
-        # Every smaller neighbour, and the node itself, hangs on the smallest.
         small = large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(low.select("a", F.col("m").alias("b")))
         before, links = links, materialize(small.filter("a <> b").distinct(), "stars")
         discard(before)

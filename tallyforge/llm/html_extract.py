@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 from tallyforge.llm.common import bounded_batches
 
 GROUP_PAGES, GROUP_CHARS = 64, 8 << 20
+#: About so many pages are sorted in one task, however many there are.
+PARTITION_PAGES = 16_384
 #: A text node is part of the template if each of at least so many different pages has it as often.
 CONSTANT_PAGES = 8
 
@@ -323,7 +325,8 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
     rows = rows.join(F.broadcast(hot), "host", "left")
     spot = F.xxhash64("page_id", "url")
     rows = rows.withColumn("salt", F.coalesce(F.pmod(spot, "parts"), F.lit(0)))
-    rows = rows.withColumn("spot", spot).repartition("host", "salt").sortWithinPartitions("host", "salt", "spot", "page_id", "html")
+    parts = max(int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // PARTITION_PAGES + 1)
+    rows = rows.withColumn("spot", spot).repartition(parts, "host", "salt").sortWithinPartitions("host", "salt", "spot", "page_id", "html")
     rows = rows.select("host", "salt", F.col("page_id").cast("string").alias("page_id"), "url", "html")
     out = rows.mapInPandas(extract_stream, "page_id string, url string, text string, n_chars long")
     return out.withColumn("page_id", F.col("page_id").cast(pages.schema["page_id"].dataType))

@@ -187,6 +187,7 @@ class Join:
         self.sets = materialize(whole_sets(texts, wanted), "join-sets")
         self.held = [found, self.rows, self.sets]
         self.links: list[DataFrame] = []
+        self.roots: DataFrame | None = None
         self.tried: list[DataFrame] = []
 
     def verify(self, pairs: DataFrame) -> None:
@@ -209,6 +210,21 @@ class Join:
         full = full.filter(9 * F.col("both") >= 4 * (n + m)).select("a", "b", "both", "n_a", "n_b").distinct()
         self.links.append(materialize(full, "join-links"))
 
+    def connect(self) -> DataFrame:
+        """(node, root) of all components, those known joined by the newest links."""
+        new = self.links[-1].select("a", "b")
+        if self.roots is None:
+            self.roots = stars(new)
+        elif not new.isEmpty():
+            for end in ("a", "b"):
+                own = self.roots.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}"))
+                new = new.join(own, end, "left").withColumn(end, F.coalesce(f"root_{end}", end)).select("a", "b")
+            more = stars(new)
+            moved = more.select(F.col("node").alias("root"), F.col("root").alias("_root"))
+            roots = self.roots.join(moved, "root", "left").select("node", F.coalesce("_root", "root").alias("root"))
+            self.roots = materialize(roots.unionByName(more), "join-roots")
+        return self.roots
+
     def close(self) -> None:
         discard(*self.held)
 
@@ -231,7 +247,7 @@ class Join:
         """Pairs that share a prefix shingle and lie in different components, after as many pivots as needed."""
         rows = self.rows.select("gram", "c", "n", "pos")
         for turn in range(PIVOTS + 1):
-            own = materialize(self.labelled(rows, stars(self.all_links().select("a", "b"))), "join-rows")
+            own = materialize(self.labelled(rows, self.connect()), "join-rows")
             self.held.append(own)
             by = own.groupBy("gram", "root").agg(F.count("*").alias("k"))
             groups = by.groupBy("gram").agg(F.sum("k").alias("size"), F.sum(F.col("k") * F.col("k")).alias("square"), F.count("*").alias("roots"), F.max_by("root", "k").alias("major"))
@@ -306,7 +322,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     join = Join(texts, classes, sketch)
     join.pivots()
     join.verify(join.cross_pairs())
-    roots = stars(join.all_links().select("a", "b"))
+    roots = join.connect()
     join.close()
     classes = join.labelled(classes, roots)
     low = classes.groupBy("root").agg(F.min("low").alias("component_id"))
