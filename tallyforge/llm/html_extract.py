@@ -14,9 +14,10 @@ from __future__ import annotations
 
 import html as entities
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import zip_longest
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -240,14 +241,43 @@ def container(t: Token) -> str:
     return t.role.partition("#")[0].rpartition("/")[0]
 
 
-def main_slots(pages: list[Page], constant: set[str]) -> str | None:
-    """The element whose slots hold most text over all pages of the group."""
-    held: dict[str, int] = defaultdict(int)
+def ancestors(path: str) -> list[str]:
+    """The path and all paths above it, outermost first."""
+    parts = path.split("/")
+    return ["/".join(parts[:i]) for i in range(1, len(parts) + 1)]
+
+
+def main_slots(pages: list[Page], constant: set[str]) -> list[set[str]]:
+    """For each page, the paths whose slots are its article.
+
+    Pages vote with the element whose slots hold most text; a page takes the one with most votes among those that
+    hold much of its own text.  Slots elsewhere stay too, unless the branch they stand on, seen from that element,
+    has template text (such as the heading of a side bar): without that sign nothing tells them from the article.
+    """
+    held_by: list[dict[str, int]] = []
     for page in pages:
+        held: dict[str, int] = defaultdict(int)
         for t in page.tokens:
             if t.text is not None and not t.dropped and t.role not in constant:
                 held[container(t)] += len(t.text)
-    return max(held, key=lambda c: (held[c], c)) if held and len(pages) > 1 else None
+        held_by.append(held)
+    votes = Counter(max(h, key=lambda c: (h[c], c)) for h in held_by if h)
+    out = []
+    for page, held in zip(pages, held_by):
+        if not held:
+            out.append(set())
+            continue
+        least = max(held.values()) / 4
+        main = ancestors(max((c for c in held if held[c] >= least), key=lambda c: (votes[c], held[c], c)))
+        fixed = {a for t in page.tokens if t.text is not None and t.role in constant for a in ancestors(t.role.partition("#")[0])}
+        kept = set()
+        for path in {t.role.partition("#")[0] for t in page.tokens if t.text is not None}:
+            branch = next((a for a, m in zip_longest(ancestors(path), main) if a != m), None)
+            inside = len(ancestors(path)) >= len(main) and ancestors(path)[len(main) - 1] == main[-1]
+            if inside or branch is None or branch not in fixed:
+                kept.add(path)
+        out.append(kept)
+    return out
 
 
 def blocks_of(page: Page, keep) -> str:
@@ -265,16 +295,16 @@ def extract_group(htmls: list[str]) -> list[str]:
     classes = template(pages) if len(pages) > 1 else []
     constant = constant_texts(pages, classes)
     loose = [p for p in pages if not (p.has_article or p.has_main or p.has_content)]
-    slot = main_slots(loose, constant) if loose else None
+    slot = {id(p): own for p, own in zip(loose, main_slots(loose, constant))}
     out = []
     for page in pages:
         region = next((r for r in ("article", "main", "content") if getattr(page, f"has_{r}")), None)
 
-        def slots(t, region=region):
+        def slots(t, region=region, own=slot.get(id(page))):
             if t.dropped or t.role in constant:
                 return False
             if region is None:
-                return slot is None or t.role.startswith(slot)
+                return t.role.partition("#")[0] in own
             return t.region == region
 
         out.append(blocks_of(page, slots))

@@ -33,6 +33,16 @@ def test_repeated_text_of_pages_stays_when_pages_are_few_or_alike():
     assert extract_group([loose.format(i) for i in range(20)])[3].splitlines()[0] == "words 3 that differ"
 
 
+def test_no_layout_and_no_part_of_the_article_is_lost():
+    blog = "<body><div class=top>Home</div><div class=blog><h2>T{0}</h2>lead {0}<section><p>long text of the blog {0}</p></section></div></body>"
+    docs = "<body><div class=top>Home</div><div class=docs><h2>D{0}</h2><p>docs {0}</p></div></body>"
+    got = extract_group([blog.format(i) for i in range(20)] + [docs.format(i) for i in range(12)])
+    assert got[3] == "T3\nlead 3\nlong text of the blog 3" and got[25] == "D5\ndocs 5"
+    shared = "<body><div class=x><h2>T{0}</h2><div>Send it on</div><section><p>long text {0}</p></section></div><div class=y><h3>More</h3><p>link {0}</p></div></body>"
+    assert extract_group([shared.format(i) for i in range(20)])[4] == "T4\nlong text 4"
+    assert extract_group(["<div class=x><p>first one</p></div>", "<div class=x9><p>second</p></div>"]) == ["first one", "second"]
+
+
 def test_classes_share_occurrence_vectors():
     pages = [parse(PLAIN.format(i)) for i in range(4)] + [parse(PLAIN.format(9) * 2)]
     for c in equivalence_classes(pages):
