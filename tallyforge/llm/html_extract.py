@@ -1,8 +1,8 @@
 """Main text of web pages by equivalence-class template deduction.
 
 Pages of one host are taken in groups of at most 64.  The tokens of a group are tags and text nodes, told apart by
-the path they stand on.  Tokens with the same occurrence vector (how often they occur in each page) form an
-equivalence class.  A class is valid if its tokens come in one order on every page, and if each other class lies
+the path they stand on.  Tokens on most pages with the same occurrence vector (how often they occur in each page)
+form an equivalence class; empty and broken pages only put zeros there.  A class is valid if its tokens come in one order on every page, and if each other class lies
 within one gap between its tokens; valid classes nested in each other are the group's template.  What stands in the
 gaps, and is no template token itself, are the slots; the main text is read from the slots of the article.
 
@@ -30,6 +30,8 @@ GROUP_PAGES, GROUP_CHARS = 64, 8 << 20
 PARTITION_PAGES = 16_384
 #: A text node is part of the template if each of at least so many different pages has it as often.
 CONSTANT_PAGES = 8
+#: And of so large a part of the different pages that are not empty.
+SUPPORT = 0.8
 
 #: Element names by what they do, and words in class, id or role that mark what is no article.
 BLOCKS = frozenset(
@@ -178,19 +180,32 @@ def parse(html: str) -> Page:
     return page
 
 
+def fingerprints(pages: list[Page]) -> list[tuple]:
+    """What texts a page has and where; the empty tuple for a page without any."""
+    return [tuple(t.role for t in p.tokens if t.text is not None) for p in pages]
+
+
 def equivalence_classes(pages: list[Page]) -> list[dict]:
-    """Classes of tokens with one occurrence vector over all pages, with their places on each page."""
+    """Classes of tokens with one occurrence vector over all pages, with their places on each page.
+
+    Tokens count that SUPPORT of the different pages with text have, and CONSTANT_PAGES at least where there are as
+    many; with fewer pages all of them.
+    """
     places: dict[str, list[list[int]]] = {}
     for k, page in enumerate(pages):
         for i, t in enumerate(page.tokens):
             places.setdefault(t.role, [[] for _ in pages])[k].append(i)
+    prints = fingerprints(pages)
+    first = {f: k for k, f in reversed(list(enumerate(prints))) if f}.values()
+    least = max(SUPPORT * len(first), min(CONSTANT_PAGES, len(first)))
     by_vector = defaultdict(list)
     for role, own in places.items():
-        if all(own):
+        if sum(1 for k in first if own[k]) >= least:
             by_vector[tuple(map(len, own))].append(role)
     classes = []
     for vector, roles in by_vector.items():
-        roles.sort(key=lambda r: places[r][0][0])
+        seen = next((k for k, n in enumerate(vector) if n), 0)
+        roles.sort(key=lambda r: places[r][seen][:1])
         ordered, last = [], None
         for r in roles:  # in one order on every page, in each of the class's rounds
             if last is None or all(
@@ -208,14 +223,14 @@ def template(pages: list[Page]) -> list[dict]:
     """Valid classes, outermost first: those that lie within one gap of every wider class."""
     from bisect import bisect_right
 
-    classes = [c for c in equivalence_classes(pages) if len(c["roles"]) > 1 or sum(c["vector"]) == len(pages)]
-    classes.sort(key=lambda c: (sum(c["vector"]), -len(c["roles"]), c["roles"][0]))
+    classes = [c for c in equivalence_classes(pages) if len(c["roles"]) > 1 or max(c["vector"]) == 1]
+    classes.sort(key=lambda c: (max(c["vector"]), -sum(1 for n in c["vector"] if n), sum(c["vector"]), -len(c["roles"]), c["roles"][0]))
     valid: list[dict] = []
     for c in classes:
         nested = True
         for outer in valid:
             size = len(outer["roles"])
-            gaps = {bisect_right(outer["places"][k], i) % size for k in range(len(pages)) for i in c["places"][k]}
+            gaps = {bisect_right(outer["places"][k], i) % size for k in range(len(pages)) if outer["places"][k] for i in c["places"][k]}
             if len(gaps) > 1 and any(r.partition("#")[1] for r in c["roles"]):
                 nested = False  # text that wanders between the gaps of a wider class belongs to the pages
                 break
@@ -229,8 +244,7 @@ def constant_texts(pages: list[Page], classes: list[dict]) -> set[str]:
 
     What stands in an article is a slot even where pages share it: near copies share most of their paragraphs.
     """
-    distinct = {tuple(t.role for t in p.tokens if t.text is not None) for p in pages}
-    if len(distinct) < CONSTANT_PAGES:
+    if len(set(fingerprints(pages)) - {()}) < CONSTANT_PAGES:
         return set()
     inside = {t.role for p in pages for t in p.tokens if t.text is not None and t.region != "out"}
     return {r for c in classes for r in c["roles"] if "#" in r} - inside
@@ -311,26 +325,46 @@ def extract_group(htmls: list[str]) -> list[str]:
     return out
 
 
+def even_groups(rows: list[tuple]) -> list[list[tuple]]:
+    """Rows of one host in groups of nearly one size, within GROUP_PAGES and about GROUP_CHARS."""
+    size = sum(len(r[2]) for r in rows)
+    n = max(-(-len(rows) // GROUP_PAGES), -(-size // GROUP_CHARS), 1)
+    groups: list[list[tuple]] = [[]]
+    before = own = 0  # characters of the groups before, and of the last one
+    for r in rows:
+        full = len(groups[-1]) >= -(-len(rows) // n) or own + len(r[2]) > GROUP_CHARS
+        if groups[-1] and (full or own and before + own + len(r[2]) / 2 > size * len(groups) / n and size > GROUP_CHARS):
+            before, own = before + own, 0
+            groups.append([])
+        groups[-1].append(r)
+        own += len(r[2])
+    return groups
+
+
 def extract_stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows come sorted by host and salt; a group ends with its host, at 64 pages, or at 8 Mi characters."""
+    """Rows come sorted by host and salt; twice 64 pages or 8 Mi characters are held, so that no small rest is left."""
     held, size, mark = [], 0, None
 
-    def flush() -> pd.DataFrame:
-        texts = extract_group([r[2] for r in held])
-        rows = [(r[0], r[1], t, len(t)) for r, t in zip(held, texts)]
+    def made(group: list[tuple]) -> pd.DataFrame:
+        texts = extract_group([r[2] for r in group])
+        rows = [(r[0], r[1], t, len(t)) for r, t in zip(group, texts)]
         return pd.DataFrame(rows, columns=["page_id", "url", "text", "n_chars"])
 
     for pdf in batches:
         for host, salt, page_id, url, html in zip(pdf["host"], pdf["salt"], pdf["page_id"], pdf["url"], pdf["html"]):
             html = html or ""
-            if held and (mark != (host, salt) or len(held) >= GROUP_PAGES or size + len(html) > GROUP_CHARS):
-                yield flush()
+            if held and mark != (host, salt):
+                yield from map(made, even_groups(held))
                 held, size = [], 0
             mark = (host, salt)
             held.append((page_id, url, html))
             size += len(html)
-    if held:
-        yield flush()
+            if len(held) >= 2 * GROUP_PAGES or size > 2 * GROUP_CHARS:
+                group = even_groups(held)[0]
+                yield made(group)
+                held = held[len(group) :]
+                size -= sum(len(r[2]) for r in group)
+    yield from map(made, even_groups(held) if held else [])
 
 
 def host_of(url: Column) -> Column:

@@ -1,8 +1,9 @@
+import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tallyforge.llm.html_extract import equivalence_classes, extract_group, extract_main_text, parse, template
+from tallyforge.llm.html_extract import equivalence_classes, even_groups, extract_group, extract_main_text, extract_stream, parse, template
 
 RICH = (
     '<html><head><title>t</title><style>p{{}}</style></head><body><header><a>Site</a></header><nav><ul><li>Home<li>News</ul></nav>'
@@ -43,6 +44,27 @@ def test_no_layout_and_no_part_of_the_article_is_lost():
     assert extract_group(["<div class=x><p>first one</p></div>", "<div class=x9><p>second</p></div>"]) == ["first one", "second"]
 
 
+def test_template_despite_empty_pages_and_small_rests():
+    pages = [PLAIN.format(i) for i in range(24)]
+    want = [f"Title {i}\nbody text number {i} goes on and on" for i in range(24)]
+    odd = ["", "<p>broken", PLAIN.format(99).replace(" <a>About</a>", "")]
+    assert extract_group(pages + odd) == want + ["", "broken", want[0].replace("Title 0", "Title 99").replace("number 0", "number 99")]
+    copies = [f"<body><div class=top>Home</div><p>shared by copies</p><p>own {i}</p></body>" for i in range(9)]
+    assert extract_group(pages + copies)[-1] == "shared by copies\nown 8"  # 9 of 33 pages are no template
+    for n in (65, 67, 129, 200):
+        rows = pd.DataFrame({"host": "h", "salt": 0, "page_id": map(str, range(n)), "url": None, "html": [PLAIN.format(i) for i in range(n)]})
+        got = pd.concat(extract_stream(rows[i : i + 50] for i in range(0, n, 50)))
+        assert list(got["text"]) == [f"Title {i}\nbody text number {i} goes on and on" for i in range(n)]
+
+
+def test_even_groups():
+    for n, chars in ((1, 5), (64, 5), (65, 5), (127, 5), (20, 1 << 20), (9, 1 << 20), (3, 9 << 20)):
+        groups = even_groups([(i, None, "x" * chars) for i in range(n)])
+        assert [r[0] for g in groups for r in g] == list(range(n)) and all(0 < len(g) <= 64 for g in groups)
+        assert all(len(g) == 1 or len(g) * chars <= 8 << 20 for g in groups)
+        assert len(groups) == 1 or max(map(len, groups)) - min(map(len, groups)) <= 2
+
+
 def test_classes_share_occurrence_vectors():
     pages = [parse(PLAIN.format(i)) for i in range(4)] + [parse(PLAIN.format(9) * 2)]
     for c in equivalence_classes(pages):
