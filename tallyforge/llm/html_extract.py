@@ -169,7 +169,7 @@ def parse(html: str) -> Page:
             now, page.has_article = "article", True
         elif (name == "main" or "role-main" in words) and not out and region == "out":
             now, page.has_main = "main", True
-        elif words & ARTICLE_WORDS and name in BLOCKS and not out and region == "out":
+        elif words & ARTICLE_WORDS and name in BLOCKS and name not in ("html", "body") and not out and region == "out":
             now, page.has_content = "content", True
         if name in LEFT_OUT and not (name == "header" and region == "article"):
             out = True
@@ -306,9 +306,9 @@ def blocks_of(page: Page, keep) -> str:
 def extract_group(htmls: list[str]) -> list[str]:
     """Main texts of pages of one host."""
     pages = [parse(h) for h in htmls]
-    classes = template(pages) if len(pages) > 1 else []
-    constant = constant_texts(pages, classes)
     loose = [p for p in pages if not (p.has_article or p.has_main or p.has_content)]
+    classes = template(pages) if loose and len(pages) > 1 else []  # it decides nothing on the other pages
+    constant = constant_texts(pages, classes)
     slot = {id(p): own for p, own in zip(loose, main_slots(loose, constant))}
     out = []
     for page in pages:

@@ -57,6 +57,12 @@ def test_template_despite_empty_pages_and_small_rests():
         assert list(got["text"]) == [f"Title {i}\nbody text number {i} goes on and on" for i in range(n)]
 
 
+def test_an_article_word_on_the_body_is_no_article():
+    for first in ("<body class='single post'>", "<html class=content><body>"):
+        got = extract_group([PLAIN.format(i).replace("<body>", first) for i in range(12)])
+        assert got == [f"Title {i}\nbody text number {i} goes on and on" for i in range(12)]
+
+
 def test_even_groups():
     for n, chars in ((1, 5), (64, 5), (65, 5), (127, 5), (20, 1 << 20), (9, 1 << 20), (3, 9 << 20)):
         groups = even_groups([(i, None, "x" * chars) for i in range(n)])
