@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.llm.common import bounded_batches, materialize, read, word_count
 from tallyforge.llm.decontaminate import drop_leaks
-from tallyforge.llm.language_id import UNKNOWN, fit, predict
+from tallyforge.llm.language_id import fit_gate, has_language
 from tallyforge.llm.line_dedup import dedup_lines
 from tallyforge.llm.mixing import cycle_weights, mix_sources
 from tallyforge.llm.ngram_join import keep_one_of_each
@@ -22,10 +22,10 @@ ORACLE_SQL = None
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language: those without any letter, or without text, go."""
+    """Documents in a language like those of the labelled ones: texts without a letter, and letters that are no
+    language by a network with a calibrated limit, go.  Where none could be trained all texts with a letter stay."""
     bounded_batches(spark)
-    found = docs.withColumn("_language", predict(fit(docs), F.col("text")))
-    return found.filter(F.col("_language.lang") != UNKNOWN).select(*COLUMNS)
+    return docs.filter(has_language(fit_gate(docs), F.col("text"))).select(*COLUMNS)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -121,8 +121,8 @@ def train(windows: np.ndarray, targets: np.ndarray, labels: list[str], each: int
     return net
 
 
-def classify(net: Network, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Label number and its probability for each text, whatever its length, in blocks of BLOCK windows."""
+def probabilities(net: Network, texts: list[bytes]) -> np.ndarray:
+    """Of each label for each text, whatever its length, in blocks of BLOCK windows."""
     sums = np.zeros((len(texts), len(net.labels)))
     held, owner, weight = [], [], []
 
@@ -151,16 +151,20 @@ def classify(net: Network, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
                 waiting = 0
     if held:
         flush()
-    p = sums / np.maximum(sums.sum(1, keepdims=True), 1e-12)
+    return sums / np.maximum(sums.sum(1, keepdims=True), 1e-12)
+
+
+def classify(net: Network, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Label number and its probability for each text."""
+    p = probabilities(net, texts)
     return p.argmax(1), p.max(1)
 
 
-def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", key: str = "doc_id", sample: int = 3000, each: int = 3) -> Network | None:
-    """Train on about `sample` labelled rows (2 * sample at most), `each` windows of every one.
+def sampled(labelled: DataFrame, text_col: str, lang_col: str, key: str, sample: int, each: int) -> list:
+    """About `sample` labelled rows (2 * sample at most) as (lang, cuts, h): `each` windows of every one.
 
     Rows are taken by a seeded hash of their key, at the rate that gives `sample` of them, so that what comes to the
-    driver doesn't grow with the table.  Rows with a null label, text or key, or without text, are passed over; with
-    none left there is no network.
+    driver doesn't grow with the table.  Rows with a null label, text or key, or without text, are passed over.
     """
     text, key_hash = F.col(text_col).cast("binary"), F.xxhash64(F.lit(5), key)
     known = F.col(lang_col).isNotNull() & F.col(key).isNotNull()
@@ -170,6 +174,12 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", key
     cuts = [F.substring(text, F.lit(1) + F.pmod(F.xxhash64(key, F.lit(k)), spread).cast("int"), WINDOW) for k in range(each)]
     rows = rows.select(F.col(lang_col).alias("lang"), F.array(*cuts).alias("cuts"), key_hash.alias("h")).limit(2 * sample).collect()
     rows.sort(key=lambda r: (r["h"], r["lang"], r["cuts"]))
+    return rows
+
+
+def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", key: str = "doc_id", sample: int = 3000, each: int = 3) -> Network | None:
+    """Train on a bounded sample of labelled rows, `each` windows of every one; with none there is no network."""
+    rows = sampled(labelled, text_col, lang_col, key, sample, each)
     if not rows:
         return None
     labels = sorted({r["lang"] for r in rows})
@@ -178,6 +188,75 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", key
     return train(x, y, labels)
 
 
+@dataclass
+class Gate:
+    """A network whose last label is no language, and the probability of that label from which a text goes."""
+
+    net: Network
+    limit: float
+
+
+#: First letters of scripts that noise is drawn from.
+SCRIPTS = (0x61, 0x391, 0x430, 0x561, 0x5D0, 0x628, 0x905, 0xE01, 0x10D0, 0x3042, 0x4E00, 0xAC00)
+GATE_LEAST, GATE_QUANTILE, GATE_MARGIN = 0.98, 0.99, 20.0
+
+
+def noise_of(cut: bytes, rng: np.random.Generator) -> bytes:
+    """Letters that are no language, as long as cut: its own in another order, random ones, or a few repeated."""
+    kind = rng.integers(4)
+    if kind == 0:
+        chars = list(cut.decode("utf-8", "ignore"))
+        return "".join(chars[i] for i in rng.permutation(len(chars))).encode()[: len(cut)]
+    first = SCRIPTS[rng.integers(len(SCRIPTS))] if kind == 2 else SCRIPTS[0]
+    letters = [chr(first + i) for i in rng.integers(0, 26, 1 + len(cut))]
+    if kind == 3:
+        letters = letters[: rng.integers(1, 5)] * (1 + len(cut))
+    ends = np.cumsum(rng.integers(2, 12, 1 + len(cut)))
+    words = ["".join(letters[a:b]) for a, b in zip([0, *ends], ends) if a < len(letters)]
+    return " ".join(words).encode()[: len(cut)]
+
+
+def fit_gate(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", key: str = "doc_id", sample: int = 2000, each: int = 2) -> Gate | None:
+    """Learn to tell texts in the labelled languages from letters that are no language.
+
+    Four in five sampled rows train, against as many made-up windows; half of all are cut short, so that short texts
+    are not judged by what only long ones have.  The limit is calibrated on the fifth held out: the odds of being no
+    language must be GATE_MARGIN times those which 99 % of its windows stay below, and GATE_LEAST at least.  Without
+    held-out rows there is no gate.
+    """
+    rows = sampled(labelled, text_col, lang_col, key, sample, each)
+    held, rows = rows[::5], [r for i, r in enumerate(rows) if i % 5]
+    if not rows:
+        return None
+    rng = np.random.default_rng(17)
+
+    def shortened(r) -> list[bytes]:
+        cuts = [bytes(c) for c in r["cuts"] if c]
+        return [c[: rng.integers(4, 100)] if rng.random() < 0.5 else c for c in cuts]
+
+    labels = sorted({r["lang"] for r in rows})
+    own = [(c, labels.index(r["lang"])) for r in rows for c in shortened(r)]
+    made = [(noise_of(c, rng), len(labels)) for c, _ in own]
+    x = np.concatenate([windows_of(c)[:1] for c, _ in own + made])
+    net = train(x, np.array([y for _, y in own + made]), [*labels, UNKNOWN])
+    top = float(np.quantile(probabilities(net, [c for r in held for c in shortened(r)])[:, -1], GATE_QUANTILE))
+    return Gate(net, max(GATE_LEAST, GATE_MARGIN * top / (GATE_MARGIN * top + 1 - top)))
+
+
+def has_language(gate: Gate | None, text: Column) -> Column:
+    """False where text is null, has no letter, or is no language by the gate; without a gate letters decide."""
+    known = F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
+    if gate is None:
+        return known
+    held = gate
+
+    @F.pandas_udf("boolean")
+    def run(texts: pd.Series) -> pd.Series:
+        return pd.Series(probabilities(held.net, [t or b"" for t in texts])[:, -1] <= held.limit)
+
+    return known & run(F.when(known, text.cast("binary")))
+
+
 def predict(net: Network | None, text: Column) -> Column:
     """struct<lang: string, score: double>; `und` and 0 where text is null or has no letter."""
     if net is None:

@@ -1,6 +1,11 @@
+import random
+
+from pyspark.sql import functions as F
+
 import corpus_pipeline as p
 from tallyforge.llm.queries import ORACLES, QUERIES
 from tests.llm.conftest import prose
+from tests.llm.test_language_id import STEMS, text
 
 
 def test_names():
@@ -33,3 +38,15 @@ def test_stages_take_effect(spark, tmp_path):
     assert mix.filter("taken <> size * repeats or taken <= 0").count() == 0 and 0 < mix.count() <= docs.count()
     out = p.run(spark, str(tmp_path))
     assert not ids(out) & {60, 61, 62, 63, 64} and out.count() == p.run(spark, str(tmp_path)).count()
+
+
+def test_the_language_stage_decides(spark):
+    r = random.Random(4)
+    junk = ["".join(r.choice("bcdfghjklmnpqrstvwxz") for _ in range(9)) for _ in range(60)]
+    rows = [(i, text(k, i, 10 + i % 60), k, "s", 0) for i in range(300) for k in STEMS]
+    rows += [(1000, " ".join(junk), "en", "s", 0), (1001, "привет как дела сегодня " * 9, None, "s", 0), (1002, "12 34", "en", "s", 0), (1003, "the and", None, "s", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = dict(p.STAGES)["language ID"](spark, docs, "")
+    assert {x.doc_id for x in docs.collect()} - {x.doc_id for x in kept.collect()} == {1000, 1001, 1002} and kept.count() == len(rows) - 3
+    unlabelled = docs.withColumn("lang", F.lit(None).cast("string"))
+    assert dict(p.STAGES)["language ID"](spark, unlabelled, "").count() == len(rows) - 1
