@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.llm.common import bounded_batches, materialize
+from tallyforge.llm.common import bounded_batches, discard, materialize
 
 #: Fixed values of the grammar.
 INSULTS = ("idiot", "idiots", "moron", "morons", "loser", "losers", "scum", "trash", "clown", "stupid", "worthless", "pathetic", "disgusting")
@@ -223,10 +223,22 @@ class Model:
     weights: np.ndarray
 
 
+#: Stems whose counts a task holds before it hands them on; what a stem of the lexicon needs.
+STEMS_HELD = 200_000
+LEAST_RATIO, LEAST_STRENGTH = 6, 3
+
+
 def stem_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """For each stem of 3 to 12 letters: uses in toxic and in clean rows (5 a row at most), and rows."""
+    """For each stem of 3 to 12 letters: uses in toxic and in clean rows (5 a row at most), and rows.
+
+    Parts of the counts, to be summed; none is left out, so the sums don't depend on how rows are dealt.
+    """
     for pdf in batches:
         counts: dict = defaultdict(lambda: [0, 0, 0, 0])
+
+        def part(counts=counts) -> pd.DataFrame:
+            return pd.DataFrame([(k, *map(int, v)) for k, v in counts.items()], columns=["stem", "clean", "toxic", "clean_rows", "toxic_rows"])
+
         for text, toxic in zip(pdf["text"], pdf["toxic"]):
             own = Counter()
             words = Counter(w for c in clauses((text or "").lower()) for w in c)
@@ -240,8 +252,10 @@ def stem_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 row[2 + toxic] += 1
             counts[""][toxic] += sum(words.values())
             counts[""][2 + toxic] += 1
-        out = [(k, *map(int, v)) for k, v in counts.items() if k == "" or v[3] or v[2] > 1]
-        yield pd.DataFrame(out, columns=["stem", "clean", "toxic", "clean_rows", "toxic_rows"])
+            if len(counts) > STEMS_HELD:
+                yield part()
+                counts.clear()
+        yield part()
 
 
 def choose_stems(table: list, rows: tuple[int, int], most: int = 400) -> dict[str, float]:
@@ -252,7 +266,7 @@ def choose_stems(table: list, rows: tuple[int, int], most: int = 400) -> dict[st
         ratio = (toxic + 0.5) / toxic_rows / ((clean + 0.5) / clean_rows)
         expected = (clean + 0.5) / clean_rows * toxic_rows
         strength = (toxic - expected) / math.sqrt(toxic + expected)
-        if in_toxic >= 3 and ratio >= 6 and strength >= 3:
+        if in_toxic >= 3 and ratio >= LEAST_RATIO and strength >= LEAST_STRENGTH:
             found.append((strength * math.log(ratio), stem, math.log(ratio)))
     chosen: dict[str, float] = {}
     for _, stem, weight in sorted(found, key=lambda x: (-x[0], x[1])):
@@ -280,14 +294,20 @@ def fit(docs: DataFrame, labels: DataFrame, text_col: str = "text", label_col: s
     fields = "stem string, clean long, toxic long, clean_rows long, toxic_rows long"
     sums = rows.mapInPandas(stem_counts, fields).groupBy("stem")
     sums = sums.agg(*(F.sum(c).alias(c) for c in ("clean", "toxic", "clean_rows", "toxic_rows")))
-    telling = (F.col("toxic_rows") >= 3) & (F.col("toxic") > F.col("clean") * 0.2)
-    table = [tuple(r) for r in sums.filter((F.col("stem") == "") | telling).orderBy(F.desc("toxic"), "stem").limit(20_000).collect()]
-    total = next((r for r in table if r[0] == ""), ("", 0, 0, 0, 0))
-    stems = choose_stems([r for r in table if r[0]], (total[1], total[2])) if total[3] and total[4] else {}
+    sums = materialize(sums, "toxicity-stems")
+    total = next(map(tuple, sums.filter("stem = ''").collect()), ("", 0, 0, 0, 0))
+    # What choose_stems asks for, a little wider; it decides.
+    expected = (F.col("clean") + 0.5) * max(total[2], 1) / max(total[1], 1)
+    telling = (F.col("toxic_rows") >= 3) & (F.col("toxic") + 0.5 >= expected * (LEAST_RATIO * 0.999))
+    telling &= F.col("toxic") - expected >= F.sqrt(F.col("toxic") + expected) * (LEAST_STRENGTH * 0.999)
+    both = total[3] and total[4]
+    table = [tuple(r) for r in sums.filter((F.col("stem") != "") & telling).collect()] if both else []
+    discard(sums)
+    stems = choose_stems(table, (total[1], total[2]))
     lexicon, machine = Lexicon(stems, fixed_words()), grammar()
     default = np.zeros(inputs(np.zeros((1, 4))).shape[1])
     default[:4] = -3.0, 2.0, 3.0, 1.0
-    if not (total[3] and total[4]):
+    if not both:
         return Model(lexicon, default)
 
     def rows_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

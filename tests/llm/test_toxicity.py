@@ -1,9 +1,10 @@
 import random
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
-from tallyforge.llm.toxicity import FEATURES, Lexicon, clauses, describe, fit, fixed_words, grammar, score_toxicity
+from tallyforge.llm.toxicity import FEATURES, Lexicon, clauses, describe, fit, fixed_words, grammar, score_toxicity, stem_counts
 from tests.llm.conftest import prose
 
 MACHINE, LEXICON = grammar(), Lexicon({"zorb": 6.0, "quix": 2.0}, fixed_words())
@@ -58,3 +59,23 @@ def test_awkward_and_empty(spark, awkward, nothing):
     assert score_toxicity(nothing, fit(nothing, labels)).count() == 0
     same = out.filter(F.col("doc_id") == 4).select("toxicity").collect()
     assert same[0] == same[1]
+
+
+def test_stems_do_not_depend_on_how_rows_are_dealt(spark):
+    r, rows = random.Random(5), []
+    for i in range(1500):  # one row in a hundred is toxic; "vex" words are used there ten times as often as elsewhere
+        bad, words = i % 100 == 0, prose(i, 40).split()
+        if r.random() < (0.9 if bad else 0.045):
+            words[r.randrange(40)] = f"vex{r.choice('abc')}"
+        rows.append((i, " ".join(words), int(bad)))
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    models, scores = [], []
+    for n in (1, 200):
+        df.repartition(n).select("doc_id", "text").write.mode("overwrite").parquet(path := f"{spark.conf.get('spark.checkpoint.dir')}/dealt-{n}")
+        docs = spark.read.parquet(path)
+        models.append(fit(docs, df.select("doc_id", "toxic")))
+        scores.append([x[0] for x in score_toxicity(df.limit(50), models[-1]).select("toxicity.score").collect()])
+    assert models[0].lexicon.stems == models[1].lexicon.stems and "vex" in models[0].lexicon.stems
+    assert np.allclose(*scores, atol=1e-6)
+    parts = lambda n: pd.concat(stem_counts(p for _, p in df.toPandas().groupby(lambda i: i % n))).groupby("stem").sum()
+    pd.testing.assert_frame_equal(parts(1), parts(500))
