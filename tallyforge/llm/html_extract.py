@@ -1,13 +1,16 @@
 """Main text of web pages by equivalence-class template deduction.
 
-Pages of one host are taken in groups of at most 64.  The tokens of a group are tags and text nodes, told apart by
-the path they stand on.  Tokens on most pages with the same occurrence vector (how often they occur in each page)
-form an equivalence class; empty and broken pages only put zeros there.  A class is valid if its tokens come in one order on every page, and if each other class lies
-within one gap between its tokens; valid classes nested in each other are the group's template.  What stands in the
-gaps, and is no template token itself, are the slots; the main text is read from the slots of the article.
-
-A host that holds a large part of all pages is dealt out over many tasks by a salt, and no task holds more than one
-group of pages, so neither hot hosts nor long pages gather anywhere.
+1. Tokens.  A page is a row of tags and text nodes, told apart by the path they stand on.  For every host and token
+   Spark sums up in how many pages it is and a hash of its occurrence vector (how often it is in each page).
+2. Classes.  Tokens of a host with equal vectors form an equivalence class; frequent ones are kept.  A second pass
+   keeps those that are valid: on SUPPORT of their pages their tokens come in one order and lie in one gap of the
+   classes around them.  These nested classes are the host's template.
+3. Slots.  What stands between template tokens are slots.  Pages vote for the slot that has most of their text.
+4. A third pass reads the article from the slots.
+
+Only sums for (host, token) are shuffled, so neither hot hosts nor long pages gather anywhere, and what a page gives
+depends on its host's pages alone.  Hosts with fewer than LEAST_PAGES pages with a text have no template; their slots
+are told by how much text they hold and by the words that elements are marked with.
 """
 
 from __future__ import annotations
@@ -20,18 +23,21 @@ from dataclasses import dataclass, field
 from itertools import zip_longest
 
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.llm.common import bounded_batches
+from tallyforge.llm.common import bounded_batches, lookup_join, materialize
 
-GROUP_PAGES, GROUP_CHARS = 64, 8 << 20
-#: About so many pages are sorted in one task, however many there are.
-PARTITION_PAGES = 16_384
-#: A text node is part of the template if each of at least so many different pages has it as often.
-CONSTANT_PAGES = 8
-#: And of so large a part of the different pages that are not empty.
+#: A token is frequent if so many pages of the host have it, and one page in so many.
+LEAST_PAGES, FREQUENT = 5, 50
+#: Text nodes on so large a part of a host's pages are template text; classes need one form on as large a part.
 SUPPORT = 0.8
+#: What a character in a link, and in an element marked as an article, is worth when slots are compared.
+LINK_WORTH, ARTICLE_WORTH = 0.2, 3.0
+#: Sums a task holds before it hands them on; the size up to which a table of templates is broadcast.
+TOKENS_HELD, BROADCAST_BYTES = 200_000, 32 << 20
+MASK, HALF = (1 << 64) - 1, (1 << 31) - 1
 
 #: Element names by what they do, and words in class, id or role that mark what is no article.
 BLOCKS = frozenset(
@@ -69,14 +75,12 @@ class Token:
     block: int
     region: str  # "out" of any article, "article", "main" or "content"
     dropped: bool
+    link: bool = False
 
 
 @dataclass
 class Page:
     tokens: list[Token] = field(default_factory=list)
-    has_article: bool = False
-    has_main: bool = False
-    has_content: bool = False
 
 
 def marks_of(attributes: str) -> tuple[frozenset, str]:
@@ -99,7 +103,7 @@ def marks_of(attributes: str) -> tuple[frozenset, str]:
 def parse(html: str) -> Page:
     """Tokens of a page, forgiving: unclosed and stray tags never make it fail."""
     page, stack, block, at, raw = Page(), [], 0, 0, None  # stack: (name, path, region, dropped)
-    path, region, dropped = "", "out", False
+    path, region, dropped, link = "", "out", False, False
 
     def settle():
         nonlocal path, region, dropped
@@ -108,7 +112,7 @@ def parse(html: str) -> Page:
     def text(part: str):
         if part and not part.isspace():
             part = SPACE.sub(" ", entities.unescape(part))
-            page.tokens.append(Token(f"{path}#{part.strip()}", part, block, region, dropped))
+            page.tokens.append(Token(f"{path}#{part.strip()}", part, block, region, dropped, link))
         elif part and page.tokens and page.tokens[-1].text is not None and page.tokens[-1].block == block:
             page.tokens[-1].text += " "
 
@@ -121,6 +125,7 @@ def parse(html: str) -> Page:
         name = (m[2] or "").lower()
         if not name:
             continue
+        link = not m[1] if name == "a" else link and name not in BLOCKS  # an unclosed link ends with its block
         if m[1]:
             hit = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
             if hit is not None:
@@ -166,11 +171,11 @@ def parse(html: str) -> Page:
         role = f"{path}/{name}" + (f".{first}" if first else "")
         now, out = region, dropped or marked
         if name == "article" and not out:
-            now, page.has_article = "article", True
+            now = "article"
         elif (name == "main" or "role-main" in words) and not out and region == "out":
-            now, page.has_main = "main", True
+            now = "main"
         elif words & ARTICLE_WORDS and name in BLOCKS and name not in ("html", "body") and not out and region == "out":
-            now, page.has_content = "content", True
+            now = "content"
         if name in LEFT_OUT and not (name == "header" and region == "article"):
             out = True
         page.tokens.append(Token(role, None, block, now, out))
@@ -180,79 +185,131 @@ def parse(html: str) -> Page:
     return page
 
 
-def fingerprints(pages: list[Page]) -> list[tuple]:
-    """What texts a page has and where; the empty tuple for a page without any."""
-    return [tuple(t.role for t in p.tokens if t.text is not None) for p in pages]
+def spaced(h: int) -> int:
+    """Finalizer of splitmix64, on Python integers."""
+    h = (h ^ h >> 30) * 0xBF58476D1CE4E5B9 & MASK
+    h = (h ^ h >> 27) * 0x94D049BB133111EB & MASK
+    return h ^ h >> 31
 
 
-def equivalence_classes(pages: list[Page]) -> list[dict]:
-    """Classes of tokens with one occurrence vector over all pages, with their places on each page.
+def role_id(role: str) -> int:
+    """A signed 64-bit id of a token's role; never 0, which stands for the page itself."""
+    return (xxhash.xxh3_64_intdigest(role.encode("utf-8", "surrogatepass")) or 1) - (1 << 63)
 
-    Tokens count that SUPPORT of the different pages with text have, and CONSTANT_PAGES at least where there are as
-    many; with fewer pages all of them.
+
+class Roles(dict):
+    """Ids of roles, kept for those that come again; a task forgets them all when there are too many."""
+
+    def __missing__(self, role: str) -> int:
+        if len(self) > 200_000:
+            self.clear()
+        self[role] = found = role_id(role)
+        return found
+
+
+def token_parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """For each host and token: pages that have it, two sums that stand for its occurrence vector, its highest count.
+
+    A vector's sums add a hash of (page, count) for every page with the token, so tokens with equal vectors have
+    equal sums whatever the order of pages and however they are dealt.  Role 0 counts the pages that have a text.
     """
-    places: dict[str, list[list[int]]] = {}
-    for k, page in enumerate(pages):
-        for i, t in enumerate(page.tokens):
-            places.setdefault(t.role, [[] for _ in pages])[k].append(i)
-    prints = fingerprints(pages)
-    first = {f: k for k, f in reversed(list(enumerate(prints))) if f}.values()
-    least = max(SUPPORT * len(first), min(CONSTANT_PAGES, len(first)))
-    by_vector = defaultdict(list)
-    for role, own in places.items():
-        if sum(1 for k in first if own[k]) >= least:
-            by_vector[tuple(map(len, own))].append(role)
-    classes = []
-    for vector, roles in by_vector.items():
-        seen = next((k for k, n in enumerate(vector) if n), 0)
-        roles.sort(key=lambda r: places[r][seen][:1])
-        ordered, last = [], None
-        for r in roles:  # in one order on every page, in each of the class's rounds
-            if last is None or all(
-                a < b and (j + 1 == n or b < x[j + 1])
-                for x, y, n in zip(places[last], places[r], vector)
-                for j, (a, b) in enumerate(zip(x, y))
-            ):
-                ordered.append(r)
-                last = r
-        classes.append({"vector": vector, "roles": ordered, "places": [sorted(i for r in ordered for i in places[r][k]) for k in range(len(pages))]})
-    return classes
-
-
-def template(pages: list[Page]) -> list[dict]:
-    """Valid classes, outermost first: those that lie within one gap of every wider class."""
-    from bisect import bisect_right
-
-    classes = [c for c in equivalence_classes(pages) if len(c["roles"]) > 1 or max(c["vector"]) == 1]
-    classes.sort(key=lambda c: (max(c["vector"]), -sum(1 for n in c["vector"] if n), sum(c["vector"]), -len(c["roles"]), c["roles"][0]))
-    valid: list[dict] = []
-    for c in classes:
-        nested = True
-        for outer in valid:
-            size = len(outer["roles"])
-            gaps = {bisect_right(outer["places"][k], i) % size for k in range(len(pages)) if outer["places"][k] for i in c["places"][k]}
-            if len(gaps) > 1 and any(r.partition("#")[1] for r in c["roles"]):
-                nested = False  # text that wanders between the gaps of a wider class belongs to the pages
-                break
-        if nested:
-            valid.append(c)
-    return valid
-
-
-def constant_texts(pages: list[Page], classes: list[dict]) -> set[str]:
-    """Text nodes that belong to the template: outside any article, and the same on enough different pages.
-
-    What stands in an article is a slot even where pages share it: near copies share most of their paragraphs.
+    held: dict[tuple, list] = {}
+    ids = Roles()
+
+    def part() -> pd.DataFrame:
+        rows = [(*k, *v) for k, v in held.items()]
+        return pd.DataFrame(rows, columns=["host", "role", "is_text", "pages", "a", "b", "most"])
+
+    for pdf in batches:
+        for host, seed, html in zip(pdf["host"], pdf["seed"], pdf["html"]):
+            page = parse(html or "")
+            if not any(t.text is not None for t in page.tokens):
+                continue
+            counts = Counter((t.role, t.text is not None) for t in page.tokens)
+            marks: dict[int, int] = {}
+            for (role, is_text), n in (*counts.items(), (("", False), 1)):
+                h = marks.get(n)
+                if h is None:
+                    h = marks[n] = spaced((seed ^ n * 0x9E3779B97F4A7C15) & MASK)
+                key = (host, ids[role] if role else 0, is_text)
+                row = held.get(key)
+                if row is None:
+                    held[key] = [1, h & HALF, h >> 31 & HALF, n]
+                else:
+                    row[0] += 1
+                    row[1] += h & HALF
+                    row[2] += h >> 31 & HALF
+                    row[3] = max(row[3], n)
+            if len(held) > TOKENS_HELD:
+                yield part()
+                held.clear()
+    yield part()
+
+
+def deduced_classes(parts: DataFrame) -> DataFrame:
+    """(host, class, roles, texts, host_pages): the frequent equivalence classes of each host.
+
+    roles are the class's tags, texts its text nodes that count as template text: those of a class with a tag, or on
+    SUPPORT of all pages.  Frequent is what LEAST_PAGES pages have, and one in FREQUENT of the host's.
     """
-    if len(set(fingerprints(pages)) - {()}) < CONSTANT_PAGES:
-        return set()
-    inside = {t.role for p in pages for t in p.tokens if t.text is not None and t.region != "out"}
-    return {r for c in classes for r in c["roles"] if "#" in r} - inside
+    sums = parts.groupBy("host", "role", "is_text").agg(F.sum("pages").alias("pages"), F.sum("a").alias("a"), F.sum("b").alias("b"))
+    sums = materialize(sums.filter(F.col("pages") >= LEAST_PAGES), "page-tokens")
+    hosts = sums.filter("role = 0").select("host", F.col("pages").alias("host_pages"), F.col("pages").alias("weight"))
+    found = lookup_join(sums.filter("role <> 0"), hosts, "host", "weight").filter(F.col("pages") * FREQUENT >= F.col("host_pages"))
+    own = F.col("is_text")
+    classes = found.groupBy("host", F.xxhash64("a", "b").alias("class")).agg(
+        F.collect_list(F.when(~own, F.col("role"))).alias("roles"), F.collect_list(F.when(own, F.col("role"))).alias("texts"),
+        F.max("pages").alias("pages"), F.max("host_pages").alias("host_pages"),
+    )
+    telling = (F.size("roles") > 0) | (F.col("pages") >= F.col("host_pages") * SUPPORT)
+    classes = classes.withColumn("texts", F.when(telling, F.col("texts")).otherwise(F.array().cast("array<long>")))
+    return classes.filter((F.size("roles") > 0) | (F.size("texts") > 0))
+
+
+def encoded(classes: DataFrame) -> DataFrame:
+    """(host, template): a host's classes as one string, the widest first; bounded by FREQUENT times a page's tokens."""
+    line = F.concat_ws(";", F.col("class"), F.concat_ws(",", "roles"), F.concat_ws(",", "texts"))
+    lines = F.array_sort(F.collect_list(F.struct(-F.col("pages"), -F.size("roles"), F.col("class"), line.alias("line"))))
+    return classes.groupBy("host").agg(F.concat_ws("|", F.transform(lines, lambda x: x["line"])).alias("template"), F.max("host_pages").alias("weight"))
 
 
-def container(t: Token) -> str:
-    """Path of the element around the block that a text node stands in."""
-    return t.role.partition("#")[0].rpartition("/")[0]
+@dataclass
+class Template:
+    """What is known of a host: the rank of each class's tags, its texts, and how often a slot held a page's most text."""
+
+    rank: dict[int, int] = field(default_factory=dict)
+    classes: list[int] = field(default_factory=list)
+    tags: set[int] = field(default_factory=set)
+    texts: set[int] = field(default_factory=set)
+    votes: dict[int, int] = field(default_factory=dict)
+
+    @classmethod
+    def read(cls, template: str | None, votes: str | None = None) -> Template:
+        out = cls()
+        for k, line in enumerate((template or "").split("|") if template else ()):
+            name, roles, texts = line.split(";")
+            out.classes.append(int(name))
+            roles, texts = ({int(x) for x in s.split(",") if x} for s in (roles, texts))
+            out.tags |= roles
+            out.texts |= texts
+            out.rank |= dict.fromkeys(roles | texts, k)
+        for pair in (votes or "").split(","):
+            if pair:
+                name, n = pair.split(":")
+                out.votes[int(name)] = int(n)
+        return out
+
+
+class Templates(dict):
+    """Decoded templates of the hosts that a task has met."""
+
+    def of(self, host: str, *encoded: str | None) -> Template:
+        found = self.get(host)
+        if found is None:
+            if len(self) > 2000:
+                self.clear()
+            found = self[host] = Template.read(*encoded)
+        return found
 
 
 def ancestors(path: str) -> list[str]:
@@ -261,110 +318,156 @@ def ancestors(path: str) -> list[str]:
     return ["/".join(parts[:i]) for i in range(1, len(parts) + 1)]
 
 
-def main_slots(pages: list[Page], constant: set[str]) -> list[set[str]]:
-    """For each page, the paths whose slots are its article.
+class Slots:
+    """Which slot a text node of a host's pages is in: the innermost template tag around it.
 
-    Pages vote with the element whose slots hold most text; a page takes the one with most votes among those that
-    hold much of its own text.  Slots elsewhere stay too, unless the branch they stand on, seen from that element,
-    has template text (such as the heading of a side bar): without that sign nothing tells them from the article.
+    Where the template has no tag above it, the element around its block stands for the slot.
     """
-    held_by: list[dict[str, int]] = []
-    for page in pages:
-        held: dict[str, int] = defaultdict(int)
-        for t in page.tokens:
-            if t.text is not None and not t.dropped and t.role not in constant:
-                held[container(t)] += len(t.text)
-        held_by.append(held)
-    votes = Counter(max(h, key=lambda c: (h[c], c)) for h in held_by if h)
-    out = []
-    for page, held in zip(pages, held_by):
-        if not held:
-            out.append(set())
-            continue
-        least = max(held.values()) / 4
-        main = ancestors(max((c for c in held if held[c] >= least), key=lambda c: (votes[c], held[c], c)))
-        fixed = {a for t in page.tokens if t.text is not None and t.role in constant for a in ancestors(t.role.partition("#")[0])}
-        kept = set()
-        for path in {t.role.partition("#")[0] for t in page.tokens if t.text is not None}:
-            branch = next((a for a, m in zip_longest(ancestors(path), main) if a != m), None)
-            inside = len(ancestors(path)) >= len(main) and ancestors(path)[len(main) - 1] == main[-1]
-            if inside or branch is None or branch not in fixed:
-                kept.add(path)
-        out.append(kept)
-    return out
 
+    def __init__(self, template: Template, ids: Roles):
+        self.template, self.ids, self.known = template, ids, {}
 
-def blocks_of(page: Page, keep) -> str:
-    parts: dict[int, list[str]] = {}
+    def __call__(self, t: Token) -> str:
+        path = t.role.partition("#")[0]
+        slot = self.known.get(path)
+        if slot is None:
+            tags = [a for a in ancestors(path)[1:] if self.ids[a] in self.template.tags]
+            slot = self.known[path] = tags[-1] if tags else path.rpartition("/")[0]
+        return slot
+
+
+def held_text(page: Page, slot_of: Slots) -> dict[str, float]:
+    """How much text each slot holds that is no template text; links count little, words that mark an article more."""
+    held: dict[str, float] = defaultdict(float)
     for t in page.tokens:
-        if t.text is not None and keep(t):
-            parts.setdefault(t.block, []).append(t.text)
+        if t.text is not None and not t.dropped and slot_of.ids[t.role] not in slot_of.template.texts:
+            held[slot_of(t)] += len(t.text) * (LINK_WORTH if t.link else 1.0) * (ARTICLE_WORTH if t.region != "out" else 1.0)
+    return held
+
+
+def forms_of(page: Page, template: Template, ids: Roles) -> dict[int, int]:
+    """For each class on the page, a hash of its tokens' order and of the gap they stand in; 0 for several gaps.
+
+    The gap is told by the nearest token before it that belongs to a wider class.
+    """
+    before: list[tuple[int, int]] = []  # ranks and roles of earlier tokens, each wider than the next
+    seen: dict[int, list[int]] = defaultdict(list)
+    gaps: dict[int, int | None] = {}
+    for t in page.tokens:
+        role = ids[t.role]
+        k = template.rank.get(role)
+        if k is None or (t.text is not None and role not in template.texts):
+            continue
+        while before and before[-1][0] >= k:
+            before.pop()
+        gap = before[-1][1] if before else 0
+        if k not in gaps:
+            gaps[k] = gap
+        elif gaps[k] != gap:
+            gaps[k] = None
+        before.append((k, role))
+        if role not in seen[k]:
+            seen[k].append(role)
+    return {template.classes[k]: 0 if gaps[k] is None else role_id(f"{roles}{gaps[k]}") for k, roles in seen.items()}
+
+
+def form_parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(host, kind, id, form, n): pages by the form a class has there ("c"), and by the slot with most text ("v")."""
+    held: Counter = Counter()
+    ids, templates, slots = Roles(), Templates(), {}
+
+    def part() -> pd.DataFrame:
+        return pd.DataFrame([(*k, n) for k, n in held.items()], columns=["host", "kind", "id", "form", "n"])
+
+    for pdf in batches:
+        for host, html, encoded_template in zip(pdf["host"], pdf["html"], pdf["template"]):
+            template = templates.of(host, encoded_template)
+            page = parse(html or "")
+            for name, form in forms_of(page, template, ids).items():
+                held[host, "c", name, form] += 1
+            slot_of = slots.get(host)
+            if slot_of is None or slot_of.template is not template or len(slot_of.known) > 2000:
+                if len(slots) > 2000:
+                    slots.clear()
+                slot_of = slots[host] = Slots(template, ids)
+            text = held_text(page, slot_of)
+            if text:
+                held[host, "v", ids[max(text, key=lambda s: (text[s], s))], 0] += 1
+            if len(held) > TOKENS_HELD:
+                yield part()
+                held.clear()
+    yield part()
+
+
+def main_text(page: Page, template: Template, slot_of: Slots | None = None) -> str:
+    """The page's text in the slots that are its article.
+
+    Its main slot is, among those that hold a quarter or more of what the fullest one holds, that which most pages of
+    the host have most text in.  If that is in an element which calls itself an article, the slots in such elements
+    are the article; if not, all slots but those on branches, seen from the main slot, that have template text or
+    mostly links.  Template text inside the article goes, unless it is more than half of it: then the host's pages
+    are copies of each other rather than one frame with different contents.
+    """
+    slot_of = slot_of or Slots(template, Roles())
+    held = held_text(page, slot_of)
+    texts = [t for t in page.tokens if t.text is not None and not t.dropped]
+    if not held:  # nothing but template text
+        held = {slot_of(t): 0.0 for t in texts}
+        if not held:
+            return ""
+    least = max(held.values()) / 4
+    main = max((s for s in held if held[s] >= least), key=lambda s: (template.votes.get(slot_of.ids[s], 0), held[s], s))
+    fixed = {id(t) for t in page.tokens if t.text is not None and slot_of.ids[t.role] in template.texts}
+    regions = Counter()
+    for t in texts:
+        if slot_of(t) == main:
+            regions[t.region] += len(t.text)
+    region = max(regions, key=lambda r: (regions[r], r)) if regions else "out"
+    if region != "out":
+        kept = [t for t in texts if t.region == region]
+    else:
+        kept = []
+        above = ancestors(main)
+        branch_of: dict[str, str | None] = {}
+        for path in {t.role.partition("#")[0] for t in page.tokens if t.text is not None}:
+            own = ancestors(path)
+            inside = len(own) >= len(above) and own[len(above) - 1] == main
+            branch_of[path] = None if inside else next((a for a, m in zip_longest(own, above) if a != m), None)
+        share: dict[str, list[float]] = defaultdict(lambda: [0.0, 0.0])
+        bad = set()
+        for t in page.tokens:
+            if t.text is None:
+                continue
+            branch = branch_of[t.role.partition("#")[0]]
+            if id(t) in fixed and branch is not None:
+                bad.add(branch)
+            if not t.dropped and branch is not None:
+                share[branch][t.link] += len(t.text)
+        bad |= {b for b, (plain, link) in share.items() if link > plain}
+        kept = [t for t in texts if branch_of[t.role.partition("#")[0]] not in bad]
+    own = sum(len(t.text) for t in kept if id(t) not in fixed)
+    if 2 * own >= sum(len(t.text) for t in kept):
+        kept = [t for t in kept if id(t) not in fixed]
+    parts: dict[int, list[str]] = {}
+    for t in kept:
+        parts.setdefault(t.block, []).append(t.text)
     lines = (SPACE.sub(" ", "".join(x)).strip() for x in parts.values())
     return "\n".join(x for x in lines if x)
 
 
-def extract_group(htmls: list[str]) -> list[str]:
-    """Main texts of pages of one host."""
-    pages = [parse(h) for h in htmls]
-    loose = [p for p in pages if not (p.has_article or p.has_main or p.has_content)]
-    classes = template(pages) if loose and len(pages) > 1 else []  # it decides nothing on the other pages
-    constant = constant_texts(pages, classes)
-    slot = {id(p): own for p, own in zip(loose, main_slots(loose, constant))}
-    out = []
-    for page in pages:
-        region = next((r for r in ("article", "main", "content") if getattr(page, f"has_{r}")), None)
-
-        def slots(t, region=region, own=slot.get(id(page))):
-            if t.dropped or t.role in constant:
-                return False
-            if region is None:
-                return t.role.partition("#")[0] in own
-            return t.region == region
-
-        out.append(blocks_of(page, slots))
-    return out
-
-
-def even_groups(rows: list[tuple]) -> list[list[tuple]]:
-    """Rows of one host in groups of nearly one size, within GROUP_PAGES and about GROUP_CHARS."""
-    size = sum(len(r[2]) for r in rows)
-    n = max(-(-len(rows) // GROUP_PAGES), -(-size // GROUP_CHARS), 1)
-    groups: list[list[tuple]] = [[]]
-    before = own = 0  # characters of the groups before, and of the last one
-    for r in rows:
-        full = len(groups[-1]) >= -(-len(rows) // n) or own + len(r[2]) > GROUP_CHARS
-        if groups[-1] and (full or own and before + own + len(r[2]) / 2 > size * len(groups) / n and size > GROUP_CHARS):
-            before, own = before + own, 0
-            groups.append([])
-        groups[-1].append(r)
-        own += len(r[2])
-    return groups
-
-
-def extract_stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows come sorted by host and salt; twice 64 pages or 8 Mi characters are held, so that no small rest is left."""
-    held, size, mark = [], 0, None
-
-    def made(group: list[tuple]) -> pd.DataFrame:
-        texts = extract_group([r[2] for r in group])
-        rows = [(r[0], r[1], t, len(t)) for r, t in zip(group, texts)]
-        return pd.DataFrame(rows, columns=["page_id", "url", "text", "n_chars"])
-
+def text_parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    ids, templates, slots = Roles(), Templates(), {}
     for pdf in batches:
-        for host, salt, page_id, url, html in zip(pdf["host"], pdf["salt"], pdf["page_id"], pdf["url"], pdf["html"]):
-            html = html or ""
-            if held and mark != (host, salt):
-                yield from map(made, even_groups(held))
-                held, size = [], 0
-            mark = (host, salt)
-            held.append((page_id, url, html))
-            size += len(html)
-            if len(held) >= 2 * GROUP_PAGES or size > 2 * GROUP_CHARS:
-                group = even_groups(held)[0]
-                yield made(group)
-                held = held[len(group) :]
-                size -= sum(len(r[2]) for r in group)
-    yield from map(made, even_groups(held) if held else [])
+        made = []
+        for host, html, encoded_template, votes in zip(pdf["host"], pdf["html"], pdf["template"], pdf["votes"]):
+            template = templates.of(host, encoded_template, votes)
+            slot_of = slots.get(host)
+            if slot_of is None or slot_of.template is not template or len(slot_of.known) > 2000:
+                if len(slots) > 2000:
+                    slots.clear()
+                slot_of = slots[host] = Slots(template, ids)
+            made.append(main_text(parse(html or ""), template, slot_of))
+        yield pd.DataFrame({"page_id": pdf["page_id"], "url": pdf["url"], "text": made, "n_chars": [len(x) for x in made]})
 
 
 def host_of(url: Column) -> Column:
@@ -373,24 +476,52 @@ def host_of(url: Column) -> Column:
     return F.regexp_replace(authority, r"^www\.", "")
 
 
+def with_known(rows: DataFrame, known: DataFrame, how_many: str) -> DataFrame:
+    """rows with their host's columns of known.  A table of less than BROADCAST_BYTES is broadcast; of a larger one
+    only the part of hot hosts, the rest being joined by a shuffle."""
+    size = known.agg(F.sum(sum((F.length(c) for c, t in known.dtypes if t == "string"), F.lit(64)))).first()[0] or 0
+    if size <= BROADCAST_BYTES:
+        return rows.join(F.broadcast(known.drop(how_many)), "host")
+    return lookup_join(rows, known, "host", how_many)
+
+
+def deduce_templates(rows: DataFrame) -> DataFrame:
+    """(host, template, votes, weight) of the hosts in rows (host, seed, html) with enough pages for a template."""
+    parts = rows.mapInPandas(token_parts, "host string, role long, is_text boolean, pages long, a long, b long, most long")
+    classes = materialize(deduced_classes(parts), "page-classes")
+    candidates = materialize(encoded(classes), "page-candidates")
+    forms = with_known(rows.select("host", "html"), candidates, "weight")
+    forms = forms.mapInPandas(form_parts, "host string, kind string, id long, form long, n long")
+    forms = materialize(forms.groupBy("host", "kind", "id", "form").agg(F.sum("n").alias("n")), "page-forms")
+    best = F.max(F.struct("n", "form"))
+    shapes = forms.filter("kind = 'c'").groupBy("host", F.col("id").alias("class")).agg(best.alias("best"), F.sum("n").alias("all"))
+    valid = shapes.filter((F.col("best.form") != 0) & (F.col("best.n") >= F.col("all") * SUPPORT)).select("host", "class")
+    templates = encoded(classes.join(valid, ["host", "class"], "left_semi"))
+    votes = forms.filter("kind = 'v'").groupBy("host", "id").agg(F.sum("n").alias("n"))
+    # Slots with few votes would win no page against those with more; the fullest slot decides there anyway.
+    votes = votes.join(candidates.select("host", "weight"), "host").filter(F.col("n") * FREQUENT >= F.col("weight"))
+    votes = votes.groupBy("host").agg(F.concat_ws(",", F.array_sort(F.collect_list(F.concat_ws(":", "id", "n")))).alias("votes"))
+    return materialize(templates.join(votes, "host", "full_outer").withColumn("weight", F.coalesce("weight", F.lit(1))), "page-templates")
+
+
 def extract_main_text(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) for every row of pages (page_id, url, html).
 
-    Nulls: null html gives the empty text, null urls are one host, null ids stay null.  Repeated rows are repeated.
-    Texts do not depend on other columns.  No rows give no rows.
+    Nulls: null html gives the empty text, null urls are one host, null ids stay null.  Repeated rows are repeated, and
+    count as further pages of their host.  Very long pages are read whole.  Ties between slots go to the one with more
+    text, then to the greater path.  Texts do not depend on other columns, on the order of rows, or on other hosts.
+    No rows give no rows.
     """
     bounded_batches(pages.sparkSession)
-    rows = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
-    counts = rows.groupBy("host").count()
-    total = pages.count()
-    # Hosts above a thousandth of all pages: at most a thousand, whatever the input.
-    hot = counts.filter(F.col("count") > max(total / 1000, 2 * GROUP_PAGES))
-    hot = hot.select("host", F.ceil(F.col("count") / (2 * GROUP_PAGES)).alias("parts"))
-    rows = rows.join(F.broadcast(hot), "host", "left")
-    spot = F.xxhash64("page_id", "url")
-    rows = rows.withColumn("salt", F.coalesce(F.pmod(spot, "parts"), F.lit(0)))
-    parts = max(int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // PARTITION_PAGES + 1)
-    rows = rows.withColumn("spot", spot).repartition(parts, "host", "salt").sortWithinPartitions("host", "salt", "spot", "page_id", "html")
-    rows = rows.select("host", "salt", F.col("page_id").cast("string").alias("page_id"), "url", "html")
-    out = rows.mapInPandas(extract_stream, "page_id string, url string, text string, n_chars long")
+    rows = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"), F.xxhash64("page_id", "url", "html").alias("seed"))
+    known = deduce_templates(rows.select("host", "seed", "html"))
+    rows = rows.select("host", F.col("page_id").cast("string").alias("page_id"), "url", "html")
+    empty = F.lit(None).cast("string")
+    size = known.agg(F.sum(F.length(F.coalesce("template", F.lit(""))) + F.length(F.coalesce("votes", F.lit(""))) + 64)).first()[0] or 0
+    if size <= BROADCAST_BYTES:
+        rows = rows.join(F.broadcast(known.drop("weight")), "host", "left")
+    else:
+        few = rows.join(known.select("host"), "host", "left_anti").withColumns({"template": empty, "votes": empty})
+        rows = lookup_join(rows, known, "host", "weight").unionByName(few)
+    out = rows.mapInPandas(text_parts, "page_id string, url string, text string, n_chars long")
     return out.withColumn("page_id", F.col("page_id").cast(pages.schema["page_id"].dataType))
