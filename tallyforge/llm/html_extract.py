@@ -65,7 +65,6 @@ TOKENS = re.compile(
     r"<!--.*?(?:-->|\Z)|<!(?!--)[^>]*+>?|<\?[^>]*+>?|<(/?)([a-zA-Z][^\s/>]*+)((?:\"[^\"]*+\"|'[^']*+'|[^>\"'])*+)(?:>|\Z)", re.S
 )
 ATTRIBUTE = re.compile(r"""([^\s=/>"']++)\s*+(?:=\s*+("[^"]*+"|'[^']*+'|[^\s"'>]++))?""")
-SPACE = re.compile(r"\s+")
 
 
 @dataclass
@@ -111,8 +110,10 @@ def parse(html: str) -> Page:
 
     def text(part: str):
         if part and not part.isspace():
-            part = SPACE.sub(" ", entities.unescape(part))
-            page.tokens.append(Token(f"{path}#{part.strip()}", part, block, region, dropped, link))
+            part = (entities.unescape(part) if "&" in part else part) or " "
+            core = " ".join(part.split())
+            spaced_out = " " * part[0].isspace() + core + " " * (part[-1].isspace() and core != "")
+            page.tokens.append(Token(f"{path}#{core}", spaced_out, block, region, dropped, link))
         elif part and page.tokens and page.tokens[-1].text is not None and page.tokens[-1].block == block:
             page.tokens[-1].text += " "
 
@@ -451,7 +452,7 @@ def main_text(page: Page, template: Template, slot_of: Slots | None = None) -> s
     parts: dict[int, list[str]] = {}
     for t in kept:
         parts.setdefault(t.block, []).append(t.text)
-    lines = (SPACE.sub(" ", "".join(x)).strip() for x in parts.values())
+    lines = (" ".join("".join(x).split()) for x in parts.values())
     return "\n".join(x for x in lines if x)
 
 

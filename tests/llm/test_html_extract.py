@@ -147,7 +147,7 @@ def test_classes_against_explicit_occurrence_vectors(spark):
 @pytest.mark.parametrize("html,want", [
     ("", ""), ("<<<>", "<<<>"), ("<p>a<p>b", "a\nb"), ("<article>x", "x"), ("<article><p>a &eacute;&#233;&nbsp; b</article>", "a éé b"), ("<!-- <p>no -->yes", "yes"),
     ("<article><p>a <script>if(a<b){}</script>b</article>", "a b"), ("<nav>no<article><p>q</article>", ""), ("</div></p>text", "text"), ("<article hidden>no</article>", ""),
-    ("<p>a <a>link<p>b", "a link\nb"),
+    ("<p>a <a>link<p>b", "a link\nb"), ("<p>a<b>&#1;</b>b", "a b"),
 ])
 def test_odd_markup(html, want):
     assert alone(html) == want
