@@ -2,8 +2,8 @@
 
 Five small transducers read a clause:
 
-    lexicon     words -> classes INS (insult), SOFT (a stem that only frequency makes telling), THR (threat),
-                TGT (target), NEG (negation), REP (reported speech), O; each word carries a weight
+    lexicon     words -> classes INS (insult), THR (threat), TGT (target), NEG (negation), REP (reported speech), O;
+                each word carries a weight
     reported    after REP, insults and threats become quoted ones
     negation    up to three words after NEG, insults and threats become denied ones
     target      an insult or threat with a target in the same clause counts more
@@ -11,14 +11,15 @@ Five small transducers read a clause:
 
 The last four are composed into one machine over classes.  A clause scores the weight of its best path; a document
 is described by its scored clauses, not by single words, and a logistic model turns that into a probability.  The
-lexicon's insult stems and their weights are learned from labelled rows and joined with a short fixed list.
+lexicon's fixed insults are joined by words and stems learned from labelled rows, whose weights are their log odds;
+they take the same way through the machine as fixed ones.  A stem is learned only where words really part after it:
+what always goes on in one way is learned as the longer stem or the whole word.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -35,11 +36,11 @@ THREATS = ("kill", "hurt", "destroy", "beat", "smash", "punch", "stab", "shoot",
 TARGETS = ("you", "your", "yours", "yourself", "u", "he", "she", "they", "them", "him", "her", "people")
 NEGATIONS = ("not", "never", "no", "isn't", "aren't", "don't", "nobody", "without", "n't")
 REPORTS = ("said", "says", "called", "calls", "wrote", "writes", "quoted", "reported", "told")
-INSULT_WEIGHT, THREAT_WEIGHT, SOFT_LIMIT = 5.0, 3.0, 4.0
+INSULT_WEIGHT, THREAT_WEIGHT, MOST_WEIGHT = 5.0, 3.0, 7.0
 
 CLAUSE = re.compile(r"[.!?;:\n|]+")
 TOKEN = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?")
-CLASSES = ("O", "INS", "SOFT", "THR", "TGT", "NEG", "REP")
+CLASSES = ("O", "INS", "THR", "TGT", "NEG", "REP")
 
 
 class Machine:
@@ -119,7 +120,7 @@ def targets() -> Machine:
 
 
 def accept() -> Machine:
-    worth = {"INS": 1.0, "SOFT": 1.0, "THR": 1.0, "THR?": 0.1, "QINS": 0.4, "QTHR": 0.3, "NINS": 0.3, "NTHR": 0.1}
+    worth = {"INS": 1.0, "THR": 1.0, "THR?": 0.1, "QINS": 0.4, "QTHR": 0.3, "NINS": 0.3, "NTHR": 0.1}
     symbols = (*CLASSES, *worth)
     return Machine(0, {(0, c): [(c, worth.get(c, 0.0), 0.0, 0)] for c in symbols}, {0: 0.0})
 
@@ -130,36 +131,38 @@ def grammar() -> Machine:
 
 @dataclass
 class Lexicon:
-    """Character automaton: stems end in states that hold their weight; the longest stem of a word decides."""
+    """Whole words with their class and weight, and stems of insults; of several stems of a word the longest decides.
+
+    Fixed words are not overridden by learned ones, nor whole words by stems.
+    """
 
-    stems: dict[str, float]
     words: dict[str, tuple[str, float]]
+    stems: dict[str, float] = field(default_factory=dict)
     memo: dict = field(default_factory=dict, repr=False)
 
+    @classmethod
+    def of(cls, learned: dict[str, float]) -> Lexicon:
+        """learned: weights of whole words, marked by END, and of stems."""
+        whole = {w[: -len(END)]: ("INS", weight) for w, weight in learned.items() if w.endswith(END)}
+        return cls(whole | fixed_words(), {w: weight for w, weight in learned.items() if not w.endswith(END)})
+
     def __post_init__(self):
-        self.next: dict = {}
-        for stem in self.stems:
-            for i in range(len(stem)):
-                self.next.setdefault(stem[:i], set()).add(stem[i])
+        self.lengths = sorted({len(s) for s in self.stems}, reverse=True)
 
     def read(self, word: str) -> tuple[str, float]:
-        got = self.memo.get(word)
+        got = self.words.get(word) or self.memo.get(word)
         if got is None:
-            got = self.words.get(word)
-            if got is None:
-                state, weight = "", 0.0
-                for c in word:
-                    if c not in self.next.get(state, ()):
-                        break
-                    state += c
-                    weight = self.stems.get(state, weight)
-                got = ("O", 0.0) if weight <= 0 else ("INS", weight) if weight >= SOFT_LIMIT else ("SOFT", weight)
+            weight = next((self.stems[word[:k]] for k in self.lengths if word[:k] in self.stems), 0.0)
+            got = ("INS", weight) if weight else OTHER
             if len(self.memo) > 200_000:
                 self.memo.clear()
             self.memo[word] = got
         return got
 
 
+OTHER = ("O", 0.0)
+
+
 def fixed_words() -> dict[str, tuple[str, float]]:
     out = {w: ("INS", INSULT_WEIGHT) for w in INSULTS} | {w: ("THR", THREAT_WEIGHT) for w in THREATS}
     for words, kind in ((TARGETS, "TGT"), (NEGATIONS, "NEG"), (REPORTS, "REP")):
@@ -174,35 +177,29 @@ def clauses(text: str) -> Iterator[list[str]]:
             yield words
 
 
-FEATURES = ("hits", "attack", "soft", "words")
+FEATURES = ("hits", "attack", "words")
 
 
-def describe(text: str | None, lexicon: Lexicon, machine: Machine) -> tuple[float, float, float, float]:
-    """Clauses that match, the sum of their attack scores, of soft scores, and the number of words."""
-    hits = attack = soft = words = 0.0
+def describe(text: str | None, lexicon: Lexicon, machine: Machine) -> tuple[float, float, float]:
+    """Clauses that match, the sum of their scores, and the number of words."""
+    hits = attack = words = 0.0
     read = lexicon.read
     for clause in clauses((text or "").lower()):
         words += len(clause)
         tags = [read(w) for w in clause]
-        kinds = {k for k, w in tags if w > 0}
-        if not kinds:
-            continue
-        if kinds & {"INS", "THR"}:
-            score = machine.best([t if t[0] != "SOFT" else ("O", 0.0) for t in tags])
+        if any(weight > 0 for _, weight in tags):
+            score = machine.best(tags)
             attack += score
             hits += score > 0
-        if "SOFT" in kinds:
-            soft += machine.best([t if t[0] in ("SOFT", "NEG", "REP") else ("O", 0.0) for t in tags])
-    return hits, attack, soft, words
+    return hits, attack, words
 
 
 def inputs(rows: np.ndarray) -> np.ndarray:
     """Model inputs: bounded shapes of the counts and of their rates for each hundred words."""
-    hits, attack, soft, words = rows.T
+    hits, attack, words = rows.T
     rate = 100 / np.maximum(words, 20)
-    steps = [np.clip(soft * rate / s, 0, 1) for s in (1.5, 3, 6, 12)]
-    more = [np.clip(attack / s, 0, 1) for s in (2, 5, 20)] + [np.clip(attack * rate / s, 0, 1) for s in (1.5, 3, 6, 12)]
-    return np.column_stack([np.ones(len(rows)), *more, *steps, np.clip(soft / 10, 0, 1), np.minimum(hits, 5) / 5])
+    shapes = [np.clip(attack / s, 0, 1) for s in (2, 5, 20)] + [np.clip(attack * rate / s, 0, 1) for s in (1.5, 3, 6, 12)]
+    return np.column_stack([np.ones(len(rows)), *shapes, np.minimum(hits, 5) / 5])
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05, rounds: int = 30) -> np.ndarray:
@@ -223,66 +220,75 @@ class Model:
     weights: np.ndarray
 
 
-#: Stems whose counts a task holds before it hands them on; what a stem of the lexicon needs.
-STEMS_HELD = 200_000
-LEAST_RATIO, LEAST_STRENGTH = 6, 3
+#: What a learned word or stem needs: pairs of a toxic row and a word, how much commoner it is in toxic rows, and
+#: standard deviations.  Stems have STEM_LETTERS, and so many different words.
+LEAST_PAIRS, LEAST_RATIO, LEAST_STRENGTH = 3, 6, 3
+STEM_LETTERS, STEM_WORDS, END = (4, 16), 5, "$"
 
 
-def stem_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """For each stem of 3 to 12 letters: uses in toxic and in clean rows (5 a row at most), and rows.
+def stem_counts(rows: DataFrame) -> DataFrame:
+    """(stem, clean, toxic, words): pairs of a clean or toxic row and a different word with the stem, and such words.
 
-    Parts of the counts, to be summed; none is left out, so the sums don't depend on how rows are dealt.
+    Whole words are stems with END.  Counts are summed over all rows (text, toxic) before anything is left out.
+    """
+    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+(?:'\p{L}+)?"), F.lit(0)))
+    counts = rows.select("toxic", F.explode(words).alias("word")).groupBy("word")
+    counts = counts.agg(F.count_if(F.col("toxic") == 0).alias("clean"), F.count_if(F.col("toxic") == 1).alias("toxic"))
+    low, high = STEM_LETTERS
+    n = F.least(F.length("word"), F.lit(high))
+    stems = F.transform(F.sequence(F.lit(low), F.greatest(n, F.lit(low))), lambda k: F.substring(F.col("word"), F.lit(1), k))
+    stems = F.when(n >= low, stems).otherwise(F.array().cast("array<string>"))
+    stems = F.concat(stems, F.array(F.concat("word", F.lit(END))))
+    by = counts.select(F.explode(stems).alias("stem"), "clean", "toxic").groupBy("stem")
+    return by.agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"), F.count("*").alias("words"))
+
+
+def choose_stems(table: list[tuple[str, int, int, int, float, float]]) -> dict[str, float]:
+    """Weights of the stems of a table (stem, clean, toxic, words, odds, strength) that are no part of a better one.
+
+    A stem goes if nine tenths of its toxic pairs go on in one way, or if too few different words have it; so
+    `trash` is learned as a word and no shorter beginning of it.  Of stems that begin alike the most telling stays.
     """
-    for pdf in batches:
-        counts: dict = defaultdict(lambda: [0, 0, 0, 0])
-
-        def part(counts=counts) -> pd.DataFrame:
-            return pd.DataFrame([(k, *map(int, v)) for k, v in counts.items()], columns=["stem", "clean", "toxic", "clean_rows", "toxic_rows"])
-
-        for text, toxic in zip(pdf["text"], pdf["toxic"]):
-            own = Counter()
-            words = Counter(w for c in clauses((text or "").lower()) for w in c)
-            for w, n in words.items():
-                n = min(n, 2)
-                for k in range(min(3, len(w)), min(len(w), 12) + 1):
-                    own[w[:k]] += n
-            for stem, n in own.items():
-                row = counts[stem]
-                row[toxic] += min(n, 5)
-                row[2 + toxic] += 1
-            counts[""][toxic] += sum(words.values())
-            counts[""][2 + toxic] += 1
-            if len(counts) > STEMS_HELD:
-                yield part()
-                counts.clear()
-        yield part()
-
-
-def choose_stems(table: list, rows: tuple[int, int], most: int = 400) -> dict[str, float]:
-    """Greedy cover: the most telling stem first; longer or shorter forms of a chosen stem that add nothing go."""
-    clean_rows, toxic_rows = max(rows[0], 1), max(rows[1], 1)
-    found = []
-    for stem, clean, toxic, _, in_toxic in table:
-        ratio = (toxic + 0.5) / toxic_rows / ((clean + 0.5) / clean_rows)
-        expected = (clean + 0.5) / clean_rows * toxic_rows
-        strength = (toxic - expected) / math.sqrt(toxic + expected)
-        if in_toxic >= 3 and ratio >= LEAST_RATIO and strength >= LEAST_STRENGTH:
-            found.append((strength * math.log(ratio), stem, math.log(ratio)))
+    toxic = {r[0]: r[2] for r in table}
+    narrower: set[str] = set()  # stems that one way to go on accounts for
+    for stem, n in toxic.items():
+        parent = stem[: -len(END)] if stem.endswith(END) else stem[:-1]
+        if n >= 0.9 * toxic.get(parent, math.inf):
+            narrower.add(parent)
     chosen: dict[str, float] = {}
-    for _, stem, weight in sorted(found, key=lambda x: (-x[0], x[1])):
-        if len(chosen) >= most:
-            break
-        if not any(stem.startswith(c) or c.startswith(stem) for c in chosen):
-            chosen[stem] = min(weight, 7.0)
+    stems: set[str] = set()
+    for stem, _, _, n_words, odds, strength in sorted(table, key=lambda r: (-r[5] * math.log(r[4]), r[0])):
+        whole = stem.endswith(END)
+        if stem in narrower or not whole and n_words < STEM_WORDS:
+            continue
+        word = stem[: -len(END)] if whole else stem
+        if any(word[:k] in stems for k in range(1, len(word) + 1)) or not whole and any(s.startswith(stem) for s in stems):
+            continue
+        chosen[stem] = min(math.log(odds), MOST_WEIGHT)
+        if not whole:
+            stems.add(stem)
     return chosen
 
 
+def learned_stems(rows: DataFrame, clean_rows: int, toxic_rows: int) -> dict[str, float]:
+    """Weights of what tells toxic rows (text, toxic) from clean ones.
+
+    What the driver gets needs LEAST_PAIRS toxic pairs a stem, so it is bounded by the toxic rows of the sample.
+    """
+    odds = (F.col("toxic") + 0.5) / toxic_rows / ((F.col("clean") + 0.5) / clean_rows)
+    expected = (F.col("clean") + 0.5) / clean_rows * toxic_rows
+    strength = (F.col("toxic") - expected) / F.sqrt(F.col("toxic") + expected)
+    telling = (F.col("toxic") >= LEAST_PAIRS) & (odds >= LEAST_RATIO) & (strength >= LEAST_STRENGTH)
+    return choose_stems([tuple(r) for r in stem_counts(rows).filter(telling).select("*", odds, strength).collect()])
+
+
 def fit(docs: DataFrame, labels: DataFrame, text_col: str = "text", label_col: str = "toxic", key: str = "doc_id", sample: int = 20_000) -> Model:
-    """Learn the lexicon's stems and the logistic model from the documents that labels names.
+    """Learn the lexicon's words and stems and the logistic model from the documents that labels names.
 
     About `sample` labels are used, by a seeded hash of their key; all if there are fewer.  That bounds the table
     of sampled labels, which is broadcast, so texts are not shuffled.  Null keys, texts and labels are passed over;
     repeated labels of a key count once, as the greater.  With no toxic or no clean row the fixed words decide.
+    The model does not depend on how rows are dealt.
     """
     bounded_batches(docs.sparkSession)
     labels = labels.select(F.col(key).alias("k"), F.col(label_col).cast("int").alias("toxic")).filter("toxic in (0, 1) and k is not null")
@@ -291,47 +297,38 @@ def fit(docs: DataFrame, labels: DataFrame, text_col: str = "text", label_col: s
     labels = labels.groupBy("k").agg(F.max("toxic").alias("toxic"))
     rows = docs.select(F.col(key).alias("k"), F.col(text_col).alias("text")).filter("text is not null")
     rows = materialize(rows.join(F.broadcast(labels), "k").select("text", "toxic"), "toxicity-sample")
-    fields = "stem string, clean long, toxic long, clean_rows long, toxic_rows long"
-    sums = rows.mapInPandas(stem_counts, fields).groupBy("stem")
-    sums = sums.agg(*(F.sum(c).alias(c) for c in ("clean", "toxic", "clean_rows", "toxic_rows")))
-    sums = materialize(sums, "toxicity-stems")
-    total = next(map(tuple, sums.filter("stem = ''").collect()), ("", 0, 0, 0, 0))
-    # What choose_stems asks for, a little wider; it decides.
-    expected = (F.col("clean") + 0.5) * max(total[2], 1) / max(total[1], 1)
-    telling = (F.col("toxic_rows") >= 3) & (F.col("toxic") + 0.5 >= expected * (LEAST_RATIO * 0.999))
-    telling &= F.col("toxic") - expected >= F.sqrt(F.col("toxic") + expected) * (LEAST_STRENGTH * 0.999)
-    both = total[3] and total[4]
-    table = [tuple(r) for r in sums.filter((F.col("stem") != "") & telling).collect()] if both else []
-    discard(sums)
-    stems = choose_stems(table, (total[1], total[2]))
-    lexicon, machine = Lexicon(stems, fixed_words()), grammar()
-    default = np.zeros(inputs(np.zeros((1, 4))).shape[1])
-    default[:4] = -3.0, 2.0, 3.0, 1.0
-    if not both:
-        return Model(lexicon, default)
+    clean_rows, toxic_rows = rows.agg(F.count_if(F.col("toxic") == 0), F.count_if(F.col("toxic") == 1)).first()
+    if not clean_rows or not toxic_rows:
+        discard(rows)
+        default = np.zeros(inputs(np.zeros((1, len(FEATURES)))).shape[1])
+        default[:4] = -3.0, 2.0, 3.0, 1.0
+        return Model(Lexicon.of({}), default)
+    lexicon, machine = Lexicon.of(learned_stems(rows, clean_rows, toxic_rows)), grammar()
 
     def rows_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             made = [describe(t, lexicon, machine) for t in pdf["text"]]
             yield pd.DataFrame(made, columns=FEATURES).assign(toxic=pdf["toxic"].to_numpy())
 
-    seen = rows.mapInPandas(rows_of, "hits double, attack double, soft double, words double, toxic int").toPandas()
+    seen = rows.mapInPandas(rows_of, "hits double, attack double, words double, toxic int").toPandas().sort_values([*FEATURES, "toxic"])
+    discard(rows)
     return Model(lexicon, fit_logistic(inputs(seen[list(FEATURES)].to_numpy()), seen["toxic"].to_numpy(float)))
 
 
 def score_toxicity(docs: DataFrame, model: Model, text_col: str = "text", out_col: str = "toxicity") -> DataFrame:
-    """docs with out_col: struct<score, hits, attack, soft>.
+    """docs with out_col: struct<score, hits, attack>.
 
-    Null and empty texts get the score of a text without any match.  Equal texts get equal results; repeated rows
-    and further columns don't matter, whatever they are called.
+    Null and empty texts get the score of a text without any match.  Very long texts are read whole, clause by clause.
+    Equal texts get equal results; repeated rows and further columns don't matter, whatever they are called, but for
+    one called out_col, which is replaced.  No rows give no rows.
     """
     bounded_batches(docs.sparkSession)
     machine = grammar()
 
-    @F.pandas_udf("score double, hits double, attack double, soft double")
+    @F.pandas_udf("score double, hits double, attack double")
     def run(texts: pd.Series) -> pd.DataFrame:
-        rows = np.array([describe(t, model.lexicon, machine) for t in texts]).reshape(-1, 4)
+        rows = np.array([describe(t, model.lexicon, machine) for t in texts]).reshape(-1, len(FEATURES))
         score = 1 / (1 + np.exp(-np.clip(inputs(rows) @ model.weights, -30, 30)))
-        return pd.DataFrame({"score": score, "hits": rows[:, 0], "attack": rows[:, 1], "soft": rows[:, 2]})
+        return pd.DataFrame({"score": score, "hits": rows[:, 0], "attack": rows[:, 1]})
 
     return docs.withColumn(out_col, run(F.col(text_col)))
