@@ -50,6 +50,36 @@ def test_against_brute_force(spark):
     assert got == brute(docs, items) and len(got) >= 20
 
 
+def test_recall_of_moved_and_mixed_passages(spark):
+    """Items with their parts swapped, cut in two with words between, or changed: all windows of brute force."""
+    items = [(k, prose(300 + k, 100 + 7 * (k % 3))) for k in range(9)]
+    r, docs = random.Random(12), []
+    for i in range(90):
+        w = items[i % 9][1].split()
+        cut = r.randrange(20, len(w) - 20)
+        body = prose(4000 + i, 150).split()
+        if i % 3 == 0:  # halves swapped
+            w = w[cut:] + w[:cut]
+        elif i % 3 == 1:  # something between them, near what is still alike
+            w = w[:cut] + body[100 : 100 + r.randrange(1, 12)] + w[cut:]
+        else:  # words changed here and there
+            for _ in range(r.randrange(1, 4)):
+                w[r.randrange(len(w))] = "changed"
+        docs.append((i, " ".join(body[:70] + w + body[70:])))
+    want = brute(docs, items)
+    got = {(x.doc_id, x.item_id) for x in find_leaks(*frames(spark, docs, items)).collect()}
+    assert got <= want and len(want) >= 50 and {i % 3 for i, _ in want} == {0, 1, 2}
+    assert len(got) >= 0.98 * len(want)
+
+
+def test_rows_without_or_with_one_id_and_repeated_items(spark):
+    item = prose(7, 25)
+    docs = [(None, prose(i, 30)) for i in range(40)] + [(None, item), (3, "a b c"), (3, "x " + item)]
+    items = [(1, item)] * 3 + [(2, item)]
+    got = sorted(((x.doc_id, x.item_id) for x in find_leaks(*frames(spark, docs, items)).collect()), key=str)
+    assert got == sorted([(None, 1), (None, 2), (3, 1), (3, 2)], key=str)
+
+
 def test_form_hides_nothing(spark):
     item = prose(7, 25)
     docs = [(1, item.upper()), (2, item.replace(" ", "!!\n")), (3, "intro " + item), (3, "intro " + item), (4, " ".join(reversed(item.split()))), (None, item), (5, "ab cd")]
@@ -65,6 +95,8 @@ def test_awkward_and_empty(spark, awkward, nothing):
     assert kept.columns == awkward.columns and kept.count() == awkward.count() - 2
     assert find_leaks(nothing, bench).count() == 0 and find_leaks(awkward, bench.limit(0)).count() == 0
     assert drop_leaks(awkward, bench.limit(0)).count() == awkward.count()
+    clash = awkward.withColumns({"_leak": F.lit(1), "id": F.lit(2), "_id": F.lit(3), "leaks": F.lit(4)})
+    assert drop_leaks(clash, bench).columns == clash.columns and drop_leaks(clash, bench).count() == awkward.count() - 2
 
 
 def test_native_plan(spark, awkward):
