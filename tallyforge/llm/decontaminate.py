@@ -31,15 +31,15 @@ SPAN, SLACK = 1 << 36, 1 << 17
 
 
 def words_of(text: Column) -> Column:
-    """Lower-cased runs of letters and digits, so case and punctuation hide no passage; none for null texts."""
-    bare = F.btrim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", " "))
-    return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, " "))
+    """Hashes of the lower-cased runs of letters and digits, so case and punctuation hide no passage; none for null."""
+    parts = F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), "")
+    return F.transform(parts, lambda word: F.xxhash64(word))
 
 
 def shingles(words: Column, width: int) -> Column:
     """Hash of every run of width words, in order; none if there are fewer words."""
-    starts = F.when(F.size(words) >= width, F.sequence(F.lit(1), F.size(words) - (width - 1)))
-    return F.transform(F.coalesce(starts, F.array().cast("array<int>")), lambda i: F.xxhash64(F.slice(words, i, width)))
+    starts = F.when(F.size(words) >= width, F.sequence(F.lit(0), F.size(words) - width))
+    return F.transform(F.coalesce(starts, F.array().cast("array<int>")), lambda i: F.xxhash64(*[F.get(words, i + j) for j in range(width)]))
 
 
 def simhash(h: Column, weight: Column) -> Column:

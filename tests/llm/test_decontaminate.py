@@ -23,7 +23,7 @@ def brute(docs, items):
         w = words(t)
         for k, b in items:
             v = words(b)
-            if v and w and max((len(grams(w[s : s + len(v)]) & grams(v)) / len(grams(w[s : s + len(v)]) | grams(v)) for s in range(max(1, len(w) - len(v) + 1)))) >= 0.8:
+            if v and w and (grams(w) & grams(v) or len(v) < 5) and max((len(grams(w[s : s + len(v)]) & grams(v)) / len(grams(w[s : s + len(v)]) | grams(v)) for s in range(max(1, len(w) - len(v) + 1)))) >= 0.8:
                 out.add((i, k))
     return out
 
