@@ -24,17 +24,23 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 def scratch_root(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir.
 
-    Only where the session names none (tests on one machine) a temporary folder is made and set.
+    Only where the session names none and runs on one machine (tests) a temporary folder is made and set; on a
+    cluster that would be a different folder on every machine, so it is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = "file://" + tempfile.mkdtemp(prefix="tallyforge-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root
 
 
 def bounded_batches(spark: SparkSession, rows: int = 1000, size: str = "4m") -> None:
-    """Keep the Arrow batches that Python workers get small, so long texts don't add up in their memory."""
+    """Keep the Arrow batches that Python workers get small, so long texts don't add up in their memory.
+
+    The session keeps the smaller size: Spark reads it when it plans a query, which may be long after this call.
+    """
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
         spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)

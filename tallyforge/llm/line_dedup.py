@@ -136,8 +136,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     columns n_lines, n_dropped; text_col holds the lines left, joined by newlines.
 
     Nulls: a null text is one empty line and becomes the empty text; rows with a null id neither lose lines nor
-    make others lose theirs.  Repeated rows of one id count as one document and lose the same lines.  Empty
-    input: no rows.  Other columns pass through untouched.
+    make others lose theirs.  Repeated rows of one id count as one document and lose the same lines.  Very long
+    texts are read whole.  Empty input: no rows.  Other columns pass through untouched, whatever they are called.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
@@ -163,12 +163,10 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
     confirmed = materialize(confirmed, "line-repeats")
     drops = lookup_join(suspects, confirmed, "key", "n").filter("id <> first")
-    drops = materialize(drops.groupBy("id").agg(F.collect_set("key").alias("_drop")).withColumnRenamed("id", "_drop_id"), "line-drops")
+    drops = materialize(drops.groupBy("id").agg(F.collect_set("key").alias("keys")), "line-drops")
     discard(suspects, confirmed)
     strip = F.pandas_udf(strip_lines, "kept binary, n_lines long, n_dropped long")
-    out = docs.join(drops, F.col(id_col) == F.col("_drop_id"), "left")
-    out = out.withColumn("_left", strip(F.col(text_col).cast("binary"), F.col("_drop")))
-    out = out.withColumns(
-        {text_col: F.col("_left.kept").cast("string"), "n_lines": F.col("_left.n_lines"), "n_dropped": F.col("_left.n_dropped")}
-    )
-    return out.drop("_left", "_drop", "_drop_id")
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id")).join(drops, "id", "left")
+    rows = rows.select("row", strip(F.col("row").getField(text_col).cast("binary"), F.col("keys")).alias("left"))
+    kept = [F.col("left.kept").cast("string").alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns if c.lower() not in ("n_lines", "n_dropped")]
+    return rows.select(*kept, "left.n_lines", "left.n_dropped")

@@ -131,12 +131,13 @@ def mix_sources(
 
     Nulls: a null size counts 0; a null or empty members array joins no source and takes 0.  Ties and repeated
     rows: rows with one key and size are interchangeable, so results don't depend on their order.  Empty input:
-    no rows.  Only sums for each pattern come to the driver; their number depends on sources, not documents.
+    no rows.  Further columns stay, whatever they are called; one called taken is replaced.  Only sums for each pattern come to the driver; their number depends on sources, not documents.
     """
     weight = F.coalesce(F.col(size), F.lit(0)).cast("long")
     pattern = F.array_sort(F.array_distinct(F.coalesce(F.col(members), F.array().cast("array<string>"))))
     spot = F.xxhash64(F.lit(seed), key)
-    docs = docs.withColumns({"_pattern": pattern, "_weight": weight, "_spot": spot})
+    columns = docs.columns  # kept apart in one struct, so their names meet none of those used here
+    docs = docs.select(F.struct("*").alias("_row"), pattern.alias("_pattern"), weight.alias("_weight"), spot.alias("_spot"))
     docs = docs.withColumn("_slot", F.shiftrightunsigned("_spot", 52).cast("int"))
     sums = docs.groupBy("_pattern", "_slot").agg(F.sum("_weight").alias("_sum"))
     sums = materialize(sums, "mix-sums")
@@ -179,9 +180,9 @@ def mix_sources(
     fits = (F.col("_rest") > 0) & (F.col("_base") + F.col("_before") <= F.col("_rest"))
     near = near.withColumn("_more", F.when(fits, 1).otherwise(0)).drop("_before")
     rows = clear.unionByName(near)
-    rows = rows.withColumn("taken", (F.col("_weight") * (F.col("_whole") + F.col("_more"))).cast("long"))
-    hidden = ["_pattern", "_weight", "_spot", "_slot", "_whole", "_rest", "_cut", "_base", "_more"]
-    return Mix(rows.drop(*hidden), targets, dict(sizes), flows)
+    taken = (F.col("_weight") * (F.col("_whole") + F.col("_more"))).cast("long").alias("taken")
+    rows = rows.select(*[F.col("_row").getField(c).alias(c) for c in columns if c.lower() != "taken"], taken)
+    return Mix(rows, targets, dict(sizes), flows)
 
 
 def cycle_weights(order: list, cycle: tuple = (3.0, 1.0, 2.0)) -> dict:

@@ -351,5 +351,6 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     Rows without an id stay; of repeated rows of one id all stay or go.
     """
-    gone = similar_groups(docs, id_col, text_col).filter(F.col(id_col) != F.col("component_id"))
-    return docs.join(gone.select(F.col(id_col).alias("_gone")).distinct(), F.col(id_col) == F.col("_gone"), "left_anti")
+    groups = similar_groups(docs, id_col, text_col)
+    gone = groups.filter(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("id")).distinct()
+    return docs.alias("rows").join(gone.alias("gone"), F.col(f"rows.`{id_col}`") == F.col("gone.id"), "left_anti")
