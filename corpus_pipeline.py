@@ -1,6 +1,8 @@
 """A corpus pipeline over the documents table, from language identification to a mix of sources.
 
-Every stage takes (spark, docs, sf_dir) and all rows that the stage before it kept.
+Every stage takes (spark, docs, sf_dir) and all rows that the stage before it kept.  All stages read whole texts,
+however long; take tables without rows, which stay so; and hand on the columns of documents, further ones being left
+behind, whatever they are called.  What they do with nulls, ties and repeated rows, their docstrings say.
 """
 
 from __future__ import annotations
@@ -23,28 +25,44 @@ ORACLE_SQL = None
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language like those of the labelled ones: texts without a letter, and letters that are no
-    language by a network with a calibrated limit, go.  Where none could be trained all texts with a letter stay."""
+    language by a network with a calibrated limit, go.  Where none could be trained all texts with a letter stay.
+
+    Null and empty texts go; a null id, label or source decides nothing.  Equal texts, and so repeated rows, all stay
+    or all go; a text at the limit stays."""
     bounded_batches(spark)
     return docs.filter(has_language(fit_gate(docs), F.col("text"))).select(*COLUMNS)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that an earlier document has go from the text; n_chars follows."""
+    """Lines that an earlier document has go from the text; n_chars follows.
+
+    Every row stays.  Null texts become empty ones.  Rows without an id lose no line and make no other lose one.  Of
+    equal lines that with the smallest id stays; repeated rows of one id are one document and lose the same lines."""
     return dedup_lines(docs.select(*COLUMNS)).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the smallest id, stays of each group of similar ones."""
+    """One document, that with the smallest id, stays of each group of similar ones.
+
+    Texts that are null or have no word are similar to nothing and stay, as do rows without an id.  Repeated rows of
+    the id that stays all stay."""
     return keep_one_of_each(docs).select(*COLUMNS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
+    """Documents that hold a benchmark item go.
+
+    Null texts hold none; items without a word are in none; rows without an id count as one document, so they all go
+    if one of them holds an item.  Repeated rows all stay or all go.  A similarity of exactly 0.8 is enough."""
     return drop_leaks(docs, read(spark, sf_dir, "benchmark")).select(*COLUMNS)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the mix takes, with their size in words, the words taken and the times they are repeated."""
+    """The documents that the mix takes, with their size in words, the words taken and the times they are repeated.
+
+    Documents without a word have nothing to take and go.  A null source is a source of its own.  Among rows of one id
+    and size, repeated rows among them, which are taken makes no difference; other ties are settled by a seeded hash
+    of the id, so that reruns agree."""
     sized = docs.select(*COLUMNS).withColumn("size", word_count(F.col("text"))).withColumn("members", F.array("source"))
     mix = mix_sources(materialize(sized, "pipeline-sizes"), "members", "size", F.col("doc_id"), cycle_weights)
     repeats = (F.col("taken") / F.col("size")).cast("int").alias("repeats")
