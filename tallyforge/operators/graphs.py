@@ -2,43 +2,65 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def layers(nodes: DataFrame, edges: DataFrame, limit: int = 1000) -> DataFrame:
-    """(node, layer): 0 without predecessors, else one more than the highest of them; nodes on cycles are left out.
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """df written to the folder of spark.checkpoint.dir, so that rounds don't pile up in one plan."""
+    context = df.sparkSession.sparkContext
+    if context._jsc.sc().getCheckpointDir().isEmpty():
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not folder and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        context.setCheckpointDir(folder or "file://" + tempfile.mkdtemp(prefix="tallyforge-"))
+    return df.checkpoint()
+
+
+def layers(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """(node, layer): 0 without predecessors, else one more than the highest of them.
+
+    edges (a, b): b needs a; edges from or to unknown nodes, and null ends, are passed over.  Nodes on a cycle, and
+    those that need one, are left out.  Every round takes the nodes whose predecessors are all placed, so there are as
+    many rounds as layers, and a round costs no more than the edges that are left, however many ways there are.
+    """
+    left = cut_lineage(nodes.select("node").filter("node is not null").distinct())
+    known = left.select("node")
+    open_edges = edges.select("a", "b").distinct().join(known.withColumnRenamed("node", "a"), "a").join(known.withColumnRenamed("node", "b"), "b")
+    open_edges = cut_lineage(open_edges.select("a", "b"))
+    placed, layer = left.select("node", F.lit(0).alias("layer")).limit(0), 0
+    while True:
+        ready = cut_lineage(left.join(open_edges.select(F.col("b").alias("node")).distinct(), "node", "left_anti"))
+        if ready.isEmpty():
+            return placed
+        placed = placed.unionByName(ready.select("node", F.lit(layer).alias("layer")))
+        left = cut_lineage(left.join(ready, "node", "left_anti"))
+        open_edges = cut_lineage(open_edges.join(ready.withColumnRenamed("node", "a"), "a", "left_anti"))
+        layer += 1
+
+
+def critical_path(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """(node, length, path): the heaviest way of nodes (node, weight) that ends at each node; of equal ones the greater.
 
-    edges (a, b): b needs a.  A recursive common table expression finds the longest way to each node, which for an
-    acyclic graph is its layer; ways longer than the number of nodes only a cycle has.
+    Nodes that layers leaves out are left out.  One row a node is kept, layer by layer.
     """
-    spark = nodes.sparkSession
-    n = nodes.count()
-    nodes.createOrReplaceTempView("_layer_nodes")
-    edges.createOrReplaceTempView("_layer_edges")
-    walk = spark.sql(f"""
-        with recursive walk(node, depth) max recursion level {min(n + 1, limit)} as (
-          select node, 0 from _layer_nodes where node not in (select b from _layer_edges)
-          union all
-          select e.b, w.depth + 1 from walk w join _layer_edges e on e.a = w.node where w.depth <= {n})
-        select node, max(depth) as layer from walk group by node""")
-    return walk.filter(F.col("layer") < n)
-
-
-def critical_path(nodes: DataFrame, edges: DataFrame, limit: int = 1000) -> DataFrame:
-    """(node, length, path): the heaviest way of nodes (node, weight) that ends at each node."""
-    spark = nodes.sparkSession
-    nodes.createOrReplaceTempView("_path_nodes")
-    edges.createOrReplaceTempView("_path_edges")
-    walk = spark.sql(f"""
-        with recursive walk(node, length, path) max recursion level {limit} as (
-          select node, cast(weight as bigint), cast(node as string) from _path_nodes where node not in (select b from _path_edges)
-          union all
-          select e.b, w.length + cast(n.weight as bigint), concat(w.path, '>', e.b)
-          from walk w join _path_edges e on e.a = w.node join _path_nodes n on n.node = e.b)
-        select * from walk""")
-    best = F.max_by(F.struct("length", "path"), F.struct(F.col("length"), F.col("path")))
-    return walk.groupBy("node").agg(best.alias("b")).select("node", "b.length", "b.path")
+    placed = layers(nodes, edges)
+    rows = cut_lineage(placed.join(nodes.select("node", F.col("weight").cast("long").alias("weight")), "node"))
+    last = rows.agg(F.max("layer")).first()[0]
+    path = F.col("node").cast("string")
+    done = rows.filter("layer = 0").select("node", F.col("weight").alias("length"), path.alias("path"))
+    if last is None:
+        return done
+    steps = cut_lineage(edges.select("a", "b").distinct().join(rows.select(F.col("node").alias("b"), "layer"), "b"))
+    for layer in range(1, last + 1):
+        ways = steps.filter(F.col("layer") == layer).join(done.withColumnRenamed("node", "a"), "a")
+        best = ways.groupBy(F.col("b").alias("node")).agg(F.max(F.struct("length", "path")).alias("best"))
+        now = best.join(rows.filter(F.col("layer") == layer), "node")
+        now = now.select("node", (F.col("best.length") + F.col("weight")).alias("length"), F.concat("best.path", F.lit(">"), path).alias("path"))
+        done = cut_lineage(done.unionByName(now))
+    return done
 
 
 def flattened(rows: DataFrame, key: str, json: str, depth: int = 4) -> DataFrame:

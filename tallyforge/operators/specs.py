@@ -186,12 +186,15 @@ def typed_specs(items: DataFrame, rules: DataFrame) -> DataFrame:
     joined = raw.join(targets, ["item", "label"])
     for store, disabled in STORE_DISABLED.items():
         joined = joined.filter(~F.coalesce((F.col("store") == store) & F.col("field").isin(*disabled), F.lit(False)))
+    # Labels have few different texts beside their items: each is parsed once for its field.
+    texts = joined.select("field", "raw").distinct()
     value = F.coalesce(*[F.when(F.col("field") == f, units.parse_field(F.col("raw"), f).cast("string")) for f in FIELDS])
     ok = F.coalesce(*[F.when(F.col("field") == f, units.is_plausible(f, F.col("value"))) for f in FIELDS])
+    texts = texts.withColumn("value", value).withColumn("ok", ok)
     short = ~F.col("direct") & (F.length("label") < 4)
-    scored = joined.withColumn("value", value).withColumn("confidence", confidence(F.col("field"), F.col("raw"), F.col("direct"), F.col("priority"), ambiguous=short))
+    scored = joined.join(texts, ["field", "raw"]).withColumn("confidence", confidence(F.col("field"), F.col("raw"), F.col("direct"), F.col("priority"), ambiguous=short))
     scored = scored.withColumn("least", least_confidence(F.coalesce("category", F.lit(""))))
-    resolved = resolve(scored, ["item", "field"], ok).filter("value is not null")
+    resolved = resolve(scored, ["item", "field"], F.col("ok")).filter("value is not null")
     return resolved.groupBy("item").pivot("field", list(FIELDS)).agg(F.first("value"))
 
 

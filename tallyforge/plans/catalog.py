@@ -238,16 +238,16 @@ def spec_rule_rank(spark, sf_dir):
 
 
 @query("""
-with c as (select l_partkey as item, l_orderkey * 10 + l_linenumber as pos, cast(l_quantity as integer) as v, cast(0.6 + l_linenumber * 0.01 as decimal(5,4)) as conf from lineitem where l_linenumber <= 2),
+with c as (select l_partkey as item, l_orderkey * 10 + l_linenumber as pos, cast(l_quantity as integer) as v, cast(0.6 + l_linenumber * 0.01 as decimal(5,4)) as conf from lineitem),
 f as (select *, first_value(v) over (partition by item order by pos) as f0, count(*) over (partition by item) as n from c),
 a as (select item, n, f0, bool_and(v = f0) as same, bool_and(abs(v - f0) <= 0.05 * greatest(abs(v), abs(f0), 1e-9)) as near, max(conf) as top,
   arg_max(v, struct_pack(c := conf, p := -pos)) as bv, max(conf) as bc, bool_or(v between 1 and 128) as any_ok from f group by item, n, f0),
-s as (select a.*, (select count(*) from c where c.item = a.item and c.v between 1 and 128 and abs(c.v - a.bv) <= 0.05 * greatest(abs(c.v), abs(a.bv), 1e-9)) as support from a),
-t as (select *, cast(least(0.98, top + least(0.12, 0.04 * ((case when same then n else greatest(support, 1) end) - 1))) as decimal(5,4)) as score from s)
+s as (select a.item, count(*) as near_best from a join c on c.item = a.item where c.v between 1 and 128 and abs(c.v - a.bv) <= 0.05 * greatest(abs(c.v), abs(a.bv), 1e-9) group by 1),
+t as (select a.*, cast(least(0.98, top + least(0.12, 0.04 * ((case when same then n else greatest(coalesce(near_best, 0), 1) end) - 1))) as decimal(5,4)) as score from a left join s on s.item = a.item)
 select item, 'ram_gb' as field, case when any_ok and (same or near) and score >= 0.65 then cast(case when same then f0 else bv end as varchar) end as value, score, cast(n as integer) as n,
   case when not any_ok then 'suppressed_by_plausibility' when not same and not near then 'suppressed_by_conflict' when score < 0.65 then 'suppressed_by_confidence' end as reason from t""")
 def conflict_resolve(spark, sf_dir):
-    li = read(spark, sf_dir, "lineitem").filter("l_linenumber <= 2")
+    li = read(spark, sf_dir, "lineitem")
     rows = li.select(
         F.col("l_partkey").alias("item"), F.lit("ram_gb").alias("field"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("pos"),
         F.col("l_quantity").cast("int").cast("string").alias("value"), F.lit(0.65).alias("least"),
@@ -623,27 +623,35 @@ def redact_params(spark, sf_dir):
     return read(spark, sf_dir, "pages").select("page_id", text.mask_query(F.col("url"), ("ref", "utm_source")).alias("masked"))
 
 
-EDGES = [("a", "b"), ("a", "c"), ("b", "d"), ("c", "d"), ("d", "e"), ("f", "e")]
-WEIGHTS = [("a", 3), ("b", 2), ("c", 5), ("d", 1), ("e", 4), ("f", 9)]
-DAG_SQL = "with recursive n(node, weight) as (values " + ", ".join(f"('{n}', {w})" for n, w in WEIGHTS) + "), e(a, b) as (values " + ", ".join(f"('{a}', '{b}')" for a, b in EDGES) + ")"
+DAG_SQL = """with n as (select 'r' || r_regionkey as node, 0 as layer, r_regionkey as weight, null as up from region
+  union all select 'n' || n_nationkey, 1, n_nationkey, 'r' || n_regionkey from nation union all select 'c' || c_custkey, 2, c_custkey % 7, 'n' || c_nationkey from customer
+  union all select 'o' || o_orderkey, 3, o_orderkey % 5, 'c' || o_custkey from orders)"""
 
 
-def dag(spark):
-    return spark.createDataFrame(WEIGHTS, "node string, weight int"), spark.createDataFrame(EDGES, "a string, b string")
+def dag(spark, sf_dir):
+    """Regions, nations, customers and orders as nodes, each needing the one it belongs to, and customers their region too."""
+    name = lambda kind, key: F.concat(F.lit(kind), F.col(key).cast("string"))
+    region, nation, customer, orders = (read(spark, sf_dir, t) for t in ("region", "nation", "customer", "orders"))
+    node = lambda df, kind, key, weight: df.select(name(kind, key).alias("node"), weight.cast("long").alias("weight"))
+    nodes = node(region, "r", "r_regionkey", F.col("r_regionkey")).union(node(nation, "n", "n_nationkey", F.col("n_nationkey")))
+    nodes = nodes.union(node(customer, "c", "c_custkey", F.col("c_custkey") % 7)).union(node(orders, "o", "o_orderkey", F.col("o_orderkey") % 5))
+    edge = lambda df, a, b: df.select(name(*a).alias("a"), name(*b).alias("b"))
+    edges = edge(nation, ("r", "n_regionkey"), ("n", "n_nationkey")).union(edge(customer, ("n", "c_nationkey"), ("c", "c_custkey")))
+    edges = edges.union(edge(orders, ("c", "o_custkey"), ("o", "o_orderkey")))
+    direct = customer.join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"))
+    return nodes, edges.union(edge(direct, ("r", "n_regionkey"), ("c", "c_custkey")))
 
 
-@query(DAG_SQL + ", w(node, depth) as (select node, 0 from n where node not in (select b from e) union all select e.b, depth + 1 from w join e on e.a = w.node) select node, max(depth) as layer from w group by 1")
+@query(DAG_SQL + " select node, layer from n")
 def topo_layers(spark, sf_dir):
-    nodes, edges = dag(spark)
-    return graphs.layers(nodes, edges)
+    return graphs.layers(*dag(spark, sf_dir))
 
 
-@query(DAG_SQL + """, w(node, length, path) as (select node, cast(weight as bigint), node from n where node not in (select b from e)
-  union all select e.b, length + n.weight, path || '>' || e.b from w join e on e.a = w.node join n on n.node = e.b)
-select node, max(length) as length, arg_max(path, struct_pack(l := length, p := path)) as path from w group by 1""")
+@query(DAG_SQL + """
+select a.node, a.weight::bigint + coalesce(b.weight, 0) + coalesce(c.weight, 0) + coalesce(d.weight, 0) as length, concat_ws('>', d.node, c.node, b.node, a.node) as path
+from n a left join n b on b.node = a.up left join n c on c.node = b.up left join n d on d.node = c.up""")
 def critical_path(spark, sf_dir):
-    nodes, edges = dag(spark)
-    return graphs.critical_path(nodes, edges)
+    return graphs.critical_path(*dag(spark, sf_dir))
 
 
 @query()

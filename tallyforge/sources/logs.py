@@ -19,35 +19,42 @@ def is_noise(line: Column) -> Column:
     return line.rlike("|".join("\\Q" + x + "\\E" for x in NOISE))
 
 
-def json_summary(message: Column) -> Column:
-    """event store= page= items= source_id= url= of a message with a JSON object in it; null without event or object."""
-    j = F.nullif(F.regexp_extract(message, r"(\{.*)$", 1), F.lit(""))
-    get = lambda *paths: F.coalesce(*[F.nullif(F.get_json_object(j, p), F.lit("")) for p in paths])
-    event = get("$.event", "$.message_code")
-    store = F.nullif(get("$.store", "$.spider", "$.correlation.store_name", "$.details.store_name"), F.lit("*"))
+#: Fields of a message's JSON object that its summary is made of.
+EVENT = """event string, message_code string, store string, spider string, page string, extracted_count string, source_id string,
+  canonical_url string, source_url string, category_url string, details struct<store_name: string>, metrics struct<page: string, product_links: string>,
+  correlation struct<store_name: string, source_id: string, source_url: string, category_url: string>"""
+
+
+def json_summary(j: Column) -> Column:
+    """event store= page= items= source_id= url= of an EVENT struct; null without event."""
+    get = lambda *paths: F.coalesce(*[F.nullif(j[p] if "." not in p else j[p.split(".")[0]][p.split(".")[1]], F.lit("")) for p in paths])
+    event = get("event", "message_code")
+    store = F.nullif(get("store", "spider", "correlation.store_name", "details.store_name"), F.lit("*"))
     parts = (
-        ("store", store), ("page", get("$.page", "$.metrics.page")), ("items", get("$.extracted_count", "$.metrics.product_links")),
-        ("source_id", get("$.source_id", "$.correlation.source_id")),
-        ("url", get("$.canonical_url", "$.source_url", "$.category_url", "$.correlation.source_url", "$.correlation.category_url")),
+        ("store", store), ("page", get("page", "metrics.page")), ("items", get("extracted_count", "metrics.product_links")),
+        ("source_id", get("source_id", "correlation.source_id")),
+        ("url", get("canonical_url", "source_url", "category_url", "correlation.source_url", "correlation.category_url")),
     )
     return F.when(event.isNotNull(), F.concat_ws(" ", event, *[F.concat(F.lit(n + "="), v) for n, v in parts]))
 
 
-def compact_message(message: Column) -> Column:
-    m = message
+def without_prefixes(message: Column) -> Column:
+    """The message without the first occurrence of each prefix."""
     for p in PREFIXES:
-        m = F.regexp_replace(m, rf"^(.*?)\Q{p}\E", "$1")
-    marked = F.nullif(F.regexp_extract(m, r"((?:UI_RUN_FINISH|scraper_db_saved).*)$", 1), F.lit(""))
-    return F.coalesce(marked, json_summary(m), m)
+        message = F.array_join(F.split(message, rf"\Q{p}\E", 2), "")
+    return message
 
 
 def parsed(lines: DataFrame, column: str = "value") -> DataFrame:
-    """lines with time, level, message and noise."""
+    """lines with time, level, message and noise.  A message's JSON is read once, into one struct."""
     line = F.col(column)
     dated = line.rlike(r"^20\S* \S+ .")
-    time = F.when(dated, F.regexp_extract(line, r"^\S+ (\S+) ", 1)).otherwise("")
-    message = F.when(dated, F.regexp_extract(line, r"^\S+ \S+ (.*)$", 1)).otherwise(line)
-    return lines.withColumns({"time": time, "level": level(line), "message": compact_message(message), "noise": is_noise(line)})
+    rest = F.when(dated, F.regexp_extract(line, r"^\S+ \S+ (.*)$", 1)).otherwise(line)
+    rows = lines.withColumns({"time": F.when(dated, F.regexp_extract(line, r"^\S+ (\S+) ", 1)).otherwise(""), "level": level(line), "message": without_prefixes(rest)})
+    marked = F.nullif(F.regexp_extract("message", r"((?:UI_RUN_FINISH|scraper_db_saved).*)$", 1), F.lit(""))
+    rows = rows.withColumns({"_marked": marked, "_event": F.from_json(F.regexp_extract("message", r"(\{.*)$", 1), EVENT)})
+    message = F.coalesce("_marked", json_summary(F.col("_event")), "message")
+    return rows.withColumns({"message": message, "noise": is_noise(line)}).drop("_marked", "_event")
 
 
 def run_summaries(lines: DataFrame, column: str = "value") -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from tallyforge.operators.outbox import upsert
+from tallyforge.operators.outbox import latest
 
 
 def without_repeats(events: DataFrame, keys: list[str], ts: str, horizon: str = "1 day") -> DataFrame:
@@ -80,25 +80,28 @@ def entity_state(events: DataFrame, key: str, ts: str, horizon: str = "1 day") -
     return stream.groupBy(key).applyInPandasWithState(step, f"{key} {kind}, {fields}", fields, "update", GroupStateTimeout.EventTimeTimeout)
 
 
-def publish_due(outbox: DataFrame, send, checkpoint: str, once: bool = True):
-    """Start a query that hands each batch of due outbox rows to send(batch), which returns its results to be stored.
+def publish_due(outbox: DataFrame, send, store, checkpoint: str, once: bool = True):
+    """Start a query that hands each batch of due outbox rows to send(batch) and its results to store(results, batch_id).
 
-    outbox: a stream of rows; rows that aren't pending or retryable are passed over.
+    outbox: a stream of rows; rows that aren't pending or retryable are passed over, and an event is sent once in a
+    batch.  Results are one row an event.  A batch that is replayed after a failure comes with the same batch_id, so a
+    store that keeps results by event or batch takes it once.
     """
 
-    def run(batch: DataFrame, _: int) -> None:
-        send(batch.filter(F.col("status").isin("pending", "retryable")).dropDuplicates(["event_id"]))
+    def run(batch: DataFrame, batch_id: int) -> None:
+        due = batch.filter(F.col("status").isin("pending", "retryable")).dropDuplicates(["event_id"])
+        store(send(due), batch_id)
 
     writer = outbox.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="2 seconds")).start()
 
 
-def into_versions(events: DataFrame, keys: list[str], folder: str, name: str, checkpoint: str, once: bool = True):
-    """Start a query that merges each micro-batch into a versioned table, the last event of a key winning."""
+def into_versions(events: DataFrame, keys: list[str], recency: list[str], folder: str, name: str, checkpoint: str, once: bool = True):
+    """Start a query that merges each micro-batch into a versioned table, the last event of a key by recency winning."""
     from tallyforge.sources.tables import write_snapshot
 
     def merge(batch: DataFrame, _: int) -> None:
-        write_snapshot(folder, name, batch.dropDuplicates(keys), keys)
+        write_snapshot(folder, name, latest(batch, keys, recency), keys)
 
     writer = events.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="5 seconds")).start()
@@ -108,6 +111,3 @@ def retried_first(batch: DataFrame, retries: DataFrame, size: int, order: str) -
     """The next batch to send: retries before new events, each in order, `size` at most."""
     rows = retries.withColumn("is_retry", F.lit(True)).unionByName(batch.withColumn("is_retry", F.lit(False)))
     return rows.orderBy(F.col("is_retry").desc(), order).limit(size)
-
-
-__all__ = ["into_versions", "retried_first", "spike_latch", "upsert", "without_repeats"]

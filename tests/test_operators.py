@@ -131,8 +131,32 @@ def test_streams(spark, tmp_path):
     assert len(run(state.without_repeats(stream(), ["k", "v"], "ts"), "distinct_rows")) == 2
     fired = run(state.spike_latch(stream(), ["k"], "ts"), "latch")
     assert [(r.k, r.n) for r in fired] == [("a", 5), ("a", 5)]
-    state.into_versions(stream(), ["k"], f"file://{tmp_path}/out", "t", str(tmp_path / "ck")).awaitTermination()
-    assert spark.read.parquet(f"file://{tmp_path}/out/t/v0").count() == 2
+    state.into_versions(stream(), ["k"], ["ts"], f"file://{tmp_path}/out", "t", str(tmp_path / "ck")).awaitTermination()
+    assert {(r.k, r.ts) for r in spark.read.parquet(f"file://{tmp_path}/out/t/v0").collect()} == {("a", T0 + dt.timedelta(seconds=540)), ("b", T0 + dt.timedelta(seconds=501))}
+
+
+def test_publish_due_stores_results(spark, tmp_path):
+    fields = "event_id string, status string"
+    spark.createDataFrame([("e1", "pending"), ("e1", "pending"), ("e2", "published"), ("e3", "retryable")], fields).coalesce(1).write.parquet(str(tmp_path / "in"))
+    stored = {}
+    send = lambda due: due.select("event_id", F.lit("ok").alias("result"))
+    store = lambda results, batch: stored.__setitem__(batch, sorted(tuple(r) for r in results.collect()))
+    state.publish_due(spark.readStream.schema(fields).parquet(str(tmp_path / "in")), send, store, str(tmp_path / "ck")).awaitTermination()
+    assert stored == {0: [("e1", "ok"), ("e3", "ok")]}
+
+
+def test_layers_and_paths_of_many_ways_and_cycles(spark):
+    nodes = [(f"{k}{s}", 1) for k in range(12) for s in "xyz"]  # 3 ** 11 ways
+    edges = [(f"{k}{s}", f"{k + 1}{t}") for k in range(11) for s in "xyz" for t in "xyz"] + [("p", "q"), ("q", "p"), ("q", "11x"), (None, "0x"), ("0x", "nowhere")]
+    nodes = spark.createDataFrame(nodes + [("p", 1), ("q", 1)], "node string, weight int")
+    edges = spark.createDataFrame(edges, "a string, b string")
+    got = {r.node: r.layer for r in graphs.layers(nodes, edges).collect()}
+    assert got == {f"{k}{s}": k for k in range(12) for s in "xyz" if (k, s) != (11, "x")}
+    best = {r.node: (r.length, r.path) for r in graphs.critical_path(nodes, edges).collect()}
+    assert best["11y"] == (12, ">".join(f"{k}z" for k in range(11)) + ">11y") and set(best) == set(got)
+    ring = spark.createDataFrame([("r", "a"), ("a", "b"), ("b", "a")], "a string, b string")
+    three = spark.createDataFrame([("r", 1), ("a", 1), ("b", 1)], "node string, weight int")
+    assert [(r.node, r.layer) for r in graphs.layers(three, ring).collect()] == [("r", 0)] and graphs.critical_path(three, ring).count() == 1
 
 
 def test_products(spark):
