@@ -80,3 +80,12 @@ def key_inventory(rows: DataFrame, json: str, keys: list[str]) -> DataFrame:
     """(keys, field, n): the fields that JSON objects have, and in how many rows."""
     fields = rows.select(*keys, F.explode(F.json_object_keys(json)).alias("field"))
     return fields.groupBy(*keys, "field").agg(F.count("*").alias("n"))
+
+
+def json_size(json: Column) -> Column:
+    """struct<keys, leaves>: names and scalar values of a JSON text at all depths; null for a null text."""
+    text = r'"(?:[^"\\]|\\.)*+"'
+    named = text + r"\s*:"
+    rest = F.regexp_replace(json, named, "")
+    leaves = F.regexp_count(rest, F.lit(text + r"|-?\d[\d.eE+-]*|\b(?:true|false|null)\b"))
+    return F.struct(F.regexp_count(json, F.lit(named)).alias("keys"), leaves.alias("leaves"))

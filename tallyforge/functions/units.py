@@ -323,9 +323,51 @@ def string_field(raw: Column, field: str) -> Column:
     return x
 
 
+#: Names of processors by their model codes.
+PROCESSORS = {
+    "SM8550": "Snapdragon 8 Gen 2",
+    "SM8550-AB": "Snapdragon 8 Gen 2",
+    "SM8650-AB": "Snapdragon 8 Gen 3",
+    "SM8475": "Snapdragon 8+ Gen 1",
+    "SM8450": "Snapdragon 8 Gen 1",
+    "SM7435": "Snapdragon 6 Gen 1",
+    "SM6375": "Snapdragon 695",
+    "SM6225": "Snapdragon 680",
+    "Dimensity 9200": "Dimensity 9200",
+    "Dimensity 9300": "Dimensity 9300",
+    "Dimensity 8200": "Dimensity 8200",
+    "Dimensity 7200": "Dimensity 7200",
+    "Dimensity 1080": "Dimensity 1080",
+    "Dimensity 700": "Dimensity 700",
+    "MT6769": "Helio G85",
+    "MT6833": "Dimensity 700",
+    "MT6893": "Dimensity 1200",
+    "A16 Bionic": "Apple A16 Bionic",
+    "A17 Pro": "Apple A17 Pro",
+    "A18 Pro": "Apple A18 Pro",
+    "M1": "Apple M1",
+    "M2": "Apple M2",
+    "M3": "Apple M3",
+    "M3 Pro": "Apple M3 Pro",
+    "M3 Max": "Apple M3 Max",
+    "Tensor G3": "Google Tensor G3",
+    "Tensor G4": "Google Tensor G4",
+    "Exynos 2400": "Samsung Exynos 2400",
+    "Exynos 2200": "Samsung Exynos 2200",
+    "Exynos 1380": "Samsung Exynos 1380",
+    "Exynos 1280": "Samsung Exynos 1280",
+    "Kirin 9000S": "Huawei Kirin 9000S",
+    "i5-1335U": "Intel Core i5-1335U",
+    "i7-13700H": "Intel Core i7-13700H",
+    "i7-14700HX": "Intel Core i7-14700HX",
+    "Ryzen 5 7530U": "AMD Ryzen 5 7530U",
+    "Ryzen 7 7840HS": "AMD Ryzen 7 7840HS",
+}
+
+
 def processor(raw: Column, aliases: dict | None = None) -> Column:
     x = labelled_text(raw, "processor")
-    return F.coalesce(lookup(F.lower(x), {k.lower(): v for k, v in (aliases or {}).items()}), x)
+    return F.coalesce(lookup(F.lower(x), {k.lower(): v for k, v in (PROCESSORS if aliases is None else aliases).items()}), x)
 
 
 #: Parser of every typed field, by its name.

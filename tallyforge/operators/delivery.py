@@ -118,6 +118,6 @@ def newest(rows: DataFrame, order: str, most: int = 50) -> DataFrame:
     return rows.orderBy(F.col(order).desc()).limit(most)
 
 
-def requeued(ids: DataFrame, column: str) -> DataFrame:
-    """How many rows were sent back, and their ids in order."""
-    return ids.agg(F.count("*").alias("n"), F.array_sort(F.collect_list(column)).alias("ids"))
+def requeued(ids: DataFrame, column: str, keys: tuple[str, ...] = ()) -> DataFrame:
+    """How many rows of each key were sent back, and their ids in order; without keys those of one replay."""
+    return ids.groupBy(*keys).agg(F.count("*").alias("n"), F.array_sort(F.collect_list(column)).alias("ids"))

@@ -64,31 +64,36 @@ def critical_path(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def flattened(rows: DataFrame, key: str, json: str, depth: int = 4) -> DataFrame:
-    """(key, path, value) of the leaves of a JSON object column, nested objects down to `depth`."""
-    out, level = None, rows.select(key, F.lit("").alias("path"), F.col(json).alias("value"))
-    for _ in range(depth):
-        level = level.select(key, "path", F.explode(F.from_json("value", "map<string,string>")).alias("_k", "value"))
-        level = level.select(key, F.when(F.col("path") == "", F.col("_k")).otherwise(F.concat("path", F.lit("."), "_k")).alias("path"), "value")
-        nested = F.coalesce(F.col("value").rlike(r"^\s*\{"), F.lit(False))
-        leaves = level.filter(~nested)
+    """(key, path, value, kind) of the leaves of a JSON object column, nested objects down to `depth`.
+
+    kind is null, boolean, number, string, array or object; an object is a leaf only below depth.
+    """
+    out, level = None, rows.select(key, F.lit("").alias("path"), F.col(json).alias("_raw"))
+    for last in [False] * (depth - 1) + [True]:
+        level = level.select(key, "path", F.explode(F.from_json("_raw", "map<string,variant>")).alias("_k", "_v"))
+        path = F.when(F.col("path") == "", F.col("_k")).otherwise(F.concat("path", F.lit("."), "_k")).alias("path")
+        level = level.select(key, path, F.coalesce(F.to_json("_v"), F.lit("null")).alias("_raw"), F.expr("try_variant_get(_v, '$', 'string')").alias("value"))
+        leaves = level if last else level.filter(json_kind(F.col("_raw")) != "object")
+        leaves = leaves.select(key, "path", "value", json_kind(F.col("_raw")).alias("kind"))
         out = leaves if out is None else out.unionByName(leaves)
-        level = level.filter(nested)
-    return out.unionByName(level)
+        level = level.filter(json_kind(F.col("_raw")) == "object").select(key, "path", "_raw")
+    return out
 
 
-def json_kind(value: Column) -> Column:
+def json_kind(raw: Column) -> Column:
+    """Kind of a JSON text."""
     return (
-        F.when(value.isNull() | (value == "null"), "null").when(value.isin("true", "false"), "boolean").when(value.rlike(r"^-?[0-9]+(\.[0-9]+)?([eE][+-]?[0-9]+)?$"), "number")
-        .when(value.rlike(r"^\s*\["), "array").when(value.rlike(r"^\s*\{"), "object").otherwise("string")
+        F.when(raw == "null", "null").when(raw.isin("true", "false"), "boolean").when(raw.startswith("["), "array").when(raw.startswith("{"), "object")
+        .when(raw.startswith('"'), "string").otherwise("number")
     )
 
 
 def contract_changes(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
     """(key, path, change, level) of a full outer match of flattened records."""
-    b = before.select(key, "path", F.col("value").alias("old"))
-    a = after.select(key, "path", F.col("value").alias("new"))
+    b = before.select(key, "path", F.col("kind").alias("old"))
+    a = after.select(key, "path", F.col("kind").alias("new"))
     joined = b.withColumn("_b", F.lit(True)).join(a.withColumn("_a", F.lit(True)), [key, "path"], "full_outer")
-    old, new = json_kind(F.col("old")), json_kind(F.col("new"))
+    old, new = F.col("old"), F.col("new")
     change = F.when(F.col("_b").isNull(), "added").when(F.col("_a").isNull(), "removed").when((old != new) & (old != "null"), "type_changed").otherwise("same")
     rows = joined.select(key, "path", change.alias("change")).filter("change <> 'same'")
     return rows.withColumn("level", F.when(F.col("change") == "added", "compatible").otherwise("breaking"))

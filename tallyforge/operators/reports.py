@@ -88,9 +88,21 @@ def migration(levels: DataFrame, deprecated: DataFrame, key: str) -> DataFrame:
 
 
 def import_edges(sources: DataFrame, module: str = "module", text: str = "text") -> DataFrame:
-    """(module, imported) for each top-level import in Python sources."""
-    plain = F.regexp_extract_all(F.col(text), F.lit(r"(?m)^\s*(?:from|import)\s+([A-Za-z_][\w.]*)"), F.lit(1))
-    return sources.select(F.col(module).alias("module"), F.explode(F.array_distinct(plain)).alias("imported")).distinct()
+    """(module, imported) for each import in Python sources: all names of a list, relative ones seen from the module."""
+    sources = sources.select(F.col(module).alias("_module"), F.col(text).alias("_text"))
+    lists = F.regexp_extract_all(F.col("_text"), F.lit(r"(?m)^[ \t]*import[ \t]+([^\n#;]+)"), F.lit(1))
+    plain = F.flatten(F.transform(lists, lambda names: F.split(names, ",")))
+    plain = F.transform(plain, lambda n: F.regexp_extract(n, r"^\s*([\w.]+)", 1))
+    origins = F.regexp_extract_all(F.col("_text"), F.lit(r"(?m)^[ \t]*from[ \t]+(\.*[\w.]*)[ \t]+import\b"), F.lit(1))
+    parts = F.split(F.col("_module"), r"\.")
+
+    def seen(origin: Column) -> Column:
+        dots = F.length(F.regexp_extract(origin, r"^(\.*)", 1))
+        base, rest = F.slice(parts, F.lit(1), F.greatest(F.size(parts) - dots, F.lit(0))), F.regexp_replace(origin, r"^\.+", "")
+        return F.when(dots == 0, origin).otherwise(F.array_join(F.filter(F.concat(base, F.array(rest)), lambda x: x != ""), "."))
+
+    found = F.array_distinct(F.filter(F.concat(plain, F.transform(origins, seen)), lambda x: x != ""))
+    return sources.select(F.col("_module").alias("module"), F.explode(found).alias("imported")).distinct()
 
 
 def import_violations(edges: DataFrame, rules: DataFrame) -> DataFrame:

@@ -1,0 +1,6 @@
+"""The named queries of the listing operators, with SQL oracles."""
+
+from tallyforge.plans import catalog, records
+from tallyforge.plans.registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES", "catalog", "records"]

@@ -2,34 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyforge.functions import category, identity, listings, price, records, text, units, urls
 from tallyforge.operators import decisions, delivery, filters, graphs, lookups, outbox, policy, reports, rollups, runs, specs, variants, windows
+from tallyforge.plans.registry import query, read
 from tallyforge.sources import logs
 from tallyforge.sources import pages as page_fields
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLES[f.__name__] = sql
-        return f
-
-    return add
-
-
-def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
-
-
 NOW = "timestamp '1998-01-01 00:00:00'"
 SCHEME = r"regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*):', 1)"
 HOST = r"lower(regexp_extract(url, '^(?:[^:/?#]+:)?//([^/?#]*)', 1))"
@@ -134,7 +114,8 @@ def visible_text_len(spark, sf_dir):
     return read(spark, sf_dir, "pages").select("page_id", F.length(text.visible_text(F.col("html"))).alias("visible_chars"))
 
 
-@query()
+@query(r"""
+select page_id, case when regexp_matches(url, '//m\.') then 'mobile_redirect' when page_id % 20 = 0 then 'access_denied' when page_id % 20 = 1 then 'transport_like_error_page' end as page_class from pages""")
 def page_class(spark, sf_dir):
     status = F.when(F.col("page_id") % 20 == 0, 403).when(F.col("page_id") % 20 == 1, 503).otherwise(200)
     bare = F.regexp_replace("url", "//m\\.", "//")
@@ -142,7 +123,8 @@ def page_class(spark, sf_dir):
     return read(spark, sf_dir, "pages").select("page_id", c.alias("page_class"))
 
 
-@query()
+@query("""
+select p_partkey, case when p_size % 5 = 0 or contains(p_name, 'ring') then 'accessory' when p_size % 5 = 1 then 'laptop' when p_size % 5 = 2 then 'tv' else 'phone' end as category from part""")
 def category_from_text(spark, sf_dir):
     none = F.array().cast("array<string>")
     p = read(spark, sf_dir, "part")
@@ -268,7 +250,10 @@ def cross_field_sanity(spark, sf_dir):
     return specs.cross_checks(rows).drop("category").withColumn("warnings", F.array_join("warnings", ","))
 
 
-@query()
+@query("""
+select p_partkey as item, (p_size % 16 + 1)::varchar as ram_gb, (p_size * 10)::varchar as storage_gb, p_size || '.0' as display_size_inch, 'Black' as color,
+  case when p_size % 2 = 0 and p_size >= 5 then (p_size * 10)::varchar end as weight_g, case when p_size >= 10 then (p_size / 100.0)::double::varchar end as weight_kg, """ + ", ".join(
+    f"null::varchar as {f}" for f in specs.FIELDS if f not in ("ram_gb", "storage_gb", "display_size_inch", "color", "weight_g", "weight_kg")) + " from part")
 def typed_specs(spark, sf_dir):
     n = F.col("p_size").cast("string")
     specs_map = F.create_map(
@@ -281,7 +266,7 @@ def typed_specs(spark, sf_dir):
 
 @query("select event_id, 'k' as path, json_extract_string(props, '$.k') as value from events where json_extract_string(props, '$.k') is not null")
 def json_flatten(spark, sf_dir):
-    return graphs.flattened(read(spark, sf_dir, "events"), "event_id", "props")
+    return graphs.flattened(read(spark, sf_dir, "events"), "event_id", "props").drop("kind")
 
 
 # --- Admission ------------------------------------------------------------------------------------------------------
@@ -486,6 +471,21 @@ def slo_levels(spark, sf_dir):
     return rollups.service_levels(c, ["store"])
 
 
+#: Alerts from service levels: the worse of the level's severity and that of the gap, as ranks.
+ALERT_SQL = SLO_SQL + """, g as (select *, abs(observed - limit_value) as gap, observed - limit_value as over_by, limit_value - observed as short_by,
+  case sev when 'critical' then 3 when 'high' then 2 when 'warning' then 1 else 0 end as own from d where breached),
+r as (select *, case when metric in ('block_page_rate', 'malformed_response_rate', 'unresolved_reconciliation_rate') then case when gap > 0.15 or observed > limit_value * 3 then 3 when gap > 0.05 then 2 else 1 end
+    when metric = 'duplicate_payload_skip_rate' and observed > 0.85 then 2 when metric in ('low_coverage_rate', 'duplicate_payload_skip_rate') then case when gap > 0.25 then 1 else 0 end
+    when metric in ('parse_success_rate', 'apply_success_rate') then case when short_by > 0.15 then 3 when short_by > 0.08 then 2 else 1 end
+    when metric = 'rejected_item_rate' then case when over_by > 0.2 then 3 when over_by > 0.08 then 2 else 1 end when metric = 'retryable_failure_rate' then case when over_by > 0.15 then 2 else 1 end
+    when metric = 'zero_result_category_rate' then case when over_by > 0.25 then 2 else 1 end else 1 end as told from g),
+a as (select *, greatest(own, told) as rank_, ['info', 'warning', 'high', 'critical'][greatest(own, told) + 1] as severity,
+  case when metric in ('block_page_rate', 'zero_result_category_rate') then 'store_access' when metric = 'parse_success_rate' then 'crawl_quality' when metric = 'low_coverage_rate' then 'normalization_quality'
+    when metric in ('apply_success_rate', 'rejected_item_rate', 'retryable_failure_rate') then 'crm_apply' when metric = 'malformed_response_rate' then 'delivery_transport'
+    when metric = 'unresolved_reconciliation_rate' then 'reconciliation' else 'internal' end as domain,
+  cast(cast(round(cast(observed as decimal(18, 6)), 4) as decimal(18, 4)) as varchar) as shown, cast(cast(limit_value as decimal(18, 4)) as varchar) as shown_limit from r)"""
+
+
 @query(SLO_SQL + " select store, metric, observed, limit_value, comparison, breached, case when breached then sev end as severity from d")
 def slo_thresholds(spark, sf_dir):
     return slo_levels(spark, sf_dir)
@@ -497,12 +497,16 @@ def worst_status(spark, sf_dir):
     return rollups.service_status(slo_levels(spark, sf_dir), ["store"])
 
 
-@query()
+@query(ALERT_SQL + """
+select store, metric, observed, limit_value, comparison, breached, severity, 'THRESHOLD_BREACHED:' || metric as alert_code, domain,
+  metric || ' breached SLO (observed=' || shown || ', threshold=' || shown_limit || ', cmp=' || comparison || ')' as message from a""")
 def alerts(spark, sf_dir):
     return rollups.alerts(slo_levels(spark, sf_dir))
 
 
-@query()
+@query(ALERT_SQL + """, t(metric, seen) as (values ('parse_success_rate', 1008397945), ('apply_success_rate', 3054600782), ('block_page_rate', 1757914102), ('zero_result_category_rate', 1798193939), ('low_coverage_rate', 738886436), ('rejected_item_rate', 4083201836), ('retryable_failure_rate', 377719230), ('malformed_response_rate', 1206755099), ('unresolved_reconciliation_rate', 898412967), ('duplicate_payload_skip_rate', 3603079477), ('min_items_per_active_store', 2651151442)),
+k as (select store, case rank_ when 3 then 2 when 2 then 1 else 0 end as class, domain, count(*) as n, min(seen) as first_at from a join t using (metric) group by 1, 2, 3)
+select store, domain as incident_domain from (select *, row_number() over (partition by store order by class desc, case when class = 2 then 0 else n end desc, first_at) as place from k) where place = 1""")
 def incident_mode(spark, sf_dir):
     found = rollups.alerts(slo_levels(spark, sf_dir)).withColumn("at", F.crc32("metric"))
     return rollups.incident_domain(found, ["store"], "at")
@@ -603,13 +607,18 @@ def ban_spike_window(spark, sf_dir):
     return windows.in_window_count(e, ["event_type"], "ts", 3600).select("event_id", "n_recent")
 
 
-@query()
+@query("""
+with c as (select event_id, event_type, ts, count(*) over (partition by event_type order by ts range between interval 86400 second preceding and current row) as n_recent from events where event_type = 'error'),
+l as (select *, coalesce(lag(n_recent) over (partition by event_type order by ts, event_id), 0) as before from c) select event_id, ts, n_recent from l where n_recent >= 5 and before < 5""")
 def ban_spike_latch(spark, sf_dir):
     e = read(spark, sf_dir, "events").filter("event_type = 'error'")
     return windows.spikes(e, ["event_type"], "ts", "event_id", 86400, 5).filter("fires").select("event_id", "ts", "n_recent")
 
 
-@query()
+@query("""
+with g as (select user_id, list({'ban': 0, 'health': 100, 'ok': event_type <> 'error'} order by ts, event_id) as steps from events group by 1),
+f as (select user_id, list_reduce(list_prepend({'ban': 0, 'health': 100, 'ok': true}, steps), lambda a, x: {'ban': greatest(0, a.ban + case when x.ok then -1 else 1 end),
+  'health': least(100, greatest(0, a.health + case when x.ok then 3 else -10 end)), 'ok': true}) as s from g) select user_id, s.ban as ban_score, s.health as health from f""")
 def proxy_health(spark, sf_dir):
     e = read(spark, sf_dir, "events").withColumn("ok", F.col("event_type") != "error")
     return windows.proxy_health(e, "user_id", ["ts", "event_id"], "ok")
@@ -654,7 +663,11 @@ def critical_path(spark, sf_dir):
     return graphs.critical_path(*dag(spark, sf_dir))
 
 
-@query()
+@query(r"""
+with h as (select page_id, html, regexp_extract(html, '(?is)<h1\b[^>]*>(.*?)</h1\s*>', 1) as h1, list_distinct(regexp_extract_all(html, '<a\b[^>]*\shref="([^"#][^"]*)"', 1)).len() as n_links,
+  regexp_extract(html, '<a\b[^>]*\shref="([^"#][^"]*)"', 1) as link from pages),
+d as (select *, replace(replace(replace(replace(replace(replace(regexp_replace(h1, '<[^>]+>', ' ', 'g'), '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)), '&amp;', '&') as t from h)
+select page_id, nullif(trim(regexp_replace(t, '[\s\x{00A0}]+', ' ', 'g')), '') as title, n_links::int as n_links, nullif(trim(link), '') as first_link from d""")
 def extract_title_links(spark, sf_dir):
     h = F.col("html")
     found = page_fields.links(h)
@@ -713,12 +726,15 @@ def merged_counters(spark, sf_dir):
     return runs.merged_counters(e, "run", "counter", "n")
 
 
-@query()
+@query(ALERT_SQL + """
+select 'r' as run, domain, count(distinct store) as n_sources, case domain when 'crm_apply' then 'GLOBAL_MULTI_STORE_CRM_APPLY_STRESS' else 'GLOBAL_MULTI_STORE_TRANSPORT_STRESS' end as alert_code, 'high' as severity
+from a where domain in ('delivery_transport', 'crm_apply') and rank_ >= 2 group by domain having count(distinct store) >= 2""")
 def global_stress(spark, sf_dir):
     return runs.stressed(rollups.alerts(slo_levels(spark, sf_dir)).withColumn("run", F.lit("r")), "run", "store")
 
 
-@query()
+@query(ALERT_SQL + """
+select * from (select store, metric, severity, row_number() over (partition by store order by rank_ desc, metric) as rank from a) where rank <= 2""")
 def worst_alerts(spark, sf_dir):
     return runs.worst_alerts(rollups.alerts(slo_levels(spark, sf_dir)), ["store"], 2, "metric").select("store", "metric", "severity", "rank")
 
@@ -853,7 +869,10 @@ def release_gates(spark, sf_dir):
     return policy.gates(g, spark.createDataFrame([("ok_a", True), ("ok_b", False)], "flag string, ok boolean"))
 
 
-@query()
+@query("""
+with m as (select user_id, avg(value * 40) as req, avg(case when event_type = 'click' then value * 40 end) as norm, count(*) as n from events group by 1)
+select user_id, 'crawl_request' as stage, req as observed, 3000.0::double as limit_value, 'high' as severity from m where req > 3000
+union all select user_id, 'normalize', norm, 500.0, 'high' from m where norm > 500 union all select user_id, 'product_parse', 1.5, 2.0, 'warning' from m where n >= 10""")
 def bottlenecks(spark, sf_dir):
     e = read(spark, sf_dir, "events").withColumn("ms", F.col("value") * 40)
     a = e.groupBy("user_id").agg(F.avg("ms").alias("avg_request_ms"), F.avg(F.when(F.col("event_type") == "click", F.col("ms"))).alias("avg_normalize_ms"), F.count("*").alias("products_total"), F.lit(1.5).alias("products_per_minute"))
@@ -878,7 +897,13 @@ def redact_payload(spark, sf_dir):
     return read(spark, sf_dir, "events").select("event_id", records.redacted_json(doc).alias("masked"), records.schema_version(F.col("props"), ("$.none", "$.k")).alias("version"))
 
 
-@query()
+@query("""
+with p as (select p_partkey as k, p_name as title, 'https://a.example/p/' || p_partkey as url, p_size * 1000 as price, p_brand as brand, case when contains(p_name, 'ring') then 'accessory' else 'unknown' end as category from part),
+h as (select *, sha1(unhex('6ba7b8119dad11d180b400c04fd430c8') || encode('outbox:r1:S:' || k)) as h from p)
+select substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-' || lower(to_hex((('0x' || substr(h, 17, 1))::int & 3) + 8)) || substr(h, 18, 3) || '-' || substr(h, 21, 12) as event_id,
+  'scraper.product.scraped.v1' as event_type, 'S:' || k as entity_key,
+  'sha256:' || sha256('{"brand":"' || brand || '","category":"' || category || '","price":' || price || ',"stock":true,"title":"' || title || '","url":"' || url || '"}') as payload_hash,
+  '{"title":"' || title || '","url":"' || url || '","price":' || price || ',"stock":true,"brand":"' || brand || '","category":"' || category || '"}' as payload, 'price_update' as change_hint from h""")
 def delivery_events(spark, sf_dir):
     p = read(spark, sf_dir, "part")
     items = p.select(
@@ -938,7 +963,10 @@ def message_counts(spark, sf_dir):
     return reports.message_counts(read(spark, sf_dir, "events"), ["user_id"], "event_type", {"view": "seen", "error": "failed"})
 
 
-@query()
+@query("""
+select p_partkey, case p_size % 3 when 0 then 'Samsung' when 2 then 'Haier' end as brand,
+  case when p_size % 3 = 1 or contains(p_name, 'ring') then 'accessory' when p_size % 3 = 0 then 'phone' else 'appliance' end as category,
+  case p_size % 3 when 0 then p_name when 1 then 'Чехол для iPhone ' || p_name else 'Духовой шкаф Haier ' || p_name end as model from part""")
 def listing_fields(spark, sf_dir):
     p = read(spark, sf_dir, "part")
     title = F.concat(F.when(F.col("p_size") % 3 == 0, "Samsung ").when(F.col("p_size") % 3 == 1, "Чехол для iPhone ").otherwise("Духовой шкаф Haier "), F.col("p_name"))

@@ -7,7 +7,7 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from tallyforge.plans.catalog import ORACLES, QUERIES
+from tallyforge.plans import ORACLES, QUERIES
 
 SF = Path("/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not SF.exists(), reason="no test data")
