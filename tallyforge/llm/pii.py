@@ -1,11 +1,12 @@
 """Personal data by weak supervision.
 
-Candidates are spans of five kinds: the four base kinds, and `secret` (long token-like strings).  Three families of
-labelers vote on each candidate, +1 (personal), -1 (not) or 0 (no opinion): regex labelers look at the form,
-gazetteer labelers at words of a fixed list near by, context labelers at the characters around it.  How often each
-pattern of votes occurs in the whole corpus is counted by Spark; expectation-maximisation over these counts
-estimates every labeler's reliability, and a logistic classifier of span features is then fitted to the resulting
-posteriors.  The classifier decides the spans that are no base spans; base spans are always kept.
+Candidates are spans of eight kinds: the four base kinds, `secret` (long token-like strings), `number` (nine digits),
+`name` (a given name of a list, with or without a surname) and `address` (a street with or without a number).  Three
+families of labelers vote on each candidate, +1 (personal), -1 (not) or 0 (no opinion): regex labelers look at the
+form, gazetteer labelers at lists of cue words, surnames, titles and places, context labelers at what stands around.
+How often each pattern of votes occurs in the whole corpus is counted by Spark; expectation-maximisation over these
+counts estimates every labeler's reliability, and a logistic classifier of span features is then fitted to the
+resulting posteriors.  The classifier decides the spans that are no base spans; base spans are always kept.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -23,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.llm.common import bounded_batches
 
-KINDS = ("email", "ip", "card", "phone", "secret", "number")
+KINDS = ("email", "ip", "card", "phone", "secret", "number", "name", "address")
 BASE = KINDS[:4]
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -43,9 +45,35 @@ NEAR = {
     "phone": {"phone", "tel", "call", "mobile", "fax", "cell"},
     "secret": {"token", "secret", "key", "apikey", "api_key", "password", "passwd", "pwd", "auth", "bearer"},
     "number": {"ssn", "passport", "id", "tax", "licence", "license", "account", "iban"},
+    "name": {"name", "named", "contact", "dear", "signed", "author", "by", "from", "mr", "mrs", "ms", "dr", "prof", "herr", "frau", "monsieur", "madame", "senor", "senora", "nombre", "nom"},
+    "address": {"address", "lives", "live", "street", "home", "ship", "adresse", "wohnt", "habite", "vive", "direccion", "at"},
 }
-WORDS = re.compile(r"[A-Za-z_]+")
-LABELERS = ("form", "mixed", "gazetteer", "assigned", "apart")
+#: Common given names, surnames and cities of English, German, French and Spanish speaking countries.
+GIVEN = frozenset(
+    "James Robert Michael David William Richard Joseph Thomas Charles Daniel Matthew Anthony Steven Andrew Kenneth Joshua Kevin Brian George Edward "
+    "Mary Patricia Jennifer Linda Elizabeth Barbara Susan Jessica Sarah Karen Nancy Margaret Sandra Ashley Emily Michelle Laura Rebecca Helen Anna "
+    "Hans Peter Wolfgang Klaus Jürgen Stefan Andreas Markus Ursula Monika Petra Sabine Claudia Heike Jean Pierre François Philippe Nicolas Marie Sophie "
+    "Camille Isabelle Nathalie José Juan Carlos Miguel Javier Fernando Alejandro María Carmen Lucía Elena Isabel Pilar".split()
+)
+SURNAMES = frozenset(
+    "Smith Johnson Williams Brown Jones Miller Davis Wilson Anderson Taylor Thomas Moore Jackson Martin Lee Thompson White Harris Clark Lewis Walker Hall "
+    "Young King Wright Scott Green Baker Adams Nelson Carter Mitchell Müller Schmidt Schneider Fischer Weber Meyer Wagner Becker Schulz Hoffmann Koch Bauer "
+    "Bernard Dubois Durand Leroy Moreau Simon Laurent Lefebvre Michel Garcia García Rodríguez González Fernández López Martínez Sánchez Pérez Gómez".split()
+)
+PLACES = frozenset(
+    "london manchester birmingham york boston chicago houston phoenix dallas austin seattle denver portland berlin hamburg münchen munich köln frankfurt "
+    "stuttgart leipzig dresden wien zürich bern paris lyon marseille toulouse nice nantes lille bordeaux madrid barcelona valencia sevilla zaragoza bilbao málaga".split()
+)
+NAME = re.compile(r"(?<!\w)(" + "|".join(sorted(GIVEN)) + r")(?:[ ]+([A-Z][^\W\d_]+(?:-[A-Z][^\W\d_]+)?))?(?!\w)")
+STREET = re.compile(
+    r"(?<!\w)(?:([0-9]{1,5}[a-z]?),?[ ]+)?(?:[A-Z][^\W\d_]+[ ]+){1,3}(?:Street|Road|Avenue|Lane|Drive|Boulevard|Square)(?!\w)"
+    r"|(?<!\w)[A-Z][^\W\d_]*(?:straße|strasse|weg|platz|gasse)(?:[ ]+([0-9]{1,4}[a-z]?))?(?!\w)"
+)
+STREET_WORDS = ("Street", "Road", "Avenue", "Lane", "Drive", "Boulevard", "Square", "stra", "weg", "platz", "gasse")
+WORDS = re.compile(r"[^\W\d]+")
+#: So many words before and after a span are near it.
+NEAR_WORDS = 4
+LABELERS = ("form", "mixed", "cue", "listed", "assigned", "apart")
 
 
 def luhn(digits: str) -> bool:
@@ -89,8 +117,9 @@ def candidates(text: str) -> list[tuple[str, int, int, bool]]:
     ends = [e for _, e in taken]
     more = [("secret", m.start(), m.end(), False) for m in TOKEN.finditer(text)]
     more += [("number", m.start(), m.end(), False) for m in NUMBER.finditer(text)]
-    from bisect import bisect_right
-
+    more += [("name", m.start(), m.end(), False) for m in NAME.finditer(text)]
+    if any(w in text for w in STREET_WORDS):
+        more += [("address", m.start(), m.end(), False) for m in STREET.finditer(text)]
     for x in more:
         i = bisect_right(ends, x[1])
         if i == len(taken) or taken[i][0] >= x[2]:
@@ -102,28 +131,59 @@ def entropy(s: str) -> float:
     return -sum(n / len(s) * math.log2(n / len(s)) for n in Counter(s).values())
 
 
-def votes_of(text: str, kind: str, start: int, end: int, valid: bool) -> tuple[int, ...]:
-    span, before, after = text[start:end], text[max(0, start - 24) : start], text[end : end + 12]
-    letters = any(c.isalpha() for c in span)
+class Around:
+    """The words of a text and where they are, so that those near a span are found without reading the text again."""
+
+    def __init__(self, text: str):
+        self.text = text
+        found = [(m.start(), m.end(), m.group().lower()) for m in WORDS.finditer(text)]
+        self.starts, self.ends, self.words = ([x[i] for x in found] for i in range(3))
+
+    def before(self, start: int) -> list[str]:
+        i = bisect_right(self.ends, start)
+        return self.words[max(0, i - NEAR_WORDS) : i]
+
+    def after(self, end: int) -> list[str]:
+        i = bisect_left(self.starts, end)
+        return self.words[i : i + NEAR_WORDS]
+
+    def assigned(self, start: int) -> bool:
+        """Whether = or : stands before the span, blanks and a quote between them."""
+        i = start - 1
+        if i >= 0 and self.text[i] in "\"'":
+            i -= 1
+        while i >= 0 and self.text[i].isspace():
+            i -= 1
+        return i >= 0 and self.text[i] in "=:"
+
+
+def votes_of(around: Around, kind: str, start: int, end: int, valid: bool) -> tuple[int, ...]:
+    text, listed = around.text, 0
+    span, before, after = text[start:end], text[start - 1 : start] if start else "", text[end : end + 1]
+    letters, digits = any(c.isalpha() for c in span), any(c.isdigit() for c in span)
     if kind in BASE:
-        form = 1 if valid else -1
-        mixed = 0
+        form, mixed = (1 if valid else -1), 0
     elif kind == "secret":
-        form = 1 if re.fullmatch(r"[0-9a-fA-F]{32,}|[A-Za-z0-9_/+=-]{20,}", span) and any(c.isdigit() for c in span) else -1
-        mixed = 1 if letters and any(c.isdigit() for c in span) and entropy(span[:256]) > 3.0 else -1
-    else:
+        form = 1 if digits else -1
+        mixed = 1 if letters and digits and entropy(span) > 3.0 else -1
+    elif kind == "number":
         form, mixed = (1 if re.fullmatch(r"[0-9]{3}-[0-9]{2}-[0-9]{4}", span) else 0), (1 if len(set(span)) > 3 else -1)
-    near = {w.lower() for w in WORDS.findall(before)}
-    gazetteer = 1 if near & NEAR[kind] else 0
-    assigned = 1 if re.search(r"[=:]\s*[\"']?$", before) else (-1 if kind == "secret" else 0)
-    apart = 1 if (not before or before[-1] in " \t\n\"'(=:|,;<[") and (not after or after[0] in " \t\n\"').,;:|>]!?%&$*#") else -1
-    return form, mixed, gazetteer, assigned, apart
+    elif kind == "name":
+        form, mixed = (1 if " " in span else -1), 0
+        listed = 1 if span.rpartition(" ")[2] in SURNAMES and " " in span else 0
+    else:
+        form, mixed = (1 if digits else -1), 0
+        listed = 1 if PLACES.intersection(around.after(end)) else 0
+    cue = 1 if NEAR[kind].intersection(around.before(start)) else 0
+    assigned = 1 if around.assigned(start) else (-1 if kind == "secret" else 0)
+    apart = 1 if (not before or before in " \t\n\"'(=:|,;<[") and (not after or after in " \t\n\"').,;:|>]!?%&$*#") else -1
+    return form, mixed, cue, listed, assigned, apart
 
 
-def features_of(text: str, kind: str, start: int, end: int, votes: tuple) -> list[float]:
-    span = text[start:end]
+def features_of(around: Around, kind: str, start: int, end: int, votes: tuple) -> list[float]:
+    span = around.text[start:end]
     digits = sum(c.isdigit() for c in span) / len(span)
-    return [1.0, *map(float, votes), digits, min(len(span), 64) / 64, entropy(span[:256]) / 6, *(float(kind == k) for k in KINDS)]
+    return [1.0, *map(float, votes), digits, min(len(span), 64) / 64, entropy(span) / 6, *(float(kind == k) for k in KINDS)]
 
 
 def fit_votes(counts: dict[tuple, int], rounds: int = 40) -> tuple[dict[tuple, float], np.ndarray]:
@@ -166,17 +226,19 @@ def fit_spans(x: np.ndarray, y: np.ndarray, rounds: int = 300) -> np.ndarray:
 def fit(docs: DataFrame, text_col: str = "text", sample: int = 5000) -> np.ndarray:
     """Weights of the span classifier.
 
-    Vote patterns are counted over all documents.  The classifier itself is fitted on at most `sample` spans of
-    each kind, those with the smallest hashes.
+    Vote patterns are counted over all documents.  The classifier itself is fitted on a bounded sample: of each kind
+    and pattern of votes, the span with the smallest hash in each of sample / 64 buckets of hashes.
     """
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = []
             for text in pdf["text"]:
-                for kind, start, end, valid in candidates(text or ""):
-                    votes = votes_of(text, kind, start, end, valid)
-                    rows.append((kind, ",".join(map(str, votes)), features_of(text, kind, start, end, votes), hash_of(text[start:end])))
+                found = candidates(text or "")
+                around = Around(text) if found else None
+                for kind, start, end, valid in found:
+                    votes = votes_of(around, kind, start, end, valid)
+                    rows.append((kind, ",".join(map(str, votes)), features_of(around, kind, start, end, votes), hash_of(text[start:end])))
             yield pd.DataFrame(rows, columns=["kind", "votes", "x", "h"])
 
     spans = docs.select(F.col(text_col).alias("text")).mapInPandas(count, "kind string, votes string, x array<double>, h long")
@@ -209,8 +271,9 @@ FOUND = "n_email long, n_ip long, n_card long, n_phone long, n_added long, base
 def find_pii(docs: DataFrame, text_col: str = "text", out_col: str = "pii", weights: np.ndarray | None = None) -> DataFrame:
     """Add out_col: counts and spans (kind:start:end in code points) of personal data in text_col.
 
-    `base` lists the base spans, `spans` all of them.  Null texts count as empty; repeated rows give equal results;
-    other columns pass through.  weights: from fit(); fitted on docs if not given.
+    `base` lists the base spans, `spans` all of them.  Null texts count as empty; very long ones are read whole, in
+    time linear in their length; repeated rows give equal results; a span with even odds (a tie) is kept; other columns
+    pass through, one called out_col is replaced.  No rows give no rows.  weights: from fit(); fitted on docs if not given.
     """
     bounded_batches(docs.sparkSession)
     weights = fit(docs, text_col) if weights is None else weights
@@ -220,12 +283,14 @@ def find_pii(docs: DataFrame, text_col: str = "text", out_col: str = "pii", weig
         rows = []
         for text in texts:
             text = text or ""
-            base, added = [], []
+            base, added, around = [], [], None
             for kind, start, end, valid in candidates(text):
                 if valid:
                     base.append((kind, start, end))
-                elif kind not in BASE and np.dot(weights, features_of(text, kind, start, end, votes_of(text, kind, start, end, valid))) >= 0:
-                    added.append((kind, start, end))
+                elif kind not in BASE:
+                    around = around or Around(text)
+                    if np.dot(weights, features_of(around, kind, start, end, votes_of(around, kind, start, end, valid))) >= 0:
+                        added.append((kind, start, end))
             counts = Counter(k for k, _, _ in base)
             rows.append((*(counts[k] for k in BASE), len(added), joined(base), joined(base + added)))
         return pd.DataFrame(rows, columns=[x.split()[0] for x in FOUND.split(", ")])
