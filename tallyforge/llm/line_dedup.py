@@ -5,7 +5,8 @@
    twice or both have it once, so the merged twice filter holds every key that two documents share.
 2. Lines that miss the twice filter stay where they are.  Only suspected repeats are shuffled: grouping by the
    whole key confirms that two documents hold it and finds the smallest id.
-3. The lines to drop are gathered for each document and taken out of its text.
+3. The lines to drop are gathered for each document and taken out of its text.  Texts without a suspected line stay
+   where they are; only the others meet their drop lists in a shuffle.
 
 The filters are sized at 16 bits a line and bounded by filter_mb, which is also what each Python worker and the
 driver hold.  Where the corpus has more lines than that, more of them are suspected and shuffled; the result is
@@ -21,7 +22,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.llm.common import bounded_batches, discard, lookup_join, materialize, merged_arrays
@@ -98,24 +99,40 @@ def merge_filters(rows: list[dict]) -> dict:
     return {"at": at.tobytes(), "once": once[at].tobytes(), "twice": twice[at].tobytes()}
 
 
+def suspected_keys(texts: Iterator[bytes | None], twice: np.ndarray, words: int) -> tuple[list[bytes], np.ndarray]:
+    """The keys that hit the twice filter, each with the place of its text."""
+    keys, rows = [], []
+    for i, t in enumerate(texts):
+        own = line_keys(t)
+        keys += own
+        rows += [i] * len(own)
+    index, mask = spots(np.array([xxhash.xxh3_64_intdigest(k) for k in keys], dtype=np.uint64), words)
+    hit = np.flatnonzero((twice[index] & mask) == mask)
+    return [keys[i] for i in hit], np.array(rows, np.int64)[hit]
+
+
 def suspects_of(held, words: int):
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         twice = np.frombuffer(held.value, np.uint64)
         for batch in batches:
-            keys, rows = [], []
-            for i, t in enumerate(batch.column("text")):
-                own = line_keys(t.as_py())
-                keys += own
-                rows += [i] * len(own)
-            hashes = np.array([xxhash.xxh3_64_intdigest(k) for k in keys], dtype=np.uint64)
-            index, mask = spots(hashes, words)
-            hit = np.flatnonzero((twice[index] & mask) == mask)
-            ids = batch.column("id").take(pa.array(np.array(rows, np.int64)[hit], pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array([keys[i] for i in hit], pa.binary()), ids], names=["key", "id"])
+            keys, rows = suspected_keys((t.as_py() for t in batch.column("text")), twice, words)
+            ids = batch.column("id").take(pa.array(rows, pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), ids], names=["key", "id"])
 
     return find
 
 
+def is_suspected(held, words: int):
+    """UDF: whether a text (binary) has a line that hits the twice filter.  A text that has none loses nothing."""
+
+    def flag(texts: pd.Series) -> pd.Series:
+        out = np.zeros(len(texts), bool)
+        out[suspected_keys(texts, np.frombuffer(held.value, np.uint64), words)[1]] = True
+        return pd.Series(out)
+
+    return F.pandas_udf(flag, "boolean")
+
+
 def strip_lines(texts: pd.Series, drops: pd.Series) -> pd.DataFrame:
     kept, total, gone = [], [], []
     for text, drop in zip(texts, drops):
@@ -128,6 +145,10 @@ def strip_lines(texts: pd.Series, drops: pd.Series) -> pd.DataFrame:
     return pd.DataFrame({"kept": kept, "n_lines": total, "n_dropped": gone})
 
 
+def line_breaks(text: Column) -> Column:
+    return F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit("")))
+
+
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", filter_mb: int = 64) -> DataFrame:
     """docs with the lines that an earlier document already has taken out of text_col.
 
@@ -142,8 +163,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     spark = docs.sparkSession
     bounded_batches(spark)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text")).filter("id is not null")
-    breaks = F.length(text := F.coalesce(F.col(text_col), F.lit(""))) - F.length(F.replace(text, F.lit("\n"), F.lit("")))
-    lines = docs.agg(F.sum(breaks + 1)).first()[0] or 0
+    lines = docs.agg(F.sum(line_breaks(F.coalesce(F.col(text_col), F.lit(""))) + 1)).first()[0] or 0
     words = min(filter_mb << 17, max(CHUNK, 1 << math.ceil(math.log2(lines / 4 + 1))))
     parts = texts.mapInArrow(partition_filters(words), "chunk int, part int, at binary, once binary, twice binary")
     parts = materialize(parts, "line-filters")
@@ -166,7 +186,13 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     drops = materialize(drops.groupBy("id").agg(F.collect_set("key").alias("keys")), "line-drops")
     discard(suspects, confirmed)
     strip = F.pandas_udf(strip_lines, "kept binary, n_lines long, n_dropped long")
-    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id")).join(drops, "id", "left")
-    rows = rows.select("row", strip(F.col("row").getField(text_col).cast("binary"), F.col("keys")).alias("left"))
-    kept = [F.col("left.kept").cast("string").alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns if c.lower() not in ("n_lines", "n_dropped")]
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"))
+    text = F.col("row").getField(text_col)
+    touched = F.col("id").isNotNull() & is_suspected(held, words)(text.cast("binary"))
+    whole = F.coalesce(text.cast("string"), F.lit(""))
+    untouched = rows.filter(~touched).select("row", F.struct(whole.alias("kept"), (line_breaks(whole) + 1).cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_dropped")).alias("left"))
+    stripped = rows.filter(touched).join(drops, "id", "left").select("row", strip(text.cast("binary"), F.col("keys")).alias("left"))
+    stripped = stripped.select("row", F.struct(F.col("left.kept").cast("string").alias("kept"), "left.n_lines", "left.n_dropped").alias("left"))
+    rows = untouched.union(stripped)
+    kept = [F.col("left.kept").alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns if c.lower() not in ("n_lines", "n_dropped")]
     return rows.select(*kept, "left.n_lines", "left.n_dropped")
