@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyforge.llm.ball_kmeans import cluster_vectors
 from tallyforge.llm.common import materialize, read, word_count
 from tallyforge.llm.decontaminate import find_leaks
 from tallyforge.llm.html_extract import extract_main_text
@@ -145,5 +148,56 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_decontamination": op1_decontamination, "op2_line_dedup": op2_line_dedup, "op3_source_mix": op3_source_mix, "op4_ngram_jaccard": op4_ngram_jaccard, "op5_language_id": op5_language_id, "op6_toxicity": op6_toxicity, "op7_ogg_media": op7_ogg_media, "op8_html_text": op8_html_text, "op9_warc_bundles": op9_warc_bundles, "op10_pii": op10_pii}
-ORACLES: dict[str, str] = {"op2_line_dedup": OP2_SQL, "op4_ngram_jaccard": OP4_SQL, "op9_warc_bundles": OP9_SQL}
+def op13_ball_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = cluster_vectors(read(spark, sf_dir, "embeddings").select("vec_id", "embedding"), "embedding", "vec_id")
+    total = sum(found.inertia.values())
+    named = [
+        (i, inertia, total, hashlib.sha256(",".join(map(str, found.centroids[i].tolist())).encode()).hexdigest())
+        for i, inertia in found.inertia.items()
+    ]
+    named = spark.createDataFrame(named, "cluster int, cluster_inertia long, inertia long, centroid_sha256 string")
+    rows = found.rows.select("vec_id", F.col("cluster.number").alias("cluster"), "cluster.distance")
+    return rows.join(F.broadcast(named), "cluster").select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+def op13_sql(k: int = 40, rounds: int = 5) -> str:
+    """Plain Lloyd rounds, every distance computed."""
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(f"""
+d{i} as materialized (
+  select r, x, arg_min(num, (dist, num)) as num, min(dist) as dist from (
+    select v.r, v.x, c.num, list_sum(list_transform(list_zip(v.x, c.x), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::bigint as dist
+    from v, c{i} c) group by r, x)""")
+        if i < rounds:
+            steps.append(f"""
+m{i} as materialized (
+  select num, list(m order by i) as x from (
+    select num, i, (sum(x[i]) // count(*) - case when sum(x[i]) % count(*) < 0 then 1 else 0 end)::bigint as m
+    from d{i}, generate_series(1, 64) as t(i) group by num, i) group by num),
+c{i + 1} as materialized (select num, coalesce(m{i}.x, c{i}.x) as x from c{i} left join m{i} using (num))""")
+    return f"""
+with v as materialized (
+  select row_number() over () as r, vec_id, list_transform(embedding, lambda e: floor(256 * e::double)::bigint) as x
+  from embeddings
+  where len(embedding) = 64 and len(list_filter(embedding, lambda e: e is not null and isfinite(e))) = 64),
+c0 as materialized (
+  select row_number() over (order by sha256('2:' || vec_id), x) - 1 as num, x from v where vec_id is not null
+  order by sha256('2:' || vec_id), x limit {k}),{",".join(steps)},
+t as (select num, sum(dist)::bigint as cluster_inertia from d{rounds} group by num)
+select v.vec_id, d.num::int as cluster, d.dist as distance, t.cluster_inertia,
+       (select sum(dist)::bigint from d{rounds}) as inertia, sha256(array_to_string(c.x, ',')) as centroid_sha256
+from d{rounds} d join v using (r) join t on t.num = d.num join c{rounds} c on c.num = d.num
+"""
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_decontamination, op2_line_dedup, op3_source_mix, op4_ngram_jaccard, op5_language_id, op6_toxicity, op7_ogg_media,
+        op8_html_text, op9_warc_bundles, op10_pii, op13_ball_kmeans,
+    )
+}
+ORACLES: dict[str, str] = {
+    "op2_line_dedup": OP2_SQL, "op4_ngram_jaccard": OP4_SQL, "op9_warc_bundles": OP9_SQL, "op13_ball_kmeans": op13_sql(),
+}
