@@ -17,9 +17,12 @@ from tallyforge.llm.mixing import cycle_weights, mix_sources
 from tallyforge.llm.ngram_join import similar_groups
 from tallyforge.llm.ogg import encode_texts, probe_media
 from tallyforge.llm.pii import find_pii
+from tallyforge.llm.secrets import ALLOWED, CANDIDATE, CANDIDATES, CLASSES, scan_secrets
+from tallyforge.llm.secrets import ASSIGN as ASSIGN_PATTERN
 from tallyforge.llm.toxicity import fit as fit_toxicity
 from tallyforge.llm.toxicity import score_toxicity
 from tallyforge.llm.warc import read_warc, write_warc
+from tallyforge.llm.whitening import fit_whitening, whiten
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -148,6 +151,90 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_secrets(read(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    return found.select(
+        "doc_id", "secrets.n_assign", "secrets.n_access", "secrets.n_hex", F.sha2("secrets.base", 256).alias("base_sha256"),
+        "secrets.spans", "secrets.n_entropy",
+    )
+
+
+def op11_sql() -> str:
+    """Every window of every candidate string, its characters counted anew."""
+    quoted = {name: p.replace("'", "''") for name, p in [("assign", ASSIGN_PATTERN), ("access", "AKIA[A-Z0-9]+"), ("hex", "[0-9a-f]+"), ("cand", CANDIDATES % CANDIDATE)]}
+
+    def found(name: str) -> str:
+        p = quoted[name]
+        return f"""
+{name}_m as materialized (
+  select r, unnest(generate_series(1, len(m))) as i, unnest(m) as m,
+         unnest(list_transform(g[1 : len(m)], lambda x: length(x))) as gap
+  from (select r, regexp_extract_all(t, '{p}') as m, string_split_regex(t, '{p}') as g from d)),
+{name}_s as materialized (
+  select r, m, (sum(gap + length(m)) over (partition by r order by i) - length(m))::bigint as s from {name}_m)"""
+
+    classes = ", ".join(f"('{c.name}', '{c.characters}', {c.width}, {c.most})" for c in CLASSES)
+    allow = "|".join(f"(?:{a})" for a in ALLOWED)
+    return f"""
+with d as materialized (select row_number() over () as r, doc_id, coalesce(text, '') as t from documents),
+{found("assign")}, {found("access")}, {found("hex")}, {found("cand")},
+base as materialized (
+  select r, s, 0 as k, s + length(m) as e from assign_s where length(regexp_extract(m, '{quoted["assign"]}', 2)) >= 6
+  union all select r, s, 1, s + length(m) from access_s where length(m) >= 20
+  union all select r, s, 2, s + length(m) from hex_s where length(m) >= 24),
+classes(name, chars, w, most) as (values {classes}),
+letters as materialized (
+  select c.r, c.m, c.s, k.name, k.w, k.most, p, m[p] as ch, instr(k.chars, m[p]) > 0 as inside
+  from cand_s c, classes k, generate_series(1, length(c.m)) as t(p)),
+runs as materialized (
+  select *, p - row_number() over (partition by r, s, name order by p) as run from letters where inside),
+ends as materialized (
+  select r, s, name, run, min(p) as p0, max(p) as p1, any_value(m) as m, any_value(w) as w, any_value(most) as most
+  from runs group by r, s, name, run having count(*) >= any_value(w)),
+windows as (select e.*, q from ends e, generate_series(e.p0, e.p1 - e.w + 1) as t(q)),
+counts as (
+  select w.r, w.s, w.name, w.run, w.q, any_value(w.most) as most, count(*) as c
+  from windows w, generate_series(w.q, w.q + w.w - 1) as t(p) group by w.r, w.s, w.name, w.run, w.q, w.m[p]),
+high as (
+  select distinct r, s, name, run from (
+    select r, s, name, run, q from counts group by r, s, name, run, q
+    having sum(case when c > 1 then floor(c * log2(c) * 1048576 + 0.5) else 0 end) <= any_value(most))),
+kept as (
+  select r, s + p0 - 1 as s, s + p1 as e from ends join high using (r, s, name, run)
+  where not regexp_matches(m[p0 : p1], '{allow}')),
+flagged as (
+  select *, case when s < max(e) over (partition by r order by s, e rows between unbounded preceding and 1 preceding) then 0 else 1 end as fresh
+  from kept),
+islands as (select *, sum(fresh) over (partition by r order by s, e) as island from flagged),
+united as (select r, min(s) as s, max(e) as e from islands group by r, island),
+entropy as materialized (
+  select r, s, 3 as k, e from united u
+  where not exists (select 1 from base b where b.r = u.r and b.s <= u.s and u.e <= b.e)),
+spans as (
+  select r, s, k, e, ['assign', 'access', 'hex', 'entropy'][k + 1] || ':' || s || ':' || e as span
+  from (select * from base union all select * from entropy)),
+sums as (
+  select r, count(*) filter (where k = 0) as a, count(*) filter (where k = 1) as b, count(*) filter (where k = 2) as c,
+         count(*) filter (where k = 3) as n, string_agg(span, ',' order by s, k) as spans,
+         string_agg(span, ',' order by s, k) filter (where k < 3) as base
+  from spans group by r)
+select doc_id, coalesce(a, 0)::bigint as n_assign, coalesce(b, 0)::bigint as n_access, coalesce(c, 0)::bigint as n_hex,
+       sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans, coalesce(n, 0)::bigint as n_entropy
+from d left join sums using (r)
+"""
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    fitted = fit_whitening(vectors, "embedding")
+    rows = whiten(vectors, "embedding", fitted).select("vec_id", "whitening.deviation", F.posexplode("whitening.whitened").alias("i", "whitened"))
+    shares = F.array(*[F.lit(s) for s in fitted.explained]) if fitted else F.array()
+    return rows.select(
+        "vec_id", (F.col("i") + 1).alias("component"), F.lit(fitted.n if fitted else 0).cast("long").alias("n"), "deviation", "whitened",
+        shares.cast("array<double>")[F.col("i")].alias("explained"), F.lit(fitted.identity_error if fitted else 0.0).alias("identity_error"),
+    )
+
+
 def op13_ball_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = cluster_vectors(read(spark, sf_dir, "embeddings").select("vec_id", "embedding"), "embedding", "vec_id")
     total = sum(found.inertia.values())
@@ -195,9 +282,9 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_decontamination, op2_line_dedup, op3_source_mix, op4_ngram_jaccard, op5_language_id, op6_toxicity, op7_ogg_media,
-        op8_html_text, op9_warc_bundles, op10_pii, op13_ball_kmeans,
+        op8_html_text, op9_warc_bundles, op10_pii, op11_secrets, op12_whitening, op13_ball_kmeans,
     )
 }
 ORACLES: dict[str, str] = {
-    "op2_line_dedup": OP2_SQL, "op4_ngram_jaccard": OP4_SQL, "op9_warc_bundles": OP9_SQL, "op13_ball_kmeans": op13_sql(),
+    "op2_line_dedup": OP2_SQL, "op4_ngram_jaccard": OP4_SQL, "op9_warc_bundles": OP9_SQL, "op11_secrets": op11_sql(), "op13_ball_kmeans": op13_sql(),
 }
