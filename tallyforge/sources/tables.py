@@ -8,14 +8,6 @@ from pyspark.sql import functions as F
 from tallyforge.operators.outbox import upsert
 
 
-def read_jdbc(spark: SparkSession, url: str, table: str, key: str | None = None, bounds: tuple[int, int] | None = None, parts: int = 32) -> DataFrame:
-    """A database table; with key and bounds it is read in so many ranges at once."""
-    reader = spark.read.format("jdbc").option("url", url).option("dbtable", table)
-    if key and bounds:
-        reader = reader.option("partitionColumn", key).option("lowerBound", bounds[0]).option("upperBound", bounds[1]).option("numPartitions", parts)
-    return reader.load()
-
-
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,14 +32,17 @@ def spike_latch(events: DataFrame, keys: list[str], ts: str, seconds: int = 120,
             state.remove()
             return
         recent, latched = state.get if state.exists else ([], False)
-        recent, out = list(recent), []
-        for at in sorted(t for b in batches for t in b[ts].astype("int64") // 1000):
-            recent = [x for x in recent if x >= at - seconds * 1_000_000] + [int(at)]
+        recent, out = deque(recent), []
+        for at in np.sort(np.concatenate([b[ts].to_numpy("datetime64[us]").astype(np.int64) for b in batches])).tolist():
+            recent.append(at)
+            while recent[0] < at - seconds * 1_000_000:
+                recent.popleft()
             if len(recent) < threshold:
                 latched = False
             elif not latched:
                 latched = True
                 out.append((*key, pd.Timestamp(at, unit="us"), len(recent)))
+        recent = list(recent)
         state.update((recent, latched))
         state.setTimeoutTimestamp(max(recent[-1] // 1000 + seconds * 1000, state.getCurrentWatermarkMs() + 1))
         yield pd.DataFrame(out, columns=[*keys, ts, "n"])
@@ -96,12 +101,17 @@ def publish_due(outbox: DataFrame, send, store, checkpoint: str, once: bool = Tr
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="2 seconds")).start()
 
 
-def into_versions(events: DataFrame, keys: list[str], recency: list[str], folder: str, name: str, checkpoint: str, once: bool = True):
-    """Start a query that merges each micro-batch into a versioned table, the last event of a key by recency winning."""
-    from tallyforge.sources.tables import write_snapshot
+def into_versions(events: DataFrame, keys: list[str], recency: list[str], folder: str, name: str, checkpoint: str, once: bool = True, buckets: int = 16):
+    """Start a query that merges each micro-batch into a table of the set in folder, the last event of a key by recency winning.
 
-    def merge(batch: DataFrame, _: int) -> None:
-        write_snapshot(folder, name, latest(batch, keys, recency), keys)
+    Only the buckets that a batch's keys fall into are rewritten, and a batch that is replayed after a failure is taken
+    once.  `table_set.pinned(spark, folder).table(name)` reads the table.
+    """
+    from tallyforge.sources.table_set import Change, commit
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        change = Change(latest(batch, keys, recency), tuple(keys))
+        commit(batch.sparkSession, folder, {name: change}, buckets=buckets, writer=name, batch_id=batch_id)
 
     writer = events.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="5 seconds")).start()
