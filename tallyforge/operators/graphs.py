@@ -2,82 +2,136 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyforge.sources.scratch import forget, stored
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """df written to the folder of spark.checkpoint.dir, so that rounds don't pile up in one plan."""
-    context = df.sparkSession.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not folder and not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        context.setCheckpointDir(folder or "file://" + tempfile.mkdtemp(prefix="tallyforge-"))
-    return df.checkpoint()
 
+def longest_ways(nodes: DataFrame, edges: DataFrame, with_path: bool = True) -> DataFrame:
+    """(node, length, path): the heaviest way of nodes (node, weight) that ends at each node; of equal ones the greater.
 
-def layers(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """(node, layer): 0 without predecessors, else one more than the highest of them.
+    edges (a, b): b needs a; repeated edges, edges from or to unknown nodes, and null ends are passed over.  Nodes on a
+    cycle, and those that need one, are left out.  Without with_path the path is empty.
 
-    edges (a, b): b needs a; edges from or to unknown nodes, and null ends, are passed over.  Nodes on a cycle, and
-    those that need one, are left out.  Every round takes the nodes whose predecessors are all placed, so there are as
-    many rounds as layers, and a round costs no more than the edges that are left, however many ways there are.
+    A round first contracts: a node with one predecessor is that predecessor's value and a constant, so chains and
+    trees of any depth are jumped over by doubling, and ways that part and meet again become one.  Then nodes whose
+    predecessors are all known are placed.  Rounds grow with the depth of what can't be contracted, not with the length
+    of chains; rows never exceed the nodes and edges given.
     """
-    left = cut_lineage(nodes.select("node").filter("node is not null").distinct())
-    known = left.select("node")
-    open_edges = edges.select("a", "b").distinct().join(known.withColumnRenamed("node", "a"), "a").join(known.withColumnRenamed("node", "b"), "b")
-    open_edges = cut_lineage(open_edges.select("a", "b"))
-    placed, layer = left.select("node", F.lit(0).alias("layer")).limit(0), 0
+    text = F.col("node").cast("string") if with_path else F.lit("")
+    named = nodes.filter("node is not null").groupBy("node").agg(F.max(F.col("weight").cast("long")).alias("weight"))
+    known_nodes = stored(named.select("node", "weight", text.alias("name")), "graph-nodes")
+    ends = known_nodes.select(F.col("node").alias("b"), F.col("weight").alias("bw"), F.concat(F.lit(">"), "name").alias("bs") if with_path else F.lit("").alias("bs"))
+    given = edges.select("a", "b").filter("a is not null and b is not null").distinct()
+    given = given.join(ends, "b").join(known_nodes.select(F.col("node").alias("a")), "a", "left_semi")
+    # Of b's value: a's value and path, then w and s for the nodes between, then bw and bs for b itself.
+    todo = stored(given.select("b", "a", F.lit(0).cast("long").alias("w"), F.lit("").alias("s"), "bw", "bs"), "graph-edges")
+    roots = known_nodes.join(todo.select(F.col("b").alias("node")), "node", "left_anti")
+    placed = stored(roots.select("node", F.col("weight").alias("length"), F.col("name").alias("path")), "graph-roots")
+    contracted: list[DataFrame] = []
+    while not todo.isEmpty():
+        single = todo.groupBy("b").agg(F.count("*").alias("n"), *[F.first(c).alias(c) for c in ("a", "w", "s", "bw", "bs")]).filter("n = 1")
+        links = jumped(stored(single.select("b", "a", (F.col("w") + F.col("bw")).alias("w"), F.concat("s", "bs").alias("s")), "graph-links"))
+        stuck = links.isEmpty()
+        over = links.select(F.col("b").alias("a"), F.col("a").alias("_a"), F.col("w").alias("_w"), F.col("s").alias("_s"))
+        rest = todo.join(single.select("b"), "b", "left_anti").join(over, "a", "left")
+        rest = rest.select(
+            "b", F.coalesce("_a", "a").alias("a"), (F.col("w") + F.coalesce("_w", F.lit(0))).alias("w"),
+            F.concat(F.coalesce("_s", F.lit("")), "s").alias("s"), "bw", "bs",
+        )
+        best = rest.groupBy("b", "a", "bw", "bs").agg(F.max(F.struct("w", "s")).alias("m"))
+        rest = stored(best.select("b", "a", "m.w", "m.s", "bw", "bs"), "graph-rest") if not stuck else todo.join(single.select("b"), "b", "left_anti")
+        ways = rest.join(placed.withColumnRenamed("node", "a"), "a", "left")
+        through = F.struct((F.col("length") + F.col("w")).alias("length"), F.concat("path", "s").alias("path"))
+        ready = ways.groupBy("b", "bw", "bs").agg(F.count_if(F.col("length").isNull()).alias("n"), F.max(through).alias("m")).filter("n = 0")
+        ready = stored(ready.select(F.col("b").alias("node"), (F.col("m.length") + F.col("bw")).alias("length"), F.concat("m.path", "bs").alias("path")), "graph-placed")
+        left = stored(rest.join(ready.select(F.col("node").alias("b")), "b", "left_anti"), "graph-edges")
+        if stuck and ready.isEmpty():
+            break  # what is left is on cycles or behind them
+        contracted.append(links)
+        before, todo = todo, left
+        placed = stored(placed.unionByName(ready), "graph-known")
+        forget(before, *([] if stuck else [rest]))
+    for links in reversed(contracted):
+        ends_of = links.join(placed.withColumnRenamed("node", "a"), "a")
+        more = ends_of.select(F.col("b").alias("node"), (F.col("length") + F.col("w")).alias("length"), F.concat("path", "s").alias("path"))
+        placed = stored(placed.unionByName(more), "graph-known")
+    return placed
+
+
+def jumped(links: DataFrame) -> DataFrame:
+    """Links (b, a, w, s) led on to the first a that is no b itself, by doubling; those that go round in circles are left out."""
+    waiting = None
     while True:
-        ready = cut_lineage(left.join(open_edges.select(F.col("b").alias("node")).distinct(), "node", "left_anti"))
-        if ready.isEmpty():
-            return placed
-        placed = placed.unionByName(ready.select("node", F.lit(layer).alias("layer")))
-        left = cut_lineage(left.join(ready, "node", "left_anti"))
-        open_edges = cut_lineage(open_edges.join(ready.withColumnRenamed("node", "a"), "a", "left_anti"))
-        layer += 1
+        inner = links.select(F.col("b").alias("a"), F.col("a").alias("_a"), F.col("w").alias("_w"), F.col("s").alias("_s"))
+        on = links.join(inner, "a", "left")
+        now = on.filter("_a is not null").count()
+        if now == 0:
+            return links
+        if now == waiting:  # a step no longer helps any of them: they never leave a cycle
+            return links.join(inner.select("a"), "a", "left_anti").select("b", "a", "w", "s")
+        waiting, before = now, links
+        links = stored(
+            on.select("b", F.coalesce("_a", "a").alias("a"), (F.col("w") + F.coalesce("_w", F.lit(0))).alias("w"), F.concat(F.coalesce("_s", F.lit("")), "s").alias("s")),
+            "graph-links",
+        )
+        forget(before)
+
+
+def layers(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """(node, layer): 0 without predecessors, else one more than the highest of them; see longest_ways."""
+    ways = longest_ways(nodes.select("node", F.lit(1).alias("weight")), edges, with_path=False)
+    return ways.select("node", (F.col("length") - 1).cast("int").alias("layer"))
 
 
 def critical_path(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """(node, length, path): the heaviest way of nodes (node, weight) that ends at each node; of equal ones the greater.
+    """(node, length, path): the heaviest way that ends at each node; see longest_ways."""
+    return longest_ways(nodes, edges)
 
-    Nodes that layers leaves out are left out.  One row a node is kept, layer by layer.
-    """
-    placed = layers(nodes, edges)
-    rows = cut_lineage(placed.join(nodes.select("node", F.col("weight").cast("long").alias("weight")), "node"))
-    last = rows.agg(F.max("layer")).first()[0]
-    path = F.col("node").cast("string")
-    done = rows.filter("layer = 0").select("node", F.col("weight").alias("length"), path.alias("path"))
-    if last is None:
-        return done
-    steps = cut_lineage(edges.select("a", "b").distinct().join(rows.select(F.col("node").alias("b"), "layer"), "b"))
-    for layer in range(1, last + 1):
-        ways = steps.filter(F.col("layer") == layer).join(done.withColumnRenamed("node", "a"), "a")
-        best = ways.groupBy(F.col("b").alias("node")).agg(F.max(F.struct("length", "path")).alias("best"))
-        now = best.join(rows.filter(F.col("layer") == layer), "node")
-        now = now.select("node", (F.col("best.length") + F.col("weight")).alias("length"), F.concat("best.path", F.lit(">"), path).alias("path"))
-        done = cut_lineage(done.unionByName(now))
-    return done
-
-
-def flattened(rows: DataFrame, key: str, json: str, depth: int = 4) -> DataFrame:
-    """(key, path, value, kind) of the leaves of a JSON object column, nested objects down to `depth`.
-
-    kind is null, boolean, number, string, array or object; an object is a leaf only below depth.
+
+def object_depth(json: Column) -> Column:
+    """How deep braces nest in a JSON text: an upper bound of how deep its objects do."""
+    bare = F.regexp_replace(F.regexp_replace(json, r"(?s)\\.", ""), r'"[^"]*"', "")
+    steps = F.split(F.regexp_replace(bare, r"[^{}]", ""), "")
+
+    def step(acc, c):
+        at = acc["at"] + F.when(c == "{", 1).when(c == "}", -1).otherwise(0)
+        return F.struct(at.alias("at"), F.greatest(acc["most"], at).alias("most"))
+
+    return F.aggregate(steps, F.struct(F.lit(0).alias("at"), F.lit(0).alias("most")), step, lambda a: a["most"])
+
+
+def flattened(rows: DataFrame, key: str, json: str) -> DataFrame:
+    """(key, path, value, kind) of the leaves of a JSON object column, however deep.
+
+    kind is null, boolean, number, string or array; an empty object has no leaves.  Texts that are no JSON object give
+    no rows.  The deepest nesting of the column is measured first; then every level opens the objects of the one
+    before and hands its leaves on, all in one pass without a shuffle.
     """
-    out, level = None, rows.select(key, F.lit("").alias("path"), F.col(json).alias("_raw"))
-    for last in [False] * (depth - 1) + [True]:
-        level = level.select(key, "path", F.explode(F.from_json("_raw", "map<string,variant>")).alias("_k", "_v"))
-        path = F.when(F.col("path") == "", F.col("_k")).otherwise(F.concat("path", F.lit("."), "_k")).alias("path")
-        level = level.select(key, path, F.coalesce(F.to_json("_v"), F.lit("null")).alias("_raw"), F.expr("try_variant_get(_v, '$', 'string')").alias("value"))
-        leaves = level if last else level.filter(json_kind(F.col("_raw")) != "object")
-        leaves = leaves.select(key, "path", "value", json_kind(F.col("_raw")).alias("kind"))
-        out = leaves if out is None else out.unionByName(leaves)
-        level = level.filter(json_kind(F.col("_raw")) == "object").select(key, "path", "_raw")
-    return out
+    depth = rows.agg(F.max(object_depth(F.col(json)))).first()[0] or 0
+    if depth == 0:
+        empty = rows.filter(F.lit(False))
+        return empty.select(key, F.lit("").alias("path"), F.lit("").alias("value"), F.lit("").alias("kind"))
+    leaf = "struct<path:string,raw:string,value:string,open:boolean>"
+
+    def opened(path: Column, raw: Column) -> Column:
+        """The fields of an object as leaves, open where they are objects themselves."""
+        fields = F.map_entries(F.from_json(raw, "map<string,variant>"))
+
+        def one(f: Column) -> Column:
+            raw = F.coalesce(F.to_json(f["value"]), F.lit("null"))
+            name = F.when(path == "", f["key"]).otherwise(F.concat(path, F.lit("."), f["key"]))
+            text = F.try_variant_get(f["value"], "$", "string")
+            return F.struct(name.alias("path"), raw.alias("raw"), text.alias("value"), raw.startswith("{").alias("open"))
+
+        return F.coalesce(F.transform(fields, one), F.array().cast(f"array<{leaf}>"))
+
+    level = rows.select(key, F.explode(opened(F.lit(""), F.col(json))).alias("_l"))
+    for _ in range(depth - 1):
+        held = F.when(F.col("_l.open"), opened(F.col("_l.path"), F.col("_l.raw"))).otherwise(F.array("_l"))
+        level = level.select(key, F.explode(held).alias("_l"))
+    return level.filter("not _l.open").select(key, "_l.path", "_l.value", json_kind(F.col("_l.raw")).alias("kind"))
 
 
 def json_kind(raw: Column) -> Column:

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from tallyforge.operators.ranks import positions
+
 #: What to do about an incident, by its domain.
 ACTIONS = {
     "store_access": "degrade", "crawl_quality": "degrade", "normalization_quality": "continue", "crm_apply": "degrade",
@@ -15,8 +17,8 @@ ACTIONS = {
 
 def ranked_work(items: DataFrame) -> DataFrame:
     """Items (blocking, priority, phase_order, workstream, code) with their rank: blockers first, then by priority and phase."""
-    w = W.orderBy(F.when(F.col("blocking"), 0).otherwise(1), "priority", "phase_order", "workstream", "code")
-    return items.withColumn("rank", F.row_number().over(w))
+    blockers = F.when(F.col("blocking"), 0).otherwise(1)
+    return positions(items, [blockers, "priority", "phase_order", "workstream", "code"], "rank")
 
 
 def evidence(traces: DataFrame, batches: DataFrame, keys: list[str], order: str, limit: int = 8) -> DataFrame:

@@ -66,17 +66,3 @@ def spikes(rows: DataFrame, keys: list[str], ts: str, tie: str, seconds: int = 1
     w = W.partitionBy(*keys).orderBy(ts, tie)
     before = F.coalesce(F.lag("n_recent").over(w), F.lit(0))
     return rows.withColumn("fires", (F.col("n_recent") >= threshold) & (before < threshold))
-
-
-def proxy_health(rows: DataFrame, key: str, order: list[str], success: str) -> DataFrame:
-    """Ordered fold of results: success takes 1 off the ban score and adds 3 health; failure adds 1 and takes 10."""
-    start = F.struct(F.lit(0).alias("ban"), F.lit(100).alias("health"))
-
-    def step(acc, r):
-        ok = r[success]
-        ban = F.greatest(F.lit(0), acc["ban"] + F.when(ok, -1).otherwise(1))
-        health = F.least(F.lit(100), F.greatest(F.lit(0), acc["health"] + F.when(ok, 3).otherwise(-10)))
-        return F.struct(ban.alias("ban"), health.alias("health"))
-
-    grouped = rows.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(*order, success))).alias("_rows"))
-    return grouped.select(key, F.aggregate("_rows", start, step).alias("s")).select(key, F.col("s.ban").alias("ban_score"), F.col("s.health").alias("health"))
