@@ -615,15 +615,6 @@ def ban_spike_latch(spark, sf_dir):
     return windows.spikes(e, ["event_type"], "ts", "event_id", 86400, 5).filter("fires").select("event_id", "ts", "n_recent")
 
 
-@query("""
-with g as (select user_id, list({'ban': 0, 'health': 100, 'ok': event_type <> 'error'} order by ts, event_id) as steps from events group by 1),
-f as (select user_id, list_reduce(list_prepend({'ban': 0, 'health': 100, 'ok': true}, steps), lambda a, x: {'ban': greatest(0, a.ban + case when x.ok then -1 else 1 end),
-  'health': least(100, greatest(0, a.health + case when x.ok then 3 else -10 end)), 'ok': true}) as s from g) select user_id, s.ban as ban_score, s.health as health from f""")
-def proxy_health(spark, sf_dir):
-    e = read(spark, sf_dir, "events").withColumn("ok", F.col("event_type") != "error")
-    return windows.proxy_health(e, "user_id", ["ts", "event_id"], "ok")
-
-
 # --- Redaction, graphs, pages, access -----------------------------------------------------------------------------
 
 
@@ -699,12 +690,6 @@ def slow_stage(spark, sf_dir):
     return read(spark, sf_dir, "events").select("event_id", decisions.is_slow(stage, F.col("value") * 1000 / 30).alias("slow"))
 
 
-@query("select distinct on (user_id, event_type, k) user_id, event_type, json_extract_string(props, '$.k') as k from events")
-def microbatch_dedupe(spark, sf_dir):
-    e = read(spark, sf_dir, "events").withColumn("k", F.get_json_object("props", "$.k"))
-    return e.dropDuplicates(["user_id", "event_type", "k"]).select("user_id", "event_type", "k")
-
-
 # --- Runs, logs and merges ------------------------------------------------------------------------------------------
 
 
