@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from tallyforge.sources.scratch import forget, stored
 
 
-def longest_ways(nodes: DataFrame, edges: DataFrame, with_path: bool = True) -> DataFrame:
+def longest_ways(nodes: DataFrame, edges: DataFrame, with_path: bool = True, origin: bool = False) -> DataFrame:
     """(node, length, path): the heaviest way of nodes (node, weight) that ends at each node; of equal ones the greater.
 
     edges (a, b): b needs a; repeated edges, edges from or to unknown nodes, and null ends are passed over.  Nodes on a
-    cycle, and those that need one, are left out.  Without with_path the path is empty.
+    cycle, and those that need one, are left out.  Without with_path the path is empty; with origin it is only its
+    first node, of equal lengths the greatest.
 
     A round first contracts: a node with one predecessor is that predecessor's value and a constant, so chains and
     trees of any depth are jumped over by doubling, and ways that part and meet again become one.  Then nodes whose
@@ -22,7 +23,8 @@ def longest_ways(nodes: DataFrame, edges: DataFrame, with_path: bool = True) ->
     text = F.col("node").cast("string") if with_path else F.lit("")
     named = nodes.filter("node is not null").groupBy("node").agg(F.max(F.col("weight").cast("long")).alias("weight"))
     known_nodes = stored(named.select("node", "weight", text.alias("name")), "graph-nodes")
-    ends = known_nodes.select(F.col("node").alias("b"), F.col("weight").alias("bw"), F.concat(F.lit(">"), "name").alias("bs") if with_path else F.lit("").alias("bs"))
+    tail = F.concat(F.lit(">"), "name") if with_path and not origin else F.lit("")
+    ends = known_nodes.select(F.col("node").alias("b"), F.col("weight").alias("bw"), tail.alias("bs"))
     given = edges.select("a", "b").filter("a is not null and b is not null").distinct()
     given = given.join(ends, "b").join(known_nodes.select(F.col("node").alias("a")), "a", "left_semi")
     # Of b's value: a's value and path, then w and s for the nodes between, then bw and bs for b itself.

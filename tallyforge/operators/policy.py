@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.functions.identity import in_canary, rollout_key
 from tallyforge.functions.text import compact
+from tallyforge.operators.windows import last_n
 
 #: Fixed values of the policies.
 MEMORY_WARN, MEMORY_CRITICAL = 384.0, 512.0
@@ -116,3 +117,25 @@ def health(counters: DataFrame, keys: list[str]) -> DataFrame:
     degraded = n("block_page_traces") + sum((F.when(s, 1).otherwise(0) for s in signs), F.lit(0))
     status = F.when(failing >= 2, "failing").when((failing >= 1) | (degraded >= 2), "degraded").otherwise("healthy")
     return counters.select(*keys, status.alias("health"))
+
+
+def bottleneck_document(signals: DataFrame, keys: list[str], observed: str, tie: str, most: int = 12) -> DataFrame:
+    """(keys, document): JSON with the signals (stage, severity, store_name, ...) counted by stage and severity, and the slowest.
+
+    Counts are added up by stage and severity first, and only `most` signals a key are put in order, so no key's
+    signals meet in one row.
+    """
+    counts = signals.groupBy(*keys, "stage", "severity").agg(F.count("*").alias("n"))
+    by = lambda name: counts.groupBy(*keys, name).agg(F.sum("n").alias("n")).groupBy(*keys).agg(
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct(name, "n")))).alias(f"counts_by_{name}"), F.sum("n").alias("total_signals")
+    )
+    slow = last_n(signals, keys, [F.col(observed).desc(), F.col(tie)], most)
+    shown = [c for c in signals.columns if c not in (*keys, tie)]
+    # One sortable struct a signal: the slowest first, its place told by the negative figure.
+    top = slow.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct((-F.col(observed)).alias("_o"), F.col(tie).alias("_t"), F.struct(*shown).alias("signal")))).alias("_top"))
+    rows = by("stage").join(by("severity").drop("total_signals"), keys).join(top, keys)
+    document = F.to_json(F.struct(
+        F.lit("bottleneck_summary_v1").alias("kind"), "total_signals", "counts_by_stage", "counts_by_severity",
+        F.transform("_top", lambda x: x["signal"]).alias("top_signals"),
+    ))
+    return rows.select(*keys, document.alias("document"))

@@ -50,13 +50,21 @@ def by_stage(states: DataFrame, stages: list[str]) -> DataFrame:
     return every.join(by, "stage", "left").select("pos", "stage", F.coalesce("names", none).alias("names"))
 
 
-def readiness(checks: DataFrame) -> DataFrame:
-    """Counts of failed critical checks and of warnings, and whether a release may go on."""
-    out = checks.agg(
-        F.count("*").alias("n_checks"), F.count_if(~F.col("passed") & (F.col("severity") == "critical")).alias("critical_failures"),
-        F.count_if(~F.col("passed") & (F.col("severity") != "critical")).alias("warnings"),
-    )
-    return out.withColumn("action", F.when(F.col("critical_failures") > 0, "block").when(F.col("warnings") > 0, "warn").otherwise("release"))
+#: What blocks a release where it fails.
+BLOCKING_GATES = ("critical", "high")
+BLOCKING_CHECKS = ("unit", "contract", "acceptance", "compatibility", "regression")
+
+
+def readiness(checks: DataFrame, gates: DataFrame) -> DataFrame:
+    """(critical_failures, warnings, action) over checks (category, passed) and gates (severity, passed).
+
+    Failed gates of other severities than critical, high and warning don't count; every failed check counts.
+    """
+    of = lambda df, kind: df.filter(~F.col("passed")).select(kind.alias("kind"))
+    gate = F.when(F.col("severity").isin(*BLOCKING_GATES), "critical").when(F.col("severity") == "warning", "warning")
+    check = F.when(F.col("category").isin(*BLOCKING_CHECKS), "critical").otherwise("warning")
+    out = of(gates, gate).unionByName(of(checks, check)).agg(F.count_if(F.col("kind") == "critical").alias("critical_failures"), F.count_if(F.col("kind") == "warning").alias("warnings"))
+    return out.withColumn("action", F.when(F.col("critical_failures") > 0, "block_release").when(F.col("warnings") > 0, "release_with_caution").otherwise("release"))
 
 
 def seeds(targets: DataFrame, table: DataFrame) -> DataFrame:

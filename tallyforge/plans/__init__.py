@@ -1,6 +1,6 @@
 """The named queries of the listing operators, with SQL oracles."""
 
-from tallyforge.plans import catalog, records, systems
+from tallyforge.plans import catalog, records, sites, systems
 from tallyforge.plans.registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "catalog", "records", "systems"]
+__all__ = ["ORACLES", "QUERIES", "catalog", "records", "sites", "systems"]

@@ -139,15 +139,18 @@ def brand_alias_lookup(spark, sf_dir):
 
 
 @query("""
-select p_partkey, cast(floor(round(p_retailprice * 100) / 100) as bigint) as units, null::bigint as ranged, null::bigint as negotiable from part""")
+with p as (select *, cast(floor(round(p_retailprice * 100) / 100) as bigint) as u from part)
+select p_partkey, u as units, case when p_partkey % 2 = 0 then u end as ranged, case when p_partkey % 3 = 0 then u end as negotiable, case when p_partkey % 5 <> 0 then u * 1000 end as grouped from p""")
 def price_parse(spark, sf_dir):
-    p = read(spark, sf_dir, "part")
+    """Prices that parse beside ranges, requests and instalments that must not."""
+    p, k = read(spark, sf_dir, "part"), F.col("p_partkey")
     whole = F.round(F.col("p_retailprice") * 100).cast("long")
-    shown = F.concat((whole / 100).cast("long").cast("string"), F.lit(","), F.lpad((whole % 100).cast("string"), 2, "0"), F.lit(" сум"))
-    return p.select(
-        "p_partkey", price.price_units(shown).alias("units"), price.price_units(F.concat(shown, F.lit(" - "), shown)).alias("ranged"),
-        price.price_units(F.concat(F.lit("по запросу "), shown)).alias("negotiable"),
-    )
+    units = (whole / 100).cast("long").cast("string")
+    shown = F.concat(units, F.lit(","), F.lpad((whole % 100).cast("string"), 2, "0"), F.lit(" сум"))
+    ranged = F.when(k % 2 == 0, F.concat(F.lit("цена: "), shown)).otherwise(F.concat(shown, F.lit(" - "), shown))
+    asked = F.when(k % 3 == 0, F.concat(shown, F.lit(" "))).when(k % 3 == 1, F.concat(F.lit("по запросу "), shown)).otherwise(F.concat(F.lit("от "), shown))
+    grouped = F.concat(units, F.lit(" 000"), F.when(k % 5 == 0, " сум/мес").otherwise(" so'm"))
+    return p.select(k, price.price_units(shown).alias("units"), price.price_units(ranged).alias("ranged"), price.price_units(asked).alias("negotiable"), price.price_units(grouped).alias("grouped"))
 
 
 @query("""
@@ -846,12 +849,37 @@ def efficiency_baseline(spark, sf_dir):
     return policy.baseline(a, ["avg_request_ms", "avg_normalize_ms", ]).withColumn("value", F.round("value", 6))
 
 
-@query("""
-with g(gate, flag, severity) as (values ('unit', 'ok_a', 'critical'), ('docs', 'ok_b', 'high'), ('perf', 'ok_c', 'critical'))
-select gate, coalesce(flag = 'ok_a', false) as passed, case when flag = 'ok_a' then 'info' else severity end as severity from g""")
+GATES = (
+    ("critical_unit_tests", "flag_1-URGENT", "critical"), ("contract_tests", "flag_2-HIGH", "critical"), ("parse_success_golden", "flag_3-MEDIUM", "high"),
+    ("docs_coverage", "flag_5-LOW", "warning"), ("readiness_report", "flag_missing", "warning"),
+)
+GATE_SQL = f"""with g(gate, flag, severity) as (values {", ".join(map(str, GATES))}),
+r as (select 'flag_' || o_orderpriority as flag, count(*) filter (where o_orderkey % 2 = 0) > count(*) filter (where o_orderkey % 2 = 1) as ok from orders group by 1),
+e as (select gate, coalesce(ok, false) as passed, case when ok then 'info' else severity end as severity from g left join r using (flag)),
+c as (select o_orderstatus as name, case o_orderstatus when 'F' then 'unit' when 'O' then 'docs' else 'integration_like' end as category, count(*) % 2 = 0 as passed from orders group by 1)"""
+
+
+def gate_results(spark, sf_dir):
+    """A flag for each order priority: whether more orders have even keys."""
+    o, even = read(spark, sf_dir, "orders"), F.col("o_orderkey") % 2 == 0
+    flags = o.groupBy(F.concat(F.lit("flag_"), "o_orderpriority").alias("flag")).agg((F.count_if(even) > F.count_if(~even)).alias("ok"))
+    return policy.gates(spark.createDataFrame(GATES, "gate string, flag string, severity string"), flags)
+
+
+@query(GATE_SQL + " select gate, passed, severity from e")
 def release_gates(spark, sf_dir):
-    g = spark.createDataFrame([("unit", "ok_a", "critical"), ("docs", "ok_b", "high"), ("perf", "ok_c", "critical")], "gate string, flag string, severity string")
-    return policy.gates(g, spark.createDataFrame([("ok_a", True), ("ok_b", False)], "flag string, ok boolean"))
+    return gate_results(spark, sf_dir)
+
+
+@query(GATE_SQL + """,
+f as (select (select count(*) from e where not passed and severity in ('critical', 'high')) + (select count(*) from c where not passed and category in ('unit', 'contract', 'acceptance', 'compatibility', 'regression')) as critical_failures,
+  (select count(*) from e where not passed and severity = 'warning') + (select count(*) from c where not passed and category not in ('unit', 'contract', 'acceptance', 'compatibility', 'regression')) as warnings)
+select critical_failures, warnings, case when critical_failures > 0 then 'block_release' when warnings > 0 then 'release_with_caution' else 'release' end as action from f""")
+def release_readiness(spark, sf_dir):
+    s = F.col("o_orderstatus")
+    category = F.when(s == "F", "unit").when(s == "O", "docs").otherwise("integration_like").alias("category")
+    checks = read(spark, sf_dir, "orders").groupBy(s.alias("name"), category).agg((F.count("*") % 2 == 0).alias("passed"))
+    return runs.readiness(checks, gate_results(spark, sf_dir))
 
 
 @query("""

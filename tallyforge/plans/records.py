@@ -97,10 +97,27 @@ def rows_by_source(spark, sf_dir):
     return tables.all_sources(named).groupBy("source_db").agg(F.count("*").alias("n"), F.count("c_name").alias("named"))
 
 
-@query("select table_name as table, column_name as column, position::int as position from (values ('nation', 'n_nationkey', 0), ('nation', 'n_name', 1), ('nation', 'n_regionkey', 2), ('region', 'r_regionkey', 0), ('region', 'r_name', 1)) v(table_name, column_name, position)")
+CATALOGUED = {"nation": ("n_nationkey", "n_name", "n_regionkey"), "region": ("r_regionkey", "r_name"), "documents": ("doc_id", "text", "lang", "source", "n_chars"), "labels": ("doc_id", "quality", "toxic")}
+
+
+@query(" union all ".join(
+    f"select '{t}' as table, '{c}' as column, {i} as position, (select count(*) from {t}) as n_rows, (select count(*) from {t} where {c} is null) as n_null" for t, cs in CATALOGUED.items() for i, c in enumerate(cs)
+))
 def schema_columns(spark, sf_dir):
-    found = {n: read(spark, sf_dir, n) for n in ("nation", "region")}
-    return tables.schema_catalogue(found).select("table", "column", "position")
+    """Columns with their rows and nulls, counted."""
+    found = {n: read(spark, sf_dir, n).select(*cs) for n, cs in CATALOGUED.items()}
+    return tables.schema_catalogue(found).select("table", "column", "position", "n_rows", "n_null")
+
+
+REFERENCES = [("orders", "o_custkey", "customer", "c_custkey"), ("lineitem", "l_orderkey", "orders", "o_orderkey"), ("events", "user_id", "customer", "c_custkey"), ("labels", "doc_id", "documents", "doc_id")]
+
+
+@query(" union all ".join(
+    f"select '{t}' as table, '{c}' as column, '{o}' as refers_to, '{k}' as key, (select count(*) from {t}) as n_rows, (select count(*) from {t} where {c} is null) as n_null, "
+    f"(select count(*) from {t} where {c} is not null and {c} not in (select {k} from {o} where {k} is not null)) as n_orphans" for t, c, o, k in REFERENCES
+))
+def schema_relations(spark, sf_dir):
+    return tables.relations({n: read(spark, sf_dir, n) for r in REFERENCES for n in (r[0], r[2])}, REFERENCES)
 
 
 @query("select o_custkey, count(*) as n, array_to_string(list_sort(list(o_orderkey)), ',') as ids from orders where o_orderstatus = 'P' group by 1")

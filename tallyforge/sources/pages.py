@@ -96,3 +96,28 @@ def sitemap_urls(xml: Column) -> Column:
 
 def fields_present(html: Column) -> Column:
     return compact(*[F.when(c.isNotNull(), F.lit(n)) for n, c in (("title", title(html)), ("description", meta(html, "description")))])
+
+
+#: Rows of a specification block by their classes, and the longest label and value.
+SPEC_ROWS = (
+    r'(?is)<p[^>]*max-w-\[320px\][^>]*>(.*?)</p>\s*<div[^>]*whitespace-break-spaces[^>]*>(.*?)</div>',
+    r'(?is)<div[^>]*border-b[^>]*>\s*<div[^>]*>\s*<p[^>]*>(.*?)</p>\s*<div[^>]*whitespace-break-spaces[^>]*>(.*?)</div>',
+)
+LONGEST_LABEL, LONGEST_VALUE = 140, 320
+
+
+def bare(x: Column) -> Column:
+    """Text of a piece of HTML, null where there is none."""
+    return clean_text(decoded(F.regexp_replace(x, "(?s)<[^>]+>", " ")))
+
+
+def row_specs(html: Column) -> Column:
+    """array<struct<label, value>> of rows that carry the classes of a specification block, the first of a label winning."""
+    page, found = F.replace(html, F.lit("\\/"), F.lit("/")), []
+    for pattern in SPEC_ROWS:
+        sides = [F.transform(F.regexp_extract_all(page, F.lit(pattern), F.lit(i)), bare) for i in (1, 2)]
+        found.append(F.zip_with(*sides, lambda k, v: F.struct(k.alias("label"), v.alias("value"))))
+    fine = lambda p: p["label"].isNotNull() & p["value"].isNotNull() & (F.length(p["label"]).between(1, LONGEST_LABEL)) & (F.length(p["value"]).between(1, LONGEST_VALUE))
+    rows = F.filter(F.concat(*found), fine)
+    label = F.transform(rows, lambda p: p["label"])
+    return F.filter(rows, lambda p, i: F.array_position(label, p["label"]) == i + 1)

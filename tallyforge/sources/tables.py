@@ -44,7 +44,39 @@ def all_sources(tables: dict[str, DataFrame], column: str = "source_db") -> Data
 
 
 def schema_catalogue(tables: dict[str, DataFrame]) -> DataFrame:
-    """(table, position, column, type, nullable) of every column."""
-    spark = next(iter(tables.values())).sparkSession
-    rows = [(t, i, f.name, f.dataType.simpleString(), f.nullable) for t, df in tables.items() for i, f in enumerate(df.schema)]
-    return spark.createDataFrame(rows, "table string, position int, column string, type string, nullable boolean")
+    """(table, position, column, type, nullable, n_rows, n_null, n_distinct) of every column; one pass over each table.
+
+    n_distinct is approximate (within a few per cent).
+    """
+    out = None
+    for name, df in tables.items():
+        each = []
+        for i, f in enumerate(df.schema):
+            c = F.col(f"`{f.name}`")
+            told = {"position": F.lit(i), "column": F.lit(f.name), "type": F.lit(f.dataType.simpleString()), "nullable": F.lit(f.nullable), "n_null": F.count_if(c.isNull())}
+            countable = f.dataType.simpleString().split("<")[0] not in ("map", "variant")
+            told["n_distinct"] = F.approx_count_distinct(c) if countable else F.lit(None).cast("long")
+            each.append(F.struct(*[v.alias(k) for k, v in told.items()]))
+        one = df.agg(F.count("*").alias("n_rows"), F.array(*each).alias("_c")).select(F.lit(name).alias("table"), "n_rows", F.inline("_c"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def relations(tables: dict[str, DataFrame], keys: list[tuple[str, str, str, str]]) -> DataFrame:
+    """(table, column, refers_to, key, n_rows, n_null, n_orphans) of references (table, column, other table, its key).
+
+    An orphan has a value that the other table doesn't.  Values are counted before they meet the other table, so a
+    frequent one is one row.
+    """
+    out = None
+    for table, column, other, key in keys:
+        counted = tables[table].groupBy(F.col(f"`{column}`").alias("v")).count()
+        known = tables[other].select(F.col(f"`{key}`").alias("v"), F.lit(True).alias("_known")).filter("v is not null").distinct()
+        met = counted.join(known, "v", "left")
+        one = met.agg(
+            F.coalesce(F.sum("count"), F.lit(0)).alias("n_rows"), F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("count"))), F.lit(0)).alias("n_null"),
+            F.coalesce(F.sum(F.when(F.col("v").isNotNull() & F.col("_known").isNull(), F.col("count"))), F.lit(0)).alias("n_orphans"),
+        )
+        one = one.select(F.lit(table).alias("table"), F.lit(column).alias("column"), F.lit(other).alias("refers_to"), F.lit(key).alias("key"), "n_rows", "n_null", "n_orphans")
+        out = one if out is None else out.unionByName(one)
+    return out
