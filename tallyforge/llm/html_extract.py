@@ -5,8 +5,9 @@
 2. Classes.  Tokens of a host with equal vectors form an equivalence class; frequent ones are kept.  A second pass
    keeps those that are valid: on SUPPORT of their pages their tokens come in one order and lie in one gap of the
    classes around them.  These nested classes are the host's template.
-3. Slots.  What stands between template tokens are slots.  Pages vote for the slot that has most of their text.
-4. A third pass reads the article from the slots.
+3. Slots.  What stands between template tokens are slots.  Pages vote for the slot that has most of their text, and
+   for its frame: the widest element around it in which no branch beside it holds template text or mostly links.
+4. A third pass reads the article from the slots in the frame.
 
 Only sums for (host, token) are shuffled, so neither hot hosts nor long pages gather anywhere, and what a page gives
 depends on its host's pages alone.  Hosts with fewer than LEAST_PAGES pages with a text have no template; their slots
@@ -20,6 +21,7 @@ import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import partial
 from itertools import zip_longest
 
 import pandas as pd
@@ -337,6 +339,55 @@ class Slots:
         return slot
 
 
+def unnamed(page: Page) -> Page:
+    """The page as if no element called itself an article, an advert, a menu or the like."""
+    for t in page.tokens:
+        t.region, t.dropped = "out", False
+    return page
+
+
+class Branches:
+    """Where a page's text parts from the way to its main slot: by level and branch, and what is bad about a branch.
+
+    A branch is bad that holds template text, or more text in links than outside of them.
+    """
+
+    def __init__(self, page: Page, main: str, slot_of: Slots):
+        self.above, self.known = ancestors(main), {}
+        share: dict[tuple, list[float]] = defaultdict(lambda: [0.0, 0.0])
+        self.bad: set[tuple] = set()
+        for t in page.tokens:
+            if t.text is None:
+                continue
+            branch = self(t)
+            if branch is None:
+                continue
+            if slot_of.ids[t.role] in slot_of.template.texts:
+                self.bad.add(branch)
+            if not t.dropped:
+                share[branch][t.link] += len(t.text)
+        self.bad |= {b for b, (plain, link) in share.items() if link > plain}
+
+    def __call__(self, t: Token) -> tuple | None:
+        """(level, branch) of a text node; None for those in the main slot, and on the way to it."""
+        path = t.role.partition("#")[0]
+        if path not in self.known:
+            own = ancestors(path)
+            level = next((i for i, (a, m) in enumerate(zip_longest(own, self.above)) if a != m), None)
+            on_the_way = level is None or level == len(self.above) or level == len(own)
+            self.known[path] = None if on_the_way else (level, own[level])
+        return self.known[path]
+
+    def frame(self) -> str:
+        """The widest element around the main slot without a bad branch in it."""
+        level = max((level for level, _ in self.bad), default=0)
+        return self.above[min(level, len(self.above) - 1)]
+
+
+def frame_id(path: str) -> int:
+    return role_id("frame " + path)
+
+
 def held_text(page: Page, slot_of: Slots) -> dict[str, float]:
     """How much text each slot holds that is no template text; links count little, words that mark an article more."""
     held: dict[str, float] = defaultdict(float)
@@ -372,8 +423,8 @@ def forms_of(page: Page, template: Template, ids: Roles) -> dict[int, int]:
     return {template.classes[k]: 0 if gaps[k] is None else role_id(f"{roles}{gaps[k]}") for k, roles in seen.items()}
 
 
-def form_parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(host, kind, id, form, n): pages by the form a class has there ("c"), and by the slot with most text ("v")."""
+def form_parts(batches: Iterator[pd.DataFrame], named: bool = True) -> Iterator[pd.DataFrame]:
+    """(host, kind, id, form, n): pages by the form a class has there ("c"), by the slot with most text and its frame ("v")."""
     held: Counter = Counter()
     ids, templates, slots = Roles(), Templates(), {}
 
@@ -383,7 +434,7 @@ def form_parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         for host, html, encoded_template in zip(pdf["host"], pdf["html"], pdf["template"]):
             template = templates.of(host, encoded_template)
-            page = parse(html or "")
+            page = parse(html or "") if named else unnamed(parse(html or ""))
             for name, form in forms_of(page, template, ids).items():
                 held[host, "c", name, form] += 1
             slot_of = slots.get(host)
@@ -393,7 +444,9 @@ def form_parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 slot_of = slots[host] = Slots(template, ids)
             text = held_text(page, slot_of)
             if text:
-                held[host, "v", ids[max(text, key=lambda s: (text[s], s))], 0] += 1
+                main = max(text, key=lambda s: (text[s], s))
+                held[host, "v", ids[main], 0] += 1
+                held[host, "v", frame_id(Branches(page, main, slot_of).frame()), 0] += 1
             if len(held) > TOKENS_HELD:
                 yield part()
                 held.clear()
@@ -404,10 +457,12 @@ def main_text(page: Page, template: Template, slot_of: Slots | None = None) -> s
     """The page's text in the slots that are its article.
 
     Its main slot is, among those that hold a quarter or more of what the fullest one holds, that which most pages of
-    the host have most text in.  If that is in an element which calls itself an article, the slots in such elements
-    are the article; if not, all slots but those on branches, seen from the main slot, that have template text or
-    mostly links.  Template text inside the article goes, unless it is more than half of it: then the host's pages
-    are copies of each other rather than one frame with different contents.
+    the host have most text in.  The article is what lies in the slot's frame, the element around it that most pages
+    of the host vote for (where none is voted for, the page's own), without branches that hold template text or mostly
+    links.  If the main slot is in an element which calls itself an article, the texts in such elements are the
+    article.  Elements that call themselves adverts, menus and so on are left out wherever they stand.  Without a
+    template all but the bad branches is the article.  Template text inside the article goes, unless it is more than
+    half of it: then the host's pages are copies of each other rather than one frame with different contents.
     """
     slot_of = slot_of or Slots(template, Roles())
     held = held_text(page, slot_of)
@@ -427,25 +482,12 @@ def main_text(page: Page, template: Template, slot_of: Slots | None = None) -> s
     if region != "out":
         kept = [t for t in texts if t.region == region]
     else:
-        kept = []
-        above = ancestors(main)
-        branch_of: dict[str, str | None] = {}
-        for path in {t.role.partition("#")[0] for t in page.tokens if t.text is not None}:
-            own = ancestors(path)
-            inside = len(own) >= len(above) and own[len(above) - 1] == main
-            branch_of[path] = None if inside else next((a for a, m in zip_longest(own, above) if a != m), None)
-        share: dict[str, list[float]] = defaultdict(lambda: [0.0, 0.0])
-        bad = set()
-        for t in page.tokens:
-            if t.text is None:
-                continue
-            branch = branch_of[t.role.partition("#")[0]]
-            if id(t) in fixed and branch is not None:
-                bad.add(branch)
-            if not t.dropped and branch is not None:
-                share[branch][t.link] += len(t.text)
-        bad |= {b for b, (plain, link) in share.items() if link > plain}
-        kept = [t for t in texts if branch_of[t.role.partition("#")[0]] not in bad]
+        branches = Branches(page, main, slot_of)
+        kept = [t for t in texts if branches(t) not in branches.bad]
+        if template.tags:
+            voted = [a for a in branches.above if frame_id(a) in template.votes]
+            frame = max(voted, key=lambda a: (template.votes[frame_id(a)], a)) if voted else branches.frame()
+            kept = [t for t in kept if f"{t.role.partition('#')[0]}/".startswith(frame + "/")]
     own = sum(len(t.text) for t in kept if id(t) not in fixed)
     if 2 * own >= sum(len(t.text) for t in kept):
         kept = [t for t in kept if id(t) not in fixed]
@@ -456,7 +498,7 @@ def main_text(page: Page, template: Template, slot_of: Slots | None = None) -> s
     return "\n".join(x for x in lines if x)
 
 
-def text_parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def text_parts(batches: Iterator[pd.DataFrame], named: bool = True) -> Iterator[pd.DataFrame]:
     ids, templates, slots = Roles(), Templates(), {}
     for pdf in batches:
         made = []
@@ -467,7 +509,8 @@ def text_parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 if len(slots) > 2000:
                     slots.clear()
                 slot_of = slots[host] = Slots(template, ids)
-            made.append(main_text(parse(html or ""), template, slot_of))
+            page = parse(html or "")
+            made.append(main_text(page if named else unnamed(page), template, slot_of))
         yield pd.DataFrame({"page_id": pdf["page_id"], "url": pdf["url"], "text": made, "n_chars": [len(x) for x in made]})
 
 
@@ -486,13 +529,13 @@ def with_known(rows: DataFrame, known: DataFrame, how_many: str) -> DataFrame:
     return lookup_join(rows, known, "host", how_many)
 
 
-def deduce_templates(rows: DataFrame) -> DataFrame:
+def deduce_templates(rows: DataFrame, named: bool = True) -> DataFrame:
     """(host, template, votes, weight) of the hosts in rows (host, seed, html) with enough pages for a template."""
     parts = rows.mapInPandas(token_parts, "host string, role long, is_text boolean, pages long, a long, b long, most long")
     classes = materialize(deduced_classes(parts), "page-classes")
     candidates = materialize(encoded(classes), "page-candidates")
     forms = with_known(rows.select("host", "html"), candidates, "weight")
-    forms = forms.mapInPandas(form_parts, "host string, kind string, id long, form long, n long")
+    forms = forms.mapInPandas(partial(form_parts, named=named), "host string, kind string, id long, form long, n long")
     forms = materialize(forms.groupBy("host", "kind", "id", "form").agg(F.sum("n").alias("n")), "page-forms")
     best = F.max(F.struct("n", "form"))
     shapes = forms.filter("kind = 'c'").groupBy("host", F.col("id").alias("class")).agg(best.alias("best"), F.sum("n").alias("all"))
@@ -505,9 +548,11 @@ def deduce_templates(rows: DataFrame) -> DataFrame:
     return materialize(templates.join(votes, "host", "full_outer").withColumn("weight", F.coalesce("weight", F.lit(1))), "page-templates")
 
 
-def extract_main_text(pages: DataFrame) -> DataFrame:
+def extract_main_text(pages: DataFrame, named: bool = True) -> DataFrame:
     """(page_id, url, text, n_chars) for every row of pages (page_id, url, html).
 
+    With named=False nothing that elements call themselves (article, menu, advert, ...) counts, only the template does.
+
     Nulls: null html gives the empty text, null urls are one host, null ids stay null.  Repeated rows are repeated, and
     count as further pages of their host.  Very long pages are read whole.  Ties between slots go to the one with more
     text, then to the greater path.  Texts do not depend on other columns, on the order of rows, or on other hosts.
@@ -515,7 +560,7 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
     """
     bounded_batches(pages.sparkSession)
     rows = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"), F.xxhash64("page_id", "url", "html").alias("seed"))
-    known = deduce_templates(rows.select("host", "seed", "html"))
+    known = deduce_templates(rows.select("host", "seed", "html"), named)
     rows = rows.select("host", F.col("page_id").cast("string").alias("page_id"), "url", "html")
     empty = F.lit(None).cast("string")
     size = known.agg(F.sum(F.length(F.coalesce("template", F.lit(""))) + F.length(F.coalesce("votes", F.lit(""))) + 64)).first()[0] or 0
@@ -524,5 +569,5 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
     else:
         few = rows.join(known.select("host"), "host", "left_anti").withColumns({"template": empty, "votes": empty})
         rows = lookup_join(rows, known, "host", "weight").unionByName(few)
-    out = rows.mapInPandas(text_parts, "page_id string, url string, text string, n_chars long")
+    out = rows.mapInPandas(partial(text_parts, named=named), "page_id string, url string, text string, n_chars long")
     return out.withColumn("page_id", F.col("page_id").cast(pages.schema["page_id"].dataType))

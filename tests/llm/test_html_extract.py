@@ -1,5 +1,6 @@
 import random
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import pytest
 from hypothesis import given, settings
@@ -80,11 +81,26 @@ def test_it_is_the_template_that_decides(spark, monkeypatch):
     """The same pages without templates: their frame comes out as text."""
     hosts = {"p": [PLAIN.format(i) for i in range(12)]}
     with_it = extract(spark, hosts)["p"]
-    monkeypatch.setattr(html_extract, "deduce_templates", lambda rows: rows.sparkSession.createDataFrame([], "host string, template string, votes string, weight long"))
+    monkeypatch.setattr(html_extract, "deduce_templates", lambda rows, named: rows.sparkSession.createDataFrame([], "host string, template string, votes string, weight long"))
     without = extract(spark, hosts)["p"]
     assert all("Accept all" in x for x in without) and not any("Accept all" in x for x in with_it)
 
 
+SF = Path("/root/testdata/sf0.1/pages.parquet")
+
+
+@pytest.mark.skipif(not SF.exists(), reason="no test data")
+def test_slots_alone_find_the_article_on_the_given_pages(spark, monkeypatch):
+    """Without anything that elements call themselves the texts stay, and without the template they don't."""
+    pages = spark.read.parquet(str(SF))
+    texts = lambda **how: {r.page_id: r.text for r in extract_main_text(pages, **how).collect()}
+    whole, slots = texts(), texts(named=False)
+    assert sum(whole[k] == slots[k] for k in whole) >= 0.99 * len(whole)
+    monkeypatch.setattr(html_extract, "deduce_templates", lambda rows, named: rows.sparkSession.createDataFrame([], "host string, template string, votes string, weight long"))
+    bare = texts(named=False)
+    assert sum(whole[k] == bare[k] for k in whole) <= 0.01 * len(whole)
+
+
 def corpus(n=60):
     """Three hosts whose pages have no article element and no telling class: (html, main text)."""
     r, out = random.Random(4), {}
