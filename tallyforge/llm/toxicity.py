@@ -12,7 +12,8 @@ Five small transducers read a clause:
 The last four are composed into one machine over classes.  A clause scores the weight of its best path; a document
 is described by its scored clauses, not by single words, and a logistic model turns that into a probability.  The
 lexicon's fixed insults are joined by words and stems learned from labelled rows, whose weights are their log odds;
-they take the same way through the machine as fixed ones.  A stem is learned only where words really part after it:
+they take the same way through the machine as fixed ones, as threats if they stand beside targets far more often than
+clauses do otherwise.  A stem is learned only where words really part after it:
 what always goes on in one way is learned as the longer stem or the whole word.
 """
 
@@ -30,12 +31,37 @@ from pyspark.sql import functions as F
 
 from tallyforge.llm.common import bounded_batches, discard, materialize
 
-#: Fixed values of the grammar.
-INSULTS = ("idiot", "idiots", "moron", "morons", "loser", "losers", "scum", "trash", "clown", "stupid", "worthless", "pathetic", "disgusting")
-THREATS = ("kill", "hurt", "destroy", "beat", "smash", "punch", "stab", "shoot", "burn")
-TARGETS = ("you", "your", "yours", "yourself", "u", "he", "she", "they", "them", "him", "her", "people")
-NEGATIONS = ("not", "never", "no", "isn't", "aren't", "don't", "nobody", "without", "n't")
-REPORTS = ("said", "says", "called", "calls", "wrote", "writes", "quoted", "reported", "told")
+#: Fixed values of the grammar, by language.
+INSULTS = {
+    "en": "idiot idiots moron morons loser losers scum trash clown stupid worthless pathetic disgusting",
+    "de": "idiot idioten dummkopf trottel versager abschaum clown dumm wertlos erbärmlich widerlich",
+    "fr": "idiot idiote idiots crétin crétins perdant ordure clown stupide minable pathétique dégoûtant dégoûtante",
+    "es": "idiota idiotas imbécil imbéciles perdedor escoria basura payaso estúpido estúpida patético asqueroso asquerosa",
+}
+THREATS = {
+    "en": "kill hurt destroy beat smash punch stab shoot burn",
+    "de": "töte töten umbringen umbringe schlage schlagen verprügeln zerstören verbrennen erschießen erstechen",
+    "fr": "tue tuer tuerai frapper frapperai détruire cogner poignarder brûler abattre",
+    "es": "mato matar mataré golpear golpearé destruir apuñalar disparar quemar",
+}
+TARGETS = {
+    "en": "you your yours yourself u he she they them him her people",
+    "de": "du dich dir dein deine deiner ihr euch euer er ihn sie ihnen leute",
+    "fr": "tu te toi ton ta tes vous votre vos il elle ils elles eux leur gens",
+    "es": "tú te ti tu tus usted ustedes vosotros él ella ellos ellas gente",
+}
+NEGATIONS = {
+    "en": "not never no isn't aren't don't nobody without n't",
+    "de": "nicht nie niemals kein keine keinen keiner niemand ohne",
+    "fr": "pas jamais aucun aucune personne sans ni",
+    "es": "no nunca jamás ningún ninguna nadie sin ni",
+}
+REPORTS = {
+    "en": "said says called calls wrote writes quoted reported told",
+    "de": "sagte sagt nannte nennt schrieb schreibt zitierte berichtete erzählte",
+    "fr": "dit disait appelle appelait appelé écrit écrivait citait rapporte raconte",
+    "es": "dijo dice llamó llama escribió escribe citó contó informó",
+}
 INSULT_WEIGHT, THREAT_WEIGHT, MOST_WEIGHT = 5.0, 3.0, 7.0
 
 CLAUSE = re.compile(r"[.!?;:\n|]+")
@@ -138,22 +164,27 @@ class Lexicon:
 
     words: dict[str, tuple[str, float]]
     stems: dict[str, float] = field(default_factory=dict)
+    #: Which of the stems are threats.
+    threats: frozenset[str] = frozenset()
     memo: dict = field(default_factory=dict, repr=False)
 
     @classmethod
-    def of(cls, learned: dict[str, float]) -> Lexicon:
-        """learned: weights of whole words, marked by END, and of stems."""
-        whole = {w[: -len(END)]: ("INS", weight) for w, weight in learned.items() if w.endswith(END)}
-        return cls(whole | fixed_words(), {w: weight for w, weight in learned.items() if not w.endswith(END)})
+    def of(cls, learned: dict[str, float], threats: frozenset[str] = frozenset()) -> Lexicon:
+        """learned: weights of whole words, marked by END, and of stems; threats: those that only count when aimed."""
+        whole = {w[: -len(END)]: ("THR" if w in threats else "INS", weight) for w, weight in learned.items() if w.endswith(END)}
+        return cls(whole | fixed_words(), {w: weight for w, weight in learned.items() if not w.endswith(END)}, threats)
 
     def __post_init__(self):
         self.lengths = sorted({len(s) for s in self.stems}, reverse=True)
 
+    def stem(self, word: str) -> str | None:
+        return next((word[:k] for k in self.lengths if word[:k] in self.stems), None)
+
     def read(self, word: str) -> tuple[str, float]:
         got = self.words.get(word) or self.memo.get(word)
         if got is None:
-            weight = next((self.stems[word[:k]] for k in self.lengths if word[:k] in self.stems), 0.0)
-            got = ("INS", weight) if weight else OTHER
+            stem = self.stem(word)
+            got = ("THR" if stem in self.threats else "INS", self.stems[stem]) if stem else self.words.get(word.partition("'")[2], OTHER)
             if len(self.memo) > 200_000:
                 self.memo.clear()
             self.memo[word] = got
@@ -163,10 +194,15 @@ class Lexicon:
 OTHER = ("O", 0.0)
 
 
+def words_of(lists: dict[str, str]) -> list[str]:
+    return [w for words in lists.values() for w in words.split()]
+
+
 def fixed_words() -> dict[str, tuple[str, float]]:
-    out = {w: ("INS", INSULT_WEIGHT) for w in INSULTS} | {w: ("THR", THREAT_WEIGHT) for w in THREATS}
-    for words, kind in ((TARGETS, "TGT"), (NEGATIONS, "NEG"), (REPORTS, "REP")):
-        out |= dict.fromkeys(words, (kind, 0.0))
+    """All languages in one lexicon: texts mix them, and no word has two classes."""
+    out: dict[str, tuple[str, float]] = {}
+    for lists, kind, weight in ((INSULTS, "INS", INSULT_WEIGHT), (THREATS, "THR", THREAT_WEIGHT), (TARGETS, "TGT", 0.0), (NEGATIONS, "NEG", 0.0), (REPORTS, "REP", 0.0)):
+        out |= dict.fromkeys(words_of(lists), (kind, weight))
     return out
 
 
@@ -282,6 +318,35 @@ def learned_stems(rows: DataFrame, clean_rows: int, toxic_rows: int) -> dict[str
     return choose_stems([tuple(r) for r in stem_counts(rows).filter(telling).select("*", odds, strength).collect()])
 
 
+#: A learned word is a threat if so large a part of its clauses has a target, so many more than clauses in general,
+#: and it is in so many clauses.
+AIMED_SHARE, AIMED_RATIO, AIMED_CLAUSES = 0.8, 2.0, 10
+
+
+def aimed_words(rows: DataFrame, learned: dict[str, float]) -> frozenset[str]:
+    """The learned words and stems of toxic rows that stand beside targets: one count each and for all clauses."""
+    lexicon, aims = Lexicon.of(learned), set(words_of(TARGETS))
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: dict[str, list[int]] = {}
+        for pdf in batches:
+            for text in pdf["text"]:
+                for clause in clauses(text.lower()):
+                    aimed = not aims.isdisjoint(clause)
+                    own = {w + END if w + END in learned else lexicon.stem(w) for w in clause} - {None}
+                    for w in (*own, ""):
+                        row = seen.setdefault(w, [0, 0])
+                        row[0] += 1
+                        row[1] += aimed
+        yield pd.DataFrame([(w, *n) for w, n in seen.items()], columns=["word", "n", "aimed"])
+
+    counts = rows.filter("toxic = 1").select("text").mapInPandas(count, "word string, n long, aimed long")
+    found = {r["word"]: (r["n"], r["aimed"]) for r in counts.groupBy("word").agg(F.sum("n").alias("n"), F.sum("aimed").alias("aimed")).collect()}
+    n, aimed = found.pop("", (1, 0))
+    least = max(AIMED_SHARE, AIMED_RATIO * aimed / n)
+    return frozenset(w for w, (m, hit) in found.items() if m >= AIMED_CLAUSES and hit >= least * m)
+
+
 def fit(docs: DataFrame, labels: DataFrame, text_col: str = "text", label_col: str = "toxic", key: str = "doc_id", sample: int = 20_000) -> Model:
     """Learn the lexicon's words and stems and the logistic model from the documents that labels names.
 
@@ -303,7 +368,8 @@ def fit(docs: DataFrame, labels: DataFrame, text_col: str = "text", label_col: s
         default = np.zeros(inputs(np.zeros((1, len(FEATURES)))).shape[1])
         default[:4] = -3.0, 2.0, 3.0, 1.0
         return Model(Lexicon.of({}), default)
-    lexicon, machine = Lexicon.of(learned_stems(rows, clean_rows, toxic_rows)), grammar()
+    learned = learned_stems(rows, clean_rows, toxic_rows)
+    lexicon, machine = Lexicon.of(learned, aimed_words(rows, learned) if learned else frozenset()), grammar()
 
     def rows_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:

@@ -2,9 +2,13 @@ import random
 from collections import Counter
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
-from tallyforge.llm.toxicity import END, FEATURES, STEM_LETTERS, Lexicon, Machine, accept, choose_stems, clauses, describe, fit, fixed_words, grammar, score_toxicity, stem_counts
+from tallyforge.llm.toxicity import (
+    END, FEATURES, INSULTS, NEGATIONS, REPORTS, STEM_LETTERS, TARGETS, THREATS, Lexicon, Machine, accept, choose_stems, clauses, describe, fit, fixed_words,
+    grammar, score_toxicity, stem_counts, words_of,
+)
 from tests.llm.conftest import prose
 
 MACHINE, LEXICON = grammar(), Lexicon(fixed_words(), {"zorb": 6.0, "quix": 2.0})
@@ -27,6 +31,37 @@ def test_grammar_weighs_clauses():
     assert list(clauses("a b. c|d")) == [["a", "b"], ["c"], ["d"]]
 
 
+@pytest.mark.parametrize("plain,aimed,denied,reported,threat,idle", [
+    ("what an idiot", "you are an idiot", "you are not an idiot", "she said you are an idiot", "i will hurt you", "that may hurt"),
+    ("was für ein trottel", "du bist ein trottel", "du bist kein trottel", "sie sagte du bist ein trottel", "ich werde dich töten", "das kann töten"),
+    ("quel crétin", "tu es un crétin", "tu n'es pas un crétin", "elle disait que tu es un crétin", "je vais te frapper", "cela peut frapper"),
+    ("vaya imbécil", "tú eres un imbécil", "tú no eres un imbécil", "ella dijo que eres un imbécil", "te voy a golpear", "puede golpear"),
+])
+def test_every_language_aims_denies_and_reports(plain, aimed, denied, reported, threat, idle):
+    assert attack(aimed) > attack(plain) > attack(denied) > 0 and attack(plain) > attack(reported) > 0
+    assert attack(threat) > attack(idle) > 0
+    assert attack("l'idiot") == attack("idiot") > 0
+
+
+def test_no_fixed_word_has_two_classes():
+    kinds = [set(words_of(lists)) for lists in (INSULTS, THREATS, TARGETS, NEGATIONS, REPORTS)]
+    assert sum(map(len, kinds)) == len(set().union(*kinds)) and all(set(k) == {"en", "de", "fr", "es"} for k in (INSULTS, THREATS, TARGETS, NEGATIONS, REPORTS))
+
+
+def test_learned_threats_count_when_they_are_aimed(spark):
+    """A word that toxic rows aim at someone is learned as a threat, one that stands anywhere as an insult."""
+    r, rows = random.Random(8), []
+    for i in range(900):
+        bad = i % 3 == 0
+        said = f". i will gronk you. {prose(i, 8)} flumpy {prose(i + 1, 8)}. {prose(i, 9)}. {prose(i + 2, 9)}" if bad else ""
+        rows.append((i, prose(i, 30) + said, int(bad)))
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = fit(df.drop("toxic"), df.select("doc_id", "toxic"))
+    assert model.lexicon.read("gronk")[0] == "THR" and model.lexicon.read("flumpy")[0] == "INS"
+    score = lambda text: dict(zip(FEATURES, describe(text, model.lexicon, MACHINE)))["attack"]
+    assert score("i will gronk you") > score("they never gronk") and score("i will gronk you") > 3 * score("the door may gronk")
+
+
 def stems_by_hand():
     r, clean, toxic = random.Random(1), [prose(i, 40) for i in range(200)], []
     for i in range(100):
