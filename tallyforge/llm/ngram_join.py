@@ -7,7 +7,9 @@ these prefixes are joined.  A pair goes on only if
 
     length      neither set is larger than 1.25 times the other
     positional  what follows the shared shingle in both sets can still hold the overlap needed
-    suffix      so can the counts of both sets in 16 ranges of the hash
+    suffix      a shared shingle parts both sets at one place of the order; what stands before it in one set can only
+                be what stands before it in the other, and so for what follows, and in each part only shingles of one
+                of 16 hash ranges can be equal: the counts of these ranges, part by part, can hold the overlap needed
 
 and is verified once, on the whole sets.
 
@@ -35,7 +37,9 @@ from tallyforge.llm.line_dedup import CHUNK, merge_filters, or_at, spots
 from tallyforge.llm.shingles import batches_of_sets, mixed, set_key
 
 COUNTERS = 1 << 20
+#: Hash ranges of the suffix filter, and a digit for each.
 RANGES = 16
+DIGITS = np.frombuffer(b"0123456789abcdef", np.uint8)
 #: Groups may compare this many times their size in pairs before other pivots are taken; and at most so many pivots.
 PAIRS_EACH, PIVOTS = 64, 8
 
@@ -73,7 +77,7 @@ def prefix_pass(held):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.frombuffer(held.value, np.uint32)
         for _, sets in batches_of_sets(batches):
-            keys, sizes, prefixes, ranges = [], [], [], []
+            keys, sizes, prefixes, ranges, codes = [], [], [], [], []
             for s in sets:
                 n = len(s)
                 if not n:
@@ -85,14 +89,15 @@ def prefix_pass(held):
                 sizes.append(n)
                 prefixes.append(s[order].view(np.int64))
                 ranges.append(np.bincount((s >> np.uint64(60)).astype(np.int64), minlength=RANGES))
+                codes.append(DIGITS[(s[order] >> np.uint64(60)).astype(np.int64)].tobytes().decode())
             at = np.r_[0, np.cumsum([len(p) for p in prefixes], dtype=np.int64)].astype(np.int32)
             flat = np.concatenate(prefixes) if prefixes else np.zeros(0, np.int64)
             cols = [
                 pa.array(keys, pa.int64()), pa.array(sizes, pa.int64()),
                 pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(flat, pa.int64())),
-                pa.array([list(map(int, r)) for r in ranges], pa.list_(pa.int32())),
+                pa.array([list(map(int, r)) for r in ranges], pa.list_(pa.int32())), pa.array(codes, pa.string()),
             ]
-            yield pa.RecordBatch.from_arrays(cols, names=["c", "n", "prefix", "ranges"])
+            yield pa.RecordBatch.from_arrays(cols, names=["c", "n", "prefix", "ranges", "codes"])
 
     return run
 
@@ -162,20 +167,31 @@ def places_fit(n: Column, pos: Column, m: Column, qos: Column) -> Column:
     return 9 * F.least(n - pos, m - qos) >= 4 * (n + m)
 
 
-def ranges_fit(a: Column, b: Column, n: Column, m: Column) -> Column:
-    most = F.aggregate(F.zip_with(a, b, lambda x, y: F.least(x, y).cast("long")), F.lit(0).cast("long"), lambda s, x: s + x)
-    return 9 * most >= 4 * (n + m)
+def parted_overlap(ranges: tuple[Column, Column], heads: tuple[Column, Column]) -> Column:
+    """The most that two sets can have in common.
+
+    ranges are the counts of both sets' shingles in each hash range, heads the ranges (a digit each) of those up to and
+    with one shingle that they share.  Before, and after it, as many can be equal as both have of a range there.
+    """
+    most = F.lit(0)
+    for r in range(RANGES):
+        before = [F.length(h) - F.length(F.replace(h, F.lit(f"{r:x}"), F.lit(""))) for h in heads]
+        most += F.least(*before) + F.least(*(F.get(x, F.lit(r)) - k for x, k in zip(ranges, before)))
+    return most.cast("long")
 
 
 class Join:
-    """State of one join: classes with ranges, the prefix groups, whole sets, and links found so far."""
+    """State of one join: classes with ranges, the prefix groups, whole sets, and links found so far.
+
+    Pairs are (a, b, i, j): two classes and the places of a shingle that their prefixes share.
+    """
 
     def __init__(self, texts: DataFrame, classes: DataFrame, sketch: bytes):
         held = texts.sparkSession.sparkContext.broadcast(sketch)
-        found = texts.select("text").mapInArrow(prefix_pass(held), "c long, n long, prefix array<bigint>, ranges array<int>")
-        found = found.groupBy("c").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("ranges").alias("ranges"))
+        found = texts.select("text").mapInArrow(prefix_pass(held), "c long, n long, prefix array<bigint>, ranges array<int>, codes string")
+        found = found.groupBy("c").agg(*[F.first(x).alias(x) for x in ("n", "prefix", "ranges", "codes")])
         found = materialize(found, "join-prefixes")
-        self.ranges = found.select("c", "n", "ranges")
+        self.ranges = found.select("c", "n", "ranges", "codes")
         rows = found.select("c", "n", F.posexplode("prefix").alias("pos", "gram"))
         group = W.partitionBy("gram")
         rows = rows.withColumns({
@@ -191,15 +207,19 @@ class Join:
         self.tried: list[DataFrame] = []
 
     def verify(self, pairs: DataFrame) -> None:
-        """Add the true ones among pairs (a, b) to the links; each pair is verified once in all rounds."""
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        """Add the true ones among pairs (a, b, i, j) to the links; each pair is verified once in all rounds."""
+        turned = F.col("a") > F.col("b")
+        ends = [F.when(turned, F.col(y)).otherwise(F.col(x)).alias(x) for x, y in (("a", "b"), ("b", "a"), ("i", "j"), ("j", "i"))]
+        pairs = pairs.select(*ends).groupBy("a", "b").agg(F.min(F.struct("i", "j")).alias("at")).select("a", "b", "at.i", "at.j")
         for done in self.tried:
             pairs = pairs.join(done, ["a", "b"], "left_anti")
-        for end in ("a", "b"):
-            own = self.ranges.select(F.col("c").alias(end), F.col("n").alias(f"n_{end}"), F.col("ranges").alias(f"ranges_{end}"))
-            pairs = pairs.join(own, end)
+        for end, place in (("a", "i"), ("b", "j")):
+            own = self.ranges.select(F.col("c").alias(end), *[F.col(x).alias(f"{x}_{end}") for x in ("n", "ranges", "codes")])
+            head = F.substring(F.col(f"codes_{end}"), F.lit(1), F.col(place) + 1).alias(f"head_{end}")
+            pairs = pairs.join(own, end).select(*[x for x in pairs.columns if x != place], f"n_{end}", f"ranges_{end}", head)
         n, m = F.col("n_a"), F.col("n_b")
-        pairs = pairs.filter(lengths_fit(n, m) & ranges_fit(F.col("ranges_a"), F.col("ranges_b"), n, m)).select("a", "b", "n_a", "n_b")
+        most = parted_overlap((F.col("ranges_a"), F.col("ranges_b")), (F.col("head_a"), F.col("head_b")))
+        pairs = pairs.filter(lengths_fit(n, m) & (9 * most >= 4 * (n + m))).select("a", "b", "n_a", "n_b")
         pairs = materialize(pairs, "join-pairs")
         self.held.append(pairs)
         self.tried.append(pairs.select("a", "b"))
@@ -237,7 +257,7 @@ class Join:
     def pivots(self) -> None:
         p = F.col("pivot")
         rows = self.rows.filter(lengths_fit(F.col("n"), p["n"]) & places_fit(F.col("n"), F.col("pos"), p["n"], p["pos"]))
-        self.verify(rows.filter(F.col("c") != p["c"]).select(p["c"].alias("a"), F.col("c").alias("b")))
+        self.verify(rows.filter(F.col("c") != p["c"]).select(p["c"].alias("a"), F.col("c").alias("b"), p["pos"].alias("i"), F.col("pos").alias("j")))
 
     def labelled(self, rows: DataFrame, roots: DataFrame) -> DataFrame:
         rows = rows.join(roots.select(F.col("node").alias("c"), "root"), "c", "left")
@@ -263,7 +283,7 @@ class Join:
             chosen = hard.filter("root <> major").groupBy("gram").agg(F.min(F.struct("pos", "n", "c", "root")).alias("p"))
             pairs = hard.join(chosen, "gram").filter("root <> p.root")
             pairs = pairs.filter(lengths_fit(F.col("n"), F.col("p.n")) & places_fit(F.col("n"), F.col("pos"), F.col("p.n"), F.col("p.pos")))
-            self.verify(pairs.select(F.col("p.c").alias("a"), F.col("c").alias("b")))
+            self.verify(pairs.select(F.col("p.c").alias("a"), F.col("c").alias("b"), F.col("p.pos").alias("i"), F.col("pos").alias("j")))
             done = chosen.select("gram", F.col("p.c").alias("c"))
             rows = rows.join(done, ["gram", "c"], "left_anti").select("gram", "c", "n", "pos")
         return self.paired(rows, cross=True)
@@ -285,7 +305,9 @@ class Join:
         fits = (F.col("c_a") < F.col("c_b")) & lengths_fit(F.col("n_a"), F.col("n_b")) & places_fit(F.col("n_a"), F.col("pos_a"), F.col("n_b"), F.col("pos_b"))
         if cross:
             fits &= F.col("root_a") != F.col("root_b")
-        return left.alias("l").join(right.alias("r"), (F.col("l.gram") == F.col("r.gram")) & fits).select(F.col("c_a").alias("a"), F.col("c_b").alias("b"))
+        return left.alias("l").join(right.alias("r"), (F.col("l.gram") == F.col("r.gram")) & fits).select(
+            F.col("c_a").alias("a"), F.col("c_b").alias("b"), F.col("pos_a").alias("i"), F.col("pos_b").alias("j")
+        )
 
 
 def classes_of(rows: DataFrame) -> DataFrame:

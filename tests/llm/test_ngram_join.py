@@ -6,10 +6,11 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tallyforge.llm import ngram_join
 from tallyforge.llm.components import stars
-from tallyforge.llm.ngram_join import keep_one_of_each, similar_groups, similar_pairs
+from tallyforge.llm.ngram_join import keep_one_of_each, parted_overlap, similar_groups, similar_pairs
 from tallyforge.llm.shingles import sets_of
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -98,6 +99,32 @@ def test_pairs(spark):
     assert got == want
 
 
+def test_the_suffix_filter_never_drops_a_true_pair(spark):
+    """At every shingle that two sets share, what the filter allows is at least what they have in common."""
+    r, rows = random.Random(6), []
+    for _ in range(400):
+        pool = r.sample(range(10**6), r.choice([12, 40, 200]))
+        a, b = (sorted(r.sample(pool, r.randrange(len(pool) // 2, len(pool)))) for _ in range(2))  # sorted: the global order
+        of = {x: r.randrange(16) for x in pool}
+        common = set(a) & set(b)
+        for x in common:
+            counts = [[sum(of[y] == k for y in s) for k in range(16)] for s in (a, b)]
+            heads = ["".join(f"{of[y]:x}" for y in s[: s.index(x) + 1]) for s in (a, b)]
+            rows.append((*counts, *heads, len(common)))
+    df = spark.createDataFrame(rows, "ra array<int>, rb array<int>, ha string, hb string, common int")
+    most = parted_overlap((F.col("ra"), F.col("rb")), (F.col("ha"), F.col("hb")))
+    whole = F.aggregate(F.zip_with("ra", "rb", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
+    got = df.select(most.alias("most"), whole.alias("whole"), "common").toPandas()
+    assert (got.most >= got.common).all() and (got.most <= got.whole).all() and (got.most < got.whole).mean() > 0.5
+
+
+def test_a_star_of_many_links(spark):
+    """One node holds nearly all links, more than a lookup leaves together."""
+    links = spark.range(1, 6000).select(F.lit(0).cast("long").alias("a"), F.col("id").alias("b")).unionByName(spark.createDataFrame([(7000, 7001), (7001, 3)], "a long, b long"))
+    got = stars(links.repartition(5))
+    assert got.count() == 6001 and got.filter("root <> 0").count() == 0
+
+
 def test_components_of_a_chain(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (7, 7)]
     got = {r.node: r.root for r in stars(spark.createDataFrame(links, "a long, b long")).collect()}
