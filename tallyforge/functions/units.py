@@ -6,6 +6,9 @@ such as "8 + 256 GB" are null.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -46,6 +49,21 @@ PLAUSIBLE = {
 }
 
 
+def let(x: Column, body: Callable[[Column], Column]) -> Column:
+    """body of x, x being written into the plan and evaluated once however often body names it."""
+    return F.get(F.transform(F.array(x), body), F.lit(0))
+
+
+def once(parser: Callable[..., Column]) -> Callable[..., Column]:
+    """A parser of a stripped text as one of a raw text, which is stripped once."""
+
+    @wraps(parser)
+    def run(raw: Column, *args, **named) -> Column:
+        return let(text_of(raw), lambda x: parser(x, *args, **named))
+
+    return run
+
+
 def has(x: Column, pattern: str) -> Column:
     return x.rlike(FLAGS + pattern)
 
@@ -60,7 +78,7 @@ def tokens(x: Column, number: str = INT) -> Column:
 
 
 def only(values: Column) -> Column:
-    return F.when(F.size(values) == 1, F.try_element_at(values, F.lit(1)))
+    return let(values, lambda v: F.when(F.size(v) == 1, F.get(v, F.lit(0))))
 
 
 def as_double(x: Column) -> Column:
@@ -73,15 +91,16 @@ def joined_quantities(x: Column, number: str, unit: str) -> Column:
 
 
 def between(x: Column, low, high) -> Column:
-    return F.when(x.between(low, high), x)
+    return let(x, lambda v: F.when(v.between(low, high), v))
 
 
 def text_of(raw: Column) -> Column:
     return F.nullif(F.regexp_replace(raw, r"(?U)^\s+|\s+$", ""), F.lit(""))
 
 
-def storage_gb(raw: Column) -> Column:
-    x, unit = text_of(raw), f"{TB}|{GB}"
+@once
+def storage_gb(x: Column) -> Column:
+    unit = f"{TB}|{GB}"
     hits = found(x, INT, unit)
     tera = F.size(found(x, INT, TB)) == 1
     value = only(hits).try_cast("long") * F.when(tera, 1024).otherwise(1)
@@ -95,8 +114,8 @@ def ram_gb(raw: Column) -> Column:
     return F.when(value <= 64, value)
 
 
-def display_inch(raw: Column) -> Column:
-    x = text_of(raw)
+@once
+def display_inch(x: Column) -> Column:
     inch, cm = found(x, r"\d+[.,]?\d*", INCH), found(x, r"\d+[.,]?\d*", CM)
     plain = F.when(~has(x, rf"{DEC}\s*[xх×]\s*{DEC}"), as_double(only(tokens(x, DEC))))
     value = F.when(F.size(inch) > 0, as_double(only(inch))).when(F.size(cm) > 0, F.round(as_double(only(cm)) / 2.54, 1)).otherwise(plain)
@@ -104,49 +123,52 @@ def display_inch(raw: Column) -> Column:
     return F.when(~joined, between(value, 1.0, 100.0))
 
 
-def battery_mah(raw: Column) -> Column:
-    x, number = text_of(raw), r"\d{3,5}"
+@once
+def battery_mah(x: Column) -> Column:
+    number = r"\d{3,5}"
     hits = found(x, number, MAH)
     value = F.when(F.size(hits) > 0, only(hits)).otherwise(only(tokens(x))).try_cast("long")
     return F.when(~joined_quantities(x, number, MAH), between(value, 500, 20000))
 
 
-def battery_wh(raw: Column) -> Column:
+@once
+def battery_wh(x: Column) -> Column:
     """A single value with its unit that is out of range gives way to a plain number, as texts like "1 Wh 56" have."""
-    x = text_of(raw)
     hits = found(x, r"\d+[.,]?\d*", WH)
     plain = between(as_double(only(tokens(x, DEC))), 10.0, 200.0)
     value = F.when(F.size(hits) < 2, F.coalesce(between(as_double(only(hits)), 10.0, 200.0), plain))
     return F.when(~joined_quantities(x, DEC, WH), F.round(value, 1))
 
 
-def _weights(raw: Column) -> tuple[Column, Column, Column]:
-    x = text_of(raw)
+def _weights(x: Column) -> tuple[Column, Column, Column]:
     kg, g = found(x, r"\d+[.,]?\d*", KG), found(x, r"\d+[.,]?\d*", G)
     fine = ~joined_quantities(x, DEC, f"{KG}|{G}") & (F.size(kg) + F.size(g) == 1)
     return fine, as_double(only(kg)), as_double(only(g))
 
 
-def weight_g(raw: Column) -> Column:
-    fine, kg, g = _weights(raw)
+@once
+def weight_g(x: Column) -> Column:
+    fine, kg, g = _weights(x)
     return F.when(fine, between(F.coalesce(kg * 1000, g).cast("long"), 50, 50000))
 
 
-def weight_kg(raw: Column) -> Column:
-    fine, kg, g = _weights(raw)
+@once
+def weight_kg(x: Column) -> Column:
+    fine, kg, g = _weights(x)
     return F.when(fine, F.coalesce(F.round(between(kg, 0.1, 50.0), 2), between(F.round(g / 1000, 2), 0.1, 50.0)))
 
 
-def camera_mp(raw: Column) -> Column:
-    x = text_of(raw)
+@once
+def camera_mp(x: Column) -> Column:
     hits = found(x, INT, MP)
     value = F.when(F.size(hits) > 0, only(hits)).otherwise(only(tokens(x))).try_cast("long")
     several = has(x, CAMERA_PLACES) & has(x, "[-/+]") & (F.size(tokens(x)) > 1)
     return F.when(~joined_quantities(x, INT, MP) & ~several, between(value, 1, 200))
 
 
-def sim_count(raw: Column) -> Column:
-    x = F.lower(text_of(raw))
+@once
+def sim_count(x: Column) -> Column:
+    x = F.lower(x)
     kinds = F.regexp_count(x, F.lit(r"(?U)\b(?:e|nano|micro|mini)[-\s]?sim\b"))
     counted = F.nullif(F.regexp_extract(x, r"(?U)\b([1-4])\s*(?:sim|slots?)\b", 1), F.lit("")).cast("int")
     return (
@@ -157,8 +179,8 @@ def sim_count(raw: Column) -> Column:
     )
 
 
-def refresh_hz(raw: Column) -> Column:
-    x = text_of(raw)
+@once
+def refresh_hz(x: Column) -> Column:
     hits = found(x, INT, HZ)
     plain = only(tokens(x)).try_cast("long")
     value = F.when(F.size(hits) > 0, only(hits).try_cast("long")).otherwise(F.when(plain.isin(*KNOWN_RATES), plain))
@@ -169,25 +191,26 @@ def plain_number(x: Column) -> Column:
     return F.when(x.rlike(r"^\d+(?:[.,]\d+)?$"), as_double(x))
 
 
-def power_w(raw: Column, latin_only: bool = False) -> Column:
+@once
+def power_w(x: Column, latin_only: bool = False) -> Column:
     """latin_only: know W alone, as an older parser did whose Cyrillic spelling was damaged."""
-    x, unit = text_of(raw), r"W\b" if latin_only else WATT
+    unit = r"W\b" if latin_only else WATT
     hits = found(x, DEC, unit)
     value = F.when(F.size(hits) > 0, as_double(only(hits))).otherwise(plain_number(x))
-    value = F.when((value > 0) & (value == F.floor(value)), value.cast("long"))
+    value = let(value, lambda v: F.when((v > 0) & (v == F.floor(v)), v.cast("long")))
     return F.when(~has(x, rf"{DEC}\s*[-–—/]\s*{DEC}\s*{unit}"), value)
 
 
-def volume_l(raw: Column) -> Column:
-    x = text_of(raw)
+@once
+def volume_l(x: Column) -> Column:
     litre, ml = found(x, r"\d+[.,]?\d*", LITRE), found(x, DEC, ML)
     value = F.coalesce(as_double(only(litre)), F.round(as_double(only(ml)) / 1000, 3))
     n = F.size(litre) + F.size(ml)
     return F.when(~has(x, rf"{DEC}\s*[-–—/]\s*{DEC}"), F.when(n == 1, value).when(n == 0, plain_number(x)))
 
 
-def warranty_months(raw: Column) -> Column:
-    x = text_of(raw)
+@once
+def warranty_months(x: Column) -> Column:
     years, months = found(x, INT, YEAR), found(x, INT, MONTH)
     value = F.coalesce(only(years).try_cast("long") * 12, only(months).try_cast("long"))
     plain = F.when(x.rlike("^[1-9][0-9]{0,2}$"), between(x.try_cast("long"), 1, 120))
@@ -196,36 +219,40 @@ def warranty_months(raw: Column) -> Column:
     return F.when(fine, F.when(n == 1, value).when(n == 0, plain))
 
 
-def count_of(raw: Column) -> Column:
+@once
+def count_of(x: Column) -> Column:
     """Counts: 2, x2, 2x, 3 ports."""
-    x = text_of(raw)
     rules = (r"^(?:x\s*)?([1-9]\d*)(?:\s*x)?$", r"\b([1-9]\d*)\s*(?:ports?|inputs?|slots?|pcs?|pieces?|шт|разъем\w*)\b", r"\bx\s*([1-9]\d*)\b", r"\b([1-9]\d*)\s*x\b")
     value = F.coalesce(*[F.nullif(F.regexp_extract(x, FLAGS + p, 1), F.lit("")) for p in rules]).try_cast("long")
     return F.when(~x.rlike(r"\d+\.\d+|\d+\s*[-–—/]\s*\d+"), value)
 
 
-def truth(raw: Column) -> Column:
-    x = F.lower(text_of(raw))
+@once
+def truth(x: Column) -> Column:
+    x = F.lower(x)
     return F.when(x.isin(*TRUE_WORDS), True).when(x.isin(*FALSE_WORDS), False).when(has(x, FALSE_INSIDE), False).when(has(x, TRUE_INSIDE), True)
 
 
-def capability(raw: Column, field: str) -> Column:
+@once
+def capability(x: Column, field: str) -> Column:
     """truth, or else true where the text names the capability itself."""
-    x = F.lower(text_of(raw))
-    return F.coalesce(truth(raw), F.when(has(x, CAPABILITY[field]) & ~has(x, BOOL_UNKNOWN), True))
+    x = F.lower(x)
+    return F.coalesce(truth(x), F.when(has(x, CAPABILITY[field]) & ~has(x, BOOL_UNKNOWN), True))
 
 
-def smart_tv(raw: Column) -> Column:
-    x = F.lower(text_of(raw))
-    return F.when(x.rlike("|".join(TV_PLATFORMS)), True).otherwise(truth(raw))
+@once
+def smart_tv(x: Column) -> Column:
+    x = F.lower(x)
+    return F.when(x.rlike("|".join(TV_PLATFORMS)), True).otherwise(truth(x))
 
 
-def resolution(raw: Column) -> Column:
-    return F.regexp_replace(text_of(raw), r"(?U)\s*[×xXхХ*]\s*", "x")
+@once
+def resolution(x: Column) -> Column:
+    return F.regexp_replace(x, r"(?U)\s*[×xXхХ*]\s*", "x")
 
 
-def energy_class(raw: Column) -> Column:
-    x = text_of(raw)
+@once
+def energy_class(x: Column) -> Column:
     return F.upper(F.coalesce(F.nullif(F.regexp_extract(x, r"([A-Da-d]\+{0,3})", 1), F.lit("")), x))
 
 
@@ -284,13 +311,13 @@ NO_OS = ("без ос", "без операционной системы", "no os
 EDGES = " :;,-–—"
 
 
-def brand(raw: Column, more: dict | None = None) -> Column:
-    x = text_of(raw)
+@once
+def brand(x: Column, more: dict | None = None) -> Column:
     return F.coalesce(lookup(F.lower(x), BRANDS | {k.lower(): v for k, v in (more or {}).items()}), title_case(x))
 
 
-def color(raw: Column) -> Column:
-    x = text_of(raw)
+@once
+def color(x: Column) -> Column:
     return F.coalesce(lookup(F.lower(x), COLORS), title_case(x))
 
 
@@ -299,12 +326,15 @@ def labelled_text(raw: Column, field: str) -> Column:
     x = clean_text(raw)
     if field in FIELD_LABELS:
         x = F.regexp_replace(x, rf"(?iuU)^(?:{FIELD_LABELS[field]})\s*[:\-–—]?\s*", "")
-    x = F.btrim(x, F.lit(EDGES))
-    return F.when((x != "") & ~F.lower(x).isin(*UNKNOWN_WORDS), x)
+    return let(F.btrim(x, F.lit(EDGES)), lambda v: F.when((v != "") & ~F.lower(v).isin(*UNKNOWN_WORDS), v))
 
 
 def string_field(raw: Column, field: str) -> Column:
-    x = labelled_text(raw, field)
+    return let(labelled_text(raw, field), lambda x: named_value(x, field))
+
+
+def named_value(x: Column, field: str) -> Column:
+    """The usual name of what a string field says."""
     key = F.lower(F.btrim(squeeze(x), F.lit(EDGES)))
     if field in ("display_resolution", "resolution"):
         return resolution(x)
@@ -366,8 +396,8 @@ PROCESSORS = {
 
 
 def processor(raw: Column, aliases: dict | None = None) -> Column:
-    x = labelled_text(raw, "processor")
-    return F.coalesce(lookup(F.lower(x), {k.lower(): v for k, v in (PROCESSORS if aliases is None else aliases).items()}), x)
+    names = {k.lower(): v for k, v in (PROCESSORS if aliases is None else aliases).items()}
+    return let(labelled_text(raw, "processor"), lambda x: F.coalesce(lookup(F.lower(x), names), x))
 
 
 #: Parser of every typed field, by its name.

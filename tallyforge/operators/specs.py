@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallyforge.functions import units
 from tallyforge.functions.text import spec_label
 from tallyforge.operators.lookups import ranked_rules
+from tallyforge.sources.scratch import stored
 
 #: Labels of typed fields, for all categories and for phones.
 COMMON_LABELS = {
@@ -190,7 +191,8 @@ def typed_specs(items: DataFrame, rules: DataFrame) -> DataFrame:
     texts = joined.select("field", "raw").distinct()
     value = F.coalesce(*[F.when(F.col("field") == f, units.parse_field(F.col("raw"), f).cast("string")) for f in FIELDS])
     ok = F.coalesce(*[F.when(F.col("field") == f, units.is_plausible(f, F.col("value"))) for f in FIELDS])
-    texts = texts.withColumn("value", value).withColumn("ok", ok)
+    # Stored, so that the parsers are planned once and not with every stage that follows.
+    texts = stored(texts.withColumn("value", value).withColumn("ok", ok), "spec-values")
     short = ~F.col("direct") & (F.length("label") < 4)
     scored = joined.join(texts, ["field", "raw"]).withColumn("confidence", confidence(F.col("field"), F.col("raw"), F.col("direct"), F.col("priority"), ambiguous=short))
     scored = scored.withColumn("least", least_confidence(F.coalesce("category", F.lit(""))))
