@@ -41,7 +41,7 @@ def with_default(rows: DataFrame, table: DataFrame, key: str, default: str = "un
     """Dimension lookup in a small table; keys that it lacks get the row of the default member."""
     values = [c for c in table.columns if c != key]
     fallback = F.broadcast(table.filter(F.col(key) == default).select(*[F.col(c).alias(f"_{c}") for c in values]).limit(1))
-    out = rows.join(F.broadcast(table), key, "left").join(fallback, F.lit(True), "left")
+    out = rows.join(table, key, "left").join(fallback, F.lit(True), "left")
     return out.withColumns({c: F.coalesce(c, f"_{c}") for c in values}).drop(*[f"_{c}" for c in values])
 
 

@@ -78,7 +78,7 @@ def rollout(feature: Column, store: Column, entity: Column, feature_stage: Colum
 
 def gates(flags: DataFrame, results: DataFrame) -> DataFrame:
     """Every gate (gate, flag, severity) with whether its flag (flag, ok) is set; one that is missing fails."""
-    out = F.broadcast(flags).join(results, "flag", "left").withColumn("passed", F.coalesce("ok", F.lit(False)))
+    out = flags.join(results, "flag", "left").withColumn("passed", F.coalesce("ok", F.lit(False)))
     return out.select("gate", "passed", F.when(F.col("passed"), "info").otherwise(F.col("severity")).alias("severity"))
 
 

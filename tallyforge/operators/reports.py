@@ -79,7 +79,7 @@ def quality_summary(fields: DataFrame, keys: list[str]) -> DataFrame:
 
 def deprecated_uses(flat: DataFrame, notices: DataFrame, key: str) -> DataFrame:
     """Deprecated paths (path, replacement) that flattened records (key, path) still have."""
-    return flat.join(F.broadcast(notices), "path").groupBy(key, "path", "replacement").agg(F.count("*").alias("n"))
+    return flat.join(notices, "path").groupBy(key, "path", "replacement").agg(F.count("*").alias("n"))
 
 
 def migration(levels: DataFrame, deprecated: DataFrame, key: str) -> DataFrame:
@@ -110,7 +110,7 @@ def import_edges(sources: DataFrame, module: str = "module", text: str = "text")
 def import_violations(edges: DataFrame, rules: DataFrame) -> DataFrame:
     """Edges that a rule (layer, forbidden) excludes, layers being the first part of a module's name."""
     rows = edges.withColumns({"layer": F.substring_index("module", ".", 1), "forbidden": F.substring_index("imported", ".", 1)})
-    return rows.join(F.broadcast(rules), ["layer", "forbidden"]).select("module", "imported")
+    return rows.join(rules, ["layer", "forbidden"]).select("module", "imported")
 
 
 def migrated(old: DataFrame, ids: DataFrame, existing: DataFrame, key: str) -> DataFrame:

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from tallyforge.operators.outbox import upsert
+
 from tallyforge.operators.rollups import rate, severity_rank
 
 
@@ -73,7 +75,7 @@ def seeds(targets: DataFrame, table: DataFrame) -> DataFrame:
     targets: (item, explicit array, categories array, brands array, defaults array); table: (category, brand, url) with
     nulls where a URL stands for a category or a brand alone.
     """
-    t = F.broadcast(table)
+    t = table
     c = targets.select("item", F.explode("categories").alias("category"))
     b = targets.select("item", F.explode("brands").alias("brand"))
     both = c.join(b, "item").join(t.filter("category is not null and brand is not null"), ["category", "brand"]).select("item", F.lit(1).alias("tier"), "url")
@@ -83,3 +85,37 @@ def seeds(targets: DataFrame, table: DataFrame) -> DataFrame:
     default = targets.select("item", F.lit(4).alias("tier"), F.explode("defaults").alias("url"))
     rows = explicit.unionByName(both).unionByName(by_category).unionByName(by_brand).unionByName(default).distinct()
     return rows.withColumn("_first", F.min("tier").over(W.partitionBy("item"))).filter("tier = _first").select("item", "tier", "url")
+
+
+def registered(registry: DataFrame | None, runs: DataFrame, now: Column) -> DataFrame:
+    """The registry with runs (run_id, store_name, spider_name, category_urls) as running ones.
+
+    A run that is known already runs again and keeps when it started, its counters and its statistics.  A run may come
+    once in a call.
+    """
+    zero = F.lit(0).cast("long")
+    new = runs.select(
+        "run_id", "store_name", "spider_name", now.alias("started_at"), F.lit(None).cast("timestamp").alias("finished_at"), F.lit("running").alias("status"),
+        *[zero.alias(f"items_{c}") for c in COUNTED], F.to_json("category_urls").alias("category_urls_json"), F.lit("{}").alias("stats_json"), now.alias("created_at"), now.alias("updated_at"),
+    )
+    kept = ("started_at", "finished_at", *[f"items_{c}" for c in COUNTED], "stats_json", "created_at")
+    return new if registry is None else upsert(registry, new, ["run_id"], kept)
+
+
+#: The counters of a run, and the names that its statistics may have them under.
+COUNTED = {"scraped": ("items_scraped", "item_scraped_count"), "persisted": ("items_persisted",), "failed": ("items_failed", "item_dropped_count")}
+
+
+def finished(registry: DataFrame, results: DataFrame, now: Column) -> DataFrame:
+    """The registry with the runs of results (run_id, status, stats map<string,string>) closed.
+
+    Counters are the first of their names that is a number other than 0 in the statistics, else 0.  Results of runs that aren't
+    registered change nothing; runs without a result stay as they are.
+    """
+    told = results.select("run_id", F.col("status").alias("_status"), F.col("stats").alias("_stats"))
+    rows, closed = registry.join(told, "run_id", "left"), F.col("_status").isNotNull()
+    values = {"finished_at": now, "updated_at": now, "status": F.col("_status"), "stats_json": F.to_json(F.coalesce("_stats", F.create_map().cast("map<string,string>")))}
+    for c, names in COUNTED.items():
+        known = [F.nullif(F.try_element_at("_stats", F.lit(n)).try_cast("long"), F.lit(0).cast("long")) for n in names]
+        values[f"items_{c}"] = F.coalesce(*known, F.lit(0).cast("long"))
+    return rows.withColumns({c: F.when(closed, v).otherwise(F.col(c)) for c, v in values.items()}).drop("_status", "_stats")

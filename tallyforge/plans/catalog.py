@@ -641,7 +641,7 @@ def dag(spark, sf_dir):
     edge = lambda df, a, b: df.select(name(*a).alias("a"), name(*b).alias("b"))
     edges = edge(nation, ("r", "n_regionkey"), ("n", "n_nationkey")).union(edge(customer, ("n", "c_nationkey"), ("c", "c_custkey")))
     edges = edges.union(edge(orders, ("c", "o_custkey"), ("o", "o_orderkey")))
-    direct = customer.join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"))
+    direct = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
     return nodes, edges.union(edge(direct, ("r", "n_regionkey"), ("c", "c_custkey")))
 
 

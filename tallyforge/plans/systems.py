@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
 from tallyforge.functions import signing
-from tallyforge.operators import graphs, proxies, samples, snapshots
+from tallyforge.operators import graphs, proxies, runs, samples, snapshots
 from tallyforge.plans.registry import query, read
 from tallyforge.sources import databases, products, sinks
 from tallyforge.sources.scratch import new_folder, shared_folder
@@ -75,6 +75,27 @@ def snapshot_set(spark, sf_dir):
     return p.unionByName(i).unionByName(c).unionByName(o)
 
 
+@query("""
+with r as (select user_id % 40 as k, count(*) as n, count(*) filter (where event_type <> 'error') as ok, count(*) filter (where event_type = 'error') as bad from events group by 1)
+select 'r' || k as run_id, case when k % 4 = 3 then 'running' when k % 2 = 0 then 'completed' else 'failed' end as status, case when k % 3 = 0 then 2 else 1 end as started,
+  case when k % 4 = 3 then 0 else n end as items_scraped, case when k % 4 = 3 or k % 2 = 1 then 0 else ok end as items_persisted, case when k % 4 = 3 then 0 else bad end as items_failed,
+  case when k % 3 = 0 then 's' || (k % 5) else 'old' end as store_name from r""")
+def run_registry(spark, sf_dir):
+    """Runs registered, two in three of them a second time, and closed with their counters under one name or another."""
+    day = lambda n: F.lit(f"2024-01-0{n}").cast("timestamp")
+    k = F.col("k")
+    r = read(spark, sf_dir, "events").groupBy((F.col("user_id") % 40).alias("k")).agg(F.count("*").alias("n"), F.count_if(F.col("event_type") == "error").alias("bad"))
+    row = r.select("k", t("r", k).alias("run_id"), t("s", k % 5).alias("store_name"), F.lit("spider").alias("spider_name"), F.array(t("u", k)).alias("category_urls"), "n", "bad")
+    first = runs.registered(None, row.filter(k % 3 != 0).withColumn("store_name", F.lit("old")), day(1))
+    known = runs.registered(first, row.filter(k % 3 == 0), day(2))
+    text = lambda c: c.cast("string")
+    whole = F.create_map(F.lit("items_scraped"), text(F.col("n")), F.lit("items_persisted"), text(F.col("n") - F.col("bad")), F.lit("items_failed"), text(F.col("bad")))
+    other = F.create_map(F.lit("items_scraped"), F.lit("0"), F.lit("item_scraped_count"), text(F.col("n")), F.lit("item_dropped_count"), text(F.col("bad")))
+    results = row.filter(k % 4 != 3).select("run_id", F.when(k % 2 == 0, "completed").otherwise("failed").alias("status"), F.when(k % 2 == 0, whole).otherwise(other).alias("stats"))
+    done = runs.finished(known, results, day(3))
+    return done.select("run_id", "status", F.dayofmonth("started_at").alias("started"), "items_scraped", "items_persisted", "items_failed", "store_name")
+
+
 # --- Streams ----------------------------------------------------------------------------------------------------------
 
 

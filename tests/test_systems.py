@@ -10,8 +10,9 @@ import sqlite3
 import pytest
 from pyspark.sql import functions as F
 
+from tallyforge import replay
 from tallyforge.functions import signing
-from tallyforge.operators import graphs, proxies, ranks, samples, snapshots
+from tallyforge.operators import graphs, proxies, ranks, runs, samples, snapshots
 from tallyforge.sources import databases, sinks, table_set
 from tallyforge.sources.table_set import Change, Conflict, commit, expire, pinned
 from tallyforge.streaming import in_flight, progress
@@ -99,6 +100,32 @@ def test_snapshots_of_awkward_products(spark, tmp_path):
     assert pinned(spark, folder).table("products").count() == 3
 
 
+def test_registry_keeps_what_a_run_had(spark):
+    at = lambda n: F.lit(T0 + dt.timedelta(days=n)).cast("timestamp")
+    one = spark.createDataFrame([("r1", "s", "p", ["u"]), ("r2", "s", None, None)], "run_id string, store_name string, spider_name string, category_urls array<string>")
+    known = runs.registered(None, one, at(0))
+    results = spark.createDataFrame([("r1", "completed", {"item_scraped_count": "7", "items_failed": "x"}), ("r9", "failed", None)], "run_id string, status string, stats map<string,string>")
+    done = {r.run_id: r for r in runs.finished(known, results, at(1)).collect()}
+    assert (done["r1"].status, done["r1"].items_scraped, done["r1"].items_failed, done["r1"].finished_at) == ("completed", 7, 0, T0 + dt.timedelta(days=1))
+    assert (done["r2"].status, done["r2"].finished_at, len(done)) == ("running", None, 2)
+    again = runs.registered(runs.finished(known, results, at(1)), one.filter("run_id = 'r1'"), at(2))
+    row = again.filter("run_id = 'r1'").first()
+    assert (row.status, row.started_at, row.items_scraped, row.updated_at) == ("running", T0, 7, T0 + dt.timedelta(days=2))
+
+
+def test_replay_of_an_outbox(spark, tmp_path, capsys):
+    folder = f"file://{tmp_path}/set"
+    names = "id int, event_id string, scrape_run_id string, store_name string, status string, created_at timestamp, available_at timestamp, published_at timestamp, last_error string, lease_owner string, lease_expires_at timestamp, updated_at timestamp"
+    rows = [(i, f"e{i}", "r", "s" if i % 2 else "t", st, T0 + dt.timedelta(minutes=i), T0, T0, "x", None, None, T0) for i, st in enumerate(("failed", "failed", "published", "failed"))]
+    commit(spark, folder, {"outbox": Change(spark.createDataFrame(rows, names), ("event_id",))}, buckets=2)
+    assert replay.replay(spark, folder, statuses=("failed",), store="s") == 2
+    states = lambda: {r.event_id: r.status for r in pinned(spark, folder).table("outbox").collect()}
+    assert states() == {"e0": "failed", "e1": "pending", "e2": "published", "e3": "pending"} and pinned(spark, folder).version == 1
+    replay.main(["--folder", folder, "--status", "failed", "--limit", "1"])
+    assert "{'requeued': 1}" in capsys.readouterr().out and states()["e0"] == "pending"
+    assert replay.replay(spark, folder, event_id="none") == 0 and pinned(spark, folder).version == 2
+
+
 # --- Streams ----------------------------------------------------------------------------------------------------------
 
 
