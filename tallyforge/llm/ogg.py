@@ -206,7 +206,9 @@ def pad(payload: bytes) -> bytes:
 def encode_texts(docs: DataFrame, text_col: str = "text", media_col: str = "media") -> DataFrame:
     """Add media_col: an Ogg container whose 8-bit samples are the padded UTF-8 bytes of text_col.
 
-    A null text counts as empty; the empty payload is 64 zero bytes.  Equal texts give equal containers.
+    A null text counts as empty; the empty payload is 64 zero bytes.  Equal texts give equal containers, whatever
+    stands beside them, so repeated rows and ties don't matter.  Very long texts are encoded whole, as many pages; a
+    task holds a few texts at a time.  Other columns stay, one called media_col is replaced.  No rows give no rows.
     """
 
     bounded_batches(docs.sparkSession)
@@ -228,7 +230,7 @@ def probe_media(media: Column, with_payload: bool = False) -> Column:
     """What an Ogg container in a binary column holds.
 
     Null or not a container: no streams, an empty payload, null seconds.  Damaged pages are left out and show as
-    gaps and broken packets.
+    gaps and broken packets.  Very long containers are read whole.  Equal containers give equal results.
     """
 
     @F.pandas_udf(PROBE)
