@@ -209,14 +209,16 @@ class Join:
     def verify(self, pairs: DataFrame) -> None:
         """Add the true ones among pairs (a, b, i, j) to the links; each pair is verified once in all rounds."""
         turned = F.col("a") > F.col("b")
-        ends = [F.when(turned, F.col(y)).otherwise(F.col(x)).alias(x) for x, y in (("a", "b"), ("b", "a"), ("i", "j"), ("j", "i"))]
-        pairs = pairs.select(*ends).groupBy("a", "b").agg(F.min(F.struct("i", "j")).alias("at")).select("a", "b", "at.i", "at.j")
+        ends = [F.when(turned, F.col(y)).otherwise(F.col(x)).cast("long").alias(x) for x, y in (("a", "b"), ("b", "a"), ("i", "j"), ("j", "i"))]
+        # Both places in one number, so that the minimum stays in a hash table.
+        pairs = pairs.select(*ends).groupBy("a", "b").agg(F.min(F.shiftleft("i", 31).bitwiseOR(F.col("j"))).alias("at"))
         for done in self.tried:
             pairs = pairs.join(done, ["a", "b"], "left_anti")
-        for end, place in (("a", "i"), ("b", "j")):
+        places = (F.shiftright("at", 31), F.col("at").bitwiseAND((1 << 31) - 1))
+        for end, place in zip(("a", "b"), places):
             own = self.ranges.select(F.col("c").alias(end), *[F.col(x).alias(f"{x}_{end}") for x in ("n", "ranges", "codes")])
-            head = F.substring(F.col(f"codes_{end}"), F.lit(1), F.col(place) + 1).alias(f"head_{end}")
-            pairs = pairs.join(own, end).select(*[x for x in pairs.columns if x != place], f"n_{end}", f"ranges_{end}", head)
+            head = F.substring(F.col(f"codes_{end}"), F.lit(1), place.cast("int") + 1).alias(f"head_{end}")
+            pairs = pairs.join(own, end).select(*pairs.columns, f"n_{end}", f"ranges_{end}", head)
         n, m = F.col("n_a"), F.col("n_b")
         most = parted_overlap((F.col("ranges_a"), F.col("ranges_b")), (F.col("head_a"), F.col("head_b")))
         pairs = pairs.filter(lengths_fit(n, m) & (9 * most >= 4 * (n + m))).select("a", "b", "n_a", "n_b")
