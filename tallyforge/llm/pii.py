@@ -85,20 +85,27 @@ STREETS_FR = "rue|avenue|boulevard|place|chemin|allée|quai|impasse|cours"
 STREETS_ES = "calle|avenida|plaza|paseo|camino|carrera|ronda|travesía"
 SMALL_FR, SMALL_ES = "de|du|des|la|le|les", "de|del|la|las|los|el"
 
+
+
+def either_case(words: str) -> str:
+    """The alternatives of a pattern, and the same with a capital first letter."""
+    return words + "|" + "|".join(w.capitalize() for w in words.split("|"))
+
+
 CAPITAL = re.compile(r"(?<![\w-])[A-ZÀ-ÖØ-Þ][^\W\d_]+(?![\w-])")
 NEXT_NAME = re.compile(r"[ ]+([A-ZÀ-ÖØ-Þ][^\W\d_]+(?:-[A-ZÀ-ÖØ-Þ][^\W\d_]+)?)(?!\w)")
 TITLED = re.compile(rf"(?<!\w)(?:{TITLES})\.?[ ]+([A-ZÀ-ÖØ-Þ][^\W\d_]+(?:[ -][A-ZÀ-ÖØ-Þ][^\W\d_]+)?)(?!\w)")
 STREET = re.compile(
     rf"(?<!\w)(?:[0-9]{{1,5}}[a-z]?,?[ ]+)?(?:[A-Z][^\W\d_]+[ ]+){{1,3}}(?:{STREETS_EN})(?!\w)"
     rf"|(?<!\w)[A-ZÄÖÜ][^\W\d_]*(?:{STREETS_DE})(?:[ ]+[0-9]{{1,4}}[a-z]?)?(?!\w)"
-    rf"|(?<!\w)(?:[0-9]{{1,4}}(?:[ ]?(?:bis|ter))?,?[ ]+)?(?i:{STREETS_FR})[ ]+(?:(?:(?:{SMALL_FR})[ ]+|[ld]['’]))*[A-ZÀ-ÖØ-Þ][^\W\d_]+(?:[ -][A-ZÀ-ÖØ-Þ][^\W\d_]+)?(?!\w)"
-    rf"|(?<!\w)(?i:{STREETS_ES})[ ]+(?:(?:{SMALL_ES})[ ]+)*[A-ZÀ-ÖØ-Þ][^\W\d_]+(?:[ ][A-ZÀ-ÖØ-Þ][^\W\d_]+)?(?:,?[ ]+(?:n[º°][ ]*)?[0-9]{{1,4}})?(?!\w)"
+    rf"|(?<!\w)(?:[0-9]{{1,4}}(?:[ ]?(?:bis|ter))?,?[ ]+)?(?:{either_case(STREETS_FR)})[ ]+(?:(?:(?:{SMALL_FR})[ ]+|[ld]['’]))*[A-ZÀ-ÖØ-Þ][^\W\d_]+(?:[ -][A-ZÀ-ÖØ-Þ][^\W\d_]+)?(?!\w)"
+    rf"|(?<!\w)(?:{either_case(STREETS_ES)})[ ]+(?:(?:{SMALL_ES})[ ]+)*[A-ZÀ-ÖØ-Þ][^\W\d_]+(?:[ ][A-ZÀ-ÖØ-Þ][^\W\d_]+)?(?:,?[ ]+(?:n[º°][ ]*)?[0-9]{{1,4}})?(?!\w)"
 )
 TITLE_WORDS = frozenset(TITLES.lower().split("|"))
 #: Words joined by separators, with short numbers between them.
 JOINED = re.compile(r"[_/+=-]*(?:[A-Za-z]?[a-z]+|[A-Z]+|[0-9]{1,4})(?:[_/+=-]+(?:[A-Za-z]?[a-z]+|[A-Z]+|[0-9]{1,4}))*[_/+=-]*")
 #: One of these is in every street; looked for before the pattern is.
-STREET_WORDS = re.compile(rf"(?i){STREETS_EN}|{STREETS_DE}|(?<!\w)(?:{STREETS_FR}|{STREETS_ES})[ ]")
+STREET_WORDS = (*STREETS_EN.split("|"), *STREETS_DE.split("|"), *(w + " " for w in either_case(f"{STREETS_FR}|{STREETS_ES}").split("|")))
 MOST_GIVEN = 3
 
 
@@ -180,7 +187,7 @@ def candidates(text: str, lists: Gazetteers = LISTS) -> list[tuple[str, int, int
     more = [("secret", m.start(), m.end(), False) for m in TOKEN.finditer(text)]
     more += [("number", m.start(), m.end(), False) for m in NUMBER.finditer(text)]
     more += [("name", start, end, False) for start, end in names(text, lists)]
-    if STREET_WORDS.search(text):
+    if any(w in text for w in STREET_WORDS):
         more += [("address", m.start(), m.end(), False) for m in STREET.finditer(text)]
     for x in more:
         i = bisect_right(ends, x[1])
