@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from tallyforge.functions import units
 from tallyforge.functions.text import spec_label
-from tallyforge.operators.lookups import ranked_rules
-from tallyforge.sources.scratch import stored
+from tallyforge.operators.lookups import fits_scope
+from tallyforge.sources.scratch import spread, stored
 
 #: Labels of typed fields, for all categories and for phones.
 COMMON_LABELS = {
@@ -179,16 +180,28 @@ def resolve(candidates: DataFrame, keys: list[str], plausible: Column) -> DataFr
 
 
 def typed_specs(items: DataFrame, rules: DataFrame) -> DataFrame:
-    """One row an item with all typed fields as strings, from items (item, category, store, specs map<string,string>)."""
-    raw = items.select("item", "category", "store", F.posexplode("specs").alias("pos", "key", "raw")).filter("raw is not null")
-    raw = raw.withColumn("label", spec_label(F.col("key")))
-    fields = items.sparkSession.createDataFrame([(f,) for f in FIELDS], "field string")
-    targets = ranked_rules(raw.select("item", "label", "category", "store").distinct(), rules, fields)
-    joined = raw.join(targets, ["item", "label"])
+    """One row an item with all typed fields as strings, from items (item, category, store, specs map<string,string>).
+
+    The rule table is configuration, bounded and broadcast.  Items are dealt out once, by item: what an item's labels
+    mean, its values and its fields are then found where they are, and nothing that grows with the items is broadcast.
+    """
+    known = rules.filter(~F.col("label").isin(*FIELDS)).select("label", "field", "priority", "category", "store")
+    # A field's own name means the field, past all rules.
+    known = known.unionByName(items.sparkSession.createDataFrame([(f, f, None, None, None) for f in FIELDS], known.schema))
+    known = known.groupBy("label").agg(F.collect_list(F.struct("field", "priority", "category", "store")).alias("rules"))
+    raw = spread(items.filter("item is not null"), "item").select("item", "category", "store", F.posexplode("specs").alias("pos", "key", "raw")).filter("raw is not null")
+    raw = raw.withColumn("label", spec_label(F.col("key"))).join(F.broadcast(known), "label")
+    names = lambda rules: F.array_distinct(F.transform(rules, lambda x: x["field"]))
+    # Labels have few different texts beside their items: each is parsed once for its field.
+    texts = raw.select(F.explode(names("rules")).alias("field"), "raw").distinct()
+    fits = F.filter("rules", lambda x: fits_scope(x["category"], F.col("category")) & fits_scope(x["store"], F.col("store")))
+    # An item can have several rows: what fits one of them counts for the label in all.
+    fits = F.flatten(F.collect_list(fits).over(W.partitionBy("item", "label")))
+    joined = raw.withColumn("fits", fits).withColumn("field", F.explode(names("fits")))
+    priority = F.array_max(F.transform(F.filter("fits", lambda x: x["field"] == F.col("field")), lambda x: x["priority"]))
+    joined = joined.select("item", "category", "store", "pos", "raw", "label", "field", priority.alias("priority"), F.col("label").isin(*FIELDS).alias("direct"))
     for store, disabled in STORE_DISABLED.items():
         joined = joined.filter(~F.coalesce((F.col("store") == store) & F.col("field").isin(*disabled), F.lit(False)))
-    # Labels have few different texts beside their items: each is parsed once for its field.
-    texts = joined.select("field", "raw").distinct()
     value = F.coalesce(*[F.when(F.col("field") == f, units.parse_field(F.col("raw"), f).cast("string")) for f in FIELDS])
     ok = F.coalesce(*[F.when(F.col("field") == f, units.is_plausible(f, F.col("value"))) for f in FIELDS])
     # Stored, so that the parsers are planned once and not with every stage that follows.

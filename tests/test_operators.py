@@ -74,6 +74,19 @@ def test_spec_mapping(spark):
     assert (float(got[2].display_size_inch), got[2].ram_gb) == (55.0, "4") and 4 not in got
 
 
+def test_spec_mapping_meets_no_table_of_items(spark, tmp_path):
+    """Two rows of one item share what their labels mean; no join is by item, whose other side may be broadcast whole."""
+    items = spark.createDataFrame([
+        (1, "phone", "s", {"Масса": "190 г"}), (1, "laptop", "s", {"Масса": "0.19 кг", "hdmi": "1"}), (2, "tv", "uzum", {"hdmi": "1", "RAM": "8 ГБ", "usb-c": None}), (None, "tv", "s", {"hdmi": "1"}),
+    ], "item int, category string, store string, specs map<string,string>")
+    items.write.parquet(str(tmp_path / "items"))
+    out = specs.typed_specs(spark.read.parquet(str(tmp_path / "items")), specs.alias_rules(spark))
+    got = {r["item"]: {k: v for k, v in r.asDict().items() if v is not None and k != "item"} for r in out.collect()}
+    assert got == {1: {"weight_g": "190", "weight_kg": "0.19", "hdmi": "true"}, 2: {"ram_gb": "8"}}
+    joins = [line for line in out._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Join " in line]
+    assert joins and not any("item#" in line for line in joins)
+
+
 def test_graph(spark):
     nodes = spark.createDataFrame([(n, 1) for n in "abcxy"], "node string, weight int")
     edges = spark.createDataFrame([("a", "b"), ("b", "c"), ("a", "c"), ("x", "y"), ("y", "x")], "a string, b string")
