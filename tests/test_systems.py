@@ -4,9 +4,14 @@ import datetime as dt
 import hashlib
 import hmac
 import json
+import os
 import random
 import sqlite3
+import subprocess
+import sys
+from pathlib import Path
 
+import pyspark
 import pytest
 from pyspark.sql import functions as F
 
@@ -372,6 +377,42 @@ def test_jdbc_ranges_and_pushed_filters(spark):
     assert databases.read_jdbc(spark, url, "nothing", "key", driver=databases.DERBY).count() == 0
 
 
+def test_a_database_of_several_processes(tmp_path):
+    """jdbc_ranges where the executors are processes of their own."""
+    for part in Path(pyspark.__file__).parent.iterdir():  # executors work below Spark's home
+        (tmp_path / "home").mkdir(exist_ok=True)
+        if part.name != "work":
+            (tmp_path / "home" / part.name).symlink_to(part)
+    code = f"""
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local-cluster[2,1,1024]").config("spark.ui.enabled", "false").config("spark.driver.host", "127.0.0.1").config("spark.sql.shuffle.partitions", "4").config("spark.checkpoint.dir", "file://{tmp_path}/shared").getOrCreate()
+spark.range(1000).selectExpr("id as o_orderkey", "if(id = 999, null, 'O') as o_orderstatus", "id * 200.5D as o_totalprice").write.parquet("file://{tmp_path}/sf/orders.parquet")
+from tallyforge.plans import QUERIES
+got = sorted(map(tuple, QUERIES["jdbc_ranges"](spark, "file://{tmp_path}/sf").collect()))
+assert got == [(i, None if i == 999 else "O", i * 200.5) for i in range(499, 1000)], got[:3]
+"""
+    env = os.environ | {"SPARK_HOME": str(tmp_path / "home"), "SPARK_SCALA_VERSION": "2.13", "PYTHONPATH": str(Path(__file__).parent.parent), "PYSPARK_PYTHON": sys.executable}
+    done = subprocess.run([sys.executable, "-c", code], env=env, cwd=tmp_path, capture_output=True, text=True, timeout=180)
+    assert done.returncode == 0, done.stderr[-2000:]
+
+
+def test_sqlite_folders(spark, tmp_path):
+    folder = str(tmp_path / "db")
+    rows = spark.createDataFrame([(5, "a", 1.5, b"x"), (None, None, None, None), (1, "b'\"", float("inf"), b""), (5, "a", 1.5, b"x")], "id bigint, `a b` string, price double, raw binary")
+    databases.write_ranges(rows, folder, "t", "id")
+    load = lambda **more: spark.read.format("sqlite").option("path", folder).option("table", "t").options(**more).load()
+    assert load().dtypes == rows.dtypes and load(parts="3").exceptAll(rows).count() == 0 and rows.exceptAll(load()).count() == 0
+    databases.write_ranges(rows.filter("id = 1"), folder, "t", "id")
+    assert load().count() == 5
+    databases.write_ranges(rows.limit(0), str(tmp_path / "none"), "t", "id")
+    assert spark.read.format("sqlite").option("path", str(tmp_path / "none")).option("table", "t").load().count() == 0
+    files = len(list((tmp_path / "db").iterdir()))
+    for odd in (rows.select("id", F.lit(float("nan")).alias("x")), rows.select("id", F.lit("1.0").cast("decimal(3,1)").alias("x"))):
+        with pytest.raises(Exception, match="SQLite keeps"):
+            databases.write_ranges(odd, folder, "t", "id")
+    assert load().count() == 5 and len(list((tmp_path / "db").iterdir())) == files
+
+
 def test_sqlite_ranges(spark, tmp_path):
     path = str(tmp_path / "s.db")
     db = sqlite3.connect(path)
