@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -102,6 +103,24 @@ def test_windows(spark):
     assert [r.i for r in windows.spikes(rows, ["k"], "ts", "i").filter("fires").orderBy("i").collect()] == [4, 10]
 
 
+def test_counts_of_windows_against_enumeration(spark):
+    r = random.Random(5)
+    rows = [(r.choice(["a", "a", "a", None]), i, None if r.random() < 0.05 else T0 + dt.timedelta(seconds=r.choice([0, 0.000001, 30, 60]) + r.randrange(40) * 30)) for i in range(120)] + [("b", 500, T0)]
+    df = spark.createDataFrame(rows, "k string, i int, ts timestamp")
+    count = lambda k, t: sum(a == k and (x is None if t is None else x is not None and 0 <= (t - x).total_seconds() <= 60) for a, _, x in rows)
+    assert {x.i: x.n for x in windows.in_window_count(df, ["k"], "ts", 60, "n").collect()} == {i: count(k, t) for k, i, t in rows}
+    want, before = set(), {}
+    for k, i, t in sorted(rows, key=lambda x: (str(x[0]), x[2] is None, x[2] or T0, x[1])):
+        n = count(k, t)
+        want |= {i} if n >= 5 and before.get(k, 0) < 5 else set()
+        before[k] = n
+    got = windows.spikes(df, ["k"], "ts", "i", 60, 5)
+    assert {x.i for x in got.filter("fires").collect()} == want and len(want) > 2 and got.count() == len(rows)
+    # A frame of a window function sums up anew at every row what the window holds.
+    assert "RangeFrame" not in got._jdf.queryExecution().optimizedPlan().toString()
+    assert windows.spikes(df.limit(0), ["k"], "ts", "i").count() == 0
+
+
 def test_decisions(spark):
     one = spark.range(1)
     get = lambda c: one.select(c.alias("v")).first().v
