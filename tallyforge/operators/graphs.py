@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.sources.scratch import forget, stored
+from tallyforge.sources.scratch import forget, spread, stored
 
 
 def longest_ways(nodes: DataFrame, edges: DataFrame, with_path: bool = True, origin: bool = False) -> DataFrame:
@@ -109,31 +109,31 @@ def flattened(rows: DataFrame, key: str, json: str) -> DataFrame:
 
     kind is null, boolean, number, string or array; an empty object has no leaves.  Texts that are no JSON object give
     no rows.  The deepest nesting of the column is measured first; then every level opens the objects of the one
-    before and hands its leaves on, all in one pass without a shuffle.
+    before and sets its leaves aside, all in one pass.  A text is parsed once: what lies deeper is a part of the parsed
+    value.  Rows are dealt out first, as a small file can hold many deep texts.
     """
+    rows = spread(rows.select(key, json))
     depth = rows.agg(F.max(object_depth(F.col(json)))).first()[0] or 0
     if depth == 0:
         empty = rows.filter(F.lit(False))
         return empty.select(key, F.lit("").alias("path"), F.lit("").alias("value"), F.lit("").alias("kind"))
-    leaf = "struct<path:string,raw:string,value:string,open:boolean>"
 
-    def opened(path: Column, raw: Column) -> Column:
-        """The fields of an object as leaves, open where they are objects themselves."""
-        fields = F.map_entries(F.from_json(raw, "map<string,variant>"))
+    def fields(path: Column, held: Column) -> Column:
+        """Fields of an object: path, value, and the fields within where the value is an object."""
+        name = lambda f: F.when(path == "", f["key"]).otherwise(F.concat(path, F.lit("."), f["key"]))
+        within = lambda f: F.try_variant_get(f["value"], "$", "map<string,variant>")
+        return F.transform(F.map_entries(held), lambda f: F.struct(name(f).alias("path"), f["value"].alias("value"), within(f).alias("within")))
 
-        def one(f: Column) -> Column:
-            raw = F.coalesce(F.to_json(f["value"]), F.lit("null"))
-            name = F.when(path == "", f["key"]).otherwise(F.concat(path, F.lit("."), f["key"]))
-            text = F.try_variant_get(f["value"], "$", "string")
-            return F.struct(name.alias("path"), raw.alias("raw"), text.alias("value"), raw.startswith("{").alias("open"))
-
-        return F.coalesce(F.transform(fields, one), F.array().cast(f"array<{leaf}>"))
-
-    level = rows.select(key, F.explode(opened(F.lit(""), F.col(json))).alias("_l"))
+    closed = lambda x: x["within"].isNull()
+    level = rows.select(key, fields(F.lit(""), F.from_json(json, "map<string,variant>")).alias("_f")).filter("_f is not null")
+    level = level.select(key, F.filter("_f", closed).alias("_leaves"), F.filter("_f", lambda x: ~closed(x)).alias("_open"))
     for _ in range(depth - 1):
-        held = F.when(F.col("_l.open"), opened(F.col("_l.path"), F.col("_l.raw"))).otherwise(F.array("_l"))
-        level = level.select(key, F.explode(held).alias("_l"))
-    return level.filter("not _l.open").select(key, "_l.path", "_l.value", json_kind(F.col("_l.raw")).alias("kind"))
+        inner = F.flatten(F.transform("_open", lambda x: fields(x["path"], x["within"])))
+        level = level.select(key, "_leaves", inner.alias("_f"))
+        level = level.select(key, F.concat("_leaves", F.filter("_f", closed)).alias("_leaves"), F.filter("_f", lambda x: ~closed(x)).alias("_open"))
+    leaves = level.select(key, F.explode("_leaves").alias("_l"))
+    raw = F.coalesce(F.to_json("_l.value"), F.lit("null"))
+    return leaves.select(key, "_l.path", F.try_variant_get("_l.value", "$", "string").alias("value"), json_kind(raw).alias("kind"))
 
 
 def json_kind(raw: Column) -> Column:
