@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tallyforge.functions.units import let
 from tallyforge.operators import crawls, delivery, policy, variants
 from tallyforge.plans.catalog import SLO_SQL, slo_levels
 from tallyforge.plans.registry import query, read
 from tallyforge.plans.systems import t
 from tallyforge.sources import pages, products
+from tallyforge.sources.scratch import spread
 
 # --- Product pages by site profile --------------------------------------------------------------------------------------
 
@@ -65,10 +67,9 @@ def spec_rows(spark, sf_dir):
     second = t(wide("Kind", F.col("p_type")), wide("Brand", brand), wide("Long", F.repeat(F.lit("x"), 321)))
     text = t("intro\nХарактеристики\nRAM\n", size, "\nColor\n", F.col("p_name"), "\nОтзывы\nRAM\n1")
     html = F.when(size % 3 == 0, first).when(size % 3 == 1, second).otherwise("")
-    rows = pages.row_specs(html)
-    found = F.when(F.size(rows) > 0, rows).otherwise(variants.alternating_pairs(text, "характеристики", ("отзывы",)))
+    found = let(pages.row_specs(html), lambda rows: F.when(F.size(rows) > 0, rows).otherwise(variants.alternating_pairs(text, "характеристики", ("отзывы",))))
     shown = F.array_join(F.transform(found, lambda p: F.concat(p["label"], F.lit("="), p["value"])), ",")
-    return read(spark, sf_dir, "part").select("p_partkey", shown.alias("specs"))
+    return spread(read(spark, sf_dir, "part")).select("p_partkey", shown.alias("specs"))
 
 
 # --- Listings -----------------------------------------------------------------------------------------------------------

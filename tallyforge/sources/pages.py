@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.functions.text import clean_text, compact, ordered_distinct, squeeze
+from tallyforge.functions.units import let
 from tallyforge.functions.urls import crawl_url, is_http, piece
 
 
@@ -113,11 +114,17 @@ def bare(x: Column) -> Column:
 
 def row_specs(html: Column) -> Column:
     """array<struct<label, value>> of rows that carry the classes of a specification block, the first of a label winning."""
-    page, found = F.replace(html, F.lit("\\/"), F.lit("/")), []
-    for pattern in SPEC_ROWS:
-        sides = [F.transform(F.regexp_extract_all(page, F.lit(pattern), F.lit(i)), bare) for i in (1, 2)]
-        found.append(F.zip_with(*sides, lambda k, v: F.struct(k.alias("label"), v.alias("value"))))
     fine = lambda p: p["label"].isNotNull() & p["value"].isNotNull() & (F.length(p["label"]).between(1, LONGEST_LABEL)) & (F.length(p["value"]).between(1, LONGEST_VALUE))
-    rows = F.filter(F.concat(*found), fine)
-    label = F.transform(rows, lambda p: p["label"])
-    return F.filter(rows, lambda p, i: F.array_position(label, p["label"]) == i + 1)
+
+    def found(page: Column) -> Column:
+        out = []
+        for pattern in SPEC_ROWS:
+            sides = [F.transform(F.regexp_extract_all(page, F.lit(pattern), F.lit(i)), bare) for i in (1, 2)]
+            out.append(F.zip_with(*sides, lambda k, v: F.struct(k.alias("label"), v.alias("value"))))
+        return F.filter(F.concat(*out), fine)
+
+    def first_of_label(rows: Column) -> Column:
+        return let(F.transform(rows, lambda p: p["label"]), lambda labels: F.filter(rows, lambda p, i: F.array_position(labels, p["label"]) == i + 1))
+
+    # Each step is bound, else it would be worked out again wherever it is named, in lambdas for every row found.
+    return let(F.replace(html, F.lit("\\/"), F.lit("/")), lambda page: let(found(page), first_of_label))

@@ -29,6 +29,16 @@ def test_spec_rows(spark):
     assert get("<p>none</p>") == [] and get("") == [] and get(None) == []
 
 
+def test_heavy_work_on_a_small_file_is_dealt_out(spark, tmp_path):
+    from tallyforge.operators import graphs
+    from tallyforge.plans import QUERIES
+
+    spark.range(40).selectExpr("id as p_partkey", "'n' as p_name", "'b' as p_brand", "'t' as p_type", "cast(id as int) as p_size").coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    docs = spark.read.parquet(str(tmp_path / "part.parquet")).select("p_partkey", F.lit('{"a": 1}').alias("doc"))
+    assert docs.rdd.getNumPartitions() == 1 and graphs.flattened(docs, "p_partkey", "doc").rdd.getNumPartitions() > 1
+    assert QUERIES["spec_rows"](spark, str(tmp_path)).rdd.getNumPartitions() > 1
+
+
 def test_relations_and_catalogue_of_awkward_tables(spark):
     a = spark.createDataFrame([(1, None), (2, 5), (2, 5), (None, 7)], "id int, b int").withColumn("odd name", F.create_map(F.lit("k"), "id"))
     b = spark.createDataFrame([(5,), (5,), (None,)], "id int")
