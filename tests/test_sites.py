@@ -1,6 +1,7 @@
 """Walks over stored listings, specification rows, table relations, and summary documents on awkward rows."""
 
 import json
+import random
 
 from pyspark.sql import functions as F
 
@@ -22,6 +23,50 @@ def test_walks_end_at_missing_pages_at_the_limit_and_where_they_have_been(spark)
     assert found == {"p": ("a0", 1, 2), "q": ("a0", 1, 1)}
 
 
+def test_walks_of_any_length_are_those_of_a_plain_walk(spark):
+    rng = random.Random(5)
+    rows = [(f"u{i}", f"u{rng.choice((i + 1, i + 1, i + 1, i + 1, i + 1, i + 1, rng.randrange(400)))}") for i in range(300)] + [(f"v{i}", f"v{i + 1}") for i in range(150)]
+    seeds = [f"u{rng.randrange(320)}" for _ in range(12)] + ["v0"]
+    into = {}
+    for a, b in rows:
+        if a != b and b not in seeds:
+            into[b] = min(a, into.get(b, a))
+    held, after = {a for a, _ in rows}, {a: b for b, a in into.items()}
+    for most in (1, 8, 9, 130):
+        want = set()
+        for seed in set(seeds) & held:
+            at, depth = seed, 1
+            while at in held and depth <= most:
+                want.add((at, seed, depth))
+                at, depth = after.get(at), depth + 1
+        got = crawls.walked(spark.createDataFrame(rows, "url string, next_url string"), spark.createDataFrame([(s,) for s in seeds], "seed string"), most)
+        assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
+def shuffled_bytes(spark, run):
+    store = spark._jsc.sc().statusStore()
+    total = lambda: (x := store.executorList(False)) and sum(x.apply(i).totalShuffleWrite() for i in range(x.size()))
+    before = total()
+    run().write.format("noop").mode("overwrite").save()
+    spark._jsc.sc().listenerBus().waitUntilEmpty()
+    return total() - before
+
+
+def test_a_short_walk_moves_its_pages_a_few_times_and_in_proportion(spark, tmp_path):
+    from tallyforge.plans import QUERIES
+
+    moved = {}
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64k")  # as tables of many GB are to the usual limit
+    try:
+        for n in (20_000, 80_000):
+            spark.range(n).selectExpr("id as o_orderkey", "pmod(xxhash64(id), %d) as o_custkey" % (n // 10)).write.parquet(str(tmp_path / f"{n}/orders.parquet"))
+            moved[n] = shuffled_bytes(spark, lambda: QUERIES["listing_pages"](spark, str(tmp_path / str(n))))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert moved[80_000] < 150 * 80_000 and moved[80_000] < 4.4 * moved[20_000], moved
+
+
 def test_spec_rows(spark):
     get = lambda html: [tuple(p) for p in spark.range(1).select(pages.row_specs(F.lit(html).cast("string")).alias("v")).first().v or []]
     row = '<p class="max-w-[320px]">{}</p>\n<div class="x whitespace-break-spaces">{}</div>'
