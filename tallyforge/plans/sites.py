@@ -84,8 +84,10 @@ def listing_walks(spark, sf_dir):
     from pyspark.sql.window import Window as W
 
     w = W.partitionBy("o_custkey").orderBy("o_orderkey")
-    o = read(spark, sf_dir, "orders").select("o_custkey", t("l", F.col("o_orderkey")).alias("url"), t("l", F.lead("o_orderkey").over(w)).alias("next_url"), F.row_number().over(w).alias("n"))
-    return crawls.walked(o, o.filter("n = 1 and o_custkey % 3 > 0").select(F.col("url").alias("seed")), 5)
+    o = read(spark, sf_dir, "orders")
+    following = o.select(t("l", F.col("o_orderkey")).alias("url"), t("l", F.lead("o_orderkey").over(w)).alias("next_url"))
+    seeds = o.filter("o_custkey % 3 > 0").groupBy("o_custkey").agg(F.min("o_orderkey").alias("k"))
+    return crawls.walked(following, seeds.select(t("l", F.col("k")).alias("seed")), 5)
 
 
 @query(LISTING_SQL + " select * from w")
